@@ -28,8 +28,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: Rate: (numerator, scale, denominator, margin, whether a low value fails too).
 RATES = {
     "symbols": ("n_symbols", 1000, "n_words", 100, False),
-    "lines": ("n_dup_lines", 1000, "n_lines", 300, False),
-    "repeats": ("n_repeat_words", 1000, "n_words", 200, False),
+    "lines": ("n_dup_lines", 1000, "n_lines", 400, False),
+    "repeats": ("n_repeat_words", 1000, "n_words", 350, False),
     "length": ("word_chars", 100, "n_words", 100, True),
 }
 SPREAD, MIN_ROWS = 4, 30
