@@ -12,6 +12,7 @@ from gridloom.llm.op2_quality import op2_quality
 from gridloom.llm.op3_packing import op3_packing
 from gridloom.llm.op4_near_dedup import op4_near_dedup
 from gridloom.llm.op7_token_counts import op7_token_counts
+from gridloom.llm.op8_line_dedup import op8_line_dedup
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_quality, op3_packing, op4_near_dedup, rules.op5_quality_rules, op7_token_counts)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_quality, op3_packing, op4_near_dedup, rules.op5_quality_rules, op7_token_counts, op8_line_dedup)}
 ORACLE_SQL: dict[str, str] = {"op5_quality_rules": rules.ORACLE_SQL}
