@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import op5_quality_rules as rules
 from gridloom.llm import op6_decontaminate as leaks
+from gridloom.llm import op9_chat_format as chat
 from gridloom.llm.op1_language_id import op1_language_id
 from gridloom.llm.op2_quality import op2_quality
 from gridloom.llm.op3_packing import op3_packing
@@ -15,5 +16,5 @@ from gridloom.llm.op4_near_dedup import op4_near_dedup
 from gridloom.llm.op7_token_counts import op7_token_counts
 from gridloom.llm.op8_line_dedup import op8_line_dedup
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_quality, op3_packing, op4_near_dedup, rules.op5_quality_rules, leaks.op6_decontaminate, op7_token_counts, op8_line_dedup)}
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": rules.ORACLE_SQL, "op6_decontaminate": leaks.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_quality, op3_packing, op4_near_dedup, rules.op5_quality_rules, leaks.op6_decontaminate, op7_token_counts, op8_line_dedup, chat.op9_chat_format)}
+ORACLE_SQL: dict[str, str] = {"op5_quality_rules": rules.ORACLE_SQL, "op6_decontaminate": leaks.ORACLE_SQL, "op9_chat_format": chat.ORACLE_SQL}
