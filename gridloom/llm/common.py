@@ -10,9 +10,12 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[2]
 #: Word separators of the corpus contracts: space and the ASCII controls TAB to CR.
@@ -85,6 +88,32 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = S
         yield batch.slice(start)
 
 
+#: Bits of the filters that pick rows to read again; beyond their capacity they only filter less.
+FILTER_BITS = 1 << 25
+
+
+def slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of fixed size that holds the slot of every value of a column; the driver gets its words."""
+    grouped = keys.select(slot(keys[key]).alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    for batch in grouped.agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow().to_batches():
+        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
+    return table
+
+
+def in_bitmap(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return ((table[slots >> 6] >> (slots & 63)) & 1).astype(bool)
+
+
+def text_key(text: str) -> int:
+    """64-bit key of a whole text."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def words(text: str) -> list[str]:
     """``WORD.findall``, by the faster ``split()`` where that is the same."""
     return WORD.findall(text) if OTHER_SPACE.search(text) else text.split()

@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,9 +40,6 @@ from gridloom.llm.shingles import MIX, mixed, shingle_set
 K, BANDS, ODD_BITS, ODD_WORDS = 128, 32, 512, 8
 #: How far below the threshold an odd-sketch estimate still counts as a candidate.
 SLACK = 0.3
-#: Bits of the filter that picks the texts to read again; past its capacity it only filters less.
-FILTER_BITS = 1 << 25
-
 _random = np.random.default_rng(20)
 _MULTIPLY = (_random.integers(0, 1 << 31, K, dtype=np.uint32) << 1) | np.uint32(1)
 _ADD = _random.integers(0, 1 << 32, K, dtype=np.uint32)
@@ -83,12 +81,13 @@ def set_key(hashes: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, cls (key of the set), bands and odd; the last three null for an empty set."""
+    """doc_id, row (key of the text), n_shingles, cls (key of the set), bands and odd; the last three null for an empty set."""
 
     def work(part: pa.RecordBatch) -> dict:
-        sizes, keys, rows, at = [], [], [], []
+        sizes, keys, rows, at, texts = [], [], [], [], []
         for i, text in enumerate(part.column(1).to_pylist()):
             found = shingle_set(text, width)
+            texts.append(common.text_key(text or ""))
             sizes.append(len(found))
             keys.append(set_key(found) if len(found) else None)
             if len(found):
@@ -99,37 +98,26 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             matrix = np.array(rows)
             for i, b, o in zip(at, band_hashes(matrix), odd_sketches(matrix), strict=True):
                 bands[i], odd[i] = b, o
-        return {"doc_id": part.column(0), "n_shingles": sizes, "cls": keys, "bands": bands, "odd": odd}
-
-    return common.map_slices(docs, work, "doc_id long, n_shingles long, cls long, bands array<long>, odd array<long>")
-
+        return {"doc_id": part.column(0), "row": texts, "n_shingles": sizes, "cls": keys, "bands": bands, "odd": odd}
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the hash of each id set."""
-    slots = ids.select((F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))).alias("slot"))
-    words = slots.groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    for batch in words.toArrow().to_batches():
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return table
+    return common.map_slices(docs, work, "doc_id long, row long, n_shingles long, cls long, bands array<long>, odd array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """cls and shingles of the rows whose doc_id is in ``wanted``, and of a few more."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(id_filter(wanted))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    shared = spark.sparkContext.broadcast(common.bitmap(wanted, "doc_id"))
 
     def work(part: pa.RecordBatch) -> dict | None:
         slots = part.column(0).to_numpy(zero_copy_only=False)
-        chosen = np.flatnonzero((shared.value[slots >> 6] >> (slots & 63)) & 1)
+        chosen = np.flatnonzero(common.in_bitmap(shared.value, slots))
         if not len(chosen):
             return None
         sets = [shingle_set(t.as_py(), width) for t in (part.column(1)[i] for i in chosen.tolist())]
         sets = [s for s in sets if len(s)]
         return {"cls": [set_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
-    return common.map_slices(docs.select(slot.alias("slot"), "text"), work, "cls long, shingles array<long>")
+    return common.map_slices(docs.select(common.slot(F.col("doc_id")).alias("slot"), "text"), work, "cls long, shingles array<long>")
 
 
 def alike(threshold: int, a: str, b: str) -> Column:
@@ -148,7 +136,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row; ``threshold`` in hundredths."""
+    """doc_id, row (key of its text), n_shingles, component_id and kept of every row; ``threshold`` in hundredths."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     rows = common.durable(signatures(texts, width), "signatures")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
@@ -178,10 +166,42 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
 
     ids = classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     named = ids.join(ids.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("cls", "component_id")
-    found = rows.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
+    found = rows.select("doc_id", "row", "n_shingles", "cls").join(named, "cls", "left")
     found = found.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+    return found.select("doc_id", "row", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """``docs`` with one row of each component left; rows without a word all stay.
+
+    The row kept has the component's least id (of equal ids, the least key of the text; of equal
+    rows, one). Only rows whose id falls into the bitmap of doubtful ids are shuffled.
+    """
+    found = common.durable(near_duplicates(docs, width, threshold).where("n_shingles > 0"), "verdicts")
+    counted = found.groupBy("component_id", "doc_id", "row").agg(F.count("*").alias("copies"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row")).alias("least")
+    chosen = counted.groupBy("component_id").agg(least).select(F.col("component_id").alias("c_id"), "least")
+    judged = counted.join(chosen, F.col("component_id").eqNullSafe(F.col("c_id")))
+    keep = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("row") == F.col("least.row"))
+    doubtful = judged.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), keep.alias("_keep"), "copies").where("not _keep or copies > 1").drop("copies")
+    doubtful = common.durable(doubtful, "doubtful")
+    shared = docs.sparkSession.sparkContext.broadcast(common.bitmap(doubtful, "_id"))
+
+    @F.pandas_udf("boolean")
+    def maybe(slots: pd.Series) -> pd.Series:
+        return pd.Series(common.in_bitmap(shared.value, slots.to_numpy()))
+
+    @F.pandas_udf("long")
+    def key(texts: pd.Series) -> pd.Series:
+        return pd.Series([common.text_key(t if isinstance(t, str) else "") for t in texts], dtype="int64")
+
+    slot = common.slot(docs["doc_id"].cast("long"))
+    open_ = common.durable(docs.where(maybe(slot)).withColumn("_key", key(docs["text"].cast("string"))), "maybe")
+    judged = open_.join(doubtful, open_["doc_id"].cast("long").eqNullSafe(doubtful["_id"]) & (open_["_key"] == doubtful["_row"]), "left")
+    clear = judged.where("_keep is null").select(*docs.columns)
+    once = judged.where("_keep").dropDuplicates(["_id", "_row"]).select(*docs.columns)
+    return docs.where(~maybe(slot)).unionByName(clear).unionByName(once)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.documents(spark, sf_dir), width=2)
+    return near_duplicates(common.documents(spark, sf_dir), width=2).drop("row")

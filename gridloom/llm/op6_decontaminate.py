@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,18 +153,20 @@ def contained(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold:
     return found
 
 
+def _none_found(shared: Broadcast):
+    @F.pandas_udf("boolean")
+    def none_found(texts: pd.Series) -> pd.Series:
+        return pd.Series([not shared.value.find(t if isinstance(t, str) else None) for t in texts], dtype=bool)
+
+    return none_found
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold: int = 80) -> Column:
     """A condition that holds for texts in which no item is contained."""
     common.ship(docs.sparkSession)
     holds = F.lit(True)
     for index in blocks(benchmark, width, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def none_found(texts: pd.Series, shared=shared) -> pd.Series:
-            return pd.Series([not shared.value.find(t if isinstance(t, str) else None) for t in texts], dtype=bool)
-
-        holds &= none_found(docs["text"].cast("string"))
+        holds &= _none_found(docs.sparkSession.sparkContext.broadcast(index))(docs["text"].cast("string"))
     return holds
 
 

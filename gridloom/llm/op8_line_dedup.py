@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,6 @@ from gridloom.llm import common
 from gridloom.llm.shingles import lowered, word_hashes
 
 SLOTS, CHUNK = 1 << 20, 1 << 16
-#: Bits of the filters that pick the documents and lines to read again; beyond capacity they filter less.
-FILTER_BITS = 1 << 25
 
 
 def line_words(text: str) -> Iterator[tuple[int, list[str]]]:
@@ -44,10 +43,6 @@ def line_words(text: str) -> Iterator[tuple[int, list[str]]]:
             yield number, words
 
 
-def text_key(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
-
-
 def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
@@ -116,7 +111,7 @@ def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int) -> DataFrame:
         rows = []
         for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             if text:
-                row = text_key(text)
+                row = common.text_key(text)
                 for number, words in line_words(text):
                     tokens = np.unique(word_hashes(words))
                     rows.append((doc_id, row, number, set_key(tokens), len(tokens), parity_bits(tokens), prefix(tokens, shared.value, threshold)))
@@ -184,31 +179,20 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
     return dealt.select("token", "cls", "n", "pos", "bits", "wanted").mapInArrow(run, "x long, y long, more boolean")
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size of the hashes of a long column ``key``."""
-    slots = keys.select(F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS)).alias("slot"))
-    words = slots.groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    for batch in words.toArrow().to_batches():
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return table
-
-
 def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """cls and tokens of lines whose class may be in ``wanted`` (cls, doc_id of its first place)."""
-    docs = texts.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.col("doc_id").alias("key"))))
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    docs = texts.sparkSession.sparkContext.broadcast(common.bitmap(wanted, "doc_id"))
 
     def work(part: pa.RecordBatch) -> dict | None:
         slots = part.column(0).to_numpy(zero_copy_only=False)
         found: dict[int, np.ndarray] = {}
-        for i in np.flatnonzero((docs.value[slots >> 6] >> (slots & 63)) & 1).tolist():
+        for i in np.flatnonzero(common.in_bitmap(docs.value, slots)).tolist():
             for _, words in line_words(part.column(1)[i].as_py() or ""):
                 tokens = np.unique(word_hashes(words))
                 found[set_key(tokens)] = tokens.view(np.int64)
         return {"cls": list(found), "tokens": list(found.values())} if found else None
 
-    return common.map_slices(texts.select(slot.alias("slot"), "text"), work, "cls long, tokens array<long>")
+    return common.map_slices(texts.select(common.slot(F.col("doc_id")).alias("slot"), "text"), work, "cls long, tokens array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -255,24 +239,20 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
 def deduplicated(docs: DataFrame, threshold: int = 80) -> DataFrame:
     """``docs`` with the removed lines taken out of ``text``; other columns and rows as they are."""
 
-    def cut(texts: Iterator) -> Iterator:
-        for text, removed in texts:
-            yield text.combine(removed, lambda t, r: t if r is None or not len(r) else without(t, r))
+    common.ship(docs.sparkSession)
+
+    @F.pandas_udf("string")
+    def rewritten(texts: pd.Series, removed: pd.Series) -> pd.Series:
+        return pd.Series([t if r is None or not len(r) else without(t, r) for t, r in zip(texts, removed, strict=True)], dtype=object)
+
+    @F.pandas_udf("long")
+    def key(texts: pd.Series) -> pd.Series:
+        return pd.Series([common.text_key(t) if isinstance(t, str) and t else 0 for t in texts], dtype="int64")
 
     gone = removed_lines(docs, threshold).where(F.size("removed") > 0).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("removed").alias("_gone"))
-    key = _text_keys()
     keyed = docs.withColumn("_gone_key", key(docs["text"]))
     joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_gone_id"]) & (keyed["_gone_key"] == gone["_gone_row"]), "left")
-    rewrite = F.pandas_udf(cut, "string")
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rewrite("text", "_gone"))).select(*docs.columns)
-
-
-def _text_keys():
-    def keys(texts: Iterator) -> Iterator:
-        for text in texts:
-            yield text.map(lambda t: text_key(t) if isinstance(t, str) and t else 0)
-
-    return F.pandas_udf(keys, "long")
+    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rewritten("text", "_gone"))).select(*docs.columns)
 
 
 def without(text: str, removed: Iterable[int]) -> str:
