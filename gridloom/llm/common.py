@@ -23,7 +23,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: White space to ``str.split()`` that the contracts count as part of a word.
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Characters of text that a worker holds in derived form at a time (one text at least).
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def ship(spark: SparkSession) -> None:
@@ -111,7 +111,11 @@ def in_bitmap(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
 
 def text_key(text: str) -> int:
     """64-bit key of a whole text."""
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+    return bytes_key(text.encode("utf-8", "surrogatepass"))
+
+
+def bytes_key(raw: bytes | np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
 
 
 def words(text: str) -> list[str]:
@@ -131,7 +135,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sch
         for part in slices(batches, text):
             columns = work(part)
             if columns is not None:
-                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type, from_pandas=False) for f in arrow], schema=arrow)
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -16,7 +16,6 @@ a row and the same verdict; null ids are kept.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,36 +24,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
+from gridloom.llm.shingles import MIX, mixed, row_words
 
-BUCKETS, KEPT_WORDS, BINS = 10_000, 300_000, 4096
-MIX = np.uint64(0x9E3779B97F4A7C15)
+BUCKETS, BINS = 10_000, 4096
 #: Integer key units of one nat.
 UNIT = 1_000_000_000
 
-_WORDS: dict[str, int] = {}
+def features(words: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """Bucket of each word and of each pair of neighbouring words, from word hashes."""
+    pairs = mixed(words[:-1] * MIX + words[1:])
+    return (np.concatenate([words, pairs]) % np.uint64(buckets)).astype(np.int64)
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    found = list(map(_WORDS.get, words))
-    if None in found:
-        for i, known in enumerate(found):
-            if known is None:
-                found[i] = zlib.crc32(words[i].encode("utf-8", "replace"))
-                if len(_WORDS) < KEPT_WORDS:
-                    _WORDS[words[i]] = found[i]
-    return np.array(found, np.uint64)
-
-
-def features(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Bucket of each word and of each pair of neighbouring words."""
-    lowered = text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
-    one = word_hashes(common.words(lowered))
-    two = (one[:-1] * MIX + one[1:] + np.uint64(1)) * MIX
-    mixed = np.concatenate([one * MIX, two])
-    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-
-
-_ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
+def row_features(column: pa.Array, buckets: int) -> Iterator[np.ndarray]:
+    words, bounds = row_words(column)
+    for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        yield features(words[start:stop], buckets)
 
 
 def counts(docs: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
@@ -63,12 +48,11 @@ def counts(docs: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for part in common.slices(batches):
-            for text, wanted in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                if text:
-                    found = np.bincount(features(text, buckets), minlength=buckets)
-                    raw += found
-                    if wanted:
-                        good += found
+            for found, wanted in zip(row_features(part.column(1), buckets), part.column(2).to_pylist(), strict=True):
+                found = np.bincount(found, minlength=buckets)
+                raw += found
+                if wanted:
+                    good += found
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(good[seen])], names=["bucket", "raw", "target"])
 
@@ -94,8 +78,7 @@ def importance(docs: DataFrame, ratios: np.ndarray, effective: float) -> DataFra
 
     def work(part: pa.RecordBatch) -> dict:
         sizes, weights = [], []
-        for text in part.column(1).to_pylist():
-            found = features(text, len(ratios)) if text else ()
+        for found in row_features(part.column(1), len(ratios)):
             sizes.append(len(found))
             weights.append(float(ratios[found].mean()) * effective if len(found) else None)
         return {"doc_id": part.column(0), "n_ngrams": sizes, "log_weight": weights}

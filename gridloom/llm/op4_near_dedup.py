@@ -5,12 +5,11 @@
    one bit of a bitmap of ``ODD_BITS``, so the population count of the XOR of two bitmaps estimates
    their similarity closely where it is high.
 2. Rows with equal sets form a class; only classes go on.
-3. In each band bucket every class is paired with the least class. Pairs whose sizes or odd sketches
-   rule the similarity out are dropped; the others are confirmed on the full sets.
-4. Components of the links so far. Buckets that still hold several components are searched again:
-   each class outside the bucket's largest component against all classes of other components. A
-   pair inside one component could not change the result, so a group of many near copies costs its
-   size, not its square.
+3. In each band bucket every class is paired with the least class, its leader. Pairs whose sizes or
+   odd sketches rule the similarity out are dropped; the others are confirmed on the full sets.
+4. Components of the links so far. The classes of a leader that still are in several components are
+   searched again: each outside the largest component against all of other components, in memory
+   and on full sets. A pair inside one component could not change the result and is left out.
 5. Components of all links.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability 5e-8, and at the
@@ -35,11 +34,13 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import common
 from gridloom.llm.components import components
-from gridloom.llm.shingles import MIX, mixed, shingle_set
+from gridloom.llm.shingles import MIX, column_bytes, mixed, row_sets
 
 K, BANDS, ODD_BITS, ODD_WORDS = 128, 32, 512, 8
 #: How far below the threshold an odd-sketch estimate still counts as a candidate.
 SLACK = 0.3
+#: Shingles of one leader's classes that are searched together at most, about.
+CELL = 1_000_000
 _random = np.random.default_rng(20)
 _MULTIPLY = (_random.integers(0, 1 << 31, K, dtype=np.uint32) << 1) | np.uint32(1)
 _ADD = _random.integers(0, 1 << 32, K, dtype=np.uint32)
@@ -84,10 +85,10 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, row (key of the text), n_shingles, cls (key of the set), bands and odd; the last three null for an empty set."""
 
     def work(part: pa.RecordBatch) -> dict:
-        sizes, keys, rows, at, texts = [], [], [], [], []
-        for i, text in enumerate(part.column(1).to_pylist()):
-            found = shingle_set(text, width)
-            texts.append(common.text_key(text or ""))
+        raw, bounds = column_bytes(part.column(1))
+        texts = [common.bytes_key(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        sizes, keys, rows, at = [], [], [], []
+        for i, found in enumerate(row_sets(part.column(1), width)):
             sizes.append(len(found))
             keys.append(set_key(found) if len(found) else None)
             if len(found):
@@ -113,7 +114,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         chosen = np.flatnonzero(common.in_bitmap(shared.value, slots))
         if not len(chosen):
             return None
-        sets = [shingle_set(t.as_py(), width) for t in (part.column(1)[i] for i in chosen.tolist())]
+        sets = row_sets(part.column(1).take(pa.array(chosen)), width)
         sets = [s for s in sets if len(s)]
         return {"cls": [set_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
@@ -135,6 +136,46 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.where(100 * F.col("both") >= threshold * union).select("u", "v").distinct()
 
 
+def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """u, v: links between different roots among the classes that share a leader.
+
+    ``groups``: leader, cls, root. Of a leader's classes, each outside the largest root is held
+    against all of other roots, on full sets, in memory; only links leave the task. A leader whose
+    classes hold over ``CELL`` shingles is cut into blocks, and each pair of blocks is a cell of its
+    own, so what a task holds is bounded however large the group is.
+    """
+    shares = groups.join(sizes, "cls").groupBy("leader", "root").agg(F.count("*").alias("share"), F.sum("n").alias("held"))
+    split = shares.groupBy("leader").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.count("*").alias("roots"), F.ceil(F.sum("held") / CELL).cast("int").alias("blocks")).where("roots > 1")
+    placed = groups.join(split.select("leader", "largest", "blocks"), "leader").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", (F.col("root") != F.col("largest")).alias("outside"))
+
+    def search(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        cls, root, outside = (group.column(c).to_numpy() for c in ("cls", "root", "outside"))
+        held = group.column("shingles").combine_chunks()
+        held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+        size = np.diff(held.offsets.to_numpy()).astype(np.int64)
+        token = np.unique(held.flatten().to_numpy(), return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(size)), size)
+        order = np.argsort(token, kind="stable")
+        owners, lists = owner[order], np.concatenate([[0], np.cumsum(np.bincount(token))])
+        first = np.concatenate([[0], np.cumsum(size)])
+        found = set()
+        for i in np.flatnonzero(outside).tolist():
+            mine = token[first[i] : first[i + 1]]
+            runs = lists[mine + 1] - lists[mine]
+            at = np.repeat(lists[mine] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(int(runs.sum()))
+            both = np.bincount(owners[at], minlength=len(size))
+            linked = (100 * both >= threshold * (size + size[i] - both)) & (root != root[i])
+            found.update((int(cls[i]), int(r)) for r in np.unique(root[linked]))
+        rows = sorted(found)
+        return pa.table({"u": pa.array([u for u, _ in rows], pa.int64()), "v": pa.array([v for _, v in rows], pa.int64())})
+
+    common.ship(groups.sparkSession)
+    return cells.join(sets, "cls").groupBy("leader", "i", "j").applyInArrow(search, "u long, v long").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, row (key of its text), n_shingles, component_id and kept of every row; ``threshold`` in hundredths."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
@@ -145,23 +186,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> Dat
     shared = postings.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("size")).where("size > 1").select("bucket", "leader")
     members = common.durable(postings.join(shared, "bucket"), "members")
     traits = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"{c}_n"), F.col("odd").alias(f"{c}_odd"))
-    sets = common.durable(sets_of(texts, classes.join(members.select("cls").distinct(), "cls", "left_semi").select(F.col("rep").alias("doc_id")), width), "sets")
+    sets = common.durable(sets_of(texts, classes.join(members.select("cls").distinct(), "cls", "left_semi").select(F.col("rep").alias("doc_id")), width).join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
     led = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v")).distinct()
     led = led.join(traits("u"), "u").join(traits("v"), "v").where(alike(threshold, "u", "v"))
     links = common.durable(confirmed(led, sets, threshold), "links")
     stars = components(links)
 
-    placed = members.select("bucket", "cls").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    shares = placed.groupBy("bucket", "root").agg(F.count("*").alias("share"))
-    split = shares.groupBy("bucket").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.count("*").alias("roots")).where("roots > 1").select("bucket", "largest")
-    open_members = common.durable(placed.join(split, "bucket").join(traits("cls"), "cls"), "open-members")
-    left = open_members.where("root != largest").select("bucket", F.col("cls").alias("u"), F.col("root").alias("u_root"), F.col("cls_n").alias("u_n"), F.col("cls_odd").alias("u_odd"))
-    right = open_members.select(F.col("bucket").alias("v_bucket"), F.col("cls").alias("v"), F.col("root").alias("v_root"), F.col("largest"), F.col("cls_n").alias("v_n"), F.col("cls_odd").alias("v_odd"))
-    once = (F.col("u_root") != F.col("v_root")) & ((F.col("v_root") == F.col("largest")) | (F.col("u") < F.col("v")))
-    more = left.join(right, (F.col("bucket") == F.col("v_bucket")) & once & alike(threshold, "u", "v"))
-    more = more.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    more_links = confirmed(more, sets, threshold)
+    groups = common.durable(members.select("leader", "cls").distinct().join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "led")
+    more_links = links_between(groups, classes.select("cls", "n"), sets, threshold)
     stars = common.durable(components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more_links)), "stars")
 
     ids = classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))

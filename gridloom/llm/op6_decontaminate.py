@@ -21,14 +21,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
-from gridloom.llm.shingles import lowered, shingle_hashes, shingle_set, word_hashes
+from gridloom.llm.shingles import row_words, shingle_hashes, shingle_set
 
 K, SMALLEST, TABLE = 64, 8, 1 << 16
 #: Bounds of one benchmark block: what is broadcast at a time.
@@ -106,12 +105,14 @@ class ContainmentIndex:
                 found.update(owners[start:stop].tolist())
         return found
 
-    def find(self, text: str | None) -> list[tuple[int, int]]:
-        """(item, shared shingles) of the items contained in a text."""
-        if not text or not self.parts:
-            return []
-        hashes = shingle_hashes(word_hashes(common.words(lowered(text))), self.width)
-        if not len(hashes):
+    def find_all(self, texts: pa.Array) -> list[list[tuple[int, int]]]:
+        """(item, shared shingles) of the items contained in each text of a column."""
+        words, bounds = row_words(texts)
+        return [self.find(words[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+
+    def find(self, words: np.ndarray) -> list[tuple[int, int]]:
+        hashes = shingle_hashes(words, self.width)
+        if not len(hashes) or not self.parts:
             return []
         rows = self.candidates(hashes)
         if not rows:
@@ -144,8 +145,8 @@ def contained(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold:
 
         def work(part: pa.RecordBatch, shared=shared) -> dict:
             index, rows = shared.value, []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                rows += [(doc_id, index.ids[item], len(index.sets[item]), n) for item, n in index.find(text)]
+            for doc_id, items in zip(part.column(0).to_pylist(), index.find_all(part.column(1)), strict=True):
+                rows += [(doc_id, index.ids[item], len(index.sets[item]), n) for item, n in items]
             return dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else {c: [] for c in names}
 
         one = common.map_slices(texts, work, ", ".join(f"{c} long" for c in names))
@@ -154,9 +155,10 @@ def contained(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold:
 
 
 def _none_found(shared: Broadcast):
-    @F.pandas_udf("boolean")
-    def none_found(texts: pd.Series) -> pd.Series:
-        return pd.Series([not shared.value.find(t if isinstance(t, str) else None) for t in texts], dtype=bool)
+    @F.arrow_udf("boolean")
+    def none_found(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        return pa.array([not items for part in common.slices([batch]) for items in shared.value.find_all(part.column(0))], pa.bool_())
 
     return none_found
 

@@ -6,7 +6,7 @@ then line number) has a set of Jaccard similarity ``threshold`` or more, be that
 1. Words are counted in ``SLOTS`` hash slots over all texts; tokens are ordered by that rarity, then
    by hash. Any such order is exact for prefix filtering, so collisions cost speed only.
 2. Lines with equal sets form a class that stands at its first place; its prefix is the
-   ``n - ceil(0.8 n) + 1`` rarest tokens, and it carries a 64-bit parity bitmap of its tokens.
+   ``n - ceil(0.8 n) + 1`` rarest tokens, and it carries a parity bitmap of its tokens.
 3. Classes are sorted by prefix token and place. Within a token, each is compared with the earlier
    ones by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
    sets have unlike tokens). Of those that pass, the earliest is taken.
@@ -21,30 +21,23 @@ text) stand at the same places, are not later than each other, and lose or keep
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
-from gridloom.llm.shingles import lowered, word_hashes
+from gridloom.llm.shingles import MIX, column_bytes, hashed_words, mixed, row_words
 
 SLOTS, CHUNK = 1 << 20, 1 << 16
-
-
-def line_words(text: str) -> Iterator[tuple[int, list[str]]]:
-    """Number and words of each line that has a word."""
-    for number, line in enumerate(lowered(text).split("\n")):
-        words = common.words(line)
-        if words:
-            yield number, words
-
-
-def set_key(tokens: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+#: 64-bit words of a parity bitmap.
+WORDS = 2
+BITS = [f"b{w}" for w in range(WORDS)]
+#: More lines than a text can have.
+LINES = 10_000_000_000
 
 
 def word_rarity(texts: DataFrame) -> np.ndarray:
@@ -53,11 +46,12 @@ def word_rarity(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(SLOTS, np.uint32)
         for part in common.slices(batches):
-            for text in part.column(1).to_pylist():
-                if text:
-                    slots = (word_hashes(common.words(lowered(text))) >> np.uint64(44)).astype(np.int64)
-                    np.add.at(table, slots, np.uint32(1))
-        yield from _chunks(table)
+            slots = (row_words(part.column(1))[0] >> np.uint64(44)).astype(np.int64)
+            table += np.bincount(slots, minlength=SLOTS).astype(np.uint32)
+        for chunk in range(SLOTS // CHUNK):
+            counts = table[chunk * CHUNK : (chunk + 1) * CHUNK]
+            if counts.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([counts.tobytes()])], names=["chunk", "counts"])
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[int, np.ndarray] = {}
@@ -77,68 +71,95 @@ def word_rarity(texts: DataFrame) -> np.ndarray:
     return whole
 
 
-def _chunks(table: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for chunk in range(SLOTS // CHUNK):
-        counts = table[chunk * CHUNK : (chunk + 1) * CHUNK]
-        if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([counts.tobytes()])], names=["chunk", "counts"])
-
-
 def overlap_needed(n, m, threshold: int):
     """Least intersection of sets of n and m tokens at the threshold: ceil(t (n + m) / (100 + t))."""
     return -(-threshold * (n + m) // (100 + threshold))
 
 
-def prefix(tokens: np.ndarray, rarity: np.ndarray, threshold: int) -> np.ndarray:
-    """The rarest tokens of a set, as 32-bit keys, in the global order."""
-    order = np.lexsort((tokens, rarity[(tokens >> np.uint64(44)).astype(np.int64)]))
-    length = len(tokens) - -(-threshold * len(tokens) // 100) + 1
-    return (tokens[order[:length]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
-
-
-def parity_bits(tokens: np.ndarray) -> int:
-    counts = np.bincount(((tokens >> np.uint64(32)) & np.uint64(63)).astype(np.int64), minlength=64)
-    return int(np.packbits((counts & 1).astype(np.uint8)).view(np.int64)[0])
+@dataclass
+class Lines:
+    """Lines with a word of a text column, in order, and their distinct tokens, rarest first."""
+
+    row: np.ndarray  # of the column
+    number: np.ndarray  # in its text
+    first: np.ndarray  # its tokens' place in ``tokens``
+    size: np.ndarray
+    tokens: np.ndarray
+
+    def keys(self) -> np.ndarray:
+        """64-bit key of each token set."""
+        total = np.add.reduceat(mixed(self.tokens), self.first) if len(self.first) else np.zeros(0, np.uint64)
+        return mixed(total + self.size.astype(np.uint64) * MIX).view(np.int64)
+
+    def parity(self) -> list[np.ndarray]:
+        """Bitmap of each set in 64-bit words: bit p is the parity of the tokens that hash to p."""
+        place = (self.tokens >> np.uint64(24)) & np.uint64(64 * WORDS - 1)
+        bit = np.uint64(1) << (place & np.uint64(63))
+        none = np.zeros(0, np.uint64)
+        return [(np.bitwise_xor.reduceat(np.where((place >> np.uint64(6)) == w, bit, np.uint64(0)), self.first) if len(self.first) else none).view(np.int64) for w in range(WORDS)]
+
+    def prefixes(self, threshold: int) -> pa.Array:
+        """The rarest tokens of each set, as 32-bit keys, in the global order."""
+        length = self.size - -(-threshold * self.size // 100) + 1
+        rank = np.arange(len(self.tokens)) - np.repeat(self.first, self.size)
+        kept = self.tokens[rank < np.repeat(length, self.size)]
+        offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array((kept & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
+
+
+def column_lines(column: pa.Array, rarity: np.ndarray | None = None) -> Lines:
+    raw, bounds = column_bytes(column)
+    hashes, starts = hashed_words(raw, bounds)
+    newlines = np.flatnonzero(raw == 10)
+    line = np.searchsorted(np.sort(np.concatenate([bounds[:-1], newlines + 1])), starts, side="right") - 1
+    row = np.searchsorted(bounds, starts, side="right") - 1
+    number = line - (np.arange(len(column)) + np.searchsorted(newlines, bounds[:-1]))[row]
+    rank = rarity[(hashes >> np.uint64(44)).astype(np.int64)].astype(np.int64) if rarity is not None else 0
+    order = np.lexsort((hashes, (line << 32) + rank))
+    hashes, line, row, number = hashes[order], line[order], row[order], number[order]
+    opens = np.ones(len(line), bool)
+    opens[1:] = line[1:] != line[:-1]
+    fresh = opens.copy()
+    fresh[1:] |= hashes[1:] != hashes[:-1]
+    first = np.flatnonzero(opens[fresh])
+    size = np.diff(np.append(first, int(fresh.sum())))
+    return Lines(row[opens], number[opens], first, size, hashes[fresh])
 
 
 def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int) -> DataFrame:
-    """One row a line with a word: doc_id, row (key of the whole text), line, cls, n, bits, prefix."""
+    """One row a line with a word: doc_id, row (key of the whole text), line, cls, n, bitmap words, prefix."""
     shared = texts.sparkSession.sparkContext.broadcast(rarity)
-    schema = "doc_id long, row long, line long, cls long, n long, bits long, prefix array<int>"
-    names = [part.split()[0] for part in schema.split(", ")]
 
     def work(part: pa.RecordBatch) -> dict:
-        rows = []
-        for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            if text:
-                row = common.text_key(text)
-                for number, words in line_words(text):
-                    tokens = np.unique(word_hashes(words))
-                    rows.append((doc_id, row, number, set_key(tokens), len(tokens), parity_bits(tokens), prefix(tokens, shared.value, threshold)))
-        return dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else {c: [] for c in names}
+        raw, bounds = column_bytes(part.column(1))
+        keys = np.array([common.bytes_key(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.int64)
+        found = column_lines(part.column(1), shared.value)
+        bits = {f"b{w}": b for w, b in enumerate(found.parity())}
+        return {"doc_id": part.column(0).take(pa.array(found.row)), "row": keys[found.row], "line": found.number, "cls": found.keys(), "n": found.size, **bits, "prefix": found.prefixes(threshold)}
 
-    return common.map_slices(texts, work, schema)
+    return common.map_slices(texts, work, f"doc_id long, row long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, prefix array<int>")
 
 
 def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
     """x, y, more: class x with an earlier class y of the same prefix token that passes the filters.
 
-    ``postings`` (token, place, cls, n, pos, bits, wanted) are dealt by token and sorted by place. Of
-    the y of a wanted x within a token the earliest is given, with ``more`` if there are others; or,
-    with ``every``, all.
+    ``postings`` (token, place, line, cls, n, pos, bitmap, wanted) are dealt by token and sorted by
+    place. Of the y of a wanted x within a token the earliest is given, with ``more`` if there are
+    others; or, with ``every``, all.
     """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("more", pa.bool_())])
 
     def search(held: list[np.ndarray]) -> pa.RecordBatch | None:
-        token, cls, n, pos, bits, wanted = held
+        token, cls, n, pos, wanted, *bits = held
         earliest, passes, found = np.full(len(token), -1, np.int64), np.zeros(len(token), np.int64), []
         rows, lag = np.flatnonzero(token[1:] == token[:-1]) + 1, 1
         while len(rows):
             before = rows - lag
             need = overlap_needed(n[rows], n[before], threshold)
-            good = (100 * np.minimum(n[rows], n[before]) >= threshold * np.maximum(n[rows], n[before])) & wanted[rows]
+            good = (100 * np.minimum(n[rows], n[before]) >= threshold * np.maximum(n[rows], n[before])) & wanted[rows] & (cls[rows] != cls[before])
             good &= np.minimum(n[rows] - pos[rows], n[before] - pos[before]) >= need
-            good &= np.bitwise_count((bits[rows] ^ bits[before]).view(np.uint64)) <= n[rows] + n[before] - 2 * need
+            unlike = sum(np.bitwise_count((b[rows] ^ b[before]).view(np.uint64)).astype(np.int64) for b in bits)
+            good &= unlike <= n[rows] + n[before] - 2 * need
             hit = rows[good]
             if every:
                 found.append((cls[hit], cls[hit - lag]))
@@ -161,7 +182,7 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
             held = new if held is None else [np.concatenate(pair) for pair in zip(held, new, strict=True)]
             if held[0][0] == held[0][-1]:
                 continue
@@ -175,24 +196,31 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
 
     common.ship(postings.sparkSession)
     n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "first", "cls")
-    return dealt.select("token", "cls", "n", "pos", "bits", "wanted").mapInArrow(run, "x long, y long, more boolean")
+    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "place", "line", "cls")
+    return dealt.select("token", "cls", "n", "pos", "wanted", *BITS).mapInArrow(run, "x long, y long, more boolean")
+
+
+def place_of() -> Column:
+    """The id by which texts are ordered; a null id comes first."""
+    return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
 
 def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls and tokens of lines whose class may be in ``wanted`` (cls, doc_id of its first place)."""
-    docs = texts.sparkSession.sparkContext.broadcast(common.bitmap(wanted, "doc_id"))
+    """cls and tokens of the classes in ``wanted`` (cls, place, line), read from their first places."""
+    context = texts.sparkSession.sparkContext
+    docs = context.broadcast(common.bitmap(wanted, "place"))
 
     def work(part: pa.RecordBatch) -> dict | None:
-        slots = part.column(0).to_numpy(zero_copy_only=False)
-        found: dict[int, np.ndarray] = {}
-        for i in np.flatnonzero(common.in_bitmap(docs.value, slots)).tolist():
-            for _, words in line_words(part.column(1)[i].as_py() or ""):
-                tokens = np.unique(word_hashes(words))
-                found[set_key(tokens)] = tokens.view(np.int64)
-        return {"cls": list(found), "tokens": list(found.values())} if found else None
+        chosen = np.flatnonzero(common.in_bitmap(docs.value, part.column(1).to_numpy(zero_copy_only=False)))
+        if not len(chosen):
+            return None
+        found = column_lines(part.column(2).take(pa.array(chosen)))
+        tokens = pa.ListArray.from_arrays(pa.array(np.append(found.first, len(found.tokens)).astype(np.int32)), pa.array(found.tokens.view(np.int64)))
+        return {"place": part.column(0).take(pa.array(chosen[found.row])), "line": found.number, "cls": found.keys(), "tokens": tokens}
 
-    return common.map_slices(texts.select(common.slot(F.col("doc_id")).alias("slot"), "text"), work, "cls long, tokens array<long>")
+    place = place_of()
+    read = common.map_slices(texts.select(place.alias("place"), common.slot(place).alias("slot"), "text"), work, "place long, line long, cls long, tokens array<long>")
+    return read.join(wanted, ["cls", "place", "line"], "left_semi").dropDuplicates(["cls"]).select("cls", "tokens")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -207,38 +235,32 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     """doc_id, row, n_lines (with a word), removed (their numbers, in order): one row a text with a word."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    lines = common.durable(lines_of(texts, word_rarity(texts), threshold), "lines")
-    place = F.struct(F.col("doc_id"), F.col("line")).alias("place")
-    classes = lines.groupBy("cls").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
-    classes = common.durable(classes, "line-classes")
-    posted = lambda of: of.select("first", "cls", "n", "bits", "wanted", F.posexplode("prefix").alias("pos", "token"))
-
-    found = common.durable(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False), "candidates")
-    sides = found.select(F.col("x").alias("cls")).unionByName(found.select(F.col("y").alias("cls"))).distinct()
-    wanted = common.durable(classes.select("cls", F.col("first.doc_id").alias("doc_id")).join(sides, "cls", "left_semi"), "wanted")
-    sets = common.durable(sets_of(texts, wanted).join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "line-sets")
-    gone = common.durable(confirmed(found, sets, threshold), "gone")
+    lines = common.durable(lines_of(texts, word_rarity(texts), threshold).withColumn("place", place_of()), "lines")
+    # The least place of a class as one number: aggregates of numbers need no sort.
+    at = (F.col("place").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
+    firsts = common.durable(lines.groupBy("cls").agg(F.min(at).alias("first")), "line-classes")
+    classes = common.durable(lines.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    places = classes.select("cls", "place", "line")
+    posted = lambda of: of.select("place", "line", "cls", "n", *BITS, "wanted", F.posexplode("prefix").alias("pos", "token"))
+    wanted_of = lambda pairs: common.durable(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
+
+    found = common.durable(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False).distinct(), "candidates")
+    gone = common.durable(confirmed(found, sets_of(texts, wanted_of(found)), threshold), "gone")
 
     open_ = found.where("more").select(F.col("x").alias("cls")).distinct().join(gone.select(F.col("x").alias("cls")), "cls", "left_anti")
     open_ = common.durable(open_.withColumn("open", F.lit(True)), "open")
     tokens = classes.join(open_, "cls", "left_semi").select(F.explode("prefix").alias("token")).distinct()
     again = posted(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False)))).join(tokens, "token", "left_semi")
     more = common.durable(candidates(again, threshold, every=True).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
-    sides = more.select(F.col("x").alias("cls")).unionByName(more.select(F.col("y").alias("cls"))).distinct()
-    wanted = common.durable(classes.select("cls", F.col("first.doc_id").alias("doc_id")).join(sides, "cls", "left_semi"), "wanted")
-    sets = sets_of(texts, wanted).join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
-    gone = gone.unionByName(confirmed(more, sets, threshold)).withColumn("goes", F.lit(True)).withColumnRenamed("x", "cls")
+    gone = gone.unionByName(confirmed(more, sets_of(texts, wanted_of(more)), threshold)).distinct().withColumn("goes", F.lit(True)).withColumnRenamed("x", "cls")
 
-    verdicts = classes.select("cls", "first").join(gone, "cls", "left")
-    judged = lines.select("doc_id", "row", "line", "cls").join(verdicts, "cls")
-    goes = F.col("goes").isNotNull() | ~F.col("first").eqNullSafe(F.struct("doc_id", "line"))
-    by_text = judged.groupBy("doc_id", "row").agg(F.countDistinct("line").alias("n_lines"), F.array_sort(F.collect_set(F.when(goes, F.col("line")))).alias("removed"))
-    return by_text
+    judged = lines.withColumn("at", at).select("doc_id", "row", "line", "cls", "at").join(firsts.join(gone, "cls", "left"), "cls")
+    goes = F.col("goes").isNotNull() | (F.col("first") != F.col("at"))
+    return judged.groupBy("doc_id", "row").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines"), F.array_sort(F.collect_set(F.when(goes, F.col("line")))).alias("removed"))
 
 
 def deduplicated(docs: DataFrame, threshold: int = 80) -> DataFrame:
     """``docs`` with the removed lines taken out of ``text``; other columns and rows as they are."""
-
     common.ship(docs.sparkSession)
 
     @F.pandas_udf("string")
@@ -265,5 +287,5 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = removed_lines(docs)
     ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"))
     totals = found.groupBy("doc_id").agg(F.sum("n_lines").alias("n_lines"), F.sum(F.size("removed").cast("long")).alias("n_removed"), F.array_join(F.array_sort(F.flatten(F.collect_list("removed"))), ",").alias("removed"))
-    shown = ids.join(totals, "doc_id", "left")
+    shown = ids.join(totals, ids["doc_id"].eqNullSafe(totals["doc_id"]), "left").select(ids["doc_id"], "n_lines", "n_removed", "removed")
     return shown.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))

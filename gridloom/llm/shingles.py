@@ -1,37 +1,34 @@
-"""Hashed word shingles of texts, shared by the operators that compare documents."""
+"""Hashed words and word shingles of text columns, in whole arrays and without Python strings.
+
+A word's 64-bit hash is a polynomial over random byte values modulo 2**64, read off prefix sums of
+the column's bytes, then mixed. Words are runs of bytes other than space and TAB to CR (no other
+byte of UTF-8 text is a separator), with A-Z lower-cased.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
-
-from gridloom.llm import common
+import pyarrow as pa
 
-KEPT_WORDS = 300_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
-ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
-
-_WORDS: dict[str, int] = {}
-
+_random = np.random.default_rng(64)
+_VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64)
+_STEP = 0xD6E8FEB86659FD93
+_BACK = pow(_STEP, -1, 1 << 64)
+#: A-Z share the values of a-z.
+_VALUES[65:91] = _VALUES[97:123]
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-def lowered(text: str) -> str:
-    """A-Z lower-cased, nothing else."""
-    return text.lower() if text.isascii() else text.translate(ASCII_LOWER)
 
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hash of each word; frequent words are kept in the worker."""
-    found = list(map(_WORDS.get, words))
-    at = -1
-    while True:
-        try:
-            at = found.index(None, at + 1)
-        except ValueError:
-            break
-        found[at] = xxhash.xxh64_intdigest(words[at].encode("utf-8", "surrogatepass"))
-        if len(_WORDS) < KEPT_WORDS:
-            _WORDS[words[at]] = found[at]
-    return np.array(found, np.uint64)
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers[0]) < size:
+        for i, base in enumerate((_STEP, _BACK)):
+            table = np.full(size, np.uint64(base), np.uint64)
+            table[0] = 1
+            _powers[i] = np.cumprod(table, dtype=np.uint64)
+    return _powers[0], _powers[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -40,6 +37,42 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and the bounds of its rows (n + 1); nulls are empty rows."""
+    if column.null_count:
+        column = column.fill_null("")
+    wide = pa.types.is_large_string(column.type)
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, bounds - bounds[0]
+
+
+def hashed_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word; words never cross ``bounds``."""
+    if not len(raw):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    inside = ~_SPACE[raw]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = bounds[(bounds > 0) & (bounds < len(raw))]
+    first[edges] = inside[edges]
+    last[edges - 1] = inside[edges - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    up, down = _power_tables(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_VALUES[raw] * up[: len(raw)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MIX), starts
+
+
+def row_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a column in order, and where each row's begin (n + 1)."""
+    raw, bounds = column_bytes(column)
+    hashes, starts = hashed_words(raw, bounds)
+    return hashes, np.searchsorted(starts, bounds)
+
+
 def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     """64-bit hash of each run of ``width`` words, in order; with fewer words, of the whole run; of none, nothing."""
     n = len(hashes)
@@ -52,6 +85,17 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(total + np.uint64(width))
 
 
+def text_words(text: str | None) -> np.ndarray:
+    return row_words(pa.array([text or ""], pa.string()))[0]
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The distinct shingle hashes of a text, sorted."""
-    return np.unique(shingle_hashes(word_hashes(common.words(lowered(text))), width)) if text else np.zeros(0, np.uint64)
+    return np.unique(shingle_hashes(text_words(text), width))
+
+
+def row_sets(column: pa.Array, width: int):
+    """The shingle set of each row of a column."""
+    hashes, bounds = row_words(column)
+    for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        yield np.unique(shingle_hashes(hashes[start:stop], width))
