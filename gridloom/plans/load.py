@@ -72,7 +72,7 @@ def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicat
     good = chosen.join(checks.where("failure is null").select("artifact_sha256"), "artifact_sha256", "left_semi")
     rows = data_rows(good)
     profile = column_types(long_cells(rows))
-    arriving = {r["header"]: (r["ordinal"], r["type"]) for r in merged_types(profile).collect()}  # headers are at most a few thousand
+    arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in merged_types(profile).collect()}  # headers are at most a few thousand
 
     live = {c["source_name"]: c for c in state["columns"]}
     headers = list(live) + [h for h, _ in sorted(arriving.items(), key=lambda x: (x[1][0], x[0])) if h not in live]
@@ -87,9 +87,11 @@ def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicat
     mapped = as_maps(rows).join(known.where("not repeat").select("artifact_sha256", "reference"), "artifact_sha256")
     value = lambda c: present(F.try_element_at("values", F.lit(c.source_name)))
     stored = {c.name: c.type for c in columns if c.source_name in arriving}
-    kinds = profile.groupBy("artifact_sha256").agg(F.map_from_entries(F.collect_list(F.struct("header", "kind"))).alias("kinds"))
-    mapped = mapped.join(kinds, "artifact_sha256")
-    cells = [_stored(value(c), c, F.col("kinds")).alias(c.name) for c in columns if c.source_name in arriving]
+    met = {c.source_name: arriving[c.source_name][2] for c in columns if c.source_name in arriving}
+    if any(len(met[c.source_name]) > 1 for c in columns if c.source_name in met and c.type == "TEXT"):
+        kinds = profile.groupBy("artifact_sha256").agg(F.map_from_entries(F.collect_list(F.struct("header", "kind"))).alias("kinds"))
+        mapped = mapped.join(kinds, "artifact_sha256")
+    cells = [_stored(value(c), c, met[c.source_name]).alias(c.name) for c in columns if c.source_name in met]
     lineage = [F.col("reference").alias("source_artifact_path"), F.col("artifact_sha256").alias("source_artifact_sha256"), F.col("row_no").alias("source_row_number"), F.current_timestamp().alias("loaded_at")]
     inserted = 0
     load_id = None
@@ -117,13 +119,14 @@ def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicat
     return LoadResult(outcomes, table, ddl(table), inserted)
 
 
-def _stored(text: SparkColumn, column: Column, kinds: SparkColumn) -> SparkColumn:
+def _stored(text: SparkColumn, column: Column, met: set[str]) -> SparkColumn:
     """The value by the table's type; in a widened column, the text of the value its artifact's type gives."""
     if column.type != "TEXT":
         return typed_value(text, column.type)
-    kind = F.try_element_at(kinds, F.lit(column.source_name))
-    out = text
-    for name in types.LOAD_TYPES:
+    if len(met) == 1:
+        return types.text_form(text, next(iter(met)))
+    kind, out = F.try_element_at("kinds", F.lit(column.source_name)), text
+    for name in sorted(met - {"TEXT"}):
         out = F.when(kind == name, types.text_form(text, name)).otherwise(out)
     return out
 

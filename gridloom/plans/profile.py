@@ -27,9 +27,9 @@ def column_types(cells: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
 
 
 def merged_types(found: DataFrame) -> DataFrame:
-    """header, ordinal (first seen), type: one type throughout and no misfit, else TEXT."""
+    """header, ordinal (first seen), type (one throughout and no misfit, else TEXT), kinds met."""
     one = (F.count_distinct("kind") == 1) & ~F.bool_or("misfit")
-    return found.groupBy("header").agg(F.min("ordinal").alias("ordinal"), F.when(one, F.min("kind")).otherwise("TEXT").alias("type"))
+    return found.groupBy("header").agg(F.min("ordinal").alias("ordinal"), F.when(one, F.min("kind")).otherwise("TEXT").alias("type"), F.collect_set("kind").alias("kinds"))
 
 
 def promoted(live: str | None, incoming: str, misfit: bool) -> str:
