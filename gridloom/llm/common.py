@@ -52,11 +52,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def durable(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at files that outlive executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # the shuffle files behind the table go as soon as it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before or "false")
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -96,9 +104,13 @@ def slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
 
-def bitmap(keys: DataFrame, key: str) -> np.ndarray:
-    """A bitmap of fixed size that holds the slot of every value of a column; the driver gets its words."""
-    grouped = keys.select(slot(keys[key]).alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
+def bitmap(keys: DataFrame, key: str, hashed: bool = False) -> np.ndarray:
+    """A bitmap of fixed size that holds the slot of every value of a column; the driver gets its words.
+
+    Values that are hashes already (``hashed``) are their own slots, modulo the size.
+    """
+    place = F.pmod(keys[key].cast("long"), F.lit(FILTER_BITS)) if hashed else slot(keys[key])
+    grouped = keys.select(place.alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
     table = np.zeros(FILTER_BITS // 64, np.int64)
     for batch in grouped.agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow().to_batches():
         table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()

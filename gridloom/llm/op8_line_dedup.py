@@ -9,9 +9,9 @@ then line number) has a set of Jaccard similarity ``threshold`` or more, be that
    ``n - ceil(0.8 n) + 1`` rarest tokens, and it carries a parity bitmap of its tokens.
 3. Classes are sorted by prefix token and place. Within a token, each is compared with the earlier
    ones by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
-   sets have unlike tokens). Of those that pass, the earliest is taken.
-4. The pairs are confirmed on full sets. Classes whose earliest candidate failed but that had more
-   are searched again for all of theirs; a group of alike lines so costs its size, not its square.
+   sets have unlike tokens). Those that pass are taken if they are few, else only the earliest.
+4. The pairs are confirmed on full sets. Classes whose candidates failed but that had more are
+   searched again for all of theirs; a group of alike lines so costs its size, not its square.
 
 Tokens are compared by 64-bit hash. Defined cases: null or empty text and lines without a word: no
 line to compare, nothing removed; a null id sorts before all others; repeated rows (same id and
@@ -38,6 +38,8 @@ WORDS = 2
 BITS = [f"b{w}" for w in range(WORDS)]
 #: More lines than a text can have.
 LINES = 10_000_000_000
+#: Candidates of a line within a token that are all taken at once.
+FEW = 3
 
 
 def word_rarity(texts: DataFrame) -> np.ndarray:
@@ -144,14 +146,14 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
     """x, y, more: class x with an earlier class y of the same prefix token that passes the filters.
 
     ``postings`` (token, place, line, cls, n, pos, bitmap, wanted) are dealt by token and sorted by
-    place. Of the y of a wanted x within a token the earliest is given, with ``more`` if there are
-    others; or, with ``every``, all.
+    place. Of the y of a wanted x within a token all are given if they are ``FEW`` at most; else the
+    earliest, with ``more``. With ``every`` all are given.
     """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("more", pa.bool_())])
 
     def search(held: list[np.ndarray]) -> pa.RecordBatch | None:
         token, cls, n, pos, wanted, *bits = held
-        earliest, passes, found = np.full(len(token), -1, np.int64), np.zeros(len(token), np.int64), []
+        nearest, passes, found = np.full((FEW, len(token)), -1, np.int64), np.zeros(len(token), np.int64), []
         rows, lag = np.flatnonzero(token[1:] == token[:-1]) + 1, 1
         while len(rows):
             before = rows - lag
@@ -164,7 +166,8 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
             if every:
                 found.append((cls[hit], cls[hit - lag]))
             else:
-                earliest[hit] = hit - lag
+                nearest[1:, hit] = nearest[:-1, hit]
+                nearest[0, hit] = hit - lag
                 passes[hit] += 1
             lag += 1
             rows = rows[rows >= lag]
@@ -173,8 +176,10 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
             x, y = (np.concatenate(side) if side else np.zeros(0, np.int64) for side in (zip(*found, strict=True) if found else ((), ())))
             more = np.zeros(len(x), bool)
         else:
-            at = np.flatnonzero(passes)
-            x, y, more = cls[at], cls[earliest[at]], passes[at] > 1
+            of = [np.flatnonzero(passes)]
+            of += [np.flatnonzero((passes > k) & (passes <= FEW)) for k in range(1, FEW)]
+            x, y = np.concatenate([cls[o] for o in of]), np.concatenate([cls[nearest[k, o]] for k, o in enumerate(of)])
+            more = np.concatenate([passes[o] > FEW for o in of])
         return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(more)], schema=schema) if len(x) else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +201,32 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
 
     common.ship(postings.sparkSession)
     n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "place", "line", "cls")
+    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "place", "line")
     return dealt.select("token", "cls", "n", "pos", "wanted", *BITS).mapInArrow(run, "x long, y long, more boolean")
 
 
+def postings_with(classes: DataFrame, tokens: np.ndarray) -> DataFrame:
+    """Postings of the prefix tokens that a bitmap holds."""
+    shared = classes.sparkSession.sparkContext.broadcast(tokens)
+    names = ("place", "line", "cls", "n", *BITS, "wanted")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(len(names))
+            ends = lists.offsets.to_numpy()
+            token = lists.values.to_numpy()[ends[0] : ends[-1]]
+            size = np.diff(ends)
+            owner = np.repeat(np.arange(batch.num_rows), size)
+            pos = np.arange(len(token)) - np.repeat(ends[:-1] - ends[0], size)
+            kept = np.flatnonzero(common.in_bitmap(shared.value, token.astype(np.int64) & (common.FILTER_BITS - 1)))
+            if len(kept):
+                at = pa.array(owner[kept])
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(len(names))], pa.array(pos[kept], pa.int32()), pa.array(token[kept], pa.int32())], names=[*names, "pos", "token"])
+
+    schema = f"place long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, wanted boolean, pos int, token int"
+    return classes.select(*names, "prefix").mapInArrow(run, schema)
+
+
 def place_of() -> Column:
     """The id by which texts are ordered; a null id comes first."""
     return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
@@ -235,11 +262,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     """doc_id, row, n_lines (with a word), removed (their numbers, in order): one row a text with a word."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    lines = common.durable(lines_of(texts, word_rarity(texts), threshold).withColumn("place", place_of()), "lines")
+    whole = common.durable(lines_of(texts, word_rarity(texts), threshold).withColumn("place", place_of()), "lines")
     # The least place of a class as one number: aggregates of numbers need no sort.
     at = (F.col("place").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    firsts = common.durable(lines.groupBy("cls").agg(F.min(at).alias("first")), "line-classes")
-    classes = common.durable(lines.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    firsts = common.durable(whole.groupBy("cls").agg(F.min(at).alias("first")), "line-classes")
+    classes = common.durable(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    lines = common.durable(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "line-places")
+    common.forget(whole)
     places = classes.select("cls", "place", "line")
     posted = lambda of: of.select("place", "line", "cls", "n", *BITS, "wanted", F.posexplode("prefix").alias("pos", "token"))
     wanted_of = lambda pairs: common.durable(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
@@ -249,12 +278,12 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
 
     open_ = found.where("more").select(F.col("x").alias("cls")).distinct().join(gone.select(F.col("x").alias("cls")), "cls", "left_anti")
     open_ = common.durable(open_.withColumn("open", F.lit(True)), "open")
-    tokens = classes.join(open_, "cls", "left_semi").select(F.explode("prefix").alias("token")).distinct()
-    again = posted(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False)))).join(tokens, "token", "left_semi")
+    tokens = classes.join(open_, "cls", "left_semi").select(F.explode("prefix").alias("token"))
+    again = postings_with(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))), common.bitmap(tokens, "token", hashed=True))
     more = common.durable(candidates(again, threshold, every=True).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
     gone = gone.unionByName(confirmed(more, sets_of(texts, wanted_of(more)), threshold)).distinct().withColumn("goes", F.lit(True)).withColumnRenamed("x", "cls")
 
-    judged = lines.withColumn("at", at).select("doc_id", "row", "line", "cls", "at").join(firsts.join(gone, "cls", "left"), "cls")
+    judged = lines.join(firsts.join(gone, "cls", "left"), "cls")
     goes = F.col("goes").isNotNull() | (F.col("first") != F.col("at"))
     return judged.groupBy("doc_id", "row").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines"), F.array_sort(F.collect_set(F.when(goes, F.col("line")))).alias("removed"))
 
