@@ -6,7 +6,8 @@ then line number) has a set of Jaccard similarity ``threshold`` or more, be that
 1. Words are counted in ``SLOTS`` hash slots over all texts; tokens are ordered by that rarity, then
    by hash. Any such order is exact for prefix filtering, so collisions cost speed only.
 2. Lines with equal sets form a class that stands at its first place; its prefix is the
-   ``n - ceil(0.8 n) + 1`` rarest tokens, and it carries a parity bitmap of its tokens.
+   ``n - ceil(0.8 n) + 1`` rarest tokens, less those that no other line can have, and it carries a
+   parity bitmap of its tokens.
 3. Classes are sorted by prefix token and place. Within a token, each is compared with the earlier
    ones by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
    sets have unlike tokens). Those that pass are taken if they are few, else only the earliest.
@@ -32,12 +33,14 @@ from pyspark.sql import functions as F
 from gridloom.llm import common
 from gridloom.llm.shingles import MIX, column_bytes, hashed_words, mixed, row_words
 
-SLOTS, CHUNK = 1 << 20, 1 << 16
+SLOTS, CHUNK, SHIFT = 1 << 22, 1 << 16, np.uint64(64 - 22)
 #: 64-bit words of a parity bitmap.
 WORDS = 2
 BITS = [f"b{w}" for w in range(WORDS)]
 #: More lines than a text can have.
 LINES = 10_000_000_000
+#: Postings that a worker compares at a time, about.
+AT_ONCE = 150_000
 #: Candidates of a line within a token that are all taken at once.
 FEW = 3
 
@@ -48,8 +51,8 @@ def word_rarity(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(SLOTS, np.uint32)
         for part in common.slices(batches):
-            slots = (row_words(part.column(1))[0] >> np.uint64(44)).astype(np.int64)
-            table += np.bincount(slots, minlength=SLOTS).astype(np.uint32)
+            slots = (row_words(part.column(1))[0] >> SHIFT).astype(np.int64)
+            np.add.at(table, slots, np.uint32(1))
         for chunk in range(SLOTS // CHUNK):
             counts = table[chunk * CHUNK : (chunk + 1) * CHUNK]
             if counts.any():
@@ -87,6 +90,7 @@ class Lines:
     first: np.ndarray  # its tokens' place in ``tokens``
     size: np.ndarray
     tokens: np.ndarray
+    rarity: np.ndarray  # of each token; 0 where unknown
 
     def keys(self) -> np.ndarray:
         """64-bit key of each token set."""
@@ -100,13 +104,19 @@ class Lines:
         none = np.zeros(0, np.uint64)
         return [(np.bitwise_xor.reduceat(np.where((place >> np.uint64(6)) == w, bit, np.uint64(0)), self.first) if len(self.first) else none).view(np.int64) for w in range(WORDS)]
 
-    def prefixes(self, threshold: int) -> pa.Array:
-        """The rarest tokens of each set, as 32-bit keys, in the global order."""
+    def prefixes(self, threshold: int) -> tuple[pa.Array, np.ndarray]:
+        """The rarest tokens of each set, as 32-bit keys, in the global order; and how many are left out in front.
+
+        Left out are tokens that occur once in all texts: no other line has them.
+        """
         length = self.size - -(-threshold * self.size // 100) + 1
         rank = np.arange(len(self.tokens)) - np.repeat(self.first, self.size)
-        kept = self.tokens[rank < np.repeat(length, self.size)]
-        offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array((kept & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
+        inside = rank < np.repeat(length, self.size)
+        once = inside & (self.rarity == 1)
+        skipped = np.add.reduceat(once.astype(np.int64), self.first) if len(self.first) else np.zeros(0, np.int64)
+        kept = self.tokens[inside & ~once]
+        offsets = np.concatenate([[0], np.cumsum(length - skipped)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array((kept & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))), skipped
 
 
 def column_lines(column: pa.Array, rarity: np.ndarray | None = None) -> Lines:
@@ -116,16 +126,16 @@ def column_lines(column: pa.Array, rarity: np.ndarray | None = None) -> Lines:
     line = np.searchsorted(np.sort(np.concatenate([bounds[:-1], newlines + 1])), starts, side="right") - 1
     row = np.searchsorted(bounds, starts, side="right") - 1
     number = line - (np.arange(len(column)) + np.searchsorted(newlines, bounds[:-1]))[row]
-    rank = rarity[(hashes >> np.uint64(44)).astype(np.int64)].astype(np.int64) if rarity is not None else 0
+    rank = rarity[(hashes >> SHIFT).astype(np.int64)].astype(np.int64) if rarity is not None else np.zeros(len(hashes), np.int64)
     order = np.lexsort((hashes, (line << 32) + rank))
-    hashes, line, row, number = hashes[order], line[order], row[order], number[order]
+    hashes, line, row, number, rank = hashes[order], line[order], row[order], number[order], rank[order]
     opens = np.ones(len(line), bool)
     opens[1:] = line[1:] != line[:-1]
     fresh = opens.copy()
     fresh[1:] |= hashes[1:] != hashes[:-1]
     first = np.flatnonzero(opens[fresh])
     size = np.diff(np.append(first, int(fresh.sum())))
-    return Lines(row[opens], number[opens], first, size, hashes[fresh])
+    return Lines(row[opens], number[opens], first, size, hashes[fresh], rank[fresh])
 
 
 def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int) -> DataFrame:
@@ -137,9 +147,10 @@ def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int) -> DataFrame:
         keys = np.array([common.bytes_key(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.int64)
         found = column_lines(part.column(1), shared.value)
         bits = {f"b{w}": b for w, b in enumerate(found.parity())}
-        return {"doc_id": part.column(0).take(pa.array(found.row)), "row": keys[found.row], "line": found.number, "cls": found.keys(), "n": found.size, **bits, "prefix": found.prefixes(threshold)}
+        prefix, skipped = found.prefixes(threshold)
+        return {"doc_id": part.column(0).take(pa.array(found.row)), "row": keys[found.row], "line": found.number, "cls": found.keys(), "n": found.size, **bits, "skipped": skipped, "prefix": prefix}
 
-    return common.map_slices(texts, work, f"doc_id long, row long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, prefix array<int>")
+    return common.map_slices(texts, work, f"doc_id long, row long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, skipped int, prefix array<int>")
 
 
 def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
@@ -153,16 +164,18 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
 
     def search(held: list[np.ndarray]) -> pa.RecordBatch | None:
         token, cls, n, pos, wanted, *bits = held
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
         nearest, passes, found = np.full((FEW, len(token)), -1, np.int64), np.zeros(len(token), np.int64), []
         rows, lag = np.flatnonzero(token[1:] == token[:-1]) + 1, 1
         while len(rows):
             before = rows - lag
             need = overlap_needed(n[rows], n[before], threshold)
-            good = (100 * np.minimum(n[rows], n[before]) >= threshold * np.maximum(n[rows], n[before])) & wanted[rows] & (cls[rows] != cls[before])
-            good &= np.minimum(n[rows] - pos[rows], n[before] - pos[before]) >= need
-            unlike = sum(np.bitwise_count((b[rows] ^ b[before]).view(np.uint64)).astype(np.int64) for b in bits)
-            good &= unlike <= n[rows] + n[before] - 2 * need
-            hit = rows[good]
+            good = np.minimum(n[rows] - pos[rows], n[before] - pos[before]) >= need
+            good &= wanted[rows] & (cls[rows] != cls[before])
+            hit, least = rows[good], need[good]
+            good = 100 * np.minimum(n[hit], n[hit - lag]) >= threshold * np.maximum(n[hit], n[hit - lag])
+            unlike = sum(np.bitwise_count((b[hit] ^ b[hit - lag]).view(np.uint64)).astype(np.int64) for b in bits)
+            hit = hit[good & (unlike <= n[hit] + n[hit - lag] - 2 * least)]
             if every:
                 found.append((cls[hit], cls[hit - lag]))
             else:
@@ -183,20 +196,20 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(more)], schema=schema) if len(x) else None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        waiting: list[list[np.ndarray]] = []
+        rows = 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
-            held = new if held is None else [np.concatenate(pair) for pair in zip(held, new, strict=True)]
-            if held[0][0] == held[0][-1]:
+            if batch.num_rows:
+                waiting.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
+                rows += batch.num_rows
+            if rows < AT_ONCE:
                 continue
+            held = [np.concatenate(column) for column in zip(*waiting, strict=True)]
             stop = int(np.searchsorted(held[0], held[0][-1]))  # the last token may go on in the next batch
-            out = search([c[:stop] for c in held])
-            if out is not None:
+            waiting, rows = [[c[stop:] for c in held]], len(held[0]) - stop
+            if stop and (out := search([c[:stop] for c in held])) is not None:
                 yield out
-            held = [c[stop:] for c in held]
-        if held is not None and (out := search(held)) is not None:
+        if waiting and (out := search([np.concatenate(column) for column in zip(*waiting, strict=True)])) is not None:
             yield out
 
     common.ship(postings.sparkSession)
@@ -208,7 +221,7 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
 def postings_with(classes: DataFrame, tokens: np.ndarray) -> DataFrame:
     """Postings of the prefix tokens that a bitmap holds."""
     shared = classes.sparkSession.sparkContext.broadcast(tokens)
-    names = ("place", "line", "cls", "n", *BITS, "wanted")
+    names = ("place", "line", "cls", "n", *BITS, "wanted", "skipped")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,13 +230,13 @@ def postings_with(classes: DataFrame, tokens: np.ndarray) -> DataFrame:
             token = lists.values.to_numpy()[ends[0] : ends[-1]]
             size = np.diff(ends)
             owner = np.repeat(np.arange(batch.num_rows), size)
-            pos = np.arange(len(token)) - np.repeat(ends[:-1] - ends[0], size)
+            pos = np.arange(len(token)) - np.repeat(ends[:-1] - ends[0], size) + batch.column(len(names) - 1).to_numpy()[owner]
             kept = np.flatnonzero(common.in_bitmap(shared.value, token.astype(np.int64) & (common.FILTER_BITS - 1)))
             if len(kept):
                 at = pa.array(owner[kept])
                 yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(len(names))], pa.array(pos[kept], pa.int32()), pa.array(token[kept], pa.int32())], names=[*names, "pos", "token"])
 
-    schema = f"place long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, wanted boolean, pos int, token int"
+    schema = f"place long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, wanted boolean, skipped int, pos int, token int"
     return classes.select(*names, "prefix").mapInArrow(run, schema)
 
 
@@ -266,11 +279,11 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     # The least place of a class as one number: aggregates of numbers need no sort.
     at = (F.col("place").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
     firsts = common.durable(whole.groupBy("cls").agg(F.min(at).alias("first")), "line-classes")
-    classes = common.durable(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    classes = common.durable(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "skipped", "prefix"), "classes")
     lines = common.durable(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "line-places")
     common.forget(whole)
     places = classes.select("cls", "place", "line")
-    posted = lambda of: of.select("place", "line", "cls", "n", *BITS, "wanted", F.posexplode("prefix").alias("pos", "token"))
+    posted = lambda of: of.select("place", "line", "cls", "n", *BITS, "wanted", "skipped", F.posexplode("prefix").alias("pos", "token")).withColumn("pos", F.col("pos") + F.col("skipped"))
     wanted_of = lambda pairs: common.durable(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
 
     found = common.durable(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False).distinct(), "candidates")
