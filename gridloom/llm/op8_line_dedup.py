@@ -55,23 +55,27 @@ def word_rarity(texts: DataFrame) -> np.ndarray:
             np.add.at(table, slots, np.uint32(1))
         for chunk in range(SLOTS // CHUNK):
             counts = table[chunk * CHUNK : (chunk + 1) * CHUNK]
-            if counts.any():
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([counts.tobytes()])], names=["chunk", "counts"])
+            at = np.flatnonzero(counts)
+            if len(at):  # a chunk of few counts names their places
+                few = len(at) < CHUNK // 2
+                held = [pa.array([chunk], pa.int64()), pa.array([at.astype(np.uint16).tobytes() if few else None], pa.binary()), pa.array([(counts[at] if few else counts).tobytes()])]
+                yield pa.RecordBatch.from_arrays(held, names=["chunk", "places", "counts"])
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for chunk, places, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 held = tables.setdefault(chunk, np.zeros(CHUNK, np.int64))
-                held += np.frombuffer(counts.as_buffer(), np.uint32)
+                held[slice(None) if places is None else np.frombuffer(places, np.uint16)] += np.frombuffer(counts, np.uint32)
         for chunk, held in tables.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([np.minimum(held, 0xFFFFFFFF).astype(np.uint32).tobytes()])], names=["chunk", "counts"])
+            whole = np.minimum(held, 0xFFFFFFFF).astype(np.uint32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([None], pa.binary()), pa.array([whole])], names=["chunk", "places", "counts"])
 
     common.ship(texts.sparkSession)
-    schema = "chunk long, counts binary"
+    schema = "chunk long, places binary, counts binary"
     merged = texts.mapInArrow(count, schema).repartition(SLOTS // CHUNK, "chunk").mapInArrow(merge, schema)
     whole = np.zeros(SLOTS, np.uint32)
-    for chunk, counts in merged.collect():  # SLOTS / CHUNK rows
+    for chunk, _, counts in merged.collect():  # SLOTS / CHUNK rows
         whole[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(counts, np.uint32)
     return whole
 
