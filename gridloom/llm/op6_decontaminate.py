@@ -1,12 +1,12 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by an exact prefix search of contained shingle sets.
 
-Short test items hide in long documents, where the similarity of whole sets says nothing. So items
-are parted by size into powers of two, and for a part of bound B each document is read as windows
-of two neighbouring blocks of B shingles, so that sizes are alike and an item lies whole in some
-window. Each of ``K`` MinHash values of a window that equals an item's names a candidate (bands of
-one row: at containment 0.8 the least window similarity is 0.19, missed with probability 2e-6).
-Block minima are worked out once for the smallest bound and merged for the larger ones. Candidates
-are confirmed by the exact containment of the item's distinct shingles in the whole document.
+Short test items hide in long documents, and the shingles of an item may lie far apart there. An item
+of n distinct shingles is contained where at most ``n - need`` of them are missing (``need`` is the
+threshold's share of n, rounded up), so of any ``n - need + 1`` one at least is in the document. So
+many of each item, those that the fewest items of the block share, are its keys; every shingle of a
+document is looked up among the keys, and an item one of whose keys is met is a candidate. No
+contained item can be missed, however short or scattered it is. Candidates are confirmed by the exact
+containment of the item's distinct shingles in the whole document.
 
 The benchmark is searched in blocks of bounded size (items and characters), each broadcast in turn;
 the documents are only read, never shuffled.
@@ -29,80 +29,45 @@ from pyspark.sql import functions as F
 from gridloom.llm import common
 from gridloom.llm.shingles import row_words, shingle_hashes, shingle_set
 
-K, SMALLEST, TABLE = 64, 8, 1 << 16
 #: Bounds of one benchmark block: what is broadcast at a time.
 BLOCK_ITEMS, BLOCK_CHARS = 4096, 16_000_000
-#: Shingles of a document hashed at a time.
-STEP = 4096
-
-_random = np.random.default_rng(6)
-_MULTIPLY = (_random.integers(0, 1 << 31, K, dtype=np.uint32) << 1) | np.uint32(1)
-_ADD = _random.integers(0, 1 << 32, K, dtype=np.uint32)
-
-
-def block_minima(hashes: np.ndarray, size: int) -> np.ndarray:
-    """(blocks, K) MinHash values of each run of ``size`` shingles."""
-    high = (hashes >> np.uint64(32)).astype(np.uint32)
-    parts, step = [], max(1, STEP // size) * size
-    for at in range(0, len(high), step):
-        part = np.multiply.outer(_MULTIPLY, high[at : at + step]) + _ADD[:, None]
-        blocks = -(-part.shape[1] // size)
-        if part.shape[1] % size:
-            part = np.pad(part, ((0, 0), (0, blocks * size - part.shape[1])), constant_values=0xFFFFFFFF)
-        parts.append(part.reshape(K, blocks, size).min(axis=2).T)
-    return np.concatenate(parts) if parts else np.zeros((0, K), np.uint32)
-
-
-def merged(minima: np.ndarray) -> np.ndarray:
-    """Minima of blocks twice as long."""
-    if len(minima) % 2:
-        minima = np.concatenate([minima, np.full((1, K), 0xFFFFFFFF, np.uint32)])
-    return np.minimum(minima[::2], minima[1::2])
+#: The least slots of the table that spares most lookups, and its slots for a key.
+TABLE, SLOTS = 1 << 16, 8
 
 
 class ContainmentIndex:
-    """The items of one block, by size part: MinHash keys, and sets for the exact check."""
+    """The items of one block: their keys, and sets for the exact check."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], width: int, threshold: int):
         self.width, self.threshold = width, threshold
-        self.ids, self.sets, parts = [], [], {}
+        self.ids, self.sets = [], []
         for item_id, text in items:
             found = shingle_set(text, width)
             if len(found):
-                bound = max(SMALLEST, 1 << (len(found) - 1).bit_length())
-                parts.setdefault(bound, []).append(len(self.ids))
                 self.ids.append(item_id)
                 self.sets.append(found)
-        self.smallest = min(parts, default=SMALLEST)
-        self.parts = []
-        for bound, rows in sorted(parts.items()):
-            keys = np.concatenate([self._keys(block_minima(self.sets[r], len(self.sets[r]))) for r in rows])
-            owners = np.repeat(rows, K)
-            order = np.argsort(keys, kind="stable")
-            table = np.zeros((K, TABLE), bool)
-            table[np.tile(np.arange(K), len(rows)), (keys & np.uint64(TABLE - 1)).astype(np.int64)] = True
-            self.parts.append((bound, keys[order], owners[order], table))
-
-    @staticmethod
-    def _keys(minima: np.ndarray) -> np.ndarray:
-        return (minima.astype(np.uint64) | (np.arange(K, dtype=np.uint64) << np.uint64(32))).reshape(-1)
+        distinct, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.sets]), return_counts=True)
+        chosen = [found[np.argsort(counts[np.searchsorted(distinct, found)], kind="stable")[: self._keys(len(found))]] for found in self.sets]
+        keys, owners = np.concatenate([np.zeros(0, np.uint64), *chosen]), np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], owners[order]
+        self.table = np.zeros(max(TABLE, 1 << (SLOTS * len(keys)).bit_length()), bool)
+        self.table[self._slots(keys)] = True
+
+    def _keys(self, n: int) -> int:
+        """How many of n distinct shingles cannot all be missing where enough of them are shared."""
+        return max(0, n - max(1, -(-self.threshold * n // 100)) + 1)
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
 
     def candidates(self, hashes: np.ndarray) -> set[int]:
-        """Items that share a MinHash value with a window of the document's shingles (in text order)."""
+        """Items of which a key is among the document's shingles."""
         found: set[int] = set()
-        minima, size = block_minima(hashes, self.smallest), self.smallest
-        for bound, keys, owners, table in self.parts:
-            while size < bound:
-                minima, size = merged(minima), size * 2
-            windows = np.minimum(minima[:-1], minima[1:]) if len(minima) > 1 else minima
-            likely = table[np.arange(K), (windows & np.uint32(TABLE - 1)).astype(np.int64)]
-            row, k = np.nonzero(likely)
-            if not len(row):
-                continue
-            wanted = np.unique(windows[row, k].astype(np.uint64) | (k.astype(np.uint64) << np.uint64(32)))
-            starts, stops = np.searchsorted(keys, wanted), np.searchsorted(keys, wanted, side="right")
-            for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
-                found.update(owners[start:stop].tolist())
+        wanted = np.unique(hashes[self.table[self._slots(hashes)]])
+        starts, stops = np.searchsorted(self.keys, wanted), np.searchsorted(self.keys, wanted, side="right")
+        for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+            found.update(self.owners[start:stop].tolist())
         return found
 
     def find_all(self, texts: pa.Array) -> list[list[tuple[int, int]]]:
@@ -112,7 +77,7 @@ class ContainmentIndex:
 
     def find(self, words: np.ndarray) -> list[tuple[int, int]]:
         hashes = shingle_hashes(words, self.width)
-        if not len(hashes) or not self.parts:
+        if not len(hashes) or not self.sets:
             return []
         rows = self.candidates(hashes)
         if not rows:

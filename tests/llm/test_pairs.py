@@ -131,3 +131,22 @@ def test_blocks_cover_the_benchmark(spark, docs, rows, monkeypatch):
     whole = normal(leaks.contained(docs, benchmark).toPandas())
     monkeypatch.setattr(leaks, "BLOCK_ITEMS", 6)
     assert normal(leaks.contained(docs, benchmark).toPandas()) == whole
+
+
+def test_short_and_scattered_items_are_all_found(spark):
+    fresh = lambda name, n: [f"{name}x{k}" for k in range(n)]
+    items, texts = [], []
+    for i in range(600):  # one shingle, in the first block, the last or between
+        item, filler = fresh(f"a{i}", 5), fresh(f"b{i}", 120)
+        at = (0, len(filler), 50)[i % 3]
+        items.append((i, " ".join(item)))
+        texts.append((i, " ".join(filler[:at] + item + filler[at:])))
+    for i in range(600, 1000):  # 257 shingles, 237 of them in six pieces far apart
+        item, filler = fresh(f"a{i}", 261), fresh(f"b{i}", 6000)
+        items.append((i, " ".join(item)))
+        texts.append((i, " ".join(w for k in range(6) for w in item[k * 44 : k * 44 + 44] + filler[k * 1000 : k * 1000 + 1000])))
+    docs, benchmark = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expected = [(i, i, len(w), len(w & shingle_set(text, 5))) for (i, item), (_, text) in zip(items, texts, strict=True) for w in [shingle_set(item, 5)]]
+    assert all(100 * shared >= 80 * n for _, _, n, shared in expected)
+    assert sorted(map(tuple, leaks.contained(docs, benchmark).collect())) == expected
+    assert docs.where(leaks.clean(docs, benchmark)).count() == 0
