@@ -5,8 +5,10 @@ the window, a softmax over the learned languages. A text is cut into windows (th
 zero bytes); its probabilities are the mean over its windows, weighted by their bytes.
 
 Training takes a bounded, stratified sample of labelled rows: about ``rows_per_lang`` rows of each
-language, chosen by a hash of the id, two excerpts of ``excerpt`` characters from each. Everything
-else covers whole texts. Ids, sources and labels are never inputs of a prediction.
+language, chosen by a hash of the id, two excerpts of ``excerpt`` characters from each. Every label
+is learned: only rows are bounded, so the sample grows with the languages, and labels beyond
+``max_langs`` are an error, never left out. Everything else covers whole texts. Ids, sources and
+labels are never inputs of a prediction.
 
 Defined cases: null text or a text without a letter: ``und`` with score 0; no labelled row at all:
 ``und`` for every row; an empty table gives no rows; repeated ids and null ids: a row for each row.
@@ -30,6 +32,8 @@ LETTER = re.compile(r"[^\W\d_]")
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Windows in one block of the forward pass.
 BLOCK = 256
+#: The most languages of a model: the driver holds the excerpts of all (about 0.8 MB of text a language).
+MAX_LANGS = 512
 
 
 @dataclass
@@ -177,10 +181,12 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, rows_per_lang: int = 1500, excerpt: int = 256, **options) -> ByteConvNet:
-    """Train on rows that are not held out. Bound: about ``rows_per_lang`` rows a language, at most 64 languages."""
+def fit(docs: DataFrame, rows_per_lang: int = 1500, excerpt: int = 256, max_langs: int = MAX_LANGS, **options) -> ByteConvNet:
+    """Train on rows that are not held out, of every language. Bound: about ``rows_per_lang`` rows a language; more than ``max_langs`` languages raise ValueError."""
     labelled = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(64).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
+    if len(counts) > max_langs:
+        raise ValueError(f"more than max_langs = {max_langs} languages to learn")
     if not counts:
         return train([], [], **options)
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows_per_lang / n))]), F.col("lang"))

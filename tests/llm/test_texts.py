@@ -84,6 +84,17 @@ def test_language_model_learns_and_rejects(spark, empty, clashing):
     assert len(odd) == clashing.count() and odd.lang_pred.isin(["en", "und"]).all()
 
 
+def test_every_language_is_learned_or_refused(spark):
+    labels = [f"l{i:03}" for i in range(70)]
+    text = lambda l: f"{l} {l}x {l}y " * 20
+    docs = spark.createDataFrame([(i, text(l), l, "s", 0) for i, l in enumerate(labels * 6)], "doc_id long, text string, lang string, source string, n_chars long")
+    learned = sorted({r["lang"] for r in docs.where(~lang.held_out()).select("lang").collect()})
+    assert len(learned) > 64 and lang.fit(docs, epochs=1).langs == learned
+    with pytest.raises(ValueError, match="max_langs = 64"):
+        lang.fit(docs, max_langs=64, epochs=1)
+    assert lang.fit(docs.where("lang < 'l064'"), max_langs=64, epochs=1).langs == [l for l in learned if l < "l064"]
+
+
 def test_gradients_match_differences():
     net = lang.train(["abcd" * 9, "wxyz" * 9] * 4, ["a", "b"] * 4, window=16, epochs=1)
     rng = np.random.default_rng(0)
