@@ -12,8 +12,9 @@ The benchmark is searched in blocks of bounded size (items and characters), each
 the documents are only read, never shuffled.
 
 Defined cases: null, empty or blank texts hold nothing and are found nowhere; with fewer words than
-the shingle the whole sequence is one shingle; repeated documents and items each give their own
-rows; null ids are kept; empty tables give no rows.
+the shingle the whole sequence is one shingle, so an item of under ``width`` words is found only in a
+document of exactly the same words, never inside a longer one (as in the SQL below); repeated
+documents and items each give their own rows; null ids are kept; empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -150,3 +150,9 @@ def test_short_and_scattered_items_are_all_found(spark):
     assert all(100 * shared >= 80 * n for _, _, n, shared in expected)
     assert sorted(map(tuple, leaks.contained(docs, benchmark).collect())) == expected
     assert docs.where(leaks.clean(docs, benchmark)).count() == 0
+
+
+def test_items_shorter_than_a_shingle_match_whole_documents_only():
+    index = leaks.ContainmentIndex([(1, "one two"), (2, "one two three four five")], 5, 80)
+    found = lambda text: [index.ids[i] for i, _ in index.find(leaks.row_words(leaks.pa.array([text]))[0])]
+    assert found("One  TWO") == [1] and found("one two three") == [] and found("zero one two three four five six") == [2]
