@@ -4,9 +4,10 @@ Four rates of a text (symbols, repeated lines and repeated words per thousand, w
 hundredths) are summarised for each language and source by a sketch: counts of values rounded down
 to their six leading binary digits (relative error below 1/32). Sketches merge by adding counts, so
 they are partial aggregates in every task. A rate fails beyond ``q75 + spread * (q75 - q25) +
-margin`` of its group (word length also below the like bound). Groups of under ``min_rows`` take
-the sketch of their language, and languages of under ``min_rows`` that of all rows. The thresholds
-are joined back to the rows.
+margin`` of its group (word length also below the like bound). Only rows that pass the base rule
+count in the sketches. Groups of under ``min_rows`` such rows take the sketch of their language, and
+languages of under ``min_rows`` that of all rows, so the verdict of a document can change when its
+source grows past ``min_rows``. The thresholds are joined back to the rows.
 
 Defined cases: null text has no words and fails the base rule; null language and source count as
 empty strings; an empty table gives no rows; repeated rows each give a row.

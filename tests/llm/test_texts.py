@@ -84,6 +84,17 @@ def test_language_model_learns_and_rejects(spark, empty, clashing):
     assert len(odd) == clashing.count() and odd.lang_pred.isin(["en", "und"]).all()
 
 
+def test_thresholds_count_rows_that_pass_the_base_rule(spark):
+    plain, marked = [" ".join(f"{m}w{i}x{k}" for k in range(60)) for m in ("", "#") for i in (1,)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def kept(n_marked, n_failing):
+        rows = [(i, plain, "en", "a", 0) for i in range(120)] + [(200 + i, marked, "en", "b", 0) for i in range(n_marked)] + [(300 + i, "# " * 20, "en", "b", 0) for i in range(n_failing)]
+        return {r["doc_id"]: r["kept"] for r in rules.judge(spark.createDataFrame(rows, schema)).collect()}[200]
+
+    assert kept(30, 0) and not kept(29, 0) and not kept(29, 40)
+
+
 def test_every_language_is_learned_or_refused(spark):
     labels = [f"l{i:03}" for i in range(70)]
     text = lambda l: f"{l} {l}x {l}y " * 20
