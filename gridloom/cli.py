@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(json.dumps(_examined(spark, options), indent=2 if options.pretty else None, ensure_ascii=False))
             return 0
         sink = None if options.dry_run else SnapshotTable(spark, options.store, options.table_name)
-        extra = {"limit": options.limit, "recursive": not options.no_recursive} if options.command == "batch" else {}
+        extra = {"limit": options.limit, "recursive": not options.no_recursive, "continue_on_error": options.continue_on_error} if options.command == "batch" else {}
         comments = {e.target or e.source: e.comment for e in mapping.load(options.column_mapping).entries} if options.column_mapping else None
         done = batch(spark, options.source, sink, on_duplicate=options.on_duplicate, required=header_list(options.required_headers), comments=comments, **extra)
         summary = done.summary()

@@ -57,8 +57,12 @@ def typed_value(text: SparkColumn, kind: str) -> SparkColumn:
     return types.time_text(text) if kind == "TIME" else types.READERS[kind](text)
 
 
-def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicate: str = "skip", required: list[str] | None = None, comments: dict[str, str] | None = None) -> LoadResult:
-    """Load ``found`` (path, content) as one job. Failing artifacts are outcomes, not job failures."""
+def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicate: str = "skip", required: list[str] | None = None, comments: dict[str, str] | None = None, continue_on_error: bool = True) -> LoadResult:
+    """Load ``found`` (path, content) as one job. Failing artifacts are outcomes, not job failures.
+
+    Without ``continue_on_error`` the first failure in path order ends the load: what comes before it
+    is loaded, nothing from it on, and LoadFailed is raised.
+    """
     if on_duplicate not in MODES:
         raise LoadFailed("invalid_on_duplicate")
     base, state = sink.version(), sink.state()
@@ -71,6 +75,11 @@ def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicat
     checks = verdicts(chosen.select("artifact_sha256", "row_index", texts(F.col("cells")).alias("cells")), required)
     good = chosen.join(checks.where("failure is null").select("artifact_sha256"), "artifact_sha256", "left_semi")
     rows = data_rows(good)
+    if not continue_on_error:
+        stop = fresh.join(rows.select("artifact_sha256"), "artifact_sha256", "left_anti").agg(F.min("path")).first()[0]
+        if stop is not None:
+            load(spark, sink, found.where(F.col("path") < stop), on_duplicate, required, comments)
+            raise LoadFailed("batch_failed")
     profile = column_types(long_cells(rows))
     arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in merged_types(profile).collect()}  # headers are at most a few thousand
 

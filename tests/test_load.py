@@ -68,3 +68,21 @@ def test_command_line(spark, tmp_path, capsys):
         cli.main(["load"], spark)
     assert exit_.value.code == 2
     assert cli.header_list(None) is None and cli.header_list("none") == [] and cli.header_list("a, b") == ["a", "b"]
+
+
+def test_a_batch_stops_at_its_first_failure(spark, tmp_path, capsys):
+    one, two, bad = page([["A", "B"], ["1", "2"]]), page([["A", "B"], ["3", "4"], ["5", "6"]]), b"nothing here"
+    sink = load.SnapshotTable(spark, f"file://{tmp_path}/store", load.DEFAULT_TABLE)
+
+    def run(folder, **files):
+        (tmp_path / folder).mkdir()
+        for name, content in files.items():
+            (tmp_path / folder / f"{name}.mhtml").write_bytes(content)
+        return cli.main(["batch", str(tmp_path / folder), "--store", f"file://{tmp_path}/store", "--json", "--no-continue-on-error"], spark)
+
+    assert run("first", a=one, b=one, c=bad, d=two) == 1
+    out = capsys.readouterr()
+    assert json.loads(out.err)["error_code"] == "batch_failed" and not out.out
+    assert sink.count() == 1 and sink.catalog().count() == 1
+    assert run("second", a=one, d=two) == 0
+    assert json.loads(capsys.readouterr().out)["inserted_rows"] == 2 and sink.count() == 3
