@@ -4,6 +4,9 @@ Each stage works on what its predecessor kept; each result is written as Parquet
 folder and read again, so a lost executor costs one stage at most. The first four return the
 columns of ``documents``, the last the pieces of packed sequences. Null and empty texts are rejected
 by the first stage as undetermined; line dedup may leave a text empty, which then stays as it is.
+Repeated rows go through the stages like others until near dedup keeps one; of documents that tie for a
+group's least id the least text key stays; very long texts are taken whole; an empty table gives no
+pieces; further columns, whatever their names, go along to the fourth stage unchanged.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common, op1_language_id, op3_packing, op4_near_dedup, op6_decontaminate, op8_line_dedup
+from gridloom.session import Run
 
 #: A document is rejected as of no known language below this mean probability.
 MIN_LANGUAGE_SCORE = 0.4
@@ -36,7 +40,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    return docs.where(op6_decontaminate.clean(docs, common.documents(spark, sf_dir, "benchmark")))
+    return op6_decontaminate.decontaminated(docs, common.documents(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.documents(spark, sf_dir)
-    for name, stage in STAGES:
-        docs = common.durable(stage(spark, docs, sf_dir), name)
+    docs, tables = common.documents(spark, sf_dir), Run(spark, "pipeline")
+    for i, (name, stage) in enumerate(STAGES):
+        last, docs = docs, tables.table(stage(spark, docs, sf_dir), name)
+        if i:
+            tables.drop(last)
     return docs
