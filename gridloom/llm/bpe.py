@@ -20,8 +20,10 @@ import numpy as np
 CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than space and newline; without it, and without the pairs below, split(" ") cuts the same.
 RARE_SPACE = re.compile(r"[\t\x0b-\x0d\x1c-\x1f\x85\xa0  -     　]")
-#: Chunks kept in a worker; beyond that, and above this length, a chunk is encoded once a slice.
-CACHE_ENTRIES, CACHE_CHARS = 600_000, 64
+#: Memory of the chunks kept in a worker, about; beyond that, and above this length, a chunk is encoded once a slice.
+CACHE_BYTES, CACHE_CHARS = 40_000_000, 64
+#: What an entry takes besides its characters and ids.
+ENTRY_BYTES = 200
 
 
 def chunks(text: str) -> list[str]:
@@ -55,6 +57,7 @@ class ChunkedBpe:
         self._full = Tokenizer.from_file(tokenizer_path)
         self._added = [t.content for t in self._full.get_added_tokens_decoder().values()]
         self._cache: dict[str, bytes] = {}
+        self._held = 0
 
     def _slow(self, text: str) -> bytes:
         return array("I", self._full.encode(text, add_special_tokens=False).ids).tobytes()
@@ -96,10 +99,11 @@ class ChunkedBpe:
                 ids[i] = local[parts[i + 1]]
             out.append(self._slow(parts[0]) + b"".join(ids))
         for chunk, ids in local.items():
-            if len(self._cache) >= CACHE_ENTRIES:
+            if self._held >= CACHE_BYTES:
                 break
             if len(chunk) <= CACHE_CHARS:
                 self._cache[chunk] = ids
+                self._held += ENTRY_BYTES + len(chunk) + len(ids)
         return out
 
 

@@ -1,79 +1,57 @@
-"""What the operators share: shipping code to workers, slicing Arrow batches, durable tables."""
+"""What the operators share: Arrow batches in slices, bounded worker memory, bitmaps, keys of texts."""
 
 from __future__ import annotations
 
-import os
+import ctypes
 import re
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = Path(__file__).resolve().parents[2]
+from gridloom.session import Run, shipped
+
 #: Word separators of the corpus contracts: space and the ASCII controls TAB to CR.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: White space to ``str.split()`` that the contracts count as part of a word.
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: Characters of text that a worker holds in derived form at a time (one text at least).
+#: Bytes of text that a worker holds in derived form at a time (one text at least).
 SLICE_CHARS = 1_000_000
+#: Bytes of one Arrow batch on its way to a worker; held in the JVM and in the worker at once.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4096"}
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Ship the package, and keep Arrow batches small."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
+    return shipped(spark)
+
+
+def release() -> None:
+    """Give a worker's freed memory back to the system: workers live on after their task."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc := ctypes.CDLL(None), "malloc_trim"):
+        _libc.malloc_trim(0)
+
 
+class Shared:
+    """Values broadcast for one step, removed from the executors when it is over."""
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that do not see the driver's ``sys.path``."""
-    if str(ROOT) in os.environ.get("PYTHONPATH", "").split(":"):
-        return
-    context = spark.sparkContext
-    if getattr(context, "_gridloom_shipped", False):
-        return
-    archive = Path(tempfile.mkdtemp(prefix="gridloom-")) / "gridloom_code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted((ROOT / "gridloom").rglob("*.py")):
-            out.write(source, source.relative_to(ROOT))
-    context.addPyFile(str(archive))
-    context._gridloom_shipped = True
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one of our own only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = getattr(spark.sparkContext, "_gridloom_shared", None)
-        if folder is None:
-            folder = "file://" + tempfile.mkdtemp(prefix="gridloom-shared-")
-            spark.sparkContext._gridloom_shared = folder
-    return folder
-
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def durable(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends at files that outlive executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")  # the shuffle files behind the table go as soon as it is written
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before or "false")
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(df: DataFrame) -> None:
-    """Remove the files of a :func:`durable` table that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    for file in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    def __init__(self, spark: SparkSession):
+        self._context, self._held = spark.sparkContext, []
+
+    def __call__(self, value) -> Broadcast:
+        self._held.append(self._context.broadcast(value))
+        return self._held[-1]
+
+    def release(self) -> None:
+        while self._held:
+            self._held.pop().unpersist()
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -104,15 +82,20 @@ def slot(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
 
-def bitmap(keys: DataFrame, key: str, hashed: bool = False) -> np.ndarray:
-    """A bitmap of fixed size that holds the slot of every value of a column; the driver gets its words.
+def bitmap_words(keys: DataFrame, key: str, hashed: bool = False) -> DataFrame:
+    """word and bits: a bitmap of the slots of a column's values, ``FILTER_BITS / 64`` rows at most.
 
     Values that are hashes already (``hashed``) are their own slots, modulo the size.
     """
     place = F.pmod(keys[key].cast("long"), F.lit(FILTER_BITS)) if hashed else slot(keys[key])
     grouped = keys.select(place.alias("slot")).groupBy(F.expr("slot div 64").alias("word"))
+    return grouped.agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits"))
+
+
+def bitmap(keys: DataFrame, key: str, hashed: bool = False) -> np.ndarray:
+    """The same bitmap as an array for workers; the driver gets its words."""
     table = np.zeros(FILTER_BITS // 64, np.int64)
-    for batch in grouped.agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow().to_batches():
+    for batch in bitmap_words(keys, key, hashed).toArrow().to_batches():
         table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return table
 
@@ -121,13 +104,14 @@ def in_bitmap(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return ((table[slots >> 6] >> (slots & 63)) & 1).astype(bool)
 
 
-def text_key(text: str) -> int:
-    """64-bit key of a whole text."""
-    return bytes_key(text.encode("utf-8", "surrogatepass"))
-
-
-def bytes_key(raw: bytes | np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+def flagged(df: DataFrame, key: Column, words: DataFrame, flag: str) -> DataFrame:
+    """``df`` with ``flag``: whether the bitmap holds the slot of the key. Only the bitmap is broadcast, whose size is fixed."""
+    word, bits, place = fresh_names(df, "bitmap_word", "bitmap_bits", "bitmap_slot")
+    table = F.broadcast(words.select(F.col("word").alias(word), F.col("bits").alias(bits)))
+    placed = df.withColumn(place, slot(key))
+    joined = placed.join(table, F.expr(f"`{place}` div 64") == table[word], "left")
+    held = F.expr(f"(shiftright(`{bits}`, cast(`{place}` % 64 as int)) & 1L) = 1L")
+    return joined.withColumn(flag, F.coalesce(held, F.lit(False))).drop(word, bits, place)
 
 
 def words(text: str) -> list[str]:
@@ -144,11 +128,43 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], sch
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
-            columns = work(part)
-            if columns is not None:
-                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow], schema=arrow)
+        try:
+            for part in slices(batches, text):
+                columns = work(part)
+                if columns is not None:
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c := columns[f.name], pa.Array) else pa.array(c, f.type) for f in arrow], schema=arrow)
+        finally:
+            release()
 
     return df.mapInArrow(run, schema)
 
 
+def text_function(work: Callable[[pa.Array], pa.Array], kind: str):
+    """A column function of one text column, worked out in slices."""
+
+    @F.arrow_udf(kind)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for column in batches:
+                batch = pa.RecordBatch.from_arrays([column], names=["text"])
+                yield pa.concat_arrays([work(part.column(0)) for part in slices([batch])] or [work(column)])
+        finally:
+            release()
+
+    return of
+
+
+def row_key(text: Column) -> Column:
+    """64-bit key of a whole text; a null text has one too."""
+    return F.xxhash64(text.cast("string"))
+
+
+def texts_of(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id and text of a table, whatever else it holds; ``row`` among ``more`` adds the key of the text."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), *[row_key(docs["text"]).alias(m) for m in more], docs["text"].cast("string").alias("text"))
+
+
+def fresh_names(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that the table does not have."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for n in (w + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for w in wanted]

@@ -5,34 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm import common
+from gridloom.session import Run
 
 
-def _step(edges: DataFrame) -> DataFrame:
+def _step(edges: DataFrame, run: Run) -> DataFrame:
+    """One round. The joins are of written tables, so that a node with very many edges is split when it is joined."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    least = run.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    large = run.table(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+    lower = run.table(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
     ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-    return large.join(least, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u > v").distinct()
+    found = run.table(large.join(lower, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u > v").distinct(), "edges")
+    run.drop(least, large, lower)
+    return found
 
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, run: Run) -> DataFrame:
     """(node, root) for every node that has an edge and is not its component's least node.
 
-    ``edges`` has long columns u and v. Each round ends in a written table; rounds grow with the
+    ``edges`` has long columns u and v. Each round ends in a table of ``run``; rounds grow with the
     logarithm of the longest path.
     """
-    now = common.durable(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    now = run.table(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        following = common.durable(_step(now), "edges")
+        following = _step(now, run)
         new = _mark(following)
-        common.forget(now)
+        run.drop(now)
         now = following
         if new == mark:
             break

@@ -9,7 +9,9 @@ A task packs the documents it reads, so nothing is shuffled and a lost task is s
 Sequence ids are ``partition << 40 | running number``.
 
 Defined cases: a null text counts as empty (the end id alone); an empty table gives no rows;
-repeated rows are packed each by itself; a null doc_id is kept as null; other columns are ignored.
+repeated rows are packed each by itself; a null doc_id is kept as null; pieces of equal length are
+told apart by checksum and place; very long texts are encoded whole, one text at a time; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -85,6 +87,7 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, ca
                     held, waiting = 0, []
         if waiting:
             yield out(pack_group(waiting, capacity, following)[0])
+        common.release()
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, SCHEMA)
 

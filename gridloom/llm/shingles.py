@@ -15,20 +15,27 @@ _random = np.random.default_rng(64)
 _VALUES = _random.integers(0, 1 << 63, 256, dtype=np.uint64)
 _STEP = 0xD6E8FEB86659FD93
 _BACK = pow(_STEP, -1, 1 << 64)
-#: A-Z share the values of a-z.
+#: A-Z share the values of a-z, but where the case counts.
+_CASED = _VALUES.copy()
 _VALUES[65:91] = _VALUES[97:123]
+#: Texts longer than this have power tables of their own, which are not kept.
+KEPT_POWERS = 1 << 21
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < size:
-        for i, base in enumerate((_STEP, _BACK)):
-            table = np.full(size, np.uint64(base), np.uint64)
-            table[0] = 1
-            _powers[i] = np.cumprod(table, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) >= size:
+        return _powers[0], _powers[1]
+    made = []
+    for base in (_STEP, _BACK):
+        table = np.full(size, np.uint64(base), np.uint64)
+        table[0] = 1
+        made.append(np.cumprod(table, dtype=np.uint64))
+    if size <= KEPT_POWERS:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -50,8 +57,17 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def hashed_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word; words never cross ``bounds``."""
+    return word_spans(raw, bounds, _VALUES)[:2]
+
+
+def cased_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash (upper and lower case apart), start and end of every word."""
+    return word_spans(raw, bounds, _CASED)
+
+
+def word_spans(raw: np.ndarray, bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(raw):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     inside = ~_SPACE[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -62,8 +78,8 @@ def hashed_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     up, down = _power_tables(len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_VALUES[raw] * up[: len(raw)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MIX), starts
+    np.cumsum(values[raw] * up[: len(raw)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * MIX), starts, ends
 
 
 def row_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
