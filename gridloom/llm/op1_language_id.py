@@ -4,30 +4,33 @@ The network: byte filters of several widths over a window of fixed length, ReLU,
 the window, a softmax over the learned languages. A text is cut into windows (the last padded with
 zero bytes); its probabilities are the mean over its windows, weighted by their bytes.
 
-Training takes a bounded, stratified sample of labelled rows: about ``rows_per_lang`` rows of each
-language, chosen by a hash of the id, two excerpts of ``excerpt`` characters from each. Every label
-is learned: only rows are bounded, so the sample grows with the languages, and labels beyond
-``max_langs`` are an error, never left out. Everything else covers whole texts. Ids, sources and
-labels are never inputs of a prediction.
-
-Defined cases: null text or a text without a letter: ``und`` with score 0; no labelled row at all:
-``und`` for every row; an empty table gives no rows; repeated ids and null ids: a row for each row.
+Training takes a bounded, stratified sample of labelled rows: at most ``rows_per_lang`` rows of each
+language, those of the least hashes of id and text, two excerpts of ``excerpt`` characters from each.
+Every label is learned: only rows are bounded, so the sample grows with the languages, and labels
+beyond ``max_langs`` are an error, never left out. Everything else covers whole texts. Ids, sources
+and labels are never inputs of a prediction.
+
+Defined cases: null text or a text without a letter (Unicode category L): ``und`` with score 0; no
+labelled row at all: ``und`` for every row; an empty table gives no rows; repeated ids and null ids: a
+row for each row, and repeated rows count once in the sample; very long texts are cut into
+windows whole, one text at a time; ties go to the first language by name; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: ASCII capitals are read as small letters.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Windows in one block of the forward pass.
@@ -76,21 +79,12 @@ class ByteConvNet:
         return (f[k][:, None, :] + f[k + 1][None, :, :]).reshape(65536, -1)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score of each text; the caller bounds how much text is given at a time."""
         langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        at, held = [], 0
-        for i, text in enumerate(texts):
-            if text and self.langs and LETTER.search(text):
-                at.append(i)
-                held += len(text)
-            if at and (held > common.SLICE_CHARS or i == len(texts) - 1):
-                for j, row in zip(at, self._mean([texts[j] for j in at]), strict=True):
-                    best = int(row.argmax())
-                    langs[j], scores[j] = self.langs[best], float(min(1.0, max(0.0, row[best])))
-                at, held = [], 0
-        if at:
-            for j, row in zip(at, self._mean([texts[j] for j in at]), strict=True):
-                best = int(row.argmax())
-                langs[j], scores[j] = self.langs[best], float(min(1.0, max(0.0, row[best])))
+        at = [i for i, text in enumerate(texts) if text and self.langs and LETTER.search(text)]
+        for i, row in zip(at, self._mean([texts[i] for i in at]) if at else [], strict=True):
+            best = int(row.argmax())
+            langs[i], scores[i] = self.langs[best], float(min(1.0, max(0.0, row[best])))
         return langs, scores
 
     def _mean(self, texts: list[str]) -> np.ndarray:
@@ -182,31 +176,37 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame, rows_per_lang: int = 1500, excerpt: int = 256, max_langs: int = MAX_LANGS, **options) -> ByteConvNet:
-    """Train on rows that are not held out, of every language. Bound: about ``rows_per_lang`` rows a language; more than ``max_langs`` languages raise ValueError."""
-    labelled = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
+    """Train on rows that are not held out, of every language.
+
+    Bound: ``rows_per_lang`` rows a language reach the driver, whatever repeats there are; more than
+    ``max_langs`` languages raise ValueError.
+    """
+    columns = [docs[c].cast(t).alias(c) for c, t in (("doc_id", "long"), ("text", "string"), ("lang", "string"))]
+    labelled = docs.select(*columns).where(~held_out() & F.col("lang").isNotNull()).withColumn("draw", F.xxhash64("doc_id", "text"))
+    counts = {r["lang"]: max(1, r["n"]) for r in labelled.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n")).limit(max_langs + 1).collect()}
     if len(counts) > max_langs:
         raise ValueError(f"more than max_langs = {max_langs} languages to learn")
     if not counts:
         return train([], [], **options)
-    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows_per_lang / n))]), F.col("lang"))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
-    starts = [F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(F.length("text") - excerpt + 1, F.lit(1))) + 1 for i in range(2)]
+    # Twice the share that is wanted, by a hash, repeats once, and of these the least hashes: only they meet in one task.
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * rows_per_lang / n))]), F.col("lang"))
+    drawn = labelled.where((F.pmod("draw", F.lit(1 << 30)) / (1 << 30) < share) & F.col("text").rlike(r"\p{L}"))
+    starts = [F.pmod(F.xxhash64("draw", F.lit(i)), F.greatest(F.length("text") - excerpt + 1, F.lit(1))) + 1 for i in range(2)]
     parts = F.array_distinct(F.array(*[F.substring("text", s.cast("int"), F.lit(excerpt)) for s in starts]))
-    sample = labelled.where(F.col("lang").isin(list(counts)) & (F.coalesce(chance, F.lit(0.0)) < share) & F.col("text").rlike(r"\p{L}"))
-    rows = sorted(tuple(r) for r in sample.select(F.coalesce("doc_id", F.lit(0)), "lang", F.explode(parts)).collect())
+    found = drawn.select("lang", "draw", parts.alias("parts")).groupBy("lang", "draw").agg(F.min("parts").alias("parts"))
+    least = found.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("draw", "parts"))), 1, rows_per_lang).alias("rows"))
+    rows = [(r["draw"], lang, part) for lang, taken in least.orderBy("lang").collect() for r in taken for part in r["parts"]]
     return train([r[2] for r in rows], [r[1] for r in rows], **options)
 
 
 def language(net: ByteConvNet, text: Column) -> Column:
     """struct<lang_pred, score> of a text."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = net.predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+    def work(texts: pa.Array) -> pa.Array:
+        langs, scores = net.predict(texts.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
-    return of(text)
+    return common.text_function(work, "lang_pred string, score double")(text)
 
 
 def identify(docs: DataFrame, net: ByteConvNet) -> DataFrame:
