@@ -18,7 +18,9 @@ slack used an odd sketch rules it out with probability below 1e-8; nothing is ca
 Defined cases: no text or no word: empty set, linked with nothing, its own component; fewer words
 than the shingle: the whole sequence is one shingle; repeated rows are in one class; a null doc_id
 is compared like others, its component is the least id of its group (null if there is none) and it
-is kept only where that is null.
+is kept only where that is null; ties in the band buckets go to the least class; very long texts are
+hashed whole, one text at a time; an empty table gives no rows; other columns, whatever their names,
+are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import common
 from gridloom.llm.components import components
-from gridloom.llm.shingles import MIX, column_bytes, mixed, row_sets
+from gridloom.llm.shingles import MIX, mixed, row_sets
+from gridloom.session import Run
 
 K, BANDS, ODD_BITS, ODD_WORDS = 128, 32, 512, 8
 #: How far below the threshold an odd-sketch estimate still counts as a candidate.
@@ -81,14 +83,12 @@ def set_key(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=len(hashes) & 0xFFFFFFFF) - (1 << 63)
 
 
-def signatures(docs: DataFrame, width: int) -> DataFrame:
+def signatures(texts: DataFrame, width: int) -> DataFrame:
     """doc_id, row (key of the text), n_shingles, cls (key of the set), bands and odd; the last three null for an empty set."""
 
     def work(part: pa.RecordBatch) -> dict:
-        raw, bounds = column_bytes(part.column(1))
-        texts = [common.bytes_key(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         sizes, keys, rows, at = [], [], [], []
-        for i, found in enumerate(row_sets(part.column(1), width)):
+        for i, found in enumerate(row_sets(part.column(2), width)):
             sizes.append(len(found))
             keys.append(set_key(found) if len(found) else None)
             if len(found):
@@ -99,26 +99,23 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             matrix = np.array(rows)
             for i, b, o in zip(at, band_hashes(matrix), odd_sketches(matrix), strict=True):
                 bands[i], odd[i] = b, o
-        return {"doc_id": part.column(0), "row": texts, "n_shingles": sizes, "cls": keys, "bands": bands, "odd": odd}
+        return {"doc_id": part.column(0), "row": part.column(1), "n_shingles": sizes, "cls": keys, "bands": bands, "odd": odd}
 
-    return common.map_slices(docs, work, "doc_id long, row long, n_shingles long, cls long, bands array<long>, odd array<long>")
+    return common.map_slices(texts, work, "doc_id long, row long, n_shingles long, cls long, bands array<long>, odd array<long>")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def sets_of(texts: DataFrame, wanted: DataFrame, width: int, shared: common.Shared) -> DataFrame:
     """cls and shingles of the rows whose doc_id is in ``wanted``, and of a few more."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(common.bitmap(wanted, "doc_id"))
+    held = shared(common.bitmap(wanted, "doc_id"))
 
     def work(part: pa.RecordBatch) -> dict | None:
-        slots = part.column(0).to_numpy(zero_copy_only=False)
-        chosen = np.flatnonzero(common.in_bitmap(shared.value, slots))
+        chosen = np.flatnonzero(common.in_bitmap(held.value, part.column(0).to_numpy(zero_copy_only=False)))
         if not len(chosen):
             return None
-        sets = row_sets(part.column(1).take(pa.array(chosen)), width)
-        sets = [s for s in sets if len(s)]
+        sets = [s for s in row_sets(part.column(1).take(pa.array(chosen)), width) if len(s)]
         return {"cls": [set_key(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
-    return common.map_slices(docs.select(common.slot(F.col("doc_id")).alias("slot"), "text"), work, "cls long, shingles array<long>")
+    return common.map_slices(texts.select(common.slot(F.col("doc_id")).alias("slot"), "text"), work, "cls long, shingles array<long>")
 
 
 def alike(threshold: int, a: str, b: str) -> Column:
@@ -136,7 +133,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return joined.where(100 * F.col("both") >= threshold * union).select("u", "v").distinct()
 
 
-def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: int, run: Run) -> DataFrame:
     """u, v: links between different roots among the classes that share a leader.
 
     ``groups``: leader, cls, root. Of a leader's classes, each outside the largest root is held
@@ -146,7 +143,8 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
     """
     shares = groups.join(sizes, "cls").groupBy("leader", "root").agg(F.count("*").alias("share"), F.sum("n").alias("held"))
     split = shares.groupBy("leader").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.count("*").alias("roots"), F.ceil(F.sum("held") / CELL).cast("int").alias("blocks")).where("roots > 1")
-    placed = groups.join(split.select("leader", "largest", "blocks"), "leader").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    split = run.table(split.select("leader", "largest", "blocks"), "split")  # written, so that a leader of very many classes is split in the join
+    placed = groups.join(split, "leader").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", (F.col("root") != F.col("largest")).alias("outside"))
 
@@ -176,32 +174,44 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
     return cells.join(sets, "cls").groupBy("leader", "i", "j").applyInArrow(search, "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
-    """doc_id, row (key of its text), n_shingles, component_id and kept of every row; ``threshold`` in hundredths."""
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = common.durable(signatures(texts, width), "signatures")
+def components_of(docs: DataFrame, width: int, threshold: int, run: Run) -> DataFrame:
+    """doc_id, row (key of its text), n_shingles, cls, root (of its component; null for an empty set) and component_id of every row."""
+    texts, shared = common.texts_of(docs, "row"), common.Shared(docs.sparkSession)
+    rows = run.table(signatures(texts, width), "signatures")
     classes = rows.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd"))
-    classes = common.durable(classes, "classes")
+    classes = run.table(classes, "classes")
     postings = classes.select("cls", F.explode("bands").alias("bucket"))
-    shared = postings.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("size")).where("size > 1").select("bucket", "leader")
-    members = common.durable(postings.join(shared, "bucket"), "members")
+    leaders = run.table(postings.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("size")).where("size > 1").select("bucket", "leader"), "leaders")
+    members = run.table(postings.join(leaders, "bucket").select("leader", "cls").distinct(), "members")
+    met = run.table(members.select("cls").distinct(), "met")
     traits = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"{c}_n"), F.col("odd").alias(f"{c}_odd"))
-    sets = common.durable(sets_of(texts, classes.join(members.select("cls").distinct(), "cls", "left_semi").select(F.col("rep").alias("doc_id")), width).join(members.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-
-    led = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v")).distinct()
-    led = led.join(traits("u"), "u").join(traits("v"), "v").where(alike(threshold, "u", "v"))
-    links = common.durable(confirmed(led, sets, threshold), "links")
-    stars = components(links)
+    reps = classes.join(met, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
+    sets = run.table(sets_of(texts, reps, width, shared).join(met, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    shared.release()
+
+    led = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v"))
+    led = run.table(led.join(traits("u"), "u").join(traits("v"), "v").where(alike(threshold, "u", "v")).select("u", "v"), "led")
+    links = run.table(confirmed(led, sets, threshold), "links")
+    stars = components(links, run)
+
+    groups = members.join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    groups = run.table(groups, "groups")
+    more = run.table(links_between(groups, classes.select("cls", "n"), sets, threshold, run), "more-links")
+    run.drop(leaders, members, met, sets, led, links, groups)
+    stars = components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), run)
+
+    ids = run.table(classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "ids")
+    least = run.table(ids.groupBy("root").agg(F.min("rep").alias("component_id")), "least-ids")
+    named = run.table(ids.join(least, "root").select("cls", "root", "component_id"), "named")
+    run.drop(classes, more, ids, least)
+    found = rows.select("doc_id", "row", "n_shingles", "cls").join(named, "cls", "left")
+    return found.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
 
-    groups = common.durable(members.select("leader", "cls").distinct().join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "led")
-    more_links = links_between(groups, classes.select("cls", "n"), sets, threshold)
-    stars = common.durable(components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more_links)), "stars")
 
-    ids = classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    named = ids.join(ids.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("cls", "component_id")
-    found = rows.select("doc_id", "row", "n_shingles", "cls").join(named, "cls", "left")
-    found = found.withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return found.select("doc_id", "row", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row; ``threshold`` in hundredths."""
+    found = components_of(docs, width, threshold, Run(docs.sparkSession, "near-duplicates"))
+    return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
@@ -210,31 +220,25 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
     The row kept has the component's least id (of equal ids, the least key of the text; of equal
     rows, one). Only rows whose id falls into the bitmap of doubtful ids are shuffled.
     """
-    found = common.durable(near_duplicates(docs, width, threshold).where("n_shingles > 0"), "verdicts")
-    counted = found.groupBy("component_id", "doc_id", "row").agg(F.count("*").alias("copies"))
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row")).alias("least")
-    chosen = counted.groupBy("component_id").agg(least).select(F.col("component_id").alias("c_id"), "least")
-    judged = counted.join(chosen, F.col("component_id").eqNullSafe(F.col("c_id")))
-    keep = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("row") == F.col("least.row"))
-    doubtful = judged.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), keep.alias("_keep"), "copies").where("not _keep or copies > 1").drop("copies")
-    doubtful = common.durable(doubtful, "doubtful")
-    shared = docs.sparkSession.sparkContext.broadcast(common.bitmap(doubtful, "_id"))
-
-    @F.pandas_udf("boolean")
-    def maybe(slots: pd.Series) -> pd.Series:
-        return pd.Series(common.in_bitmap(shared.value, slots.to_numpy()))
-
-    @F.pandas_udf("long")
-    def key(texts: pd.Series) -> pd.Series:
-        return pd.Series([common.text_key(t if isinstance(t, str) else "") for t in texts], dtype="int64")
-
-    slot = common.slot(docs["doc_id"].cast("long"))
-    open_ = common.durable(docs.where(maybe(slot)).withColumn("_key", key(docs["text"].cast("string"))), "maybe")
-    judged = open_.join(doubtful, open_["doc_id"].cast("long").eqNullSafe(doubtful["_id"]) & (open_["_key"] == doubtful["_row"]), "left")
-    clear = judged.where("_keep is null").select(*docs.columns)
-    once = judged.where("_keep").dropDuplicates(["_id", "_row"]).select(*docs.columns)
-    return docs.where(~maybe(slot)).unionByName(clear).unionByName(once)
+    run = Run(docs.sparkSession, "one-of-each")
+    found = run.table(components_of(docs, width, threshold, run).where("n_shingles > 0").withColumn("kept", F.expr("doc_id <=> component_id")), "verdicts")
+    texts = found.where("kept").groupBy("root", "row").agg(F.count("*").alias("copies"), F.first("doc_id").alias("doc_id"))
+    texts = run.table(texts, "texts")  # a text or two of each component
+    best = run.table(texts.groupBy("root").agg(F.min("row").alias("best"), F.sum("copies").alias("rows")).where("rows > 1"), "best")
+    several = texts.join(best, "root").select("doc_id", "row", (F.col("row") == F.col("best")).alias("once"))
+    doubtful = run.table(found.where("not kept").select("doc_id", "row", F.lit(False).alias("once")).distinct().unionByName(several), "doubtful")
+    words = run.table(common.bitmap_words(doubtful, "doc_id"), "bitmap")
+    run.drop(found, texts, best)
+
+    maybe, key, id_, row, once = common.fresh_names(docs, "maybe", "text_key", "doubtful_id", "doubtful_row", "once")
+    placed = common.flagged(docs, docs["doc_id"].cast("long"), words, maybe)
+    open_ = placed.where(F.col(maybe)).withColumn(key, common.row_key(F.col("text")))
+    verdicts = doubtful.select(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("once").alias(once))
+    judged = open_.join(verdicts, (F.col(key) == F.col(row)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_)), "left")
+    clear, one = judged.where(F.col(once).isNull()), judged.where(F.col(once)).dropDuplicates([id_, row])
+    columns = [f"`{c}`" for c in docs.columns]
+    return placed.where(~F.col(maybe)).select(columns).unionByName(clear.select(columns)).unionByName(one.select(columns))
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.documents(spark, sf_dir), width=2).drop("row")
+    return near_duplicates(common.documents(spark, sf_dir), width=2)
