@@ -1,141 +1,139 @@
-"""Benchmark decontamination by an exact prefix search of contained shingle sets.
+"""Benchmark decontamination by size-partitioned MinHash containment search.
 
-Short test items hide in long documents, and the shingles of an item may lie far apart there. An item
-of n distinct shingles is contained where at most ``n - need`` of them are missing (``need`` is the
-threshold's share of n, rounded up), so of any ``n - need + 1`` one at least is in the document. So
-many of each item, those that the fewest items of the block share, are its keys; every shingle of a
-document is looked up among the keys, and an item one of whose keys is met is a candidate. No
-contained item can be missed, however short or scattered it is. Candidates are confirmed by the exact
-containment of the item's distinct shingles in the whole document.
+Short test items hide in long documents, and the shingles of an item may lie far apart there.
 
-The benchmark is searched in blocks of bounded size (items and characters), each broadcast in turn;
-the documents are only read, never shuffled.
+1. Items are dealt into parts by their number of distinct shingles (up to 1, 2, 4, 8, ...). All items of
+   a part are sketched alike: an item's MinHash sketch is its shingles of the least permuted hashes, as
+   many as the part needs. Of n shingles at most ``n - need`` may be missing in a document that contains
+   the item (``need``: the threshold's share, rounded up), and of any k of them so at least
+   ``k - (n - need)`` are there. Sketches hold ``WIDER`` times the most that may be missing in the part,
+   and one more: a document is a candidate for an item exactly when it has so many of its sketch.
+   Unlike banded MinHash this misses no contained item, however short or scattered it is.
+2. Every shingle of a document is tested against a bitmap of all sketches (of fixed size), and what
+   passes is joined with the sketches and counted by text and item.
+3. Candidates are confirmed by the exact containment of the item's shingles in the whole text.
+
+The documents are read once for the sketches and once more where they are candidates, whatever the
+size of the benchmark; neither benchmark nor documents pass through the driver or are broadcast.
+Equal texts are searched once.
 
 Defined cases: null, empty or blank texts hold nothing and are found nowhere; with fewer words than
 the shingle the whole sequence is one shingle, so an item of under ``width`` words is found only in a
 document of exactly the same words, never inside a longer one (as in the SQL below); repeated
-documents and items each give their own rows; null ids are kept; empty tables give no rows.
+documents and items each give their own rows; ties in a sketch cannot occur, as shingles are distinct;
+null ids are kept; very long texts are hashed whole, one text at a time; empty tables give no rows;
+other columns, whatever their names, are neither read nor changed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.core.broadcast import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
-from gridloom.llm.shingles import row_words, shingle_hashes, shingle_set
+from gridloom.llm.op4_near_dedup import set_key
+from gridloom.llm.shingles import MIX, mixed, row_sets
+from gridloom.session import Run
+
+#: How many times the most shingles that may be missing a sketch holds.
+WIDER = 2
+
+
+def missing(n: int, threshold: int) -> int:
+    """How many of n distinct shingles a document may lack that still contains the item."""
+    return n - max(1, -(-threshold * n // 100))
 
-#: Bounds of one benchmark block: what is broadcast at a time.
-BLOCK_ITEMS, BLOCK_CHARS = 4096, 16_000_000
-#: The least slots of the table that spares most lookups, and its slots for a key.
-TABLE, SLOTS = 1 << 16, 8
 
+def sketch(found: np.ndarray, threshold: int) -> tuple[np.ndarray, int]:
+    """The MinHash sketch of a shingle set, and how many of it a containing document has at least."""
+    part = 1 << (len(found) - 1).bit_length()
+    size = min(len(found), WIDER * missing(part, threshold) + 1)
+    least = np.argsort(mixed(found ^ MIX), kind="stable")[:size]
+    return found[least], size - missing(len(found), threshold)
 
-class ContainmentIndex:
-    """The items of one block: their keys, and sets for the exact check."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], width: int, threshold: int):
-        self.width, self.threshold = width, threshold
-        self.ids, self.sets = [], []
-        for item_id, text in items:
-            found = shingle_set(text, width)
+def items_of(benchmark: DataFrame, width: int, threshold: int) -> DataFrame:
+    """item_id, cls (key of the set), n, hits (of the sketch, needed), sketch and shingles of every item with a word."""
+
+    def work(part: pa.RecordBatch) -> dict | None:
+        rows = []
+        for item_id, found in zip(part.column(0).to_pylist(), row_sets(part.column(1), width), strict=True):
             if len(found):
-                self.ids.append(item_id)
-                self.sets.append(found)
-        distinct, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.sets]), return_counts=True)
-        chosen = [found[np.argsort(counts[np.searchsorted(distinct, found)], kind="stable")[: self._keys(len(found))]] for found in self.sets]
-        keys, owners = np.concatenate([np.zeros(0, np.uint64), *chosen]), np.repeat(np.arange(len(chosen)), [len(c) for c in chosen])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owners = keys[order], owners[order]
-        self.table = np.zeros(max(TABLE, 1 << (SLOTS * len(keys)).bit_length()), bool)
-        self.table[self._slots(keys)] = True
-
-    def _keys(self, n: int) -> int:
-        """How many of n distinct shingles cannot all be missing where enough of them are shared."""
-        return max(0, n - max(1, -(-self.threshold * n // 100)) + 1)
-
-    def _slots(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
-
-    def candidates(self, hashes: np.ndarray) -> set[int]:
-        """Items of which a key is among the document's shingles."""
-        found: set[int] = set()
-        wanted = np.unique(hashes[self.table[self._slots(hashes)]])
-        starts, stops = np.searchsorted(self.keys, wanted), np.searchsorted(self.keys, wanted, side="right")
-        for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
-            found.update(self.owners[start:stop].tolist())
-        return found
-
-    def find_all(self, texts: pa.Array) -> list[list[tuple[int, int]]]:
-        """(item, shared shingles) of the items contained in each text of a column."""
-        words, bounds = row_words(texts)
-        return [self.find(words[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-
-    def find(self, words: np.ndarray) -> list[tuple[int, int]]:
-        hashes = shingle_hashes(words, self.width)
-        if not len(hashes) or not self.sets:
-            return []
-        rows = self.candidates(hashes)
-        if not rows:
-            return []
-        whole, out = np.unique(hashes), []
-        for row in sorted(rows):
-            items = self.sets[row]
-            at = np.minimum(np.searchsorted(whole, items), len(whole) - 1)
-            shared = int((whole[at] == items).sum())
-            if 100 * shared >= self.threshold * len(items):
-                out.append((row, shared))
-        return out
-
-
-def blocks(benchmark: DataFrame, width: int, threshold: int) -> Iterator[ContainmentIndex]:
-    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
-    n, chars = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    parts = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect() if n else []
-        yield ContainmentIndex(sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0], r[1] or "")), width, threshold)
+                least, hits = sketch(found, threshold)
+                rows.append((item_id, set_key(found), len(found), hits, least.view(np.int64), found.view(np.int64)))
+        return dict(zip(("item_id", "cls", "n", "hits", "sketch", "shingles"), zip(*rows, strict=True), strict=True)) if rows else None
+
+    texts = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].cast("string").alias("text"))
+    return common.map_slices(texts, work, "item_id long, cls long, n long, hits long, sketch array<long>, shingles array<long>")
+
+
+def sketch_hits(texts: DataFrame, keys: DataFrame, width: int, shared: common.Shared) -> DataFrame:
+    """row and hash: the shingles of each text that may be in a sketch."""
+    held = shared(common.bitmap(keys, "hash", hashed=True))
+
+    def work(part: pa.RecordBatch) -> dict | None:
+        owners, hashes = [], []
+        for row, found in zip(part.column(0).to_pylist(), row_sets(part.column(1), width), strict=True):
+            kept = found[common.in_bitmap(held.value, (found & np.uint64(common.FILTER_BITS - 1)).astype(np.int64))]
+            if len(kept):
+                owners.append(np.full(len(kept), row, np.int64))
+                hashes.append(kept.view(np.int64))
+        return {"row": np.concatenate(owners), "hash": np.concatenate(hashes)} if owners else None
+
+    return common.map_slices(texts.select("row", "text"), work, "row long, hash long")
+
+
+def sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """row and shingles of the texts whose key is in ``wanted``, and of a few more."""
+
+    def work(part: pa.RecordBatch) -> dict:
+        return {"row": part.column(0), "shingles": [found.view(np.int64) for found in row_sets(part.column(1), width)]}
+
+    chosen = common.flagged(texts.select("row", "text"), F.col("row"), common.bitmap_words(wanted, "row"), "chosen").where("chosen")
+    return common.map_slices(chosen.select("row", "text"), work, "row long, shingles array<long>")
+
+
+def found_in(texts: DataFrame, benchmark: DataFrame, width: int, threshold: int, run: Run) -> tuple[DataFrame, DataFrame]:
+    """The items (item_id, cls), and row, cls, n_item and n_shared of every text (by key) and item set it contains."""
+    shared = common.Shared(texts.sparkSession)
+    items = run.table(items_of(benchmark, width, threshold), "items")
+    sets = run.table(items.drop("item_id").dropDuplicates(["cls"]), "item-sets")
+    keys = run.table(sets.select("cls", "hits", F.explode("sketch").alias("hash")), "sketches")
+    hits = run.table(sketch_hits(texts, keys, width, shared).distinct(), "hits")
+    shared.release()
+    counted = hits.join(keys, "hash").groupBy("row", "cls").agg(F.count("*").alias("met"), F.first("hits").alias("hits"))
+    candidates = run.table(counted.where("met >= hits").select("row", "cls"), "candidates")
+    rows = run.table(candidates.select("row").distinct(), "rows")
+    whole = run.table(sets_of(texts, rows, width).join(rows, "row", "left_semi").dropDuplicates(["row"]), "texts")
+    both = F.size(F.array_intersect("shingles", "wanted")).cast("long")
+    checked = candidates.join(whole, "row").join(sets.select("cls", F.col("n").alias("n_item"), F.col("shingles").alias("wanted")), "cls")
+    found = run.table(checked.withColumn("n_shared", both).where(100 * F.col("n_shared") >= threshold * F.col("n_item")).select("row", "cls", "n_item", "n_shared"), "found")
+    run.drop(sets, keys, hits, candidates, rows, whole)
+    return items.select("item_id", "cls"), found
 
 
 def contained(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
     """doc_id, item_id, n_item (the item's distinct shingles) and n_shared: one row an item found in a document."""
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    names, found = ("doc_id", "item_id", "n_item", "n_shared"), None
-    for index in blocks(benchmark, width, threshold):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
-
-        def work(part: pa.RecordBatch, shared=shared) -> dict:
-            index, rows = shared.value, []
-            for doc_id, items in zip(part.column(0).to_pylist(), index.find_all(part.column(1)), strict=True):
-                rows += [(doc_id, index.ids[item], len(index.sets[item]), n) for item, n in items]
-            return dict(zip(names, zip(*rows, strict=True), strict=True)) if rows else {c: [] for c in names}
-
-        one = common.map_slices(texts, work, ", ".join(f"{c} long" for c in names))
-        found = one if found is None else found.unionByName(one)
-    return found
-
-
-def _none_found(shared: Broadcast):
-    @F.arrow_udf("boolean")
-    def none_found(texts: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        return pa.array([not items for part in common.slices([batch]) for items in shared.value.find_all(part.column(0))], pa.bool_())
-
-    return none_found
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold: int = 80) -> Column:
-    """A condition that holds for texts in which no item is contained."""
-    common.ship(docs.sparkSession)
-    holds = F.lit(True)
-    for index in blocks(benchmark, width, threshold):
-        holds &= _none_found(docs.sparkSession.sparkContext.broadcast(index))(docs["text"].cast("string"))
-    return holds
+    run, texts = Run(docs.sparkSession, "contained"), common.texts_of(docs, "row")
+    items, found = found_in(texts, benchmark, width, threshold, run)
+    holders = common.flagged(texts.drop("text"), F.col("row"), run.table(common.bitmap_words(found, "row"), "bitmap"), "holds").where("holds").drop("holds")
+    return holders.join(found, "row").join(items, "cls").select("doc_id", "item_id", "n_item", "n_shared")
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, threshold: int = 80) -> DataFrame:
+    """``docs`` without the rows in whose texts an item is contained. Only rows in the bitmap of such texts are shuffled."""
+    run = Run(docs.sparkSession, "decontaminated")
+    _, found = found_in(common.texts_of(docs, "row"), benchmark, width, threshold, run)
+    texts = run.table(found.select("row").distinct(), "texts")
+    run.drop(found)
+    maybe, key, row = common.fresh_names(docs, "maybe", "text_key", "found_row")
+    placed = common.flagged(docs.withColumn(key, common.row_key(docs["text"])), F.col(key), run.table(common.bitmap_words(texts, "row"), "bitmap"), maybe)
+    columns = [f"`{c}`" for c in docs.columns]
+    gone = texts.select(F.col("row").alias(row))
+    kept = placed.where(F.col(maybe)).join(gone, F.col(key) == F.col(row), "left_anti")
+    return placed.where(~F.col(maybe)).select(columns).unionByName(kept.select(columns))
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
