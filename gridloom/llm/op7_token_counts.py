@@ -7,26 +7,37 @@ pre-token ends gives its count, so shared prefixes are scored once. Scores are i
 sums are exact; of equal scores the fewer tokens win. A character in no piece falls back to one
 token a UTF-8 byte.
 
-The trie lives in the worker and is begun anew once it has ``max_nodes`` nodes (it is a cache;
-counts do not depend on it). Nothing is shuffled.
+The trie lives in the worker and is begun anew once it has ``max_nodes`` nodes, and so are the kept
+counts (both are caches; counts do not depend on them). Words beyond ``MAX_KEPT_CHARS`` characters leave
+the trie there: the rest is scored in a window as long as the longest piece, so that a word of any length
+takes as much memory as its own text. Words are found, hashed and told apart in whole columns; each
+distinct one of a slice is looked up once. Nothing is shuffled.
 
-Defined cases: null or blank text: 0 pre-tokens and 0 tokens; an empty table gives no rows; a row
-a row for repeated ids; null ids stay null; very long words are scored like others but not kept.
+The public file carries ranks, not frequencies: a piece of rank r is scored as Zipf's law would have it.
+
+Defined cases: null or blank text: 0 pre-tokens and 0 tokens; an empty table gives no rows; a row for
+each row of repeated ids; null ids stay null; of equal scores the fewer tokens win; very long words and
+texts are scored whole; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import math
+from collections import deque
+from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm import common
+from gridloom.llm.shingles import cased_words, column_bytes
 
 MARK = "▁"
 #: Integer score units of one nat, and the score of a byte of an unknown character.
 UNIT, BYTE_NATS = 1_000_000, 12
-MAX_NODES, MAX_KEPT_CHARS = 400_000, 64
+#: Bounds of a worker's caches: trie nodes, characters of a word in the trie, kept counts.
+MAX_NODES, MAX_KEPT_CHARS, MAX_COUNTS = 150_000, 64, 200_000
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, int]:
@@ -45,50 +56,56 @@ class TrieCounter:
     def __init__(self, scores: dict[str, int], max_nodes: int = MAX_NODES):
         self._scores, self._max = scores, max_nodes
         self._longest = max(map(len, scores), default=1)
+        self._known: dict[int, int] = {}
         self._clear()
 
     def _clear(self) -> None:
         self._child: dict[tuple[int, str], int] = {}
-        self._best, self._tokens = [0], [0]
-        self.counts: dict[str, int] = {}
-
-    def _insert(self, word: str) -> int:
-        """Walk or extend the trie along the pre-token of ``word``; the count at its last node."""
-        text, child, best, tokens = MARK + word, self._child, self._best, self._tokens
-        node, path = 0, [0]
-        for end, char in enumerate(text, 1):
-            following = child.get((node, char))
-            if following is None:
-                following = len(best)
-                child[node, char] = following
-                width = len(char.encode())
-                score, count = best[node] - width * BYTE_NATS * UNIT, tokens[node] + width
-                for start in range(max(0, end - self._longest), end):
-                    piece = self._scores.get(text[start:end])
-                    if piece is not None:
-                        before = path[start]
-                        new = (best[before] + piece, tokens[before] + 1)
-                        if new[0] > score or new[0] == score and new[1] < count:
-                            score, count = new
-                best.append(score)
-                tokens.append(count)
-            node = following
-            path.append(node)
-        return tokens[node]
+        self._best: list[tuple[int, int]] = [(0, 0)]
+
+    def _scored(self, text: str, end: int, before: Iterable[tuple[int, int]]) -> tuple[int, int]:
+        """Best (score, -tokens) of the prefix of length ``end``; ``before`` has those of the starts of pieces, the nearest last."""
+        before = list(before)
+        width = len(text[end - 1].encode("utf-8", "surrogatepass"))
+        best = (before[-1][0] - width * BYTE_NATS * UNIT, before[-1][1] - width)
+        for start, (score, tokens) in enumerate(before, end - len(before)):
+            piece = self._scores.get(text[start:end])
+            if piece is not None:
+                best = max(best, (score + piece, tokens - 1))
+        return best
 
     def count(self, word: str) -> int:
+        """Tokens of the pre-token of ``word``: along the trie, which grows where needed, then in a window."""
         if len(self._best) > self._max:
             self._clear()
-        found = self._insert(word)
-        if len(word) <= MAX_KEPT_CHARS:
-            self.counts[word] = found
-        return found
-
-    def total(self, words: list[str]) -> int:
-        found = list(map(self.counts.get, words))
-        if None in found:
-            found = [self.counts.get(w) or self.count(w) if n is None else n for w, n in zip(words, found, strict=True)]
-        return sum(found)
+        text, node = MARK + word, 0
+        window = deque([self._best[0]], self._longest)
+        for end, char in enumerate(text[:MAX_KEPT_CHARS], 1):
+            following = self._child.get((node, char))
+            if following is None:
+                following = self._child[node, char] = len(self._best)
+                self._best.append(self._scored(text, end, window))
+            node = following
+            window.append(self._best[node])
+        for end in range(MAX_KEPT_CHARS + 1, len(text) + 1):
+            window.append(self._scored(text, end, window))
+        return -window[-1][1]
+
+    def counts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Pre-tokens and tokens of each text of a column."""
+        raw, bounds = column_bytes(column)
+        hashes, starts, ends = cased_words(raw, bounds)
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self._known) > MAX_COUNTS:
+            self._known = {}
+        found = list(map(self._known.get, distinct.tolist()))
+        for i, n in enumerate(found):
+            if n is None:
+                word = raw[starts[first[i]] : ends[first[i]]].tobytes().decode("utf-8", "surrogatepass")
+                found[i] = self._known[int(distinct[i])] = self.count(word)
+        upto = np.concatenate([[0], np.cumsum(np.array(found, np.int64)[inverse])])
+        at = np.searchsorted(starts, bounds)
+        return np.diff(at), np.diff(upto[at])
 
 
 _LOADED: dict[str, TrieCounter] = {}
@@ -100,15 +117,10 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
     def work(part: pa.RecordBatch) -> dict:
         if model_path not in _LOADED:
             _LOADED[model_path] = TrieCounter(zipf_scores(public_pieces(model_path)))
-        counter, pretokens, tokens = _LOADED[model_path], [], []
-        for text in part.column(1).to_pylist():
-            words = common.words(text or "")
-            pretokens.append(len(words))
-            tokens.append(counter.total(words))
+        pretokens, tokens = _LOADED[model_path].counts(part.column(1))
         return {"doc_id": part.column(0), "n_pretokens": pretokens, "n_tokens": tokens}
 
-    texts = docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string"))
-    return common.map_slices(texts, work, "doc_id long, n_pretokens long, n_tokens long")
+    return common.map_slices(common.texts_of(docs), work, "doc_id long, n_pretokens long, n_tokens long")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
