@@ -8,15 +8,23 @@ then line number) has a set of Jaccard similarity ``threshold`` or more, be that
 2. Lines with equal sets form a class that stands at its first place; its prefix is the
    ``n - ceil(0.8 n) + 1`` rarest tokens, less those that no other line can have, and it carries a
    parity bitmap of its tokens.
-3. Classes are sorted by prefix token and place. Within a token, each is compared with the earlier
+3. A class is posted under each prefix token. Alike classes share their rarest common token there,
+   and, as they share four tokens at least, their second rarest within one token more. So a token
+   that occurs over ``HOT`` times is posted together with each that may be that second one, which
+   splits its group; lines of over ``LONG`` tokens take it together with their length class and the
+   next one instead, lines about that long both.
+4. Classes are sorted by posting and place. Within a posting, each is compared with the earlier
    ones by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
    sets have unlike tokens). Those that pass are taken if they are few, else only the earliest.
-4. The pairs are confirmed on full sets. Classes whose candidates failed but that had more are
+5. The pairs are confirmed on full sets. Classes whose candidates failed but that had more are
    searched again for all of theirs; a group of alike lines so costs its size, not its square.
 
 Tokens are compared by 64-bit hash. Defined cases: null or empty text and lines without a word: no
 line to compare, nothing removed; a null id sorts before all others; repeated rows (same id and
-text) stand at the same places, are not later than each other, and lose or keep the same lines.
+text) stand at the same places, are not later than each other, and lose or keep the same lines; rows
+of one id and different texts are told apart by a hash of the text, and of lines that tie at a place
+none is later; very long texts and lines are taken whole; an empty table gives no rows; other
+columns, whatever their names, are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -25,13 +33,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
 from gridloom.llm.shingles import MIX, column_bytes, hashed_words, mixed, row_words
+from gridloom.session import Run
 
 SLOTS, CHUNK, SHIFT = 1 << 22, 1 << 16, np.uint64(64 - 22)
 #: 64-bit words of a parity bitmap.
@@ -41,6 +49,8 @@ BITS = [f"b{w}" for w in range(WORDS)]
 LINES = 10_000_000_000
 #: Postings that a worker compares at a time, about.
 AT_ONCE = 150_000
+#: Occurrences of a token beyond which its postings are split, and the tokens of a line up to which this is by pairs of tokens.
+HOT, LONG = 1 << 14, 64
 #: Candidates of a line within a token that are all taken at once.
 FEW = 3
 
@@ -108,19 +118,32 @@ class Lines:
         none = np.zeros(0, np.uint64)
         return [(np.bitwise_xor.reduceat(np.where((place >> np.uint64(6)) == w, bit, np.uint64(0)), self.first) if len(self.first) else none).view(np.int64) for w in range(WORDS)]
 
-    def prefixes(self, threshold: int) -> tuple[pa.Array, np.ndarray]:
-        """The rarest tokens of each set, as 32-bit keys, in the global order; and how many are left out in front.
+    def postings(self, threshold: int) -> pa.Array:
+        """The postings of each set, packed: a 32-bit key in the low half, and the place of the rarest common token that it allows above.
 
         Left out are tokens that occur once in all texts: no other line has them.
         """
-        length = self.size - -(-threshold * self.size // 100) + 1
-        rank = np.arange(len(self.tokens)) - np.repeat(self.first, self.size)
-        inside = rank < np.repeat(length, self.size)
-        once = inside & (self.rarity == 1)
-        skipped = np.add.reduceat(once.astype(np.int64), self.first) if len(self.first) else np.zeros(0, np.int64)
-        kept = self.tokens[inside & ~once]
-        offsets = np.concatenate([[0], np.cumsum(length - skipped)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array((kept & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))), skipped
+        most = self.size - -(-threshold * self.size // 100) + 1
+        line = np.repeat(np.arange(len(self.size)), self.size)
+        rank = np.arange(len(self.tokens)) - self.first[line] if len(line) else line
+        inside, hot = (rank < most[line]) & (self.rarity != 1), self.rarity > HOT
+        at = np.flatnonzero(inside & ~hot)
+        found = [(at, self.tokens[at], rank[at])]
+        long_ = np.flatnonzero(inside & hot & (self.size[line] > LONG))
+        class_ = np.floor(np.log(self.size[line[long_]]) / np.log(101 / threshold)).astype(np.uint64)  # alike lengths are of one class or of neighbours
+        found += [(long_, mixed(self.tokens[long_] * MIX + class_ + np.uint64(k)), rank[long_]) for k in (0, 1)]
+        at, step = np.flatnonzero(inside & hot & (threshold * self.size[line] <= 100 * LONG)), 1
+        while len(at):
+            at = at[rank[at] + step < np.minimum(most + 1, self.size)[line[at]]]
+            second = at + step
+            kept = self.rarity[second] != 1
+            found.append((at[kept], mixed(self.tokens[at[kept]] * MIX + self.tokens[second[kept]]), rank[second[kept]] - 1))
+            step += 1
+        at, key, place = (np.concatenate(c) for c in zip(*found, strict=True))
+        order = np.argsort(line[at], kind="stable")
+        packed = (place[order].astype(np.int64) << 32) | (key[order] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(line[at], minlength=len(self.size)))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed))
 
 
 def column_lines(column: pa.Array, rarity: np.ndarray | None = None) -> Lines:
@@ -142,19 +165,23 @@ def column_lines(column: pa.Array, rarity: np.ndarray | None = None) -> Lines:
     return Lines(row[opens], number[opens], first, size, hashes[fresh], rank[fresh])
 
 
-def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int) -> DataFrame:
-    """One row a line with a word: doc_id, row (key of the whole text), line, cls, n, bitmap words, prefix."""
-    shared = texts.sparkSession.sparkContext.broadcast(rarity)
+def lines_of(texts: DataFrame, rarity: np.ndarray, threshold: int, shared: common.Shared) -> DataFrame:
+    """One row a line with a word: doc_id, row (key of the whole text), line, cls, n, bitmap words, prefix (its postings)."""
+    held = shared(rarity)
 
     def work(part: pa.RecordBatch) -> dict:
-        raw, bounds = column_bytes(part.column(1))
-        keys = np.array([common.bytes_key(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], np.int64)
-        found = column_lines(part.column(1), shared.value)
+        found = column_lines(part.column(2), held.value)
+        rows = pa.array(found.row)
         bits = {f"b{w}": b for w, b in enumerate(found.parity())}
-        prefix, skipped = found.prefixes(threshold)
-        return {"doc_id": part.column(0).take(pa.array(found.row)), "row": keys[found.row], "line": found.number, "cls": found.keys(), "n": found.size, **bits, "skipped": skipped, "prefix": prefix}
+        return {"doc_id": part.column(0).take(rows), "row": part.column(1).take(rows), "line": found.number, "cls": found.keys(), "n": found.size, **bits, "prefix": found.postings(threshold)}
 
-    return common.map_slices(texts, work, f"doc_id long, row long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, skipped int, prefix array<int>")
+    return common.map_slices(texts, work, f"doc_id long, row long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, prefix array<long>")
+
+
+def posted(classes: DataFrame) -> DataFrame:
+    """The postings of classes: token, pos and what the filters need."""
+    each = classes.select("place", "line", "cls", "n", *BITS, "wanted", F.explode("prefix").alias("posting"))
+    return each.withColumns({"pos": F.expr("cast(shiftrightunsigned(posting, 32) as int)"), "token": F.expr("posting & 4294967295L")}).drop("posting")
 
 
 def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
@@ -206,7 +233,7 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
             if batch.num_rows:
                 waiting.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)])
                 rows += batch.num_rows
-            if rows < AT_ONCE:
+            if rows < AT_ONCE or waiting[0][0][0] == waiting[-1][0][-1]:  # one token so far: it may go on
                 continue
             held = [np.concatenate(column) for column in zip(*waiting, strict=True)]
             stop = int(np.searchsorted(held[0], held[0][-1]))  # the last token may go on in the next batch
@@ -215,6 +242,8 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
                 yield out
         if waiting and (out := search([np.concatenate(column) for column in zip(*waiting, strict=True)])) is not None:
             yield out
+        del waiting
+        common.release()
 
     common.ship(postings.sparkSession)
     n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -222,25 +251,25 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
     return dealt.select("token", "cls", "n", "pos", "wanted", *BITS).mapInArrow(run, "x long, y long, more boolean")
 
 
-def postings_with(classes: DataFrame, tokens: np.ndarray) -> DataFrame:
-    """Postings of the prefix tokens that a bitmap holds."""
-    shared = classes.sparkSession.sparkContext.broadcast(tokens)
-    names = ("place", "line", "cls", "n", *BITS, "wanted", "skipped")
+def postings_with(classes: DataFrame, tokens: np.ndarray, shared: common.Shared) -> DataFrame:
+    """The postings whose tokens a bitmap holds."""
+    held = shared(tokens)
+    names = ("place", "line", "cls", "n", *BITS, "wanted")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(len(names))
             ends = lists.offsets.to_numpy()
-            token = lists.values.to_numpy()[ends[0] : ends[-1]]
-            size = np.diff(ends)
-            owner = np.repeat(np.arange(batch.num_rows), size)
-            pos = np.arange(len(token)) - np.repeat(ends[:-1] - ends[0], size) + batch.column(len(names) - 1).to_numpy()[owner]
-            kept = np.flatnonzero(common.in_bitmap(shared.value, token.astype(np.int64) & (common.FILTER_BITS - 1)))
+            posting = lists.values.to_numpy()[ends[0] : ends[-1]]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            kept = np.flatnonzero(common.in_bitmap(held.value, posting & (common.FILTER_BITS - 1)))
             if len(kept):
                 at = pa.array(owner[kept])
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(len(names))], pa.array(pos[kept], pa.int32()), pa.array(token[kept], pa.int32())], names=[*names, "pos", "token"])
+                found = posting[kept]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i).take(at) for i in range(len(names))], pa.array((found >> 32).astype(np.int32)), pa.array(found & 0xFFFFFFFF)], names=[*names, "pos", "token"])
 
-    schema = f"place long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, wanted boolean, skipped int, pos int, token int"
+    common.ship(classes.sparkSession)
+    schema = f"place long, line long, cls long, n int, {', '.join(f'{b} long' for b in BITS)}, wanted boolean, pos int, token long"
     return classes.select(*names, "prefix").mapInArrow(run, schema)
 
 
@@ -249,10 +278,9 @@ def place_of() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
 
-def sets_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets_of(texts: DataFrame, wanted: DataFrame, shared: common.Shared) -> DataFrame:
     """cls and tokens of the classes in ``wanted`` (cls, place, line), read from their first places."""
-    context = texts.sparkSession.sparkContext
-    docs = context.broadcast(common.bitmap(wanted, "place"))
+    docs = shared(common.bitmap(wanted, "place"))
 
     def work(part: pa.RecordBatch) -> dict | None:
         chosen = np.flatnonzero(common.in_bitmap(docs.value, part.column(1).to_numpy(zero_copy_only=False)))
@@ -278,49 +306,67 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     """doc_id, row, n_lines (with a word), removed (their numbers, in order): one row a text with a word."""
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    whole = common.durable(lines_of(texts, word_rarity(texts), threshold).withColumn("place", place_of()), "lines")
+    run, shared = Run(docs.sparkSession, "lines"), common.Shared(docs.sparkSession)
+    texts = common.texts_of(docs)
+    whole = run.table(lines_of(common.texts_of(docs, "row"), word_rarity(texts), threshold, shared).withColumn("place", place_of()), "lines")
+    shared.release()
     # The least place of a class as one number: aggregates of numbers need no sort.
     at = (F.col("place").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    firsts = common.durable(whole.groupBy("cls").agg(F.min(at).alias("first")), "line-classes")
-    classes = common.durable(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "skipped", "prefix"), "classes")
-    lines = common.durable(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "line-places")
-    common.forget(whole)
+    firsts = run.table(whole.groupBy("cls").agg(F.min(at).alias("first")), "firsts")
+    classes = run.table(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    lines = run.table(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "places")
+    run.drop(whole)
     places = classes.select("cls", "place", "line")
-    posted = lambda of: of.select("place", "line", "cls", "n", *BITS, "wanted", "skipped", F.posexplode("prefix").alias("pos", "token")).withColumn("pos", F.col("pos") + F.col("skipped"))
-    wanted_of = lambda pairs: common.durable(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
+    wanted_of = lambda pairs: run.table(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
 
-    found = common.durable(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False).distinct(), "candidates")
-    gone = common.durable(confirmed(found, sets_of(texts, wanted_of(found)), threshold), "gone")
+    found = run.table(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False).distinct(), "candidates")
+    gone = run.table(confirmed(found, sets_of(texts, wanted_of(found), shared), threshold), "gone")
+    shared.release()
 
     open_ = found.where("more").select(F.col("x").alias("cls")).distinct().join(gone.select(F.col("x").alias("cls")), "cls", "left_anti")
-    open_ = common.durable(open_.withColumn("open", F.lit(True)), "open")
-    tokens = classes.join(open_, "cls", "left_semi").select(F.explode("prefix").alias("token"))
-    again = postings_with(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))), common.bitmap(tokens, "token", hashed=True))
-    more = common.durable(candidates(again, threshold, every=True).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
-    gone = gone.unionByName(confirmed(more, sets_of(texts, wanted_of(more)), threshold)).distinct().withColumn("goes", F.lit(True)).withColumnRenamed("x", "cls")
-
-    judged = lines.join(firsts.join(gone, "cls", "left"), "cls")
+    open_ = run.table(open_.withColumn("open", F.lit(True)), "open")
+    marked = run.table(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))).drop("open"), "marked")
+    tokens = marked.where("wanted").select(F.explode("prefix").alias("posting")).select(F.expr("posting & 4294967295L").alias("token"))
+    again = postings_with(marked, common.bitmap(tokens, "token", hashed=True), shared)
+    more = run.table(candidates(again, threshold, every=True).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
+    late = run.table(confirmed(more, sets_of(texts, wanted_of(more), shared), threshold), "late")
+    shared.release()
+    goes = gone.unionByName(late).distinct().select(F.col("x").alias("cls"), F.lit(True).alias("goes"))
+    verdicts = run.table(firsts.join(goes, "cls", "left"), "verdicts")  # written, so that a class of very many lines is split in the join
+    run.drop(firsts, classes, marked, found, gone, open_, more, late)
+
+    judged = lines.join(verdicts, "cls")
     goes = F.col("goes").isNotNull() | (F.col("first") != F.col("at"))
     return judged.groupBy("doc_id", "row").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines"), F.array_sort(F.collect_set(F.when(goes, F.col("line")))).alias("removed"))
 
 
-def deduplicated(docs: DataFrame, threshold: int = 80) -> DataFrame:
-    """``docs`` with the removed lines taken out of ``text``; other columns and rows as they are."""
-    common.ship(docs.sparkSession)
+def _rewritten():
+    @F.arrow_udf("string")
+    def rewritten(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, removed in batches:
+            yield pa.array([without(t, r) for t, r in zip(texts.to_pylist(), removed.to_pylist(), strict=True)], pa.string())
+        common.release()
 
-    @F.pandas_udf("string")
-    def rewritten(texts: pd.Series, removed: pd.Series) -> pd.Series:
-        return pd.Series([t if r is None or not len(r) else without(t, r) for t, r in zip(texts, removed, strict=True)], dtype=object)
+    return rewritten
 
-    @F.pandas_udf("long")
-    def key(texts: pd.Series) -> pd.Series:
-        return pd.Series([common.text_key(t) if isinstance(t, str) and t else 0 for t in texts], dtype="int64")
 
-    gone = removed_lines(docs, threshold).where(F.size("removed") > 0).select(F.col("doc_id").alias("_gone_id"), F.col("row").alias("_gone_row"), F.col("removed").alias("_gone"))
-    keyed = docs.withColumn("_gone_key", key(docs["text"]))
-    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_gone_id"]) & (keyed["_gone_key"] == gone["_gone_row"]), "left")
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(rewritten("text", "_gone"))).select(*docs.columns)
+def deduplicated(docs: DataFrame, threshold: int = 80) -> DataFrame:
+    """``docs`` with the removed lines taken out of ``text``; other columns and rows as they are.
+
+    Only rows whose id falls into the bitmap of ids with a removed line are shuffled.
+    """
+    common.ship(docs.sparkSession)
+    run = Run(docs.sparkSession, "line-dedup")
+    gone = run.table(removed_lines(docs, threshold).where(F.size("removed") > 0).drop("n_lines"), "gone")
+    words = run.table(common.bitmap_words(gone, "doc_id"), "bitmap")
+    maybe, key, id_, row, removed = common.fresh_names(docs, "maybe", "text_key", "gone_id", "gone_row", "gone_lines")
+    placed = common.flagged(docs, docs["doc_id"].cast("long"), words, maybe)
+    open_ = placed.where(F.col(maybe)).withColumn(key, common.row_key(F.col("text")))
+    cuts = gone.select(F.col("doc_id").alias(id_), F.col("row").alias(row), F.col("removed").alias(removed))
+    judged = open_.join(cuts, (F.col(key) == F.col(row)) & F.col("doc_id").cast("long").eqNullSafe(F.col(id_)), "left")
+    columns = [f"`{c}`" for c in docs.columns]
+    untouched = placed.where(~F.col(maybe)).select(columns).unionByName(judged.where(F.col(removed).isNull()).select(columns))
+    return untouched.unionByName(judged.where(F.col(removed).isNotNull()).withColumn("text", _rewritten()(F.col("text").cast("string"), F.col(removed))).select(columns))
 
 
 def without(text: str, removed: Iterable[int]) -> str:
@@ -331,7 +377,7 @@ def without(text: str, removed: Iterable[int]) -> str:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     found = removed_lines(docs)
-    ids = docs.select(docs["doc_id"].cast("long").alias("doc_id"))
-    totals = found.groupBy("doc_id").agg(F.sum("n_lines").alias("n_lines"), F.sum(F.size("removed").cast("long")).alias("n_removed"), F.array_join(F.array_sort(F.flatten(F.collect_list("removed"))), ",").alias("removed"))
-    shown = ids.join(totals, ids["doc_id"].eqNullSafe(totals["doc_id"]), "left").select(ids["doc_id"], "n_lines", "n_removed", "removed")
-    return shown.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("removed", F.lit("")).alias("removed"))
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), common.row_key(docs["text"]).alias("row"))
+    shown = rows.join(found.withColumnRenamed("doc_id", "id").withColumnRenamed("row", "of"), (F.col("row") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    removed = F.coalesce("removed", F.array().cast("array<long>"))
+    return shown.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed"))
