@@ -1,14 +1,18 @@
 """Chat formatting: schema fingerprints select declarative mappings to canonical turns.
 
-A record is a JSON object. The nested field paths that it fills (``messages[].role``) are sorted and
-hashed; the hash picks a layout from ``LAYOUTS``, which says how its fields become turns (role,
-text). Turns are rendered with a template that marks them, and a loss mask gives the assistant's
+A record is a JSON object. Its own nested field paths (``messages[].role``: every field it fills, two
+levels deep, whatever the names) are read off it; those that some layout uses are sorted and hashed,
+so that fields beside them (an id, a score) change nothing; the hash picks a layout from ``LAYOUTS``,
+which says how its fields become turns (role, text). Turns are rendered with a template that marks them, and a loss mask gives the assistant's
 texts as runs of code points. Control strings in texts and roles are escaped, so that no text can
 open or close a turn of this or a like template, and ``read_back`` restores every turn.
 
-DataFrame functions only. Defined cases: null texts and roles count as empty; a record of no known
-layout, or one that is no JSON, has null turns and a null rendering; a conversation's turns that tie
-are ordered by role, then text; an empty table gives no rows; fields of no layout are ignored.
+DataFrame functions only. A conversation is one row and one task: its turns have to be put in order.
+Defined cases: null texts and roles count as empty; a record of no known layout, or one that is no JSON,
+has null turns and a null rendering; a conversation's turns that tie are ordered by role, then text;
+repeated turns are turns of their own, repeated records give a row each; an empty table gives no rows;
+fields of no layout are ignored; very long texts are rendered whole; columns beside the record go along,
+and columns of the result's names are not allowed among them.
 """
 
 from __future__ import annotations
@@ -23,11 +27,6 @@ OPEN, CLOSE, ASSISTANT = "<|turn|>", "<|end|>\n", "assistant"
 ESCAPES = (("\\", "\\e"), ("<", "\\l"), ("[", "\\b"))
 ROLE_ESCAPES = (*ESCAPES, ("\n", "\\n"))
 
-#: What a record may fill; fields beyond these are ignored.
-RECORD = (
-    "prompt string, completion string, response string, chosen string, system string, instruction string, input string, output string, question string, answer string, "
-    "messages array<struct<role: string, content: string>>, conversations array<struct<from: string, value: string>>"
-)
 TURNS = "array<struct<role: string, text: string>>"
 
 #: Layout: paths, then turns: ("role", fields joined by a blank line), or the list field, its role and text, and role names that change.
@@ -42,20 +41,38 @@ LAYOUTS: dict[str, tuple[tuple[str, ...], object]] = {
     "instruction and input": (("input", "instruction", "output"), (("user", ("instruction", "input")), (ASSISTANT, ("output",)))),
     "question and answer": (("answer", "question"), (("user", ("question",)), (ASSISTANT, ("answer",)))),
 }
-LISTS = {"messages": ("role", "content"), "conversations": ("from", "value")}
-FIELDS = tuple(f.split()[0] for f in RECORD.split(", ") if f.endswith(" string") and "<" not in f)
+#: Every path that a layout uses, and the schema that its values are read with.
+KNOWN = sorted({path for paths, _ in LAYOUTS.values() for path in paths})
 
 
-def _filled(part: str):
-    return lambda x: x[part].isNotNull()
+def _schema() -> str:
+    lists: dict[str, list[str]] = {}
+    for path in KNOWN:
+        name, _, part = path.partition("[].")
+        lists.setdefault(name, []).extend([part] if part else [])
+    return ", ".join(f"{n} array<struct<{', '.join(f'`{p}`: string' for p in parts)}>>" if parts else f"{n} string" for n, parts in lists.items())
 
 
-def fingerprint(record: Column) -> Column:
-    """Hash of the sorted nested paths that a parsed record fills."""
-    paths = [F.when(record[f].isNotNull(), F.lit(f)) for f in FIELDS]
-    for name, parts in LISTS.items():
-        paths += [F.when(F.exists(record[name], _filled(p)), F.lit(f"{name}[].{p}")) for p in parts]
-    return F.xxhash64(F.array_join(F.array_sort(F.array_compact(F.array(*paths))), "\n"))
+RECORD = _schema()
+
+
+def paths_of(record: Column) -> Column:
+    """The nested paths that a JSON record fills, sorted: ``name``, or ``name[].part`` for fields of listed objects."""
+    fields = F.map_entries(F.map_filter(F.from_json(record, "map<string, string>"), lambda _, v: v.isNotNull()))
+
+    def of(field: Column) -> Column:
+        listed = F.when(field["value"].startswith("["), F.from_json(field["value"], "array<map<string, string>>"))
+        filled = F.flatten(F.transform(F.filter(listed, lambda m: m.isNotNull()), lambda m: F.map_keys(F.map_filter(m, lambda _, v: v.isNotNull()))))
+        nested = F.transform(F.array_distinct(filled), lambda part: F.concat(field["key"], F.lit("[]."), part))
+        return F.when(F.size(nested) > 0, nested).otherwise(F.array(field["key"]))
+
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(fields, of))))
+
+
+def fingerprint(paths: Column) -> Column:
+    """Hash of a record's paths, as far as some layout uses them."""
+    known = F.array(*[F.lit(p) for p in KNOWN])
+    return F.xxhash64(F.array_join(F.array_sort(F.array_intersect(paths, known)), "\n"))
 
 
 def _named(paths: tuple[str, ...]) -> Column:
@@ -142,36 +159,59 @@ def under_mask(text: Column, mask: Column) -> Column:
 
 
 def format_records(records: DataFrame, record: str = "record") -> DataFrame:
-    """The rows of ``records`` (key and JSON ``record``) with layout, turns, formatted and loss_mask."""
+    """The rows of ``records`` (key and JSON ``record``) with paths, layout, turns, formatted and loss_mask."""
     keys = [records[c] for c in records.columns if c != record]
-    parsed = records.select(*keys, F.from_json(records[record], RECORD).alias("_record"))
-    named = parsed.withColumn("_print", fingerprint(F.col("_record")))
+    parsed, print_ = common.fresh_names(records, "parsed", "fingerprint")
+    named = records.select(*keys, F.from_json(records[record], RECORD).alias(parsed), paths_of(records[record]).alias("paths"))
+    named = named.withColumn(print_, fingerprint(F.col("paths")))
     layout = F.lit(None).cast("string")
     for name, (paths, _) in LAYOUTS.items():
-        layout = F.when(F.col("_print") == _named(paths), name).otherwise(layout)
-    turned = named.withColumns({"layout": layout, "turns": canonical_turns(F.col("_record"), F.col("_print"))}).drop("_record", "_print")
+        layout = F.when(F.col(print_) == _named(paths), name).otherwise(layout)
+    turned = named.withColumns({"layout": layout, "turns": canonical_turns(F.col(parsed), F.col(print_))}).drop(parsed, print_)
     return turned.withColumns({"formatted": formatted(F.col("turns")), "loss_mask": loss_mask(F.col("turns"))})
 
 
+def conversation_turns(rows: DataFrame) -> DataFrame:
+    """conv_id and messages (role, content), in order, of a table with a row a turn."""
+    turn = F.struct(rows["turn"].cast("long").alias("turn"), F.coalesce(rows["role"].cast("string"), F.lit("")).alias("role"), F.coalesce(rows["text"].cast("string"), F.lit("")).alias("content"))
+    messages = F.transform(F.sort_array(F.collect_list("m")), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
+    return rows.select(rows["conv_id"].cast("long").alias("conv_id"), turn.alias("m")).groupBy("conv_id").agg(messages.alias("messages"))
+
+
 def conversation_records(rows: DataFrame) -> DataFrame:
     """conv_id and record (message layout) of a table with a row a turn."""
-    turn = F.struct(rows["turn"].cast("long").alias("turn"), F.coalesce(rows["role"].cast("string"), F.lit("")).alias("role"), F.coalesce(rows["text"].cast("string"), F.lit("")).alias("content"))
-    ordered = F.sort_array(F.collect_list("m"))
-    messages = F.transform(ordered, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    grouped = rows.select(rows["conv_id"].cast("long").alias("conv_id"), turn.alias("m")).groupBy("conv_id").agg(messages.alias("messages"))
-    return grouped.select("conv_id", F.to_json(F.struct("messages")).alias("record"))
+    return conversation_turns(rows).select("conv_id", F.to_json(F.struct("messages")).alias("record"))
+
+
+def mixed_records(rows: DataFrame) -> DataFrame:
+    """conv_id and record, in as many layouts as the conversations allow: what heterogeneous sources deliver.
+
+    Question and answer, with or without a system text, come as flat fields of several names; others as
+    lists of messages or, where no role has a name that is translated, of shared conversations.
+    """
+    m, kind = F.col("messages"), F.pmod(F.col("conv_id"), F.lit(4))
+    roles, content = F.transform(m, lambda x: x["role"]), lambda i: m[i]["content"]
+    are = lambda *names: roles == F.array(*[F.lit(n) for n in names])
+    flat = lambda **fields: F.to_json(F.struct(F.col("conv_id").alias("id"), *[c.alias(n) for n, c in fields.items()]))
+    pair = [("prompt", "completion"), ("prompt", "response"), ("question", "answer"), ("instruction", "output")]
+    shared = F.transform(m, lambda x: F.struct(F.when(x["role"] == "user", "human").when(x["role"] == ASSISTANT, "gpt").otherwise(x["role"]).alias("from"), x["content"].alias("value")))
+    record = F.when(are("system", "user", ASSISTANT), flat(system=content(0), prompt=content(1), response=content(2)))
+    for k, (asked, answered) in enumerate(pair):
+        record = record.when(are("user", ASSISTANT) & (kind == k), flat(**{asked: content(0), answered: content(1)}))
+    record = record.when((kind % 2 == 1) & ~F.arrays_overlap(roles, F.array(F.lit("human"), F.lit("gpt"))), flat(conversations=shared))
+    return conversation_turns(rows).select("conv_id", record.otherwise(flat(messages=m)).alias("record"))
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = common.documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise(ASSISTANT).alias("role"), F.lit(probe).alias("text"))
-    made = format_records(conversation_records(table.unionByName(extra)))
+    made = format_records(mixed_records(table.unionByName(extra)))
     turns, loss = read_back(F.col("formatted")), under_mask(F.col("formatted"), F.col("loss_mask"))
-    read = made.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"))
+    read = made.select("conv_id", turns.alias("turns"), loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"), "layout")
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars", "layout",
     )
 
 
@@ -180,8 +220,12 @@ WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') r, coalesce(text, '') t FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 sized AS (SELECT *, length(r) + length(regexp_replace(r, '[^\\<\[\n]', '', 'g')) + length(t) + length(regexp_replace(t, '[^\\<\[]', '', 'g')) + 17 n FROM rows)
-SELECT conv_id, count(*)::BIGINT n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) turns_sha256,
+SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, CASE
+  WHEN n_turns = 3 AND roles = 'system' || chr(10) || 'user' || chr(10) || 'assistant' THEN 'system, prompt and response'
+  WHEN n_turns = 2 AND roles = 'user' || chr(10) || 'assistant' THEN ['prompt and completion', 'prompt and response', 'question and answer', 'instruction'][1 + (conv_id % 4 + 4) % 4]
+  WHEN conv_id % 2 <> 0 AND translated = 0 THEN 'shared conversations' ELSE 'messages' END layout
+FROM (SELECT conv_id, count(*)::BIGINT n_turns, count(*) FILTER (WHERE r IN ('human', 'gpt')) translated, string_agg(r, chr(10) ORDER BY turn, r, t) roles, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) turns_sha256,
   coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0)::BIGINT loss_chars,
   sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) loss_sha256, sum(n)::BIGINT formatted_chars
-FROM sized GROUP BY conv_id
+FROM sized GROUP BY conv_id)
 """
