@@ -8,11 +8,15 @@ verified: enough of the template's k-grams, within a span not much longer than t
 
 DataFrame functions only; nothing but votes and one row a text is shuffled. Texts are told apart by
 id and a hash of the text. Defined cases: null text counts as empty; texts without a word or a hit
-have a row with no label and score 0; repeated rows each give a row; null ids are kept.
+have a row with no label and score 0; repeated rows each give a row; null ids are kept; an empty table
+gives no rows; very long texts are scanned whole (a text's k-grams are one array of 8 bytes each); of
+hits that tie on a diagonal the template's first position opens it; other columns are not read.
 """
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +43,8 @@ END = -1  # the template of the row that stands for the text itself
 
 
 def lowered_words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORDS), F.lit(0))
+    """Words of a text; A-Z alone are lower-cased."""
+    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase), F.lit(WORDS), F.lit(0))
 
 
 def grams(words: Column, size: Column) -> Column:

@@ -3,15 +3,17 @@
 Words (ASCII lower-cased) and word pairs of a text are hashed into ``buckets``. Two bag models are
 counted: the raw one over every row, the target one over rows labelled as good (a bounded sample of
 at most ``target_rows`` labels, the least by a hash of the id). A row's importance is the log-ratio of
-the models over its n-grams, as a mean times ``effective`` n-grams, so that length does not decide.
-Rows are resampled without replacement by Gumbel top-k: the k greatest of importance plus Gumbel
-noise (a hash of the id and a seed). k is ``fraction`` of the rows that have an n-gram, by default
+the models over its n-grams. The sum over all of them is the importance weight proper; as it grows with
+the length of the text, and far beyond the noise for long ones, it is by default scaled to a text of
+``effective`` n-grams (None: the plain sum). Rows are resampled without replacement by Gumbel top-k: the k
+greatest of importance plus Gumbel noise (a hash of id, text and a seed). k is ``fraction`` of the rows that have an n-gram, by default
 the share of good rows among the labelled. The k-th greatest key is found by repeated histograms,
 so no task sorts or gathers all rows.
 
 Defined cases: null or blank text: no n-gram, null log_weight, never selected; no label: the
 target equals the raw model; rows that tie at the k-th key are all selected; repeated rows each get
-a row and the same verdict; null ids are kept.
+a row and the same verdict; null ids are kept, and told apart by their texts; an empty table gives no
+rows; very long texts are counted whole, one text at a time; other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import common
 from gridloom.llm.shingles import MIX, mixed, row_words
+from gridloom.session import Run
 
 BUCKETS, BINS = 10_000, 4096
 #: Integer key units of one nat.
@@ -55,6 +58,7 @@ def counts(docs: DataFrame, target: DataFrame, buckets: int) -> DataFrame:
                     good += found
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(raw[seen]), pa.array(good[seen])], names=["bucket", "raw", "target"])
+        common.release()
 
     common.ship(docs.sparkSession)
     marked = docs.join(F.broadcast(target.withColumn("wanted", F.lit(True))), "doc_id", "left")
@@ -73,17 +77,17 @@ def log_ratios(table: DataFrame, buckets: int) -> np.ndarray:
     return np.log(good / good.sum()) - np.log(raw / raw.sum())
 
 
-def importance(docs: DataFrame, ratios: np.ndarray, effective: float) -> DataFrame:
-    """doc_id, n_ngrams, log_weight."""
+def importance(texts: DataFrame, ratios: np.ndarray, effective: float | None) -> DataFrame:
+    """doc_id, row, n_ngrams, log_weight."""
 
     def work(part: pa.RecordBatch) -> dict:
         sizes, weights = [], []
-        for found in row_features(part.column(1), len(ratios)):
+        for found in row_features(part.column(2), len(ratios)):
             sizes.append(len(found))
-            weights.append(float(ratios[found].mean()) * effective if len(found) else None)
-        return {"doc_id": part.column(0), "n_ngrams": sizes, "log_weight": weights}
+            weights.append(float(ratios[found].sum()) * (effective / len(found) if effective else 1.0) if len(found) else None)
+        return {"doc_id": part.column(0), "row": part.column(1), "n_ngrams": sizes, "log_weight": weights}
 
-    return common.map_slices(docs, work, "doc_id long, n_ngrams long, log_weight double")
+    return common.map_slices(texts, work, "doc_id long, row long, n_ngrams long, log_weight double")
 
 
 def kth_greatest(rows: DataFrame, key: str, k: int) -> int | None:
@@ -104,15 +108,15 @@ def kth_greatest(rows: DataFrame, key: str, k: int) -> int | None:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, fraction: float | None = None, buckets: int = BUCKETS, target_rows: int = 20_000, effective: float = 30.0, seed: int = 11) -> DataFrame:
-    """doc_id, n_ngrams, log_weight, gumbel_key and selected of every row."""
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+def resample(docs: DataFrame, labels: DataFrame, fraction: float | None = None, buckets: int = BUCKETS, target_rows: int = 20_000, effective: float | None = 30.0, seed: int = 11) -> DataFrame:
+    """doc_id, n_ngrams, log_weight, gumbel_key and selected of every row; ``effective`` None: the plain importance weight."""
+    texts = common.texts_of(docs)
     marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality")).where("doc_id is not null and quality is not null")
     good = marks.where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)
     ratios = log_ratios(counts(texts, good, buckets), buckets)
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / (1 << 52)
+    uniform = (F.pmod(F.xxhash64("doc_id", "row", F.lit(seed)), F.lit(1 << 52)) + 0.5) / (1 << 52)
     key = ((F.col("log_weight") - F.log(-F.log(uniform))) * UNIT).cast("long")
-    rows = common.durable(importance(texts, ratios, effective).withColumn("key", key), "resample")
+    rows = Run(docs.sparkSession, "resample").table(importance(common.texts_of(docs, "row"), ratios, effective).withColumn("key", key).drop("row"), "keys")
     if fraction is None:
         all_marks, good_marks = marks.agg(F.count("*"), F.sum(F.when(F.col("quality") == 1, 1).otherwise(0))).first()
         fraction = good_marks / all_marks if all_marks else 1.0

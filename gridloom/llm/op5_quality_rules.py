@@ -10,7 +10,8 @@ languages of under ``min_rows`` that of all rows, so the verdict of a document c
 source grows past ``min_rows``. The thresholds are joined back to the rows.
 
 Defined cases: null text has no words and fails the base rule; null language and source count as
-empty strings; an empty table gives no rows; repeated rows each give a row.
+empty strings; an empty table gives no rows; repeated rows each give a row; values that tie share a
+bucket of the sketch; very long texts are counted whole, one text at a time; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
+from gridloom.session import Run
 
 SYMBOLS = "#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -108,7 +110,7 @@ def thresholds(rows: DataFrame, spread: int, min_rows: int) -> DataFrame:
 def judge(docs: DataFrame, spread: int = SPREAD, min_rows: int = MIN_ROWS) -> DataFrame:
     """The base counts, base_failed and kept of every row."""
     keyed = base_table(docs).withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("lang", "source")})
-    rows = common.durable(keyed.withColumn("base_failed", base_failed()), "quality-rows")
+    rows = Run(docs.sparkSession, "quality").table(keyed.withColumn("base_failed", base_failed()), "rows")
     limits = thresholds(rows.where(~F.col("base_failed")), spread, min_rows)
     within = [rate(m) <= F.col(f"high_{m}") for m in RATES] + [rate(m) >= F.col(f"low_{m}") for m in RATES if RATES[m][4]]
     kept = ~F.col("base_failed")

@@ -8,6 +8,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from helpers import SCHEMA, edited, prose  # noqa: E402
 
 
+#: Names that results, helpers and intermediate tables use.
+CLASHING = (
+    "score lang_pred row cls place slot component_id kept start length w hash pos removed key _gone _gone_id _gone_key _gone_row _key _keep _id _row "
+    "maybe text_key doubtful_id doubtful_row once gone_id gone_row gone_lines found_row bitmap_word bitmap_bits bitmap_slot word bits draw chosen holds "
+    "root rep n odd bands leader bucket hits sketch shingles token wanted prefix first goes sequence_id doc_tokens n_words quality log_weight"
+).split()
+
+
 @pytest.fixture(scope="session")
 def rows():
     """Prose, copies, near copies, and every odd text the operators must take."""
@@ -28,8 +36,7 @@ def clashing(docs):
     """Extra columns with the names that results and helpers use."""
     from pyspark.sql import functions as F
 
-    names = ("score", "lang_pred", "row", "cls", "place", "slot", "component_id", "kept", "start", "length", "w", "hash", "pos", "_gone", "_key", "key", "removed")
-    return docs.select("*", *[F.lit("x").alias(n) for n in names])
+    return docs.select("*", *[F.lit("x").alias(n) for n in CLASHING])
 
 
 @pytest.fixture(scope="session")

@@ -88,6 +88,31 @@ def test_phrases_and_notices(spark):
     assert found[7]["labels"] == "mit" and found[8]["score"] == 1.0 and found[9]["labels"] == ""
 
 
+def test_only_ascii_letters_are_lowered(spark):
+    notice = next(t for t, label in licenses.NOTICES.items() if label == "gpl-3")
+    found = scanned(spark, ["unĸer", "under the \u212ait license", notice.replace("work", "wor\u212a"), notice.upper()])
+    assert found[1]["n_base"] == 0 and found[2]["score"] < 1 and found[3]["score"] == 1
+
+
+def test_own_paths_of_records(spark):
+    records = ['{"b": 1, "a": {"x": 2}, "n": null}', '{"messages": [{"role": "r"}, {"content": null, "extra": 3}], "tags": ["p", "q"], "none": []}', "[1]", "x", None]
+    frame = spark.createDataFrame(list(enumerate(records)), "id long, record string")
+    found = {r["id"]: r["p"] for r in frame.select("id", chat.paths_of(F.col("record")).alias("p")).collect()}
+    assert found[0] == ["a", "b"] and found[1] == ["messages[].extra", "messages[].role", "none", "tags"]
+    assert not found[2] and not found[3] and found[4] is None
+
+
+def test_query_meets_several_layouts_and_keeps_all(spark):
+    found = chat.op9_chat_format(spark, SF).toPandas()
+    assert found.layout.notna().all() and found.layout.nunique() >= 4
+
+
+def test_records_keep_clashing_columns(spark):
+    frame = spark.createDataFrame([(1, '{"prompt": "p", "completion": "c"}', "x", "x")], "id long, record string, parsed string, fingerprint string")
+    r = chat.format_records(frame).first()
+    assert (r["parsed"], r["fingerprint"], r["layout"]) == ("x", "x", "prompt and completion")
+
+
 def test_scan_keeps_every_row(clashing, empty, rows):
     assert licenses.scan(clashing).count() == len(rows) and licenses.scan(empty).count() == 0
 

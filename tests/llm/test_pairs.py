@@ -8,7 +8,8 @@ from gridloom.llm import op4_near_dedup as near
 from gridloom.llm import op6_decontaminate as leaks
 from gridloom.llm import op8_line_dedup as lines
 from gridloom.llm.components import components
-from helpers import normal
+from gridloom.session import Run
+from helpers import SCHEMA, edited, prose
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -49,11 +50,30 @@ def test_near_duplicates_match_all_pairs(clashing, rows, width):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
-def test_one_of_each_group_stays(docs, rows):
+def test_one_of_each_group_stays(clashing, rows):
     sets, roots = groups(rows, 5)
-    kept = near.one_of_each(docs).collect()
+    kept = near.one_of_each(clashing).collect()
     assert len(kept) == len({r for r, s in zip(roots, sets, strict=True) if s}) + sum(not s for s in sets)
-    assert kept[0].asDict().keys() == set(docs.columns)
+    assert {r["text"] for r in kept} <= {r[1] for r in rows} and {r["_key"] for r in kept} == {"x"}
+    assert kept[0].asDict().keys() == set(clashing.columns)
+
+
+def test_groups_of_null_ids_stay_apart(spark):
+    texts = [prose(i, 60) for i in range(4)]
+    found = [(None, t, None, None, None) for t in texts] + [(None, texts[0] + " more", None, None, None), (None, texts[1], None, None, None), (7, texts[2], None, None, None), (7, texts[2], None, None, None)]
+    kept = near.one_of_each(spark.createDataFrame(found, SCHEMA)).collect()
+    assert len(kept) == 4 and len({r["text"].split()[0] + r["text"].split()[7] for r in kept}) == 4 and sum(r["doc_id"] == 7 for r in kept) == 1
+
+
+def test_large_open_groups_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(near, "CELL", 300)
+    base = prose(5, 90)
+    texts = [edited(edited(base, i % 7, 0.08), 50 + i, 0.03) for i in range(60)]
+    found = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    sets, roots = groups(found, 2)
+    least = {r: min(i for i, x in enumerate(roots) if x == r) for r in set(roots)}
+    got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(spark.createDataFrame(found, SCHEMA), 2).collect()}
+    assert got == {i: least[r] for i, r in enumerate(roots)} and 1 < len(least) < 60
 
 
 def test_empty_table(empty):
@@ -63,7 +83,7 @@ def test_empty_table(empty):
 
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "u long, v long")
-    assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(1, 41)} | {(101, 100)}
+    assert {tuple(r) for r in components(edges, Run(spark, "test")).collect()} == {(i, 0) for i in range(1, 41)} | {(101, 100)}
 
 
 def test_sketches_estimate_high_similarity():
@@ -92,7 +112,11 @@ def expected_lines(rows):
     return gone, count
 
 
-def test_line_dedup_matches_all_pairs(docs, clashing, rows):
+@pytest.mark.parametrize("hot", [None, (1, 8)])
+def test_line_dedup_matches_all_pairs(clashing, rows, hot, monkeypatch):
+    if hot:  # every token in pairs, longer lines by length classes
+        monkeypatch.setattr(lines, "HOT", hot[0])
+        monkeypatch.setattr(lines, "LONG", hot[1])
     gone, count = expected_lines(rows)
     found = lines.removed_lines(clashing).collect()
     totals = Counter()
@@ -102,7 +126,38 @@ def test_line_dedup_matches_all_pairs(docs, clashing, rows):
     expected = Counter((doc_id, tuple(sorted(gone.get((doc_id, text), ())))) for doc_id, text in count)
     assert Counter((r["doc_id"], tuple(r["removed"])) for r in found) == expected
     texts = Counter(lines.without(r[1], gone.get((r[0], r[1]), ())) if r[1] is not None else None for r in rows)
-    assert Counter(r["text"] for r in lines.deduplicated(docs).collect()) == texts
+    left = lines.deduplicated(clashing).collect()
+    assert Counter(r["text"] for r in left) == texts and {r[n] for r in left for n in ("_gone", "_gone_key", "maybe", "text_key")} == {"x"}
+
+
+@pytest.mark.parametrize("hot", [None, (0, 6)])
+def test_many_alike_lines_match_all_pairs(spark, hot, monkeypatch):
+    import random
+
+    if hot:
+        monkeypatch.setattr(lines, "HOT", hot[0])
+        monkeypatch.setattr(lines, "LONG", hot[1])
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(24)]
+    line = lambda: " ".join(rng.sample(vocabulary, rng.randrange(1, 14)))
+    lined = [line() for _ in range(500)]
+    lined += [" ".join(x for x in rng.choice(lined).split() if rng.random() > 0.1) for _ in range(500)]
+    rng.shuffle(lined)
+    found = [(i, "\n".join(lined[8 * i : 8 * i + 8]), None, None, None) for i in range(125)]
+    gone, _ = expected_lines(found)
+    got = {(r["doc_id"]): tuple(r["removed"]) for r in lines.removed_lines(spark.createDataFrame(found, SCHEMA)).collect() if r["removed"]}
+    assert got == {i: tuple(sorted(v)) for (i, _), v in gone.items()} and sum(map(len, got.values())) > 300
+
+
+def test_line_dedup_query(spark, rows, monkeypatch):
+    from gridloom.llm import common
+
+    extra = [(3, "first line here now\nsecond line there then", None, None, None), (3, "another text alone", None, None, None), (3, "another text alone", None, None, None)]
+    found = [*rows, *extra]
+    gone, count = expected_lines(found)
+    monkeypatch.setattr(common, "documents", lambda *_: spark.createDataFrame(found, SCHEMA))
+    expected = Counter((r[0], len(count.get((r[0], r[1]), ())), len(gone.get((r[0], r[1]), ())), ",".join(map(str, sorted(gone.get((r[0], r[1]), ()))))) for r in found)
+    assert Counter(map(tuple, lines.op8_line_dedup(spark, "").collect())) == expected
 
 
 def test_decontamination_matches_brute_force(spark, clashing, empty, rows):
@@ -119,20 +174,14 @@ def test_decontamination_matches_brute_force(spark, clashing, empty, rows):
             if wanted and 100 * len(wanted & have) >= 80 * len(wanted):
                 expected[doc_id, item_id, len(wanted), len(wanted & have)] += 1
     assert Counter(map(tuple, leaks.contained(clashing, benchmark).collect())) == expected and len(expected) > 4
-    clean = Counter(r["text"] for r in clashing.where(leaks.clean(clashing, benchmark)).collect())
+    left = leaks.decontaminated(clashing, benchmark).collect()
+    clean = Counter(r["text"] for r in left)
+    assert left[0].asDict().keys() == set(clashing.columns) and {r[n] for r in left for n in ("maybe", "text_key", "found_row")} == {"x"}
     holds = lambda t: any(w and 100 * len(w & shingle_set(t, 5)) >= 80 * len(w) for w in (shingle_set(i, 5) for _, i in items))
     assert clean == Counter(r[1] for r in rows if not holds(r[1]))
     assert leaks.contained(empty, benchmark).count() == 0 and leaks.contained(clashing, benchmark.limit(0)).count() == 0
 
 
-def test_blocks_cover_the_benchmark(spark, docs, rows, monkeypatch):
-    items = [(i, rows[i][1]) for i in range(20)]
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
-    whole = normal(leaks.contained(docs, benchmark).toPandas())
-    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 6)
-    assert normal(leaks.contained(docs, benchmark).toPandas()) == whole
-
-
 def test_short_and_scattered_items_are_all_found(spark):
     fresh = lambda name, n: [f"{name}x{k}" for k in range(n)]
     items, texts = [], []
@@ -149,10 +198,22 @@ def test_short_and_scattered_items_are_all_found(spark):
     expected = [(i, i, len(w), len(w & shingle_set(text, 5))) for (i, item), (_, text) in zip(items, texts, strict=True) for w in [shingle_set(item, 5)]]
     assert all(100 * shared >= 80 * n for _, _, n, shared in expected)
     assert sorted(map(tuple, leaks.contained(docs, benchmark).collect())) == expected
-    assert docs.where(leaks.clean(docs, benchmark)).count() == 0
+    assert leaks.decontaminated(docs, benchmark).count() == 0
+
 
+def test_items_shorter_than_a_shingle_match_whole_documents_only(spark):
+    benchmark = spark.createDataFrame([(1, "one two"), (2, "one two three four five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "One  TWO"), (2, "one two three"), (3, "zero one two three four five six")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in leaks.contained(docs, benchmark).collect()) == [(1, 1), (3, 2)]
 
-def test_items_shorter_than_a_shingle_match_whole_documents_only():
-    index = leaks.ContainmentIndex([(1, "one two"), (2, "one two three four five")], 5, 80)
-    found = lambda text: [index.ids[i] for i, _ in index.find(leaks.row_words(leaks.pa.array([text]))[0])]
-    assert found("One  TWO") == [1] and found("one two three") == [] and found("zero one two three four five six") == [2]
+
+def test_a_sketch_cannot_lose_a_contained_item():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for n in [*range(1, 40), 63, 64, 65, 500]:
+        found = np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for _ in range(20):
+            least, hits = leaks.sketch(found, 80)
+            kept = rng.permutation(found)[: n - leaks.missing(n, 80)]
+            assert 100 * len(kept) >= 80 * n and 1 <= hits <= np.isin(least, kept).sum()

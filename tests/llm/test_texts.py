@@ -106,6 +106,51 @@ def test_every_language_is_learned_or_refused(spark):
     assert lang.fit(docs.where("lang < 'l064'"), max_langs=64, epochs=1).langs == [l for l in learned if l < "l064"]
 
 
+def naive_scores(net, windows):
+    """The network by loops over windows, filters and places."""
+    out = []
+    for window in windows:
+        hidden = []
+        for width, f in net.filters.items():
+            for k in range(f.shape[2]):
+                best = max(sum(float(f[j, window[at + j], k]) for j in range(width)) for at in range(net.window - width + 1))
+                hidden.append(max(0.0, best + float(net.bias[width][k])))
+        out.append([sum(h * float(w) for h, w in zip(hidden, net.out[:, c], strict=True)) + float(net.out_bias[c]) for c in range(len(net.langs))])
+    shifted = np.exp(np.array(out) - np.max(out, axis=1, keepdims=True))
+    return shifted / shifted.sum(axis=1, keepdims=True)
+
+
+def test_scores_match_a_naive_forward_pass():
+    net = lang.train(["ab cd ef " * 9, "wx yz äö " * 9] * 8, ["a", "b"] * 8, window=24, epochs=2)
+    texts = ["ab cd", "Wx yz äö ab cd ef wx yz", "ef" * 40, "äö" * 13 + "x"]
+    langs, scores = net.predict(texts)
+    for text, name, score in zip(texts, langs, scores, strict=True):
+        raw = text.encode().translate(lang.FOLD)
+        parts = [raw[i : i + 24] for i in range(0, len(raw), 24)]
+        windows = [list(p.ljust(24, b"\0")) for p in parts]
+        mean = (naive_scores(net, windows) * np.array([len(p) for p in parts])[:, None]).sum(axis=0) / len(raw)
+        assert name == net.langs[int(mean.argmax())] and score == pytest.approx(mean.max(), abs=1e-4)
+
+
+def test_only_letters_have_a_language(spark):
+    net = lang.train(["ab cd ef " * 9, "wx yz " * 9] * 8, ["a", "b"] * 8, epochs=1)
+    assert net.predict(["²³ ½", "Ⅷ", "१२३", "_ 12", "é", "漢"])[0] == [lang.UNDETERMINED] * 4 + [net.predict(["é"])[0][0], net.predict(["漢"])[0][0]]
+    docs = spark.createDataFrame([(i, "x", None, None, None) for i in range(50)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = lang.identify(docs, net).toPandas()
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found.itertuples())
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_the_sample_is_bounded_for_null_and_repeated_ids(spark, monkeypatch, same):
+    taken = []
+    monkeypatch.setattr(lang, "train", lambda texts, labels, **_: taken.append(Counter(labels)))
+    rows = spark.range(20_000).selectExpr("cast(null as bigint) doc_id", "concat('words of text ', cast(id as string))" if not same else "'words of text'", "if(id % 2 = 0, 'aa', 'bb') lang").toDF("doc_id", "text", "lang")
+    lang.fit(rows, rows_per_lang=100)
+    assert taken[0] == ({"aa": 1, "bb": 1} if same else {"aa": 100, "bb": 100})
+
+
 def test_gradients_match_differences():
     net = lang.train(["abcd" * 9, "wxyz" * 9] * 4, ["a", "b"] * 4, window=16, epochs=1)
     rng = np.random.default_rng(0)
@@ -169,6 +214,28 @@ def test_token_counts(docs, empty, rows):
     assert tokens.token_counts(empty, path).count() == 0
 
 
+def test_long_words_take_bounded_memory():
+    import random
+    import tracemalloc
+
+    scores = {**{c: -9_000_000 for c in "abcdefghij"}, "ab": -5_000_000, "abc": -7_000_000, "cde": -6_100_000, "fghij": -9_300_000}
+    rng, counter = random.Random(2), tokens.TrieCounter(scores)
+    for size in (60, 63, 64, 65, 70, 500):
+        word = "".join(rng.choice("abcdefghijxé") for _ in range(size))
+        assert counter.count(word) == plain_count(word, scores)
+    word = "".join(rng.choice("abcdefghij") for _ in range(300_000))
+    tracemalloc.start()
+    assert counter.count(word) > 0
+    assert tracemalloc.get_traced_memory()[1] < 5_000_000 and len(counter._best) < 1000
+    tracemalloc.stop()
+
+
+def test_upper_case_counts_in_tokens():
+    scores = {"▁ab": -1, "▁AB": -1, **{c: -9_000_000 for c in "▁abAB"}}
+    pretokens, found = tokens.TrieCounter(scores).counts(pa.array(["ab AB aB", None, "AB"]))
+    assert pretokens.tolist() == [3, 0, 1] and found.tolist() == [1 + 1 + 3, 0, 1]
+
+
 def test_unigram_agrees_with_a_public_implementation():
     from tokenizers.models import Unigram
 
@@ -179,7 +246,7 @@ def test_unigram_agrees_with_a_public_implementation():
         assert counter.count(word) == len(model.tokenize("▁" + word))
 
 
-def test_importance_resampling(spark, docs, empty, rows):
+def test_importance_resampling(spark, docs, clashing, empty, rows):
     labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(60)] + [(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     found = quality.resample(docs, labels, fraction=0.5).toPandas()
     known = found[found.gumbel_key.notna()]
@@ -198,3 +265,26 @@ def test_importance_resampling(spark, docs, empty, rows):
             text = next(t for i, t, *_ in rows if i == r.doc_id)
             assert r.log_weight == pytest.approx(30 * ratios[quality.features(shingles.text_words(text))].mean())
     assert quality.resample(empty, labels.limit(0)).count() == 0
+    k = round(0.5 * len(known))
+    least = sorted(known.gumbel_key, reverse=True)[k - 1]
+    assert found.selected.tolist() == [bool(x >= least) for x in found.gumbel_key.fillna(-np.inf)]
+    noise = (known.gumbel_key - known.log_weight).drop_duplicates()
+    assert len(noise) > 60 and 0.1 < noise.mean() < 1.1 and noise.min() > -2.5  # a standard Gumbel variable has mean 0.58
+    plain = quality.resample(docs, labels, fraction=0.5, effective=None).toPandas()
+    both = plain[plain.n_ngrams > 0].merge(known, on=["doc_id", "n_ngrams"]).drop_duplicates("doc_id")
+    assert np.allclose(both.log_weight_x, both.log_weight_y * both.n_ngrams / 30)
+    odd = quality.resample(clashing, labels, fraction=0.5).toPandas()
+    assert Counter(odd.selected) == Counter(found.selected)
+
+
+def test_null_ids_have_draws_of_their_own(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", None, None, None) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = quality.resample(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"), fraction=0.5).toPandas()
+    assert found.gumbel_key.nunique() == 40 and found.selected.sum() == 20
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 5, 9, 12, 99])
+def test_kth_greatest(spark, k):
+    values = [5, -3, 5, 10**15, 7, 7, -(10**15), 0, 2]
+    found = quality.kth_greatest(spark.createDataFrame([(v,) for v in values] + [(None,)], "v long"), "v", k)
+    assert found == (sorted(values, reverse=True)[min(k, len(values)) - 1] if k else None)
