@@ -20,7 +20,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: White space to ``str.split()`` that the contracts count as part of a word.
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Bytes of text that a worker holds in derived form at a time (one text at least).
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 600_000
 #: Bytes of one Arrow batch on its way to a worker; held in the JVM and in the worker at once.
 BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4096"}
 

@@ -8,16 +8,23 @@ from pyspark.sql import functions as F
 from gridloom.session import Run
 
 
-def _step(edges: DataFrame, run: Run) -> DataFrame:
-    """One round. The joins are of written tables, so that a node with very many edges is split when it is joined."""
+#: Tasks that the edges of one node are dealt to.
+SALTS = 16
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges with the least node m next to u. A node may have very many edges: they meet their one row of ``least`` in several tasks."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    return salted.join(least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "salt"]).drop("salt")
+
+
+def _step(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = run.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-    large = run.table(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-    lower = run.table(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
     ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
-    found = run.table(large.join(lower, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u > v").distinct(), "edges")
-    run.drop(least, large, lower)
-    return found
+    return _with_least(large, least).select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u > v").distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -33,7 +40,7 @@ def components(edges: DataFrame, run: Run) -> DataFrame:
     now = run.table(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        following = _step(now, run)
+        following = run.table(_step(now), "edges")
         new = _mark(following)
         run.drop(now)
         now = following

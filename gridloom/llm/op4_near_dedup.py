@@ -183,24 +183,25 @@ def components_of(docs: DataFrame, width: int, threshold: int, run: Run) -> Data
     postings = classes.select("cls", F.explode("bands").alias("bucket"))
     leaders = run.table(postings.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("size")).where("size > 1").select("bucket", "leader"), "leaders")
     members = run.table(postings.join(leaders, "bucket").select("leader", "cls").distinct(), "members")
-    met = run.table(members.select("cls").distinct(), "met")
+    met = members.select("cls").distinct()
     traits = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"{c}_n"), F.col("odd").alias(f"{c}_odd"))
     reps = classes.join(met, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
     sets = run.table(sets_of(texts, reps, width, shared).join(met, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
     shared.release()
 
     led = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v"))
-    led = run.table(led.join(traits("u"), "u").join(traits("v"), "v").where(alike(threshold, "u", "v")).select("u", "v"), "led")
+    led = led.join(traits("u"), "u").join(traits("v"), "v").where(alike(threshold, "u", "v")).select("u", "v")
     links = run.table(confirmed(led, sets, threshold), "links")
     stars = components(links, run)
 
     groups = members.join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     groups = run.table(groups, "groups")
     more = run.table(links_between(groups, classes.select("cls", "n"), sets, threshold, run), "more-links")
-    run.drop(leaders, members, met, sets, led, links, groups)
+    run.drop(leaders, members, sets, links, groups)
     stars = components(stars.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more), run)
 
-    ids = run.table(classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls")), "ids")
+    ids = classes.select("cls", "rep").join(stars.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    ids = run.table(ids, "ids")
     least = run.table(ids.groupBy("root").agg(F.min("rep").alias("component_id")), "least-ids")
     named = run.table(ids.join(least, "root").select("cls", "root", "component_id"), "named")
     run.drop(classes, more, ids, least)

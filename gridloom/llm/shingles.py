@@ -19,7 +19,7 @@ _BACK = pow(_STEP, -1, 1 << 64)
 _CASED = _VALUES.copy()
 _VALUES[65:91] = _VALUES[97:123]
 #: Texts longer than this have power tables of their own, which are not kept.
-KEPT_POWERS = 1 << 21
+KEPT_POWERS = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
