@@ -15,7 +15,11 @@ BOOLEAN_WORDS = {"true": True, "t": True, "yes": True, "y": True, "false": False
 
 INT, INT_THOUSANDS = r"^[+-]?[0-9]+$", r"^[+-]?[0-9]{1,3}(,[0-9]{3})+$"
 NUMBER = r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9]+)?$"
-NUMBER_THOUSANDS, NUMBER_NAMES = r"^[+-]?[0-9]{1,3}(,[0-9]{3})*(\.[0-9]+)?$", r"(?i)^[+-]?(inf|infinity|s?nan[0-9]*)$"
+NUMBER_THOUSANDS = r"^[+-]?[0-9]{1,3}(,[0-9]{3})*(\.[0-9]+)?$"
+#: Digits before and after the point, and the exponent, of a number without separators.
+PARTS = r"^[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+#: The decimal type of numbers.
+PRECISION, SCALE = 38, 18
 CLOCK = r"([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9]([.,][0-9]{1,6})?)?"
 #: Date layouts: pattern, and the parts' places in year, month, day.
 DATES = ((r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", (1, 2, 3)), (r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})$", (1, 2, 3)), (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", (1, 2, 3)), (r"^([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})$", (3, 2, 1)))
@@ -40,14 +44,41 @@ def as_bigint(text: Column) -> Column:
     return F.when(text.rlike(INT), text.try_cast("bigint")).when(text.rlike(INT_THOUSANDS), F.replace(text, F.lit(","), F.lit("")).try_cast("bigint"))
 
 
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(text, "[,_]", "")
+
+
 def is_numeric(text: Column) -> Column:
-    return text.rlike(NUMBER) | text.rlike(NUMBER_THOUSANDS) | text.rlike(NUMBER_NAMES)
+    """Whether the decimal type holds the number exactly: its digits before and after the point must fit.
+
+    Special values (NaN, infinities) and longer numbers have no exact decimal; their columns are TEXT.
+    """
+    plain = _plain(text)
+    part = lambda n: F.coalesce(F.regexp_extract(plain, PARTS, n), F.lit(""))
+    digits = F.concat(part(1), part(2))
+    trimmed = F.regexp_replace(digits, "0+$", "")
+    exponent = F.when(part(3) == "", 0).otherwise(part(3).try_cast("int"))
+    after = F.length(part(2)) - (F.length(digits) - F.length(trimmed)) - exponent
+    before = F.length(F.regexp_replace(digits, "^0+", "")) - F.length(part(2)) + exponent
+    exact = (trimmed == "") | (after <= SCALE) & (before <= PRECISION - SCALE)
+    return (text.rlike(NUMBER) | text.rlike(NUMBER_THOUSANDS)) & F.coalesce(exact, F.lit(False))
+
+
+def as_numeric(text: Column) -> Column:
+    """An exact decimal, or null where the number has none."""
+    return F.when(is_numeric(text), _plain(text).try_cast(f"decimal({PRECISION},{SCALE})"))
+
 
+def numeric_text(text: Column) -> Column:
+    """A number's own digits as a database prints them: its scale stays, signs and zeros in front go.
 
-def as_numeric(text: Column, precision: int = 38, scale: int = 10) -> Column:
-    """A decimal; special values and numbers beyond 38 digits have none and stay text."""
-    plain = F.regexp_replace(text, "[,_]", "")
-    return F.when(is_numeric(text), plain.try_cast(f"decimal({precision},{scale})"))
+    Numbers with an exponent are written out, without zeros at the end.
+    """
+    plain = F.regexp_replace(_plain(text), r"^\+", "")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"^(-?)0+(?=[0-9])", "$1"), r"^(-?)\.", "$10.")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"\.$", ""), r"^-(?=[0.]+$)", "")
+    written = F.regexp_replace(F.regexp_replace(as_numeric(text).cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    return F.when(text.rlike("[eE]"), written).otherwise(plain)
 
 
 def as_time(text: Column) -> Column:
@@ -62,7 +93,8 @@ def as_time(text: Column) -> Column:
 
 
 def time_text(text: Column) -> Column:
-    return F.substring(as_time(text).cast("string"), 1, 8)
+    """HH:mm:ss, with the fraction of a second where there is one."""
+    return as_time(text).cast("string")
 
 
 def as_timestamp(text: Column) -> Column:
@@ -85,34 +117,18 @@ def conforms(text: Column, kind: str) -> Column:
     return is_numeric(text) if kind == "NUMERIC" else F.when(text.isNotNull(), READERS[kind](text).isNotNull())
 
 
-def load_type(text: Column, sampled: Column | None = None) -> Column:
-    """Aggregate: the first load type that all present values of the sample conform to, else TEXT."""
-    value = text if sampled is None else F.when(sampled, text)
-    kind = F.lit("TEXT")
-    for name in reversed(LOAD_TYPES):
-        kind = F.when(F.bool_and(conforms(value, name)), name).otherwise(kind)
-    return F.when(F.count(value) == 0, "TEXT").otherwise(kind)
-
-
-def misfits(text: Column, kind: str) -> Column:
-    """Aggregate: whether some present value does not read as ``kind`` (so the column widens to text)."""
-    if kind == "TEXT":
-        return F.lit(False)
-    return F.coalesce(F.bool_or(~conforms(text, kind)), F.lit(False))
-
-
 def text_form(text: Column, kind: str) -> Column:
     """What a value reads as after its column was widened: the typed value's text, else the raw text."""
     if kind == "TEXT":
         return text
     if kind == "NUMERIC":
-        return F.when(is_numeric(text), F.regexp_replace(text, "[,_]", "")).otherwise(text)
+        return F.when(is_numeric(text), numeric_text(text)).otherwise(text)
     return F.coalesce(READERS[kind](text).cast("string"), text)
 
 
 # Name tokens of the proposal rules.
-IDENTIFIER_TOKENS = frozenset("account client code customer document guid id identifier no number subnumber".split())
-DATE_TOKENS = frozenset("created date dt due end modified start updated".split())
+IDENTIFIER_TOKENS = frozenset({"account", "client", "code", "customer", "document", "guid", "id", "identifier", "no", "number", "subnumber"})
+DATE_TOKENS = frozenset({"created", "date", "dt", "due", "end", "modified", "start", "updated"})
 INT64_MAX, INT64_MIN = str(2**63 - 1), str(2**63)
 SIGNED, DECIMAL = r"^[+-]?[0-9]+$", r"^[+-]?[0-9]+\.[0-9]+$"
 
