@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,30 +20,22 @@ def deduplicated(entries: DataFrame) -> DataFrame:
 def matches(entries: DataFrame, columns: DataFrame) -> DataFrame:
     """(position, db_name) pairs. ``entries``: position, source, target; ``columns``: source_name, db_name.
 
-    With a target only the target counts. Each rule is an equi-join key, so the join never
-    compares all pairs; both sides are as small as a table's columns.
+    With a target only the target counts, and its snake-case form only where no column has its name.
+    Each rule is an equi-join key, so the join never compares all pairs; both sides are as small as a
+    table's columns.
     """
     last = F.substring_index(F.col("source"), ".", -1)
-    qualified = F.contains(F.col("source"), F.lit("."))
-    wanted = F.when(
-        F.col("target").isNotNull(),
-        F.array(F.struct(F.lit("name").alias("kind"), F.lower("target").alias("key")), F.struct(F.lit("name").alias("kind"), snake(F.col("target")).alias("key"))),
-    ).otherwise(
-        F.array(
-            F.struct(F.lit("full").alias("kind"), F.lower("source").alias("key")),
-            F.struct(F.lit("last").alias("kind"), F.lower(last).alias("key")),
-            F.struct(F.lit("name").alias("kind"), F.when(~qualified, F.lower("source")).alias("key")),
-            F.struct(F.lit("name").alias("kind"), snake(last).alias("key")),
-        )
-    )
-    offered = F.array(
-        F.struct(F.lit("full").alias("kind"), F.lower("source_name").alias("key")),
-        F.struct(F.lit("last").alias("kind"), F.lower(F.substring_index("source_name", ".", -1)).alias("key")),
-        F.struct(F.lit("name").alias("kind"), F.col("db_name").alias("key")),
-    )
-    left = entries.select("position", F.explode(wanted).alias("k")).select("position", "k.kind", "k.key")
+    key = lambda tier, kind, k: F.struct(F.lit(tier).alias("tier"), F.lit(kind).alias("kind"), k.alias("key"))
+    by_target = F.array(key(0, "name", F.lower(F.trim("target"))), key(1, "name", snake(F.col("target"))))
+    unqualified = F.when(~F.contains(F.col("source"), F.lit(".")), F.lower("source"))
+    by_source = F.array(key(0, "full", F.lower("source")), key(0, "last", F.lower(last)), key(0, "name", unqualified), key(0, "name", snake(F.lower(last))))
+    trimmed = F.lower(F.trim("source_name"))
+    offered = F.array(key(0, "full", trimmed), key(0, "last", F.trim(F.substring_index(trimmed, ".", -1))), key(0, "name", F.lower("db_name")))
+    left = entries.select("position", F.explode(F.when(F.col("target").isNotNull(), by_target).otherwise(by_source)).alias("k")).select("position", "k.*")
     right = columns.select("db_name", F.explode(offered).alias("k")).select("db_name", "k.kind", "k.key")
-    return left.join(right, ["kind", "key"]).select("position", "db_name").distinct()
+    met = left.join(right, ["kind", "key"]).groupBy("position", "db_name").agg(F.min("tier").alias("tier"))
+    best = met.groupBy("position").agg(F.min("tier").alias("tier"))
+    return met.join(best, ["position", "tier"]).select("position", "db_name")
 
 
 def resolved(entries: DataFrame, columns: DataFrame) -> DataFrame:
@@ -64,13 +58,23 @@ def merged_comments(found: DataFrame) -> DataFrame:
     return found.where("status = 'matched'").groupBy("db_name").agg(folded.alias("comment"))
 
 
-def comment_map(entries: DataFrame, columns: DataFrame, merge: bool = False) -> tuple[dict[str, str], list[str]]:
-    """Comments by column and the sources that matched nothing; ambiguity or conflict fails."""
+@dataclass(frozen=True)
+class Attached:
+    """Comments by column, the columns by matched source, and the sources that matched nothing."""
+
+    comments: dict[str, str]
+    matched: dict[str, str]
+    unmatched: list[str]
+
+
+def attached(entries: DataFrame, columns: DataFrame, merge: bool = False) -> Attached:
+    """The comments of a mapping (position, source, target, comment); ambiguity or, without ``merge``, conflict fails."""
     found = resolved(deduplicated(entries), columns)
-    if found.where("status = 'ambiguous'").limit(1).count():
+    rows = found.select("source", "db_name", "status", "position").orderBy("position").collect()  # as many as a mapping file has
+    if any(r["status"] == "ambiguous" for r in rows):
         raise MappingFailed("ambiguous_mapping")
-    table = merged_comments(found) if merge else comments(found)
-    if not merge and table.where("conflict").limit(1).count():
+    table = (merged_comments(found).withColumn("conflict", F.lit(False)) if merge else comments(found)).collect()
+    if any(r["conflict"] for r in table):
         raise MappingFailed("conflicting_comments")
-    lost = [r["source"] for r in found.where("status = 'unmatched'").orderBy("position").collect()]
-    return {r["db_name"]: r["comment"] for r in table.collect()}, list(dict.fromkeys(lost))
+    matched = {r["source"]: r["db_name"] for r in rows if r["status"] == "matched"}
+    return Attached({r["db_name"]: r["comment"] for r in table}, matched, list(dict.fromkeys(r["source"] for r in rows if r["status"] == "unmatched")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.text import present
@@ -12,40 +12,19 @@ def texts(cells: Column) -> Column:
     return F.transform(cells, lambda c: c["text"])
 
 
-def expanded(cells: Column) -> Column:
-    """Column-span expansion of array<struct<text, colspan>> without leaving the JVM."""
-    return F.flatten(F.transform(cells, lambda c: F.array_repeat(c["text"], c["colspan"])))
-
-
-def not_blank(cells: Column) -> Column:
-    return F.exists(cells, lambda c: F.trim(c) != "")
-
-
-def numbered_headers(headers: Column) -> Column:
-    return F.transform(headers, lambda h, i: F.when(h == "", F.concat(F.lit("col_"), (i + 1).cast("string"))).otherwise(h))
-
-
 def primary(rows: DataFrame) -> DataFrame:
     """Rows of each artifact's largest table (columns times data rows, the first of equals)."""
-    good = rows.where("error_code is null and row_index is not null")
-    shape = good.groupBy("artifact_sha256", "table_ordinal").agg((F.count("*") - 1).alias("data_rows"), F.max(F.when(F.col("is_header_row"), F.size("cells"))).alias("columns"))
-    best = shape.groupBy("artifact_sha256").agg(F.max_by("table_ordinal", F.struct(F.col("columns") * F.greatest("data_rows", F.lit(1)), -F.col("table_ordinal"))).alias("table_ordinal"))
-    return good.join(best, ["artifact_sha256", "table_ordinal"])
+    return rows.where("is_primary")
 
 
 def only_table(rows: DataFrame) -> DataFrame:
-    """Data rows of artifacts with exactly one table that has a header; blank rows before it stay."""
-    counts = rows.where("error_code is null").groupBy("artifact_sha256").agg(F.count_distinct("table_ordinal").alias("n"), F.bool_or(F.coalesce("is_header_row", F.lit(False))).alias("headed"))
-    return rows.join(counts.where("n = 1 and headed").select("artifact_sha256"), "artifact_sha256", "left_semi")
+    """Rows of artifacts with exactly one table that has a header; blank rows before it stay."""
+    return rows.where("error_code is null and table_count = 1 and headers is not null")
 
 
 def data_rows(rows: DataFrame) -> DataFrame:
-    """Rows without the header, numbered from 1 in each table, with their header texts."""
-    heads = rows.where("is_header_row").select("artifact_sha256", "table_ordinal", texts(F.col("cells")).alias("headers"))
-    kept = rows.where("not is_header_row")
-    table = Window.partitionBy("artifact_sha256", "table_ordinal").orderBy("row_index")
-    numbered = kept.withColumn("row_no", F.row_number().over(table).cast("long"))
-    return numbered.join(heads, ["artifact_sha256", "table_ordinal"]).select("artifact_sha256", "table_ordinal", "row_index", "row_no", "headers", texts(F.col("cells")).alias("cells"))
+    """Rows without the header, numbered from 1 in each table, cells as texts."""
+    return rows.where("not is_header_row").withColumn("cells", texts(F.col("cells")))
 
 
 def as_maps(rows: DataFrame) -> DataFrame:

@@ -47,22 +47,18 @@ def missing_headers(headers: Column, required: Column) -> Column:
     return F.array_except(F.transform(required, lambda h: F.upper(h)), upper(headers))
 
 
-def verdicts(rows: DataFrame, explicit: list[str] | None = None, table: str | None = None, need_rows: bool = True) -> DataFrame:
-    """One row an artifact: column and row counts, first ragged row (1-based) and the first failing rule.
-
-    ``rows``: artifact_sha256, row_index (0: header), cells (texts).
-    """
-    width = F.max(F.when(F.col("row_index") == 0, F.size("cells")))
-    found = rows.groupBy("artifact_sha256").agg(
-        F.max(F.when(F.col("row_index") == 0, F.col("cells"))).alias("headers"),
-        F.coalesce(width, F.lit(0)).cast("long").alias("column_count"),
-        F.count(F.when(F.col("row_index") > 0, 1)).alias("data_row_count"),
-    )
-    first = rows.join(found.select("artifact_sha256", "column_count"), "artifact_sha256").where("row_index > 0 and size(cells) <> column_count").groupBy("artifact_sha256").agg(F.min("row_index").cast("long").alias("ragged_row"))
-    judged = found.join(first, "artifact_sha256", "left")
+def failure(explicit: list[str] | None = None, table: str | None = None, need_rows: bool = True) -> Column:
+    """The first rule that a leniently parsed table fails, from any of its rows; null where it passes."""
     lacking = missing_headers(F.col("headers"), required_headers(F.col("headers"), F.lit(table).cast("string"), explicit))
-    rule = F.when(F.col("column_count") == 0, "no_headers").when(F.exists("headers", lambda h: F.trim(h) == ""), "blank_header").when(F.size(lacking) > 0, "missing_headers")
+    rule = F.when(F.size("headers") == 0, "no_headers").when(F.exists("headers", lambda h: F.trim(h) == ""), "blank_header").when(F.size(lacking) > 0, "missing_headers")
     rule = rule.when(F.col("ragged_row").isNotNull(), "ragged_row")
-    if need_rows:
-        rule = rule.when(F.col("data_row_count") == 0, "no_data_rows")
-    return judged.withColumn("failure", rule).withColumn("headers", F.transform("headers", lambda h: F.trim(h)))
+    return rule.when(F.col("data_row_count") == 0, "no_data_rows") if need_rows else rule
+
+
+def verdicts(rows: DataFrame, *carried: str, **rules) -> DataFrame:
+    """One row an artifact: its primary table's headers, counts, first ragged row and first failing rule.
+
+    ``rows`` are leniently parsed; the rules (explicit, table, need_rows) are those of :func:`failure`.
+    """
+    heads = rows.where("is_primary and is_header_row")
+    return heads.select("artifact_sha256", *carried, F.transform("headers", lambda h: F.trim(h)).alias("headers"), "column_count", "data_row_count", "ragged_row", failure(**rules).alias("failure"))

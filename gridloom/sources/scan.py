@@ -32,9 +32,9 @@ def too_large(length: Column, budgets: Budgets = Budgets()) -> Column:  # noqa:
 
 
 def within(files: DataFrame, budgets: Budgets = Budgets()) -> tuple[DataFrame, DataFrame]:  # noqa: B008
-    """Readable files, and (path, error_code) of the rest; the length filter reaches the scan."""
+    """Readable files, and (path, length, error_code) of the rest; the length filter reaches the scan."""
     fit = files.where(F.col("length") <= budgets.source_bytes)
-    over = files.where(F.col("length") > budgets.source_bytes).select("path", too_large(F.col("length"), budgets).alias("error_code"))
+    over = files.where(F.col("length") > budgets.source_bytes).select("path", "length", too_large(F.col("length"), budgets).alias("error_code"))
     return fit, over
 
 
