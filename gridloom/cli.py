@@ -9,19 +9,20 @@ import sys
 from pathlib import Path
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from gridloom.errors import GridloomError, ParseError
 from gridloom.limits import Budgets
-from gridloom.operators.inspect import reports
+from gridloom.operators.inspect import report_json, reports
 from gridloom.operators.propose import propose
 from gridloom.operators.tables import data_rows, long_cells, only_table
 from gridloom.plans.ddl import DEFAULT_TABLE
-from gridloom.plans.load import MODES, batch, lineage_record, write_lineage
+from gridloom.plans.jdbc import JdbcTable
+from gridloom.plans.load import MODES, batch, write_lineage
 from gridloom.plans.snapshot import SnapshotTable
+from gridloom.session import Run, prepared
 from gridloom.sources import mapping
 from gridloom.sources.parse import parse
-from gridloom.sources.scan import artifacts, identified
+from gridloom.sources.scan import artifacts, identified, within
 
 STORE_VARIABLE, SOURCE_VARIABLE = "GRIDLOOM_STORE", "GRIDLOOM_SOURCE"
 
@@ -69,23 +70,27 @@ def arguments() -> argparse.ArgumentParser:
 
 def _examined(spark: SparkSession, options: argparse.Namespace) -> dict:
     budgets = Budgets(**({"source_bytes": options.max_source_bytes} if options.max_source_bytes is not None else {}))
-    found = artifacts(spark, options.source)
-    if found.limit(1).count() == 0:
-        raise ParseError("source_read_failed")
-    if found.where(F.col("length") > budgets.source_bytes).limit(1).count():
-        raise ParseError("source_too_large")
-    known = identified(found)
-    rows = parse(known, "strict", budgets).persist()
-    failed = rows.where("error_code is not null").select("error_code").first()
-    if failed:
-        raise ParseError(failed[0])
-    if options.command == "inspect":
-        return json.loads(reports(known, rows).drop("error_code").toJSON().first())
-    data = data_rows(only_table(rows))
-    head = data.select("artifact_sha256", "headers").first()
-    if head is None:
-        raise ParseError("schema_proposal_failed")
-    return propose(long_cells(data), head["headers"], head["artifact_sha256"]).to_dict()
+    fit, over = within(artifacts(spark, options.source), budgets)
+    refused = over.select("error_code").first()
+    if refused:
+        raise ParseError(refused[0])
+    run = Run(prepared(spark), "examined")
+    rows = run.table(parse(identified(fit), "strict", budgets), "rows")
+    try:
+        if rows.isEmpty():
+            raise ParseError("source_read_failed")
+        failed = rows.where("error_code is not null").select("error_code").first()
+        if failed:
+            raise ParseError(failed[0])
+        if options.command == "inspect":
+            return json.loads(report_json(reports(rows)).first()["report"])
+        data = data_rows(only_table(rows))
+        head = data.select("artifact_sha256", "headers").first()
+        if head is None:
+            raise ParseError("schema_proposal_failed")
+        return propose(long_cells(data), head["headers"], head["artifact_sha256"]).to_dict()
+    finally:
+        run.drop(rows)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -99,18 +104,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if options.command in ("inspect", "propose"):
             print(json.dumps(_examined(spark, options), indent=2 if options.pretty else None, ensure_ascii=False))
             return 0
-        sink = None if options.dry_run else SnapshotTable(spark, options.store, options.table_name)
+        sink = None if options.dry_run else JdbcTable(spark, options.store, options.table_name) if options.store.startswith("jdbc:") else SnapshotTable(spark, options.store, options.table_name)
         extra = {"limit": options.limit, "recursive": not options.no_recursive, "continue_on_error": options.continue_on_error} if options.command == "batch" else {}
-        comments = {e.target or e.source: e.comment for e in mapping.load(options.column_mapping).entries} if options.column_mapping else None
-        done = batch(spark, options.source, sink, on_duplicate=options.on_duplicate, required=header_list(options.required_headers), comments=comments, **extra)
-        summary = done.summary()
+        named = mapping.load(options.column_mapping) if options.column_mapping else None
+        done = batch(spark, options.source, sink, on_duplicate=options.on_duplicate, required=header_list(options.required_headers), mapping=named, **extra)
+        summary = done.summary() | ({"column_mapping": done.mapping} if named else {})
         print(json.dumps(summary) if options.json else " ".join(f"{k}={v}" for k, v in summary.items()))
         if options.command == "load":
             if options.ddl_out:
                 Path(options.ddl_out).write_text(done.ddl + "\n", encoding="utf-8")
-            row = done.outcomes.first()
-            if options.lineage_json and row is not None:
-                write_lineage(lineage_record(row["sha256"], Path(options.source).stat().st_size, Path(options.source).stat().st_mtime_ns, row["rows"], options.table_name, ""), options.lineage_json)
+            details = done.details() if options.lineage_json else None
+            if details:
+                changed = Path(options.source).stat().st_mtime_ns if Path(options.source).is_file() else None
+                write_lineage(details["lineage"] | {"source_artifact_mtime_ns": changed} | ({"skipped": True} if details["skipped"] else {}), options.lineage_json)
         return 1 if summary["failure_count"] or not summary["artifact_count"] else 0
     except GridloomError as error:
         print(json.dumps(error.to_dict()), file=sys.stderr)

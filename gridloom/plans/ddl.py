@@ -8,7 +8,7 @@ from pyspark.sql.types import BooleanType, DataType, DateType, DecimalType, Long
 
 from gridloom.errors import GridloomError
 from gridloom.functions.naming import safe_identifier, sql_literal, unique_snake_names
-from gridloom.functions.types import LOAD_TYPES
+from gridloom.functions.types import LOAD_TYPES, PRECISION, SCALE
 
 DEFAULT_TABLE = "web_table_rows"
 SUPPORTED = (*LOAD_TYPES, "TEXT")
@@ -47,11 +47,17 @@ class Table:
         return replace(self, columns=tuple(replace(c, comment=comments.get(c.name, c.comment)) for c in self.columns))
 
 
-def spark_type(logical: str) -> DataType:
-    """Storage type of a load type. Times are stored as HH:mm:ss text: parquet readers differ on TIME."""
+def spark_type(logical: str, stored: bool = False) -> DataType:
+    """Type of a load type when read. Times are text, as parquet readers differ on TIME; numbers are stored as their digits."""
     if logical not in SUPPORTED:
         raise GridloomError("unsupported_type")
-    return {"BOOLEAN": BooleanType(), "BIGINT": LongType(), "NUMERIC": DecimalType(38, 10), "TIMESTAMP": TimestampNTZType(), "DATE": DateType()}.get(logical, StringType())
+    if stored and logical == "NUMERIC":
+        return StringType()
+    return {"BOOLEAN": BooleanType(), "BIGINT": LongType(), "NUMERIC": DecimalType(PRECISION, SCALE), "TIMESTAMP": TimestampNTZType(), "DATE": DateType()}.get(logical, StringType())
+
+
+def lineage_types() -> list[str]:
+    return [n for n, _ in LINEAGE]
 
 
 def table_of(name: str, headers: list[str], types: list[str]) -> Table:

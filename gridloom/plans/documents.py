@@ -13,7 +13,7 @@ from gridloom.functions.text import canonical_json, digest
 from gridloom.operators.propose import TYPES, SchemaProposal
 
 CONTRACT, TARGET, SOURCE = "1.0.0", "column-catalog", "gridloom"
-NODES, EDGES = "/graph/nodes", "/graph/edges"
+NODES, EDGES, KEY_PREFIX = "/graph/nodes", "/graph/edges", "catalog_write_"
 OPAQUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.:/-]{0,127}")
 COLUMN_FIELDS = ("target_column_name", "proposed_type", "nullable", "non_null_count", "distinct_count", "maximum_text_length", "maximum_numeric_precision", "maximum_numeric_scale")
 
@@ -91,7 +91,7 @@ def envelope(graph: Manifest, tenant: str, actor: str, approval: str) -> Envelop
     for path, items in ((NODES, graph.nodes), (EDGES, graph.edges)):
         for item in items:
             body = item | {"actor": actor}
-            requests.append({"method": "POST", "path": path, "idempotency_key": f"catalog_write_{digest(bound | {'path': path, 'body': body})[:32]}", "body": body})
+            requests.append({"method": "POST", "path": path, "idempotency_key": f"{KEY_PREFIX}{digest(bound | {'path': path, 'body': body})[:32]}", "body": body})
     identity = {"contract_version": CONTRACT, "target_system": TARGET, **bound, "actor": actor, "requests": requests}
     return Envelope(f"catalog_handoff_{digest(identity)[:32]}", tuple(requests))
 

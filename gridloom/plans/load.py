@@ -1,10 +1,10 @@
-"""Loading artifacts into a snapshot table: skip or replace, lineage, outcomes as rows."""
+"""Loading artifacts into a sink: skip or replace, comments, lineage, outcomes as rows."""
 
 from __future__ import annotations
 
 import json
-import tempfile
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import Column as SparkColumn
@@ -15,11 +15,15 @@ from gridloom.errors import LoadFailed
 from gridloom.functions import types
 from gridloom.functions.naming import unique_snake_names
 from gridloom.functions.text import present
-from gridloom.operators.tables import as_maps, data_rows, long_cells, primary, texts
-from gridloom.operators.validate import verdicts
+from gridloom.operators.mapping import Attached, attached
+from gridloom.operators.tables import as_maps, data_rows, long_cells
+from gridloom.operators.validate import failure
 from gridloom.plans.ddl import DEFAULT_TABLE, Column, Table, ddl
 from gridloom.plans.profile import column_types, merged_types, promoted
+from gridloom.plans.sink import Sink
 from gridloom.plans.snapshot import SnapshotTable
+from gridloom.session import Run, prepared
+from gridloom.sources.mapping import MappingDocument
 from gridloom.sources.parse import parse
 from gridloom.sources.scan import artifacts as scanned
 from gridloom.sources.scan import identified
@@ -29,19 +33,38 @@ MODES = ("skip", "replace")
 
 @dataclass
 class LoadResult:
+    """Outcomes (one row an artifact), the table after the load, and what became of the mapping."""
+
     outcomes: DataFrame
+    sink: Sink
     table: Table
     ddl: str
     inserted: int
-    unmatched: list[str] = field(default_factory=list)
+    loaded_at: datetime
+    mapping: dict | None = None
+    totals: dict = field(default_factory=dict)
 
     def summary(self) -> dict:
         """Batch totals; no header, value or path."""
-        r = self.outcomes.agg(
-            F.count("*"), F.sum(F.col("ok").cast("int")), F.sum((~F.col("ok")).cast("int")), F.sum(F.col("skipped").cast("int")), F.sum("rows"), F.sum("inserted_rows")
-        ).first()
-        names = ("artifact_count", "success_count", "failure_count", "skipped_count", "total_rows", "inserted_rows")
-        return dict(zip(names, [int(x or 0) for x in r], strict=True)) | {"table_name": self.table.name}
+        if not self.totals:
+            one = lambda c: F.sum(F.col(c).cast("int")).alias(c)
+            r = self.outcomes.agg(F.count("*").alias("n"), one("ok"), one("skipped"), F.sum("rows").alias("rows"), F.sum("inserted_rows").alias("inserted")).first()
+            n, ok, skipped, rows, inserted = (int(x or 0) for x in r)
+            self.totals = {"artifact_count": n, "success_count": ok, "failure_count": n - ok, "skipped_count": skipped, "total_rows": rows, "inserted_rows": inserted, "table_name": self.table.name}
+        return self.totals
+
+    def details(self) -> dict | None:
+        """All about the load of a single artifact: headers by type, comments, mapping report, catalog entry, lineage."""
+        one = self.outcomes.first()
+        if one is None:
+            return None
+        entry = self.sink.catalog().where(F.col("source_artifact_sha256") == one["sha256"]).drop("load_id").first()
+        entry = entry.asDict() | {"loaded_at": entry["loaded_at"].isoformat()} if entry else None
+        return {
+            "ok": one["ok"], "skipped": one["skipped"], "replaced": one["replaced"], "error": one["error"], "inserted_rows": one["inserted_rows"], "data_row_count": one["rows"], "table_name": self.table.name,
+            "schema": self.table.types(), "column_comments": self.table.comments(), "column_mapping": self.mapping, "ddl": self.ddl, "catalog": entry, "source_sha256": one["sha256"],
+            "lineage": lineage_record(one["sha256"], one["size"], None, one["rows"], self.table.name, self.loaded_at), "queryable": {"table_name": self.table.name, "row_count": self.sink.count()},
+        }
 
 
 def first_of_equals(found: DataFrame) -> DataFrame:
@@ -50,88 +73,109 @@ def first_of_equals(found: DataFrame) -> DataFrame:
     return found.join(first, "artifact_sha256").withColumn("repeat", F.col("path") != F.col("_first")).drop("_first")
 
 
-def typed_value(text: SparkColumn, kind: str) -> SparkColumn:
-    """A stripped text as its column stores it."""
-    if kind == "TEXT":
-        return text
-    return types.time_text(text) if kind == "TIME" else types.READERS[kind](text)
+def stored_value(text: SparkColumn, kind: str) -> SparkColumn:
+    """A stripped text as its column stores it: numbers as their own digits, times as text."""
+    if kind in ("TEXT", "NUMERIC", "TIME"):
+        return types.text_form(text, kind)
+    return types.READERS[kind](text)
 
 
-def load(spark: SparkSession, sink: SnapshotTable, found: DataFrame, on_duplicate: str = "skip", required: list[str] | None = None, comments: dict[str, str] | None = None, continue_on_error: bool = True) -> LoadResult:
+def load(
+    spark: SparkSession, sink: Sink, found: DataFrame, on_duplicate: str = "skip", required: list[str] | None = None, mapping: MappingDocument | None = None, comments: dict[str, str] | None = None,
+    continue_on_error: bool = True,
+) -> LoadResult:
     """Load ``found`` (path, content) as one job. Failing artifacts are outcomes, not job failures.
 
-    Without ``continue_on_error`` the first failure in path order ends the load: what comes before it
-    is loaded, nothing from it on, and LoadFailed is raised.
+    Contents are hashed first, so that what is loaded already is not parsed. What is new is parsed once, to a
+    table of the run; everything after that reads it. Comments come by column name, or from a mapping
+    that is resolved against the columns that arrive. Without ``continue_on_error`` the first failure in
+    path order ends the load: what comes before it is loaded, nothing from it on, and LoadFailed is raised.
     """
     if on_duplicate not in MODES:
         raise LoadFailed("invalid_on_duplicate")
-    base, state = sink.version(), sink.state()
-    known = first_of_equals(identified(found)).persist()
-    loaded = sink.catalog().where(F.col("load_status_code") == "loaded").select(F.col("source_artifact_sha256").alias("artifact_sha256"), F.col("row_count").alias("loaded_rows"))
-    known = known.join(loaded, "artifact_sha256", "left")
-    fresh = known.where(~F.col("repeat") & (F.col("loaded_rows").isNull() | F.lit(on_duplicate == "replace")))
-    parsed = parse(fresh, "lenient").persist()
-    chosen = primary(parsed)
-    checks = verdicts(chosen.select("artifact_sha256", "row_index", texts(F.col("cells")).alias("cells")), required)
-    good = chosen.join(checks.where("failure is null").select("artifact_sha256"), "artifact_sha256", "left_semi")
-    rows = data_rows(good)
+    run, now, replaces = Run(prepared(spark), "load"), datetime.now(timezone.utc), on_duplicate == "replace"
+    base, live = sink.version(), sink.table()
+    identity = run.table(identified(found.select("path", "content")).select("path", "artifact_sha256", "reference", F.octet_length("content").cast("long").alias("size")), "identity")
+    known = run.table(first_of_equals(identity).join(sink.loaded(), "artifact_sha256", "left"), "known")
+    fresh = known.where(~F.col("repeat") & (F.col("loaded_rows").isNull() | F.lit(replaces))).select("path", "artifact_sha256", "reference", "size")
+    rows = parse(found.select("path", "content").join(fresh, "path"), "lenient", carry=("path", "reference", "size"))
+    judged = F.coalesce("error_code", failure(required, sink.name)).alias("failure")
+    parsed = run.table(rows.where("is_primary or error_code is not null").select("*", judged), "parsed")
+    heads = parsed.where("is_header_row or error_code is not null").select("artifact_sha256", "path", "reference", "size", "failure", F.col("data_row_count").alias("arrived"))
+
+    good, stop = F.col("failure").isNull(), None
     if not continue_on_error:
-        stop = fresh.join(rows.select("artifact_sha256"), "artifact_sha256", "left_anti").agg(F.min("path")).first()[0]
-        if stop is not None:
-            load(spark, sink, found.where(F.col("path") < stop), on_duplicate, required, comments)
-            raise LoadFailed("batch_failed")
-    profile = column_types(long_cells(rows))
+        stop = heads.where(~good).agg(F.min("path")).first()[0]
+        good &= F.lit(True) if stop is None else F.col("path") < stop
+    data = data_rows(parsed.where(good))
+    profile = run.table(column_types(long_cells(data)), "profile")
     arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in merged_types(profile).collect()}  # headers are at most a few thousand
 
-    live = {c["source_name"]: c for c in state["columns"]}
-    headers = list(live) + [h for h, _ in sorted(arriving.items(), key=lambda x: (x[1][0], x[0])) if h not in live]
-    names = unique_snake_names(headers)
-    columns = []
-    for header, name in zip(headers, names, strict=True):
-        old = live.get(header)
-        kind = promoted(old["type"] if old else None, arriving[header][1], False) if header in arriving else old["type"]
-        columns.append(Column(header, old["name"] if old else name, kind, (comments or {}).get(name, old["comment"] if old else None)))
-    table = Table(sink.name, tuple(columns))
-
-    mapped = as_maps(rows).join(known.where("not repeat").select("artifact_sha256", "reference"), "artifact_sha256")
-    value = lambda c: present(F.try_element_at("values", F.lit(c.source_name)))
-    stored = {c.name: c.type for c in columns if c.source_name in arriving}
-    met = {c.source_name: arriving[c.source_name][2] for c in columns if c.source_name in arriving}
-    if any(len(met[c.source_name]) > 1 for c in columns if c.source_name in met and c.type == "TEXT"):
-        kinds = profile.groupBy("artifact_sha256").agg(F.map_from_entries(F.collect_list(F.struct("header", "kind"))).alias("kinds"))
-        mapped = mapped.join(kinds, "artifact_sha256")
-    cells = [_stored(value(c), c, met[c.source_name]).alias(c.name) for c in columns if c.source_name in met]
-    lineage = [F.col("reference").alias("source_artifact_path"), F.col("artifact_sha256").alias("source_artifact_sha256"), F.col("row_no").alias("source_row_number"), F.current_timestamp().alias("loaded_at")]
+    table = merged_table(live, {h: (at, kind) for h, (at, kind, _) in arriving.items()}).commented(comments or {})
+    report = None
+    if mapping is not None and arriving:
+        table, report = commented(spark, table, set(arriving), mapping)
+    sink.refuse_split([c for c in table.columns if c.source_name in arriving])
+
     inserted = 0
-    load_id = None
     if arriving:
-        load_id = sink.write_rows(mapped.select(*cells, *lineage))
-        counts = spark.read.parquet(f"{sink.root}/rows/{load_id}").groupBy("source_artifact_sha256").agg(F.count("*").alias("row_count"))
-        sizes = known.where("not repeat").select(F.col("artifact_sha256").alias("source_artifact_sha256"), F.col("reference").alias("source_artifact_path"), F.octet_length("content").cast("long").alias("source_artifact_size"))
-        entries = counts.join(sizes, "source_artifact_sha256").withColumns({"table_name": F.lit(sink.name), "load_status_code": F.lit("loaded"), "loaded_at": F.current_timestamp(), "load_id": F.lit(load_id)})
-        inserted = counts.agg(F.sum("row_count")).first()[0] or 0
-        sink.commit(table, {load_id: stored}, entries, base)
-    elif comments:
-        sink.commit(table, {}, sink.catalog().limit(0), base)
-
-    done = sink.catalog().where(F.col("load_id") == load_id).select(F.col("source_artifact_sha256").alias("artifact_sha256"), "row_count") if load_id else sink.catalog().limit(0).select(F.col("source_artifact_sha256").alias("artifact_sha256"), "row_count")
-    errors = parsed.where("error_code is not null").select("artifact_sha256", "error_code").unionByName(checks.where("failure is not null").select("artifact_sha256", F.col("failure").alias("error_code")))
-    joined = known.join(done, "artifact_sha256", "left").join(errors, "artifact_sha256", "left")
-    skipped = F.col("repeat") | (F.col("loaded_rows").isNotNull() & F.lit(on_duplicate == "skip"))
-    ok = skipped | F.col("row_count").isNotNull()
-    outcomes = joined.select(
-        "reference", F.col("artifact_sha256").alias("sha256"), ok.alias("ok"), skipped.alias("skipped"), (F.col("loaded_rows").isNotNull() & ~skipped & ok).alias("replaced"),
-        F.coalesce(F.when(skipped, F.coalesce("loaded_rows", "row_count")).otherwise(F.col("row_count")), F.lit(0)).alias("rows"),
-        F.when(skipped, 0).otherwise(F.coalesce("row_count", F.lit(0))).cast("long").alias("inserted_rows"),
-        F.when(~ok, F.coalesce("error_code", F.lit("no_table"))).alias("error"), F.lit(sink.name).alias("table_name"),
+        types_of = {c.name: c.type for c in table.columns if c.source_name in arriving}
+        value = lambda c: present(F.try_element_at("values", F.lit(c.source_name)))
+        met = {c.source_name: arriving[c.source_name][2] for c in table.columns if c.source_name in arriving}
+        mapped = as_maps(data)
+        if any(len(met[c.source_name]) > 1 for c in table.columns if c.source_name in met and c.type == "TEXT"):
+            kinds = profile.groupBy("artifact_sha256").agg(F.map_from_entries(F.collect_list(F.struct("header", "kind"))).alias("kinds"))
+            mapped = mapped.join(kinds, "artifact_sha256")
+        cells = [_stored(value(c), c, met[c.source_name]).alias(c.name) for c in table.columns if c.source_name in met]
+        lineage = [F.col("reference").alias("source_artifact_path"), F.col("artifact_sha256").alias("source_artifact_sha256"), F.col("row_no").alias("source_row_number"), F.lit(now).alias("loaded_at")]
+        load_id = sink.write_rows(mapped.select(*cells, *lineage), types_of)
+        entries = heads.where(good).select(
+            F.col("artifact_sha256").alias("source_artifact_sha256"), F.lit(sink.name).alias("table_name"), F.col("reference").alias("source_artifact_path"), F.col("size").alias("source_artifact_size"),
+            F.col("arrived").alias("row_count"), F.lit("loaded").alias("load_status_code"), F.lit(now).alias("loaded_at"),
+        )
+        inserted = heads.where(good).agg(F.sum("arrived")).first()[0] or 0
+        sink.commit(table, load_id, types_of, entries, base, replaces)
+    elif table != live:
+        sink.commit(table, None, {}, None, base)
+
+    skipped = F.col("repeat") | (F.col("loaded_rows").isNotNull() & F.lit(not replaces))
+    outcomes = known.join(heads.select("artifact_sha256", "failure", "arrived"), "artifact_sha256", "left").select(
+        "reference", F.col("artifact_sha256").alias("sha256"), "size", (skipped | F.col("failure").isNull()).alias("ok"), skipped.alias("skipped"),
+        (F.col("loaded_rows").isNotNull() & ~skipped & F.col("failure").isNull()).alias("replaced"),
+        F.when(skipped, F.coalesce("loaded_rows", "arrived", F.lit(0))).otherwise(F.when(F.col("failure").isNull(), F.col("arrived")).otherwise(0)).cast("long").alias("rows"),
+        F.when(skipped | F.col("failure").isNotNull(), 0).otherwise(F.col("arrived")).cast("long").alias("inserted_rows"), F.when(~skipped, F.col("failure")).alias("error"), F.lit(sink.name).alias("table_name"),
     )
-    return LoadResult(outcomes, table, ddl(table), inserted)
+    outcomes = run.table(outcomes, "outcomes")
+    run.drop(identity, known, parsed, profile)
+    if stop is not None:
+        raise LoadFailed("batch_failed")
+    return LoadResult(outcomes, sink, table, ddl(table), inserted, now, report)
+
+
+def merged_table(live: Table, arriving: dict[str, tuple[int, str]]) -> Table:
+    """The live columns, widened where what arrives (header: place, type) differs, then new ones by place."""
+    old = {c.source_name: c for c in live.columns}
+    headers = [*old, *(h for h, _ in sorted(arriving.items(), key=lambda x: (x[1][0], x[0])) if h not in old)]
+    columns = []
+    for header, name in zip(headers, unique_snake_names(headers), strict=True):
+        was = old.get(header)
+        kind = promoted(was.type if was else None, arriving[header][1], False) if header in arriving else was.type
+        columns.append(Column(header, was.name if was else name, kind, was.comment if was else None))
+    return Table(live.name, tuple(columns))
+
+
+def commented(spark: SparkSession, table: Table, arriving: set[str], mapping: MappingDocument) -> tuple[Table, dict]:
+    """The table with the mapping's comments on the columns that arrive, and the report of what matched."""
+    columns = spark.createDataFrame([(c.source_name, c.name) for c in table.columns if c.source_name in arriving], "source_name string, db_name string")
+    found: Attached = attached(mapping.frame(spark), columns, merge=mapping.kind == "pptx")
+    report = {"path": mapping.reference, "format": mapping.kind, "matched": found.matched, "unmatched": found.unmatched}
+    return table.commented(found.comments), report
 
 
 def _stored(text: SparkColumn, column: Column, met: set[str]) -> SparkColumn:
     """The value by the table's type; in a widened column, the text of the value its artifact's type gives."""
     if column.type != "TEXT":
-        return typed_value(text, column.type)
+        return stored_value(text, column.type)
     if len(met) == 1:
         return types.text_form(text, next(iter(met)))
     kind, out = F.try_element_at("kinds", F.lit(column.source_name)), text
@@ -140,22 +184,25 @@ def _stored(text: SparkColumn, column: Column, met: set[str]) -> SparkColumn:
     return out
 
 
-def batch(spark: SparkSession, source: str, sink: SnapshotTable | None = None, recursive: bool = True, limit: int | None = None, **options) -> LoadResult:
-    """All archives of a folder or glob, in path order. Without a sink it is a dry run in a folder of its own."""
-    found = scanned(spark, source, recursive).select("path", "content")
+def batch(spark: SparkSession, source: str, sink: Sink | None = None, recursive: bool = True, limit: int | None = None, **options) -> LoadResult:
+    """All archives of a folder or glob, in path order. Without a sink it is a dry run, whose table stays in the shared folder."""
+    found = scanned(spark, source, recursive)
     if limit is not None:
-        found = found.orderBy("path").limit(max(0, limit))
+        first = found.select("path").orderBy("path").limit(max(0, limit))
+        found = found.join(F.broadcast(first), "path", "left_semi") if limit <= 10_000 else found.join(first, "path", "left_semi")
     if sink is None:
-        sink = SnapshotTable(spark, "file://" + tempfile.mkdtemp(prefix="gridloom-dry-"), DEFAULT_TABLE)
-    return load(spark, sink, found, **options)
+        sink = SnapshotTable(spark, Run(spark, "dry-run").folder, DEFAULT_TABLE)
+    return load(spark, sink, found.select("path", "content"), **options)
 
 
-def lineage_record(sha: str, size: int, modified_ns: int, rows: int, table: str, loaded_at: str) -> dict:
-    return {"source_artifact_path": f"artifact:{sha[:16].lower()}", "source_artifact_sha256": sha, "source_artifact_size": size, "source_mtime_ns": modified_ns, "row_count": rows, "table_name": table, "loaded_at": loaded_at}
+def lineage_record(sha: str, size: int, modified_ns: int | None, rows: int, table: str, loaded_at: datetime) -> dict:
+    return {
+        "source_artifact_path": f"artifact:{sha[:16].lower()}", "source_artifact_sha256": sha, "source_artifact_size": size, "source_artifact_mtime_ns": modified_ns, "row_count": rows, "table_name": table,
+        "loaded_at": loaded_at.isoformat(),
+    }
 
 
 def write_lineage(record: dict, path: str | Path) -> None:
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
     path.write_text(json.dumps(record, indent=2, ensure_ascii=False) + "\n", encoding="utf-8")
-

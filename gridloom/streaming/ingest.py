@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gridloom.plans.load import load
-from gridloom.plans.snapshot import SnapshotTable
+from gridloom.plans.sink import Sink
 from gridloom.sources.scan import SUFFIX
 
 
@@ -20,7 +20,7 @@ def arriving(spark: SparkSession, folder: str, files_at_a_time: int = 1000) -> D
     return reader.option("maxFilesPerTrigger", files_at_a_time).load(folder).select("path", "content")
 
 
-def ingest(spark: SparkSession, folder: str, sink: SnapshotTable, checkpoint: str, continuous: bool = False, **options) -> StreamingQuery:
+def ingest(spark: SparkSession, folder: str, sink: Sink, checkpoint: str, continuous: bool = False, **options) -> StreamingQuery:
     def one(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
             load(spark, sink, batch, **options)
