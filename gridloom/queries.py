@@ -7,7 +7,6 @@ Artifacts are groups of neighbouring keys, so that their size is bounded at ever
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,8 +17,9 @@ from gridloom.limits import Budgets
 from gridloom.operators import inspect, mapping, propose, tables, validate
 from gridloom.plans import ddl, documents, load, profile
 from gridloom.plans.snapshot import SnapshotTable
-from gridloom.session import prepared, shared_folder
-from gridloom.sources import mime, render
+from gridloom.session import Run, prepared
+from gridloom.sources import mime, render, scan
+from gridloom.sources import mapping as mapping_files
 from gridloom.sources.parse import parse
 from gridloom.sources.scan import identified, location_hash, too_large
 
@@ -52,9 +52,8 @@ def artifacts_of(pages: DataFrame, content: Column | None = None) -> DataFrame:
 
 
 def parsed(pages: DataFrame, mode: str, archived: bool = True) -> DataFrame:
-    """Parsed rows with their artifact_key; artifacts hold their key, so equal bytes mean equal keys."""
-    known = artifacts_of(pages, render.archive(F.col("html")) if archived else None)
-    return parse(known, mode).join(known.select("artifact_key", "artifact_sha256"), "artifact_sha256")
+    """Parsed rows, which carry their artifact_key."""
+    return parse(artifacts_of(pages, render.archive(F.col("html")) if archived else None), mode, carry=("artifact_key",))
 
 
 def cell(i: int) -> Column:
@@ -104,7 +103,7 @@ def lenient_root_largest(spark, sf_dir):
     return whole.mapInArrow(run, "artifact_key long, html_sha256 string")
 
 
-_HTML = "<table><tr><th>a</th></tr><tr><td>1</td></tr></table>"
+_HTML = "<table><tr><th>a</th></tr><tr><td>@</td></tr></table>"
 _PART = "--b\nContent-Type: text/html{more}\n\n" + _HTML + "\n"
 _RELATED = "MIME-Version: 1.0\nContent-Type: multipart/related; boundary=b{more}\n\n"
 # Case: content, expected error code, expected document notes.
@@ -133,7 +132,9 @@ GRID_CASES = {
     "many cells": ("<table><tr><td rowspan=9 colspan=9>a</td></tr></table>", "too_many_cells"),
     "long cell": ("<table><tr><td>" + "x" * 99 + "</td></tr></table>", "cell_text_too_large"),
     "many tables": ("<table></table>" * 5, "too_many_tables"),
-    "fine": ("<table><tr><td rowspan=2>a</td><td>b</td></tr><tr><td>c</td></tr></table>", None),
+    "many cells by rows": ("<table>" + "<tr><td colspan=9>a</td></tr>" * 7 + "<tr><td colspan=0>a</td></tr></table>", "invalid_table_span"),
+    "many cells before a bad table": ("<table>" + "<tr><td colspan=9>a</td></tr>" * 7 + "</table><table><tr><td>a</td><td rowspan=2>b</td></tr><tr><td colspan=2>c</td></tr></table>", "too_many_cells"),
+    "fine": ("<table><tr><td rowspan=2>@</td><td>b</td></tr><tr><td>c</td></tr></table>", None),
 }
 SMALL = Budgets(tables=4, rows=10, columns=10, cells=60, cell_chars=50)
 
@@ -146,22 +147,39 @@ def _values(rows: list[tuple], names: str) -> str:
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(_literal(v) if v is None or isinstance(v, str) else str(v) for v in row) + ')' for row in rows)}) t({names})"
 
 
-def _cases(spark: SparkSession, contents: dict[str, str], budgets: Budgets) -> DataFrame:
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.encode(F.lit(v), "utf-8").alias("content")) for k, v in contents.items()]))
-    known = prepared(spark).range(1).select(rows.alias("c")).select("c.*").withColumn("artifact_sha256", F.sha2("content", 256))
-    return parse(known, "strict", budgets).join(known.select("name", "artifact_sha256"), "artifact_sha256")
+def _cases(spark: SparkSession, sf_dir: str, contents: dict[str, str], budgets: Budgets) -> DataFrame:
+    """Parsed rows of every case for every region: the region's name stands in the cells."""
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(v).alias("page")) for k, v in contents.items()]))
+    known = table(spark, sf_dir, "region").select("r_name", rows.alias("c")).select("r_name", "c.name", F.encode(F.replace("c.page", F.lit("@"), "r_name"), "utf-8").alias("content"))
+    return parse(known.withColumn("artifact_sha256", F.sha2("content", 256)), "strict", budgets, carry=("r_name", "name"))
 
 
-@query(_values([(name, code, notes) for name, (_, code, notes) in ROOT_CASES.items()], "name, error_code, notes"))
+def _each_region(cases: list[tuple], names: str) -> str:
+    return f"SELECT r_name, t.* FROM region, ({_values(cases, names)}) t"
+
+
+@query(_each_region([(name, code, notes) for name, (_, code, notes) in ROOT_CASES.items()], "name, error_code, notes"))
 def strict_root(spark, sf_dir):
-    rows = _cases(spark, {k: v[0] for k, v in ROOT_CASES.items()}, Budgets())
-    return rows.groupBy("name").agg(F.max("error_code").alias("error_code"), F.max(F.array_join("document_notes", ",")).alias("notes"))
+    rows = inspect.first_rows(_cases(spark, sf_dir, {k: v[0] for k, v in ROOT_CASES.items()}, Budgets()))
+    return rows.select("r_name", "name", "error_code", F.array_join("document_notes", ",").alias("notes"))
 
 
-@query(_values([(name, code) for name, (_, code) in GRID_CASES.items()], "name, error_code"))
+@query(_each_region([(name, code) for name, (_, code) in GRID_CASES.items()], "name, error_code"))
 def parse_error_codes(spark, sf_dir):
     head = "MIME-Version: 1.0\nContent-Type: text/html\n\n"
-    return _cases(spark, {k: head + v[0] for k, v in GRID_CASES.items()}, SMALL).groupBy("name").agg(F.max("error_code").alias("error_code"))
+    return inspect.first_rows(_cases(spark, sf_dir, {k: head + v[0] for k, v in GRID_CASES.items()}, SMALL)).select("r_name", "name", "error_code")
+
+
+@query("""SELECT page_id, octet_length(encode(html))::BIGINT size_bytes, CASE WHEN octet_length(encode(html)) <= 4000 THEN sha256(html) END artifact_sha256,
+  CASE WHEN octet_length(encode(html)) > 4000 THEN 'source_too_large' END error_code FROM pages WHERE html IS NOT NULL""")
+def artifact_scan(spark, sf_dir):
+    """Pages as files, found by the scan; the size budget is judged before any content is read."""
+    folder = Run(prepared(spark), "scan").folder
+    write_files(table(spark, sf_dir, "pages").where("html is not null").select(F.format_string("%012d.MHTML", "page_id").alias("path"), F.encode("html", "utf-8").alias("content")), folder)
+    fit, over = scan.within(scan.artifacts(spark, folder), Budgets(source_bytes=4000))
+    read = scan.identified(fit).select("path", F.col("length").alias("size_bytes"), "artifact_sha256", F.lit(None).cast("string").alias("error_code"))
+    found = read.unionByName(over.select("path", F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("artifact_sha256"), "error_code"))
+    return found.select(F.regexp_extract("path", "([0-9]+)[.]MHTML$", 1).cast("long").alias("page_id"), "size_bytes", "artifact_sha256", "error_code")
 
 
 # --- tables -----------------------------------------------------------------------------------
@@ -175,26 +193,19 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT c_custkey // 64 artifact_key, count(*) + 1 row_count, count(*) data_row_count, 4::BIGINT column_count, 0::BIGINT header_row_index, 'semantic' header_source, 4::BIGINT header_value_count FROM customer GROUP BY 1""")
 def inspect_dimensions(spark, sf_dir):
-    rows = parsed(customer_pages(spark, sf_dir), "strict")
-    keys = rows.select("artifact_sha256", "artifact_key").distinct()
-    return inspect.table_shapes(rows).join(keys, "artifact_sha256").select("artifact_key", "row_count", "data_row_count", "column_count", "header_row_index", "header_source", "header_value_count")
+    return inspect.table_shapes(parsed(customer_pages(spark, sf_dir), "strict"), "artifact_key").select("artifact_key", "row_count", "data_row_count", "column_count", "header_row_index", "header_source", "header_value_count")
 
 
 @query("""SELECT c_custkey // 64 artifact_key, 1::BIGINT table_count, sha256('file:///export.htm') location_hash, NULL::VARCHAR error_code FROM customer GROUP BY 1""")
 def inspect_reports(spark, sf_dir):
-    known = artifacts_of(customer_pages(spark, sf_dir), render.archive(F.col("html")))
-    found = inspect.reports(known, parse(known, "strict"))
-    keys = known.select("artifact_key", F.col("artifact_sha256").alias("source_hash_sha256"))
-    return found.join(keys, "source_hash_sha256").select("artifact_key", F.col("table_count").cast("long").alias("table_count"), F.col("root_content_location_hash_sha256").alias("location_hash"), "error_code")
+    return inspect.reports(parsed(customer_pages(spark, sf_dir), "strict"), "artifact_key").select("artifact_key", F.col("table_count").cast("long").alias("table_count"), F.col("root_content_location_hash_sha256").alias("location_hash"), "error_code")
 
 
 @query("""SELECT n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) row_no, n_nationkey::VARCHAR nationkey, n_name name FROM nation""")
 def strict_roundtrip(spark, sf_dir):
     rows = table(spark, sf_dir, "nation")
     pages = render.tables(rows, [F.col("n_regionkey").cast("long").alias("artifact_key")], [F.col("n_nationkey")], render.row([F.col("n_nationkey"), F.col("n_name")]), render.header_row(["KEY", "NAME"]))
-    found = parsed(pages, "strict")
-    keys = found.select("artifact_sha256", "artifact_key").distinct()
-    data = tables.data_rows(tables.only_table(found.drop("artifact_key"))).join(keys, "artifact_sha256")
+    data = tables.data_rows(tables.only_table(parsed(pages, "strict")))
     return data.select(F.col("artifact_key").cast("int").alias("n_regionkey"), "row_no", cell(0).alias("nationkey"), cell(1).alias("name"))
 
 
@@ -202,7 +213,7 @@ def strict_roundtrip(spark, sf_dir):
 def lenient_roundtrip(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier")
     pages = render.tables(rows, [block("s_suppkey")], [F.col("s_suppkey")], render.row([F.col("s_suppkey"), F.col("s_name"), F.col("s_nationkey")]), render.header_row(["KEY", "NAME", "NATION"], "td"))
-    data = tables.as_maps(tables.data_rows(tables.primary(parsed(pages, "lenient").drop("artifact_key"))))
+    data = tables.as_maps(tables.data_rows(tables.primary(parsed(pages, "lenient"))))
     return data.select(F.col("values")["KEY"].alias("suppkey"), F.col("values")["NAME"].alias("name"), F.col("values")["NATION"].alias("nationkey"))
 
 
@@ -235,7 +246,7 @@ def blank_rows_and_col_n(spark, sf_dir):
     rows = table(spark, sf_dir, "orders")
     kept = lambda c: F.when(F.col("o_orderkey") % 5 != 0, c)
     pages = render.tables(rows, [block("o_orderkey")], [F.col("o_orderkey")], render.row([kept(F.col("o_orderkey")), F.lit(" "), kept(F.col("o_orderstatus"))]), render.header_row(["KEY", "", "STATUS"], "td"))
-    data = tables.data_rows(tables.primary(parsed(pages, "lenient").drop("artifact_key")))
+    data = tables.data_rows(tables.primary(parsed(pages, "lenient")))
     return data.select(cell(0).alias("orderkey"), cell(2).alias("status"), F.array_join("headers", ",").alias("headers"))
 
 
@@ -246,8 +257,7 @@ def primary_table(spark, sf_dir):
     first, second = body("F", [F.col("o_orderkey"), F.col("o_orderstatus")]), body("O", [F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")])
     html = F.concat(F.lit("<table>" + render.header_row(["F", "S"], "td")), first, F.lit("</table><table>" + render.header_row(["O", "S", "P"], "td")), second, F.lit("</table>"))
     found = parsed(rows.groupBy(block("o_custkey")).agg(html.alias("html")), "lenient")
-    keys = found.select("artifact_sha256", "artifact_key").distinct()
-    return tables.primary(found.drop("artifact_key")).where("is_header_row").join(keys, "artifact_sha256").select("artifact_key", cell(0)["text"].alias("chosen"))
+    return tables.primary(found).where("is_header_row").select("artifact_key", cell(0)["text"].alias("chosen"))
 
 
 # --- validation and names ---------------------------------------------------------------------
@@ -260,9 +270,7 @@ def validate_ragged(spark, sf_dir):
     whole, short = [F.col("p_partkey"), F.col("p_name"), F.col("p_brand")], [F.col("p_partkey"), F.col("p_name")]
     html = F.when(F.col("p_partkey") % 40 == 7, render.row(short)).otherwise(render.row(whole))
     found = parsed(render.tables(rows, [block("p_partkey", 32)], [F.col("p_partkey")], html, render.header_row(["KEY", "NAME", "BRAND"], "td")), "lenient")
-    keys = found.select("artifact_sha256", "artifact_key").distinct()
-    judged = validate.verdicts(tables.primary(found.drop("artifact_key")).select("artifact_sha256", "row_index", tables.texts(F.col("cells")).alias("cells")))
-    return judged.join(keys, "artifact_sha256").select("artifact_key", "column_count", "data_row_count", "ragged_row", "failure")
+    return validate.verdicts(found, "artifact_key").select("artifact_key", "column_count", "data_row_count", "ragged_row", "failure")
 
 
 # Case: headers, table name, whether the family applies, headers it then lacks.
@@ -276,12 +284,13 @@ FAMILY_CASES = {
 }
 
 
-@query(_values([(k, str(v[2]).lower(), v[3]) for k, v in FAMILY_CASES.items()], "name, family, missing"))
+@query(_each_region([(k, str(v[2]).lower(), v[3]) for k, v in FAMILY_CASES.items()], "name, family, missing"))
 def validate_required(spark, sf_dir):
+    """Each case with the region's name among the headers."""
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), F.array(*[F.lit(h) for h in v[0]]).alias("headers"), F.lit(v[1]).cast("string").alias("table")) for k, v in FAMILY_CASES.items()]))
-    cases = prepared(spark).range(1).select(rows.alias("c")).select("c.*")
+    cases = table(spark, sf_dir, "region").select("r_name", rows.alias("c")).select("r_name", "c.name", "c.table", F.array_append("c.headers", F.col("r_name")).alias("headers"))
     lacking = validate.missing_headers(F.col("headers"), validate.required_headers(F.col("headers"), F.col("table")))
-    return cases.select("name", validate.in_family(F.col("headers"), F.col("table")).cast("string").alias("family"), F.array_join(F.array_sort(lacking), ",").alias("missing"))
+    return cases.select("r_name", "name", validate.in_family(F.col("headers"), F.col("table")).cast("string").alias("family"), F.array_join(F.array_sort(lacking), ",").alias("missing"))
 
 
 _SNAKE = "trim(lower(regexp_replace(regexp_replace(trim(h), '([a-z0-9])([A-Z])', '\\1_\\2', 'g'), '[^0-9a-zA-Z]+', '_', 'g')), '_')"
@@ -295,13 +304,15 @@ def snake_names(spark, sf_dir):
     return heads.select("header", name.alias("name"), text.is_safe_name(name).alias("safe"))
 
 
-UNIQUE_CASES = (["FOO", "foo", "Foo Bar", "a_b", "a_b", "VOC_PUCODE", "123abc"], ["foo_field", "foo_field_2", "foo_bar", "a_b", "a_b_2", "voc_pucode", "col_123abc_field"])
+_NATION_NAME = "lower(replace(n_name, ' ', '_')) || CASE WHEN regexp_matches(n_name, '[ _]') THEN '' ELSE '_field' END"
 
 
-@query(_values([(i, h, n) for i, (h, n) in enumerate(zip(*UNIQUE_CASES, strict=True))], "position, header, name"))
+@query(f"""SELECT 3 * n_nationkey + k AS "position", CASE k WHEN 1 THEN lower(n_name) ELSE n_name END AS header, {_NATION_NAME} || CASE k WHEN 0 THEN '' ELSE '_' || (k + 1) END AS name FROM nation, range(3) r(k)""")
 def unique_names(spark, sf_dir):
-    rows = [(i, h, n) for i, (h, n) in enumerate(zip(UNIQUE_CASES[0], naming.unique_snake_names(UNIQUE_CASES[0]), strict=True))]
-    return prepared(spark).createDataFrame(rows, "position int, header string, name string")
+    """Every nation's name three times as a header."""
+    nations = [r["n_name"] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()]  # headers are few
+    headers = [h for n in nations for h in (n, n.lower(), n)]
+    return prepared(spark).createDataFrame(list(zip(range(len(headers)), headers, naming.unique_snake_names(headers), strict=True)), "position int, header string, name string")
 
 
 # --- types ------------------------------------------------------------------------------------
@@ -344,6 +355,20 @@ def infer_types(spark, sf_dir):
     return found.select(F.col("artifact_sha256").alias("artifact_key"), "header", "kind")
 
 
+_ODD_NUMBERS = ["NaN", "1e30", "0.123456789012345", "-1.50", "1e-5", "12,345.60", "123456789012345678901", "0.1234567890123456789"]
+_ODD_VALUES = [None, None, "0.123456789012345", "-1.5", "0.00001", "12345.6", None, None]
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 8 THEN printf('%.2f', o_totalprice)::DECIMAL(38, 18) ELSE {"[" + ", ".join(_literal(v) for v in _ODD_VALUES) + "]"}[1 + (o_orderkey % 9)::INT]::DECIMAL(38, 18) END::VARCHAR AS "value",
+  coalesce(o_orderkey % 9 = 8 OR {"[" + ", ".join(str(v is not None).lower() for v in _ODD_VALUES) + "]"}[1 + (o_orderkey % 9)::INT], false) AS conforms FROM orders""")
+def numeric_exact(spark, sf_dir):
+    """Numbers that a decimal holds exactly have a value; NaN, 1e30 and too many digits have none and make their column text."""
+    odd = F.try_element_at(F.array(*[F.lit(v) for v in _ODD_NUMBERS]), (F.col("o_orderkey") % 9 + 1).cast("int"))
+    value = F.when(F.col("o_orderkey") % 9 == 8, F.format_string("%.2f", F.col("o_totalprice"))).otherwise(odd)
+    rows = table(spark, sf_dir, "orders").withColumn("v", value)
+    return rows.select("o_orderkey", types.as_numeric(F.col("v")).cast("string").alias("value"), types.conforms(F.col("v"), "NUMERIC").alias("conforms"))
+
+
 @query("""SELECT o_orderkey, printf('%.2f', o_totalprice) price, o_orderdate::DATE AS day, o_orderdate::TIMESTAMP AS moment, strftime(o_orderdate, '%H:%M:%S') AS clock, o_orderstatus = 'O' AS is_open, NULL::BIGINT AS bad FROM orders""")
 def coerce_values(spark, sf_dir):
     rows = table(spark, sf_dir, "orders")
@@ -358,10 +383,14 @@ def coerce_values(spark, sf_dir):
     )
 
 
-@query("""SELECT 'KEY' header, 'BIGINT' AS "type" UNION ALL SELECT 'PRICE', CASE WHEN count(*) FILTER (WHERE o_orderkey % 997 = 0) > 0 THEN 'TEXT' ELSE 'NUMERIC' END FROM orders UNION ALL SELECT 'STATUS', 'TEXT'""")
+@query("""SELECT 'KEY' header, 'BIGINT' AS "type" UNION ALL SELECT 'PRICE', CASE WHEN count(*) FILTER (WHERE o_orderkey % 997 = 0) > 0 THEN 'TEXT' ELSE 'NUMERIC' END FROM orders UNION ALL SELECT 'STATUS', 'TEXT'
+  UNION ALL SELECT 'RATIO', 'NUMERIC' UNION ALL SELECT 'SPECIAL', 'TEXT' UNION ALL SELECT 'HUGE', 'TEXT'""")
 def promote_to_text(spark, sf_dir):
     price = F.when(F.col("o_orderkey") % 997 == 0, "n/a").otherwise(F.format_string("%.2f", F.col("o_totalprice")))
-    cells = long_table(table(spark, sf_dir, "orders"), "o_orderkey", {"KEY": F.col("o_orderkey"), "PRICE": price, "STATUS": F.col("o_orderstatus")})
+    cells = long_table(table(spark, sf_dir, "orders"), "o_orderkey", {
+        "KEY": F.col("o_orderkey"), "PRICE": price, "STATUS": F.col("o_orderstatus"), "RATIO": F.format_string("%.15f", F.col("o_totalprice") / 1e6),
+        "SPECIAL": F.when(F.col("o_orderkey") % 3 == 0, "NaN").otherwise("1"), "HUGE": F.lit("1e30"),
+    })
     return profile.merged_types(profile.column_types(cells)).select("header", "type")
 
 
@@ -420,34 +449,36 @@ def proposal_identity(spark, sf_dir):
 
 # --- mapping ----------------------------------------------------------------------------------
 
-MAPPING = [(0, "ORDERS.o_orderkey", None, "order key"), (1, "o_custkey", None, "customer key"), (2, "nothing", None, "lost"), (3, "x", "o_orderstatus", "status"), (4, "O_ORDERKEY", None, "order key"), (5, "l_tax", None, "tax"), (6, "L_TAX", None, "tax rate")]
-NAMES = ["o_orderkey", "o_custkey", "o_orderstatus", "l_tax", "l_discount"]
-_ENTRIES = _values(MAPPING, "position, source, target, comment")
-_NAMES = _values([(n,) for n in NAMES], "name")
-_MATCH = f"""e AS ({_ENTRIES}), c AS ({_NAMES}), m AS (SELECT e.*, c.name FROM e LEFT JOIN c ON CASE WHEN target IS NOT NULL THEN lower(target) = c.name ELSE lower(source) = c.name OR lower(regexp_extract(source, '[^.]+$')) = c.name END)"""
+# Nations as columns, and entries that name them qualified, plainly, by target, or not at all; some come twice, with another comment.
+_ENTRIES = f"""e AS (SELECT n_nationkey::INT AS "position", n_nationkey % 4 AS kind, {_NATION_NAME} AS name, r_name AS comment FROM nation JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT (n_nationkey + 100)::INT, 1, {_NATION_NAME}, CASE WHEN n_nationkey % 8 = 0 THEN 'other' ELSE r_name END FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 4 = 0)"""
 
 
-def _resolved(spark: SparkSession) -> DataFrame:
-    entries = prepared(spark).createDataFrame(MAPPING, "position int, source string, target string, comment string")
-    columns = spark.createDataFrame([(n, n) for n in NAMES], "source_name string, db_name string")
-    return mapping.resolved(mapping.deduplicated(entries), columns)
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    kind, name = F.col("n_nationkey") % 4, F.col("n_name")
+    source = F.when(kind == 0, F.concat(F.lit("T."), name)).when(kind == 1, F.lower(name)).when(kind == 2, "x").otherwise(F.concat(F.lit("nothing "), F.col("n_nationkey").cast("string")))
+    entries = nations.select(F.col("n_nationkey").cast("int").alias("position"), source.alias("source"), F.when(kind == 2, name).alias("target"), F.col("r_name").alias("comment"))
+    again = nations.where(kind == 0).select((F.col("n_nationkey") + 100).cast("int").alias("position"), name.alias("source"), F.lit(None).cast("string").alias("target"), F.when(F.col("n_nationkey") % 8 == 0, "other").otherwise(F.col("r_name")).alias("comment"))
+    columns = nations.select(name.alias("source_name"), text.snake(name).alias("db_name"))
+    return mapping.resolved(mapping.deduplicated(entries.unionByName(again)), columns)
 
 
-@query(f"WITH {_MATCH} SELECT position, CASE count(name) WHEN 0 THEN 'unmatched' WHEN 1 THEN 'matched' ELSE 'ambiguous' END status, min(name) db_name FROM m GROUP BY position")
+@query(f"""WITH {_ENTRIES} SELECT "position", CASE WHEN kind = 3 THEN 'unmatched' ELSE 'matched' END status, CASE WHEN kind <> 3 THEN name END db_name FROM e""")
 def mapping_resolution(spark, sf_dir):
-    return _resolved(spark).select("position", "status", "db_name")
+    return _resolved(spark, sf_dir).select("position", "status", "db_name")
 
 
-@query(f"WITH {_MATCH} SELECT name db_name, arg_min(comment, position) AS comment, count(DISTINCT comment) > 1 AS conflict FROM m WHERE name IS NOT NULL GROUP BY name")
+@query(f"""WITH {_ENTRIES} SELECT name db_name, arg_min(comment, "position") AS comment, count(DISTINCT comment) > 1 AS conflict FROM e WHERE kind <> 3 GROUP BY name""")
 def mapping_conflicts(spark, sf_dir):
-    return mapping.comments(_resolved(spark))
+    return mapping.comments(_resolved(spark, sf_dir))
 
 
 # --- loading ----------------------------------------------------------------------------------
 
 
 def fresh_sink(spark: SparkSession, name: str = "loaded_rows") -> SnapshotTable:
-    return SnapshotTable(prepared(spark), f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", name)
+    return SnapshotTable(prepared(spark), Run(prepared(spark), "store").folder, name)
 
 
 def customer_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,19 +521,19 @@ def catalog_upsert(spark, sf_dir):
     return sink.catalog().join(keys, "source_artifact_sha256").select(F.col("row_count").alias("rows"), "load_status_code", "artifact_key")
 
 
-@query("""SELECT c_custkey::VARCHAR custkey_field, CASE WHEN c_custkey // 64 % 2 = 1 THEN c_mktsegment END segment_field, c_custkey // 64 % 2 = 1 AS is_wide FROM customer""")
+@query("""SELECT c_custkey::VARCHAR custkey_field, CASE WHEN c_custkey // 64 % 2 = 1 THEN c_mktsegment END segment_field, c_custkey // 64 % 2 = 1 AS is_wide, printf('%.2f', c_acctbal) balance_field FROM customer""")
 def schema_evolution(spark, sf_dir):
-    """A later delivery has another column, and a key that is no number: one is added, one widens."""
-    rows = table(spark, sf_dir, "customer")
-    narrow = render.tables(rows.where("c_custkey div 64 % 2 = 0"), [block("c_custkey")], [F.col("c_custkey")], render.row([F.col("c_custkey"), F.lit("no")]), render.header_row(["CUSTKEY", "WIDE"], "td"))
+    """A later delivery has another column, and a key and a balance that are no numbers: one is added, two widen and keep their digits."""
+    rows, balance = table(spark, sf_dir, "customer"), F.format_string("%.2f", F.col("c_acctbal"))
+    narrow = render.tables(rows.where("c_custkey div 64 % 2 = 0"), [block("c_custkey")], [F.col("c_custkey")], render.row([F.col("c_custkey"), F.lit("no"), balance]), render.header_row(["CUSTKEY", "WIDE", "BALANCE"], "td"))
     odd = rows.where("c_custkey div 64 % 2 = 1")
-    first = render.row([F.lit("total"), F.lit("yes"), F.lit("x")])
-    wide = render.tables(odd, [block("c_custkey")], [F.col("c_custkey")], render.row([F.col("c_custkey"), F.lit("yes"), F.col("c_mktsegment")]), render.header_row(["CUSTKEY", "WIDE", "SEGMENT"], "td"))
+    first = render.row([F.lit("total"), F.lit("yes"), F.lit("x"), F.lit("n/a")])
+    wide = render.tables(odd, [block("c_custkey")], [F.col("c_custkey")], render.row([F.col("c_custkey"), F.lit("yes"), F.col("c_mktsegment"), balance]), render.header_row(["CUSTKEY", "WIDE", "SEGMENT", "BALANCE"], "td"))
     wide = wide.withColumn("html", F.replace("html", F.lit("</table>"), F.concat(first, F.lit("</table>"))))
     sink = fresh_sink(spark)
     load.load(spark, sink, artifacts_of(narrow).select("path", "content"))
     load.load(spark, sink, artifacts_of(wide).select("path", "content"))
-    return sink.rows().where("custkey_field <> 'total'").select("custkey_field", "segment_field", F.col("wide_field").alias("is_wide"))
+    return sink.rows().where("custkey_field <> 'total'").select("custkey_field", "segment_field", F.col("wide_field").alias("is_wide"), "balance_field")
 
 
 @query("""WITH a AS (SELECT c_custkey // 64 k, count(*) n FROM customer GROUP BY 1) SELECT count(*) + count(*) FILTER (WHERE k % 4 = 1) artifacts, count(*) FILTER (WHERE k % 4 <> 0)  + count(*) FILTER (WHERE k % 4 = 1) ok_count,
@@ -517,6 +548,46 @@ def batch_report(spark, sf_dir):
     return done.agg(F.count("*").alias("artifacts"), n(F.col("ok"))("ok_count"), n(~F.col("ok"))("failed"), n(F.col("skipped"))("skipped"), F.sum("inserted_rows").alias("inserted_rows"))
 
 
+@query("""SELECT c_custkey // 64 artifact_key, c_custkey // 64 % 3 <> 0 AS ok, CASE WHEN c_custkey // 64 % 3 = 0 THEN 'missing_headers' END AS error FROM customer GROUP BY 1""")
+def load_required(spark, sf_dir):
+    """A table named after an export family takes only artifacts that have the family's key headers."""
+    rows, third = table(spark, sf_dir, "customer"), F.expr("c_custkey div 64 % 3 = 0")
+    pages = [
+        render.tables(rows.where(which), [block("c_custkey")], [F.col("c_custkey")], render.row([F.col("c_custkey"), F.col("c_name")]), render.header_row(headers, "td"))
+        for which, headers in ((third, ["MANDT", "NAME"]), (~third, ["mandt", "Guid"]))
+    ]
+    found = artifacts_of(pages[0].unionByName(pages[1])).select("artifact_key", "path", "content")
+    done = load.load(spark, fresh_sink(spark, "my_zcrht811_rows"), found.select("path", "content")).outcomes
+    keys = found.select("artifact_key", F.sha2("content", 256).alias("sha256"))
+    return done.join(keys, "sha256").select("artifact_key", "ok", "error")
+
+
+_COMMENTED = [("custkey_field", "the key", "c_custkey"), ("name_field", "name; of the customer", "c_name"), ("segment_field", None, "c_mktsegment"), ("balance_field", "what is owed", "c_acctbal")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, {_literal(c)} AS comment, count({v}) AS filled FROM customer" for n, c, v in _COMMENTED) + " UNION ALL SELECT 'unmatched', 'T.LOST', 1")
+def load_comments(spark, sf_dir):
+    """A deck's entries become comments of the columns they match, by source, qualified source or target; the rest is reported."""
+    entries = [mapping_files.Entry("CUSTKEY", "the key"), mapping_files.Entry("T.NAME", "name"), mapping_files.Entry("T.LOST", "lost"), mapping_files.Entry("U.NAME", "of the customer"), mapping_files.Entry("x", "what is owed", "BALANCE")]
+    sink = fresh_sink(spark)
+    done = load.load(spark, sink, customer_artifacts(spark, sf_dir).select("path", "content"), mapping=mapping_files.MappingDocument("mapping:0", "pptx", tuple(entries)))
+    rows, columns = sink.rows(), sink.table().columns
+    lost = spark.createDataFrame([("unmatched", s, 1) for s in done.mapping["unmatched"]], "name string, comment string, filled long")
+    filled = F.explode(F.array(*[F.struct(F.lit(c.name).alias("name"), F.lit(c.comment).cast("string").alias("comment"), F.col(f"n_{c.name}").alias("filled")) for c in columns]))
+    return rows.agg(*[F.count(c.name).alias(f"n_{c.name}") for c in columns]).select(filled.alias("x")).select("x.*").unionByName(lost)
+
+
+@query(f"{_ROWS} FROM customer")
+def load_compacted(spark, sf_dir):
+    """Replaced twice, then compacted and cleaned: the same rows from one load."""
+    sink, found = fresh_sink(spark), customer_artifacts(spark, sf_dir)
+    load.load(spark, sink, found)
+    load.load(spark, sink, found.where("artifact_key % 2 = 0"), on_duplicate="replace")
+    sink.compact()
+    sink.vacuum()
+    return _loaded(sink).select("custkey_field", "name_field", "segment_field", "balance_field")
+
+
 @query("SELECT count(*) AS n FROM customer")
 def table_count(spark, sf_dir):
     sink = fresh_sink(spark)
@@ -544,14 +615,21 @@ def stream_ingest(spark, sf_dir):
 
 
 def write_files(found: DataFrame, folder: str) -> None:
-    """Write (path, content) as files through Spark's file systems, one small file after the other."""
-    spark = found.sparkSession
-    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    system = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in found.toLocalIterator():
-        stream = system.create(spark._jvm.org.apache.hadoop.fs.Path(base, row["path"]), True)
-        stream.write(row["content"])
-        stream.close()
+    """Write (path, content) as files below a folder, each by the task that has it; a task that runs again writes the same."""
+
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow.fs import FileSystem
+
+        system, base = FileSystem.from_uri(folder)
+        system.create_dir(base)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with system.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    found.select("path", "content").mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
 # --- derived documents ------------------------------------------------------------------------
@@ -602,7 +680,7 @@ def comment_ddl(spark, sf_dir):
 @query("""SELECT c_mktsegment segment, count(*) customers, sum(round(c_acctbal * 100)::BIGINT)::BIGINT cents FROM customer GROUP BY 1""")
 def segment_balances(spark, sf_dir):
     """Flagship: customers as HTML artifacts, parsed, typed by inference, and aggregated."""
-    rows = tables.data_rows(tables.primary(parsed(customer_pages(spark, sf_dir), "lenient", archived=False).drop("artifact_key")))
+    rows = tables.data_rows(tables.primary(parsed(customer_pages(spark, sf_dir), "lenient", archived=False)))
     values = tables.as_maps(rows)
     amount = types.as_numeric(text.present(F.col("values")["BALANCE"]))
     return values.groupBy(F.col("values")["SEGMENT"].alias("segment")).agg(F.count("*").alias("customers"), F.sum((amount * 100).cast("long")).alias("cents"))

@@ -3,7 +3,10 @@ import json
 import pytest
 from gridloom import cli
 from gridloom.errors import LoadFailed
-from gridloom.plans import load
+from gridloom.plans import load, snapshot
+from gridloom.plans.ddl import Column, Table
+from gridloom.plans.jdbc import JdbcTable
+from gridloom.plans.sink import downgraded, upgraded
 from gridloom.queries import fresh_sink
 
 TABLE = "MIME-Version: 1.0\nContent-Type: text/html\n\n<html><table>{}</table></html>"
@@ -37,6 +40,108 @@ def test_skip_replace_and_widening(spark):
         load.load(spark, sink, frame(spark, {"a": one}), on_duplicate="append")
 
 
+def test_numbers_keep_their_digits(spark):
+    sink = fresh_sink(spark)
+    rows = [["P_Q", "R_S", "T_U"], ["1.50", "NaN", "09:48:09.5"], ["0.123456789012345", "1e30", "10:00"]]
+    load.load(spark, sink, frame(spark, {"a": page(rows)}))
+    assert [c.type for c in sink.table().columns] == ["NUMERIC", "TEXT", "TIME"]
+    first = sink.rows().orderBy("source_row_number").collect()
+    assert [str(r["p_q"].normalize()) for r in first] == ["1.5", "0.123456789012345"] and [r["r_s"] for r in first] == ["NaN", "1e30"] and [r["t_u"] for r in first] == ["09:48:09.5", "10:00:00"]
+    load.load(spark, sink, frame(spark, {"b": page([["P_Q"], ["n/a"]])}))
+    assert {r["p_q"] for r in sink.rows().collect()} == {"1.50", "0.123456789012345", "n/a"}
+
+
+def test_many_loads_compaction_and_vacuum(spark, monkeypatch):
+    monkeypatch.setattr(snapshot, "CHECKPOINT", 3)
+    sink = fresh_sink(spark)
+    pages = {c: page([["A_B", "C_D"], [str(i), c]]) for i, c in enumerate("abcde")}
+    for c, content in pages.items():
+        load.load(spark, sink, frame(spark, {c: content}))
+    assert len(sink.state()["catalog"]) < 3 and sink.catalog().count() == 5 and not sink.state()["hidden"]
+    load.load(spark, sink, frame(spark, {"a": pages["a"]}), on_duplicate="replace")
+    assert len(sink.state()["hidden"]) == 1 and sink.count() == 5 and sink.catalog().count() == 5
+    before = sorted(tuple(r) for r in sink.rows().collect())
+    sink.compact()
+    sink.vacuum()
+    assert sorted(tuple(r) for r in sink.rows().collect()) == before and len(sink._names(sink._path("rows"))) == 1 and not sink.state()["hidden"]
+    done = load.load(spark, sink, frame(spark, {"a": pages["a"], "z": page([["A_B"], ["9"]])}))
+    assert done.summary()["skipped_count"] == 1 and sink.count() == 6
+
+
+def test_comments_of_a_mapping(spark, tmp_path, capsys):
+    (tmp_path / "x.mhtml").write_bytes(page([["ERDAT", "TITLE"], ["1", "a"]]))
+    (tmp_path / "m.csv").write_text("source,target,comment\nORDERS.ERDAT,,day\nother,TITLE,name\nnowhere,,lost\n")
+    store = f"file://{tmp_path}/store"
+    assert cli.main(["load", str(tmp_path / "x.mhtml"), "--store", store, "--json", "--column-mapping", str(tmp_path / "m.csv"), "--lineage-json", str(tmp_path / "l.json"), "--ddl-out", str(tmp_path / "d.sql")], spark) == 0
+    out = json.loads(capsys.readouterr().out)["column_mapping"]
+    assert out["matched"] == {"ORDERS.ERDAT": "erdat_field", "other": "title_field"} and out["unmatched"] == ["nowhere"] and out["format"] == "csv" and "m.csv" not in json.dumps(out)
+    table = snapshot.SnapshotTable(spark, store, load.DEFAULT_TABLE).table()
+    assert table.comments() == {"erdat_field": "day", "title_field": "name"} and "COMMENT ON COLUMN" in (tmp_path / "d.sql").read_text()
+    lineage = json.loads((tmp_path / "l.json").read_text())
+    assert lineage["row_count"] == 1 and lineage["loaded_at"].startswith("20") and lineage["source_artifact_mtime_ns"] == (tmp_path / "x.mhtml").stat().st_mtime_ns
+    for text, code in (("source,comment\nA.ERDAT,one\nB.ERDAT,two\n", "conflicting_comments"), ("source,target,comment\nx,ERDAT,one\ny,erdat_field,two\n", "conflicting_comments")):
+        (tmp_path / "m.csv").write_text(text)
+        assert cli.main(["load", str(tmp_path / "x.mhtml"), "--store", f"{store}-2", "--column-mapping", str(tmp_path / "m.csv")], spark) == 1
+        assert json.loads(capsys.readouterr().err)["error_code"] == code
+
+
+def test_exact_targets_come_before_their_snake_form(spark):
+    from gridloom.operators import mapping
+
+    columns = spark.createDataFrame([("A", "title_field"), ("B", "title")], "source_name string, db_name string")
+    entries = spark.createDataFrame([(0, "x", "title", "one")], "position int, source string, target string, comment string")
+    assert mapping.attached(entries, columns).comments == {"title": "one"}
+
+
+def test_required_headers_by_table_name(spark):
+    sink = fresh_sink(spark, "my_zcrht811_rows")
+    done = load.load(spark, sink, frame(spark, {"a": page([["X", "Y"], ["1", "2"]])}))
+    assert done.outcomes.first()["error"] == "missing_headers" and sink.count() == 0
+    assert load.load(spark, sink, frame(spark, {"a": page([["X", "Y"], ["1", "2"]])}), required=[]).inserted == 1
+
+
+def test_old_names_are_not_split(spark):
+    sink = fresh_sink(spark, "orders_table")
+    table = Table("orders_table", (Column("AMOUNT", "amount", "BIGINT"),))
+    sink.commit(table, None, {}, None, sink.version())
+    with pytest.raises(LoadFailed) as found:
+        load.load(spark, sink, frame(spark, {"a": page([["Amount"], ["1"]])}))
+    assert found.value.code == "legacy_column_requires_migration"
+    other = snapshot.SnapshotTable(spark, sink.store, "rows_table")
+    old = snapshot.SnapshotTable(spark, sink.store, "rows")
+    old.commit(Table("rows", ()), None, {}, None, 0)
+    with pytest.raises(LoadFailed) as found:
+        load.load(spark, other, frame(spark, {"a": page([["Amount"], ["1"]])}))
+    assert found.value.code == "legacy_table_requires_migration"
+
+
+def test_catalog_names_up_and_down(spark):
+    entry = spark.createDataFrame([("a", "loaded")], "sha string, load_status_code string")
+    old = downgraded(entry)
+    assert old.columns == ["sha", "status"] and upgraded(old).columns == entry.columns and upgraded(entry).columns == entry.columns
+    with pytest.raises(LoadFailed) as found:
+        upgraded(entry.withColumn("status", entry["sha"]))
+    assert found.value.code == "ambiguous_catalog"
+
+
+def test_the_same_loads_over_jdbc(spark, tmp_path):
+    sink = JdbcTable(spark, f"jdbc:derby:{tmp_path}/db;create=true", "web_table_rows", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    one, two = page([["AMOUNT", "DAY"], ["1", "2026-02-20"], ["2.5", "2026-02-21"]]), page([["AMOUNT", "MORE"], ["7", "x"]])
+    assert load.load(spark, sink, frame(spark, {"a": one})).inserted == 2
+    assert load.load(spark, sink, frame(spark, {"a": one, "b": two})).summary()["skipped_count"] == 1
+    assert [c.type for c in sink.table().columns] == ["TEXT", "DATE", "TEXT"] and sink.count() == 3
+    assert load.load(spark, sink, frame(spark, {"b": two}), on_duplicate="replace").outcomes.first()["replaced"] and sink.count() == 3
+    rows = sink.rows().collect()
+    assert {r["more_field"] for r in rows} == {None, "x"} and {str(r["day_field"]) for r in rows} == {"2026-02-20", "2026-02-21", "None"} and sink.catalog().count() == 2
+    assert not [t for t in sink.tables() if t.startswith("stage_")]
+    sink.downgrade_catalog()
+    assert "status" in sink.columns_of("gridloom_ingest_artifact")
+    assert sink.catalog().where("load_status_code = 'loaded'").count() == 2
+    with pytest.raises(LoadFailed):
+        sink._run(["CREATE TABLE half (a INT)", "nonsense"])
+    assert "half" not in sink.tables()
+
+
 def test_a_crash_before_the_commit_changes_nothing(spark, monkeypatch):
     sink = fresh_sink(spark)
     load.load(spark, sink, frame(spark, {"a": page([["A", "B"], ["1", "2"]])}))

@@ -5,7 +5,7 @@ import pytest
 from gridloom.errors import GridloomError, MappingFailed, NameError_, ProposalError, PublishFailed, UnsafeIdentifier
 from gridloom.functions import naming, types
 from gridloom.operators import propose
-from gridloom.plans import ddl, documents, jdbc, profile, publish
+from gridloom.plans import ddl, documents, profile, publish
 from gridloom.sources import mapping
 from pyspark.sql import functions as F
 
@@ -30,7 +30,7 @@ def test_names_that_fail():
     assert naming.sql_literal("a'b\\c\n") == "E'a''b\\\\c\\n'"
 
 
-@pytest.mark.parametrize(("header", "name"), [("HTTPResponseCode", "http_response_code"), ("select", "select_field"), ("123", "source_123"), ("MANDT", "client_code"), ("한글 열", "한글_열"), ("ＡＢ_1", "ab_1")])
+@pytest.mark.parametrize(("header", "name"), [("HTTPResponseCode", "http_response_code"), ("select", "select_field"), ("123", "source_123"), ("MANDT", "client_code"), ("한글 열", "한글_열"), ("ＡＢ_1", "ab_1"), ("mandt", "client_code"), (" Guid ", "global_identifier"), ("current_date", "current_date_field"), ("x__y", "x_y")])
 def test_proposal_names(header, name):
     assert naming.proposal_name(header) == name
 
@@ -45,7 +45,8 @@ def test_proposal_name_fits_63_bytes():
 CASES = {
     "BOOLEAN": (["true", "F", "Yes", "n"], ["1", "0", "maybe"]),
     "BIGINT": (["1", "-7", "1,234", "0007"], ["12,34", "9223372036854775808", "1.0", "+"]),
-    "NUMERIC": (["1.5", "1e5", "1,234.5", "NaN", "1_000", "-.5"], ["12,34.5", "abc", "1,2"]),
+    "NUMERIC": (["1.5", "1e5", "1,234.5", "1_000", "-.5", "0.123456789012345", "1e-18", "12345678901234567890", "0e99", "1.50000000000000000000", "-0", "5."],
+                ["12,34.5", "abc", "1,2", "NaN", "Infinity", "1e30", "1e-19", "123456789012345678901", "0.1234567890123456789", "e5", ".", "1e99999999999"]),
     "DATE": (["2026-02-20", "2026/2/3", "20260220", "20.02.2026"], ["2026-02-30", "2026", "20.2026"]),
     "TIME": (["09:48", "09:48:09", "094809", "9:48:09"], ["24:00:00", "09:48:09+09:00", "9"]),
     "TIMESTAMP": (["2026-02-20 09:48:09", "2026-02-20T09:48", "2026/02/20 09:48:09"], ["2026-02-20", "2026-02-20T09:48:09+09:00", "x y"]),
@@ -60,6 +61,20 @@ def test_type_predicates(kind, spark):
     assert {r["v"]: bool(r["ok"]) for r in rows} == {**dict.fromkeys(good, True), **dict.fromkeys(bad, False)}
 
 
+def test_texts_of_typed_values(spark):
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    cases = {
+        "NUMERIC": {"1.50": "1.50", "+1,234.0": "1234.0", "007": "7", "-.5": "-0.5", "5.": "5", "1_000": "1000", "1e3": "1000", "1.5e-2": "0.015", "-0.0": "0.0", "0": "0", "NaN": "NaN", "1e30": "1e30", "0.123456789012345": "0.123456789012345"},
+        "TIME": {"09:48": "09:48:00", "09:48:09.25": "09:48:09.25", "9:48:09": "09:48:09"},
+        "TEXT": {"1.50": "1.50"},
+        "BOOLEAN": {"Yes": "true"},
+    }
+    for kind, values in cases.items():
+        rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", types.text_form(F.col("v"), kind).alias("t")).collect()
+        assert {r["v"]: r["t"] for r in rows} == values
+    assert spark.range(1).select(types.time_text(F.lit("09:48:09.123456"))).first()[0] == "09:48:09.123456"
+
+
 def test_promotion_never_narrows():
     assert profile.promoted(None, "BIGINT", False) == "BIGINT"
     assert profile.promoted("BIGINT", "NUMERIC", False) == "TEXT"
@@ -133,8 +148,14 @@ def test_publishing_in_order_and_its_failures(proposal):
     sent = documents.envelope(documents.manifest(proposal, "n"), "t", "a", "b")
     proof = publish.Evidence(True, True, True, "audit:1")
     transport = Recorder()
-    receipts = publish.publish(sent, proof, transport)
-    assert [r.request_index for r in receipts] == list(range(5)) and transport.sent == list(sent.requests)
+    done = publish.publish(sent, proof, transport)
+    assert [r.request_index for r in done.receipts] == list(range(5)) and transport.sent == list(sent.requests)
+    assert done.to_dict()["accepted_request_count"] == 5 and done.to_dict()["privacy_mode"] == "value_free" and "body" not in json.dumps(done.to_dict())
+    for broken, code in (({"method": "PUT"}, "invalid_catalog_request"), ({"idempotency_key": "other:1"}, "invalid_idempotency_key")):
+        transport = Recorder()
+        with pytest.raises(PublishFailed) as found:
+            publish.publish(documents.Envelope(sent.envelope_id, (*sent.requests[:3], sent.requests[3] | broken)), proof, transport)
+        assert (found.value.code, found.value.request_index, found.value.accepted, len(transport.sent)) == (code, 3, 3, 3)
     with pytest.raises(PublishFailed) as found:
         publish.publish(sent, proof, Recorder(fail_at=2))
     assert (found.value.code, found.value.request_index, found.value.accepted) == ("remote_status_not_success", 2, 2)
@@ -152,7 +173,7 @@ def test_ddl():
     assert [c.name for c in table.columns] == ["a_field", "a_field_2"]
     assert ddl.comment_ddl(table) == ["COMMENT ON COLUMN my_rows.a_field IS E'it''s';"]
     assert "a_field BIGINT" in ddl.ddl(table) and len(table.struct().fields) == 6
-    assert jdbc.swap_statements("my_rows", "my_stage", ["a_field"], True)[0].startswith("DELETE FROM my_rows")
+    assert naming.legacy_names(["MANDT", "123abc", "a b", "A_B"]) == ["mandt", "col_123abc", "a_b", "a_b_2"] and naming.legacy_table_name("orders_table") == "orders"
 
 
 def test_mapping_files(tmp_path):
@@ -168,6 +189,13 @@ def test_mapping_files(tmp_path):
         out.writestr("ppt/slides/slide1.xml", slide)
     found = mapping.load(deck)
     assert [e.source for e in found.entries] == ["TABLE.ONE", "TABLE.TWO", "TABLE.THREE"] and found.entries[0].context == "1. Title (slide 1)"
+    assert mapping.qualified_sources("T.ERDAT text / ERZET, u.x & T2.Y + ZCRHT001 + APV") == ["T.ERDAT", "T.ERZET", "U.X", "T2.Y", "T2.APV"]
+    assert mapping.qualified_sources("/ ALONE, T .\tA") == ["T.A"]
+    with zipfile.ZipFile(deck, "w") as out:
+        for slide, body in ((2, "T.B / A"), (10, "T.A"), (1, "3. Late</a:t></a:p><a:p><a:t>T.A + B")):
+            out.writestr(f"ppt/slides/slide{slide}.xml", f'<p:sld xmlns:p="p" xmlns:a="a"><a:p><a:t>{body}</a:t></a:p></p:sld>')
+    assert [(e.source, e.slide) for e in mapping.load(deck).entries] == [("T.A", 1), ("T.A", 2), ("T.A", 10), ("T.B", 1), ("T.B", 2)]
+    assert mapping.load(deck).entries[0].comment == "VOC mapping: 3. Late (slide 1) — T.A" and mapping.load(deck).entries[1].context == "VOC column mapping (slide 2)"
     for name, text in (("x.json", "{"), ("x.txt", ""), ("x.csv", "source,comment\n")):
         (tmp_path / name).write_text(text)
         with pytest.raises(MappingFailed):
