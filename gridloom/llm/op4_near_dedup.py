@@ -8,8 +8,9 @@
 3. In each band bucket every class is paired with the least class, its leader. Pairs whose sizes or
    odd sketches rule the similarity out are dropped; the others are confirmed on the full sets.
 4. Components of the links so far. The classes of a leader that still are in several components are
-   searched again: each outside the largest component against all of other components, in memory
-   and on full sets. A pair inside one component could not change the result and is left out.
+   searched again: each outside the largest component against all of other components, on full sets;
+   small groups in memory, large ones by an exact prefix join. A pair inside one component could not
+   change the result and is left out.
 5. Components of all links.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability 5e-8, and at the
@@ -41,7 +42,7 @@ from gridloom.session import Run
 K, BANDS, ODD_BITS, ODD_WORDS = 128, 32, 512, 8
 #: How far below the threshold an odd-sketch estimate still counts as a candidate.
 SLACK = 0.3
-#: Shingles of one leader's classes that are searched together at most, about.
+#: Shingles of one leader's classes that are gathered in one task at most.
 CELL = 1_000_000
 _random = np.random.default_rng(20)
 _MULTIPLY = (_random.integers(0, 1 << 31, K, dtype=np.uint32) << 1) | np.uint32(1)
@@ -137,16 +138,14 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
     """u, v: links between different roots among the classes that share a leader.
 
     ``groups``: leader, cls, root. Of a leader's classes, each outside the largest root is held
-    against all of other roots, on full sets, in memory; only links leave the task. A leader whose
-    classes hold over ``CELL`` shingles is cut into blocks, and each pair of blocks is a cell of its
-    own, so what a task holds is bounded however large the group is.
+    against all of other roots, on full sets, in memory; only links leave the task. The classes of
+    leaders that hold over ``CELL`` shingles are not gathered: they are joined by their rarest shingles.
     """
     shares = groups.join(sizes, "cls").groupBy("leader", "root").agg(F.count("*").alias("share"), F.sum("n").alias("held"))
-    split = shares.groupBy("leader").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.count("*").alias("roots"), F.ceil(F.sum("held") / CELL).cast("int").alias("blocks")).where("roots > 1")
-    split = run.table(split.select("leader", "largest", "blocks"), "split")  # written, so that a leader of very many classes is split in the join
-    placed = groups.join(split, "leader").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", (F.col("root") != F.col("largest")).alias("outside"))
+    split = shares.groupBy("leader").agg(F.max_by("root", F.struct("share", "root")).alias("largest"), F.count("*").alias("roots"), (F.sum("held") > CELL).alias("large")).where("roots > 1")
+    split = run.table(split.select("leader", "largest", "large"), "split")  # written, so that a leader of very many classes is split in the join
+    placed = run.table(groups.join(split, "leader").select("leader", "large", "cls", "root", (F.col("root") != F.col("largest")).alias("outside")), "open-classes")
+    cells = placed.where("not large")
 
     def search(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -171,7 +170,31 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
         return pa.table({"u": pa.array([u for u, _ in rows], pa.int64()), "v": pa.array([v for _, v in rows], pa.int64())})
 
     common.ship(groups.sparkSession)
-    return cells.join(sets, "cls").groupBy("leader", "i", "j").applyInArrow(search, "u long, v long").distinct()
+    found = cells.join(sets, "cls").groupBy("leader").applyInArrow(search, "u long, v long")
+    large = placed.where("large").groupBy("cls", "root").agg(F.bool_or("outside").alias("outside"))
+    return found.unionByName(links_by_rare_shingles(large, sets, threshold, run)).distinct()
+
+
+def links_by_rare_shingles(classes: DataFrame, sets: DataFrame, threshold: int, run: Run) -> DataFrame:
+    """u, v: links between different roots, of which one is ``outside``, by an exact prefix join.
+
+    Alike sets share one of their rarest ``n - ceil(threshold n) + 1`` shingles. Shingles that only one
+    root has are left out before anything is paired.
+    """
+    if classes.isEmpty():
+        return classes.select(F.col("cls").alias("u"), F.col("root").alias("v"))
+    tokens = run.table(classes.join(sets, "cls").select("cls", "root", "outside", F.size("shingles").alias("n"), F.explode("shingles").alias("token")), "tokens")
+    counts = run.table(tokens.groupBy("token").agg(F.count("*").alias("df"), (F.min("root") != F.max("root")).alias("shared")), "token-counts")
+    ranked = tokens.join(counts, "token").groupBy("cls", "root", "outside", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token", "shared"))).alias("all"))
+    prefix = F.posexplode(F.slice("all", F.lit(1), F.expr(f"n - cast(ceil({threshold} * n / 100) as int) + 1"))).alias("pos", "t")
+    postings = run.table(ranked.select("cls", "root", "outside", "n", prefix).where("t.shared").select("cls", "root", "outside", "n", "pos", "t.token"), "token-postings")
+    side = lambda c: postings.select("token", *[F.col(k).alias(f"{c}_{k}") for k in ("cls", "root", "outside", "n", "pos")])
+    need = F.expr(f"cast(ceil({threshold} * (x_n + y_n) / {100 + threshold}) as int)")
+    near = F.expr(f"x_outside and x_root <> y_root and 100 * least(x_n, y_n) >= {threshold} * greatest(x_n, y_n)") & (F.expr("least(x_n - x_pos, y_n - y_pos)") >= need)
+    pairs = side("x").join(side("y"), "token").where(near).select(F.least("x_cls", "y_cls").alias("u"), F.greatest("x_cls", "y_cls").alias("v")).distinct()
+    found = run.table(confirmed(run.table(pairs, "token-pairs"), sets, threshold), "rare-links")
+    run.drop(tokens, counts, postings)
+    return found
 
 
 def components_of(docs: DataFrame, width: int, threshold: int, run: Run) -> DataFrame:
@@ -243,3 +266,18 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: int = 80) -> DataFra
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.documents(spark, sf_dir), width=2)
+
+
+#: The same links by an exact prefix join of whole sets in SQL, and what is reached along them.
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () k, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w FROM documents),
+sets AS MATERIALIZED (SELECT k, doc_id, coalesce(list_distinct(list_transform(range(1, greatest(len(w) - 1, least(len(w), 1)) + 1), lambda i: array_to_string(w[i:i + 1], ' '))), []) s FROM texts),
+counted AS (SELECT *, count(*) OVER (PARTITION BY t) df FROM (SELECT k, len(s) n, unnest(s) t FROM sets)),
+prefixes AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY df, t) r FROM counted) WHERE r <= n - CAST(ceil(80 * n / 100) AS BIGINT) + 1 AND df > 1),
+pairs AS (SELECT DISTINCT x.k x, y.k y FROM prefixes x JOIN prefixes y ON x.t = y.t AND x.k <> y.k AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+links AS MATERIALIZED (SELECT x, y FROM (SELECT x, y, len(list_intersect(a.s, b.s)) shared, len(a.s) + len(b.s) total FROM pairs JOIN sets a ON a.k = x JOIN sets b ON b.k = y) WHERE 100 * shared >= 80 * (total - shared)),
+reached(k, node) AS (SELECT k, k FROM sets UNION SELECT r.k, l.y FROM reached r JOIN links l ON r.node = l.x)
+SELECT s.doc_id, any_value(len(s.s))::BIGINT n_shingles, min(t.doc_id) component_id, s.doc_id IS NOT DISTINCT FROM min(t.doc_id) AS kept
+FROM reached r JOIN sets s USING (k) JOIN sets t ON r.node = t.k GROUP BY s.k, s.doc_id
+"""

@@ -47,8 +47,8 @@ WORDS = 2
 BITS = [f"b{w}" for w in range(WORDS)]
 #: More lines than a text can have.
 LINES = 10_000_000_000
-#: Postings that a worker compares at a time, about.
-AT_ONCE = 150_000
+#: Postings that a worker compares at a time, and that a task takes, about: tasks grow in number, not in size.
+AT_ONCE, POSTINGS = 150_000, 400_000
 #: Occurrences of a token beyond which its postings are split, and the tokens of a line up to which this is by pairs of tokens.
 HOT, LONG = 1 << 14, 64
 #: Candidates of a line within a token that are all taken at once.
@@ -184,11 +184,11 @@ def posted(classes: DataFrame) -> DataFrame:
     return each.withColumns({"pos": F.expr("cast(shiftrightunsigned(posting, 32) as int)"), "token": F.expr("posting & 4294967295L")}).drop("posting")
 
 
-def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
+def candidates(postings: DataFrame, threshold: int, every: bool, parts: int) -> DataFrame:
     """x, y, more: class x with an earlier class y of the same prefix token that passes the filters.
 
-    ``postings`` (token, place, line, cls, n, pos, bitmap, wanted) are dealt by token and sorted by
-    place. Of the y of a wanted x within a token all are given if they are ``FEW`` at most; else the
+    ``postings`` (token, place, line, cls, n, pos, bitmap, wanted) are dealt by token to ``parts`` tasks
+    and sorted by place. Of the y of a wanted x within a token all are given if they are ``FEW`` at most; else the
     earliest, with ``more``. With ``every`` all are given.
     """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("more", pa.bool_())])
@@ -246,8 +246,7 @@ def candidates(postings: DataFrame, threshold: int, every: bool) -> DataFrame:
         common.release()
 
     common.ship(postings.sparkSession)
-    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = postings.repartition(n, "token").sortWithinPartitions("token", "place", "line")
+    dealt = postings.repartition(parts, "token").sortWithinPartitions("token", "place", "line")
     return dealt.select("token", "cls", "n", "pos", "wanted", *BITS).mapInArrow(run, "x long, y long, more boolean")
 
 
@@ -317,9 +316,10 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     lines = run.table(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "places")
     run.drop(whole)
     places = classes.select("cls", "place", "line")
+    parts = max(1, -(-(classes.agg(F.sum(F.size("prefix"))).first()[0] or 0) // POSTINGS))
     wanted_of = lambda pairs: run.table(places.join(pairs.select(F.explode(F.array("x", "y")).alias("cls")).distinct(), "cls", "left_semi"), "wanted")
 
-    found = run.table(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, every=False).distinct(), "candidates")
+    found = run.table(candidates(posted(classes.withColumn("wanted", F.lit(True))), threshold, False, parts).distinct(), "candidates")
     gone = run.table(confirmed(found, sets_of(texts, wanted_of(found), shared), threshold), "gone")
     shared.release()
 
@@ -328,7 +328,7 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     marked = run.table(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))).drop("open"), "marked")
     tokens = marked.where("wanted").select(F.explode("prefix").alias("posting")).select(F.expr("posting & 4294967295L").alias("token"))
     again = postings_with(marked, common.bitmap(tokens, "token", hashed=True), shared)
-    more = run.table(candidates(again, threshold, every=True).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
+    more = run.table(candidates(again, threshold, True, parts).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
     late = run.table(confirmed(more, sets_of(texts, wanted_of(more), shared), threshold), "late")
     shared.release()
     goes = gone.unionByName(late).distinct().select(F.col("x").alias("cls"), F.lit(True).alias("goes"))
@@ -381,3 +381,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = rows.join(found.withColumnRenamed("doc_id", "id").withColumnRenamed("row", "of"), (F.col("row") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left")
     removed = F.coalesce("removed", F.array().cast("array<long>"))
     return shown.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), F.array_join(removed, ",").alias("removed"))
+
+
+#: The same join by words in SQL: classes of equal word sets, paired where prefixes by rarity meet.
+ORACLE_SQL = r"""
+WITH texts AS (SELECT row_number() OVER () k, doc_id, string_split(coalesce(text, ''), chr(10)) l FROM documents),
+split AS (SELECT k, doc_id, i - 1 line, list_sort(list_distinct(regexp_extract_all(translate(l[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'))) s
+  FROM (SELECT *, unnest(range(1, len(l) + 1)) i FROM texts)),
+lines AS (SELECT *, (doc_id, line) place FROM split WHERE len(s) > 0),
+classes AS (SELECT row_number() OVER () c, s, len(s) n, min(place) first FROM lines GROUP BY s),
+words AS (SELECT c, n, first, unnest(s) w FROM classes),
+counted AS (SELECT *, count(*) OVER (PARTITION BY w) df FROM words),
+prefixes AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY df, w) r FROM counted) WHERE r <= n - CAST(ceil(80 * n / 100) AS BIGINT) + 1 AND df > 1),
+pairs AS (SELECT DISTINCT x.c x, y.c y FROM prefixes x JOIN prefixes y ON x.w = y.w AND y.first < x.first AND x.c <> y.c AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+gone AS (SELECT DISTINCT x FROM (SELECT x, len(list_intersect(a.s, b.s)) shared, a.n + b.n total FROM pairs JOIN classes a ON a.c = x JOIN classes b ON b.c = y) WHERE 100 * shared >= 80 * (total - shared)),
+judged AS (SELECT k, line, g.x IS NOT NULL OR first <> place AS goes FROM lines l JOIN classes USING (s) LEFT JOIN gone g ON g.x = c),
+found AS (SELECT k, count(*) n_lines, count(*) FILTER (WHERE goes) n_removed, string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (WHERE goes) removed FROM judged GROUP BY k)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT n_lines, coalesce(n_removed, 0)::BIGINT n_removed, coalesce(removed, '') removed FROM texts LEFT JOIN found USING (k)
+"""
