@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, fields
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from gridloom.errors import ProposalError
 from gridloom.functions import naming, types
 from gridloom.functions.text import digest
 from gridloom.limits import ProposalPolicy
+from gridloom.operators.tables import data_rows, long_cells, only_table
 
 TYPES = ("text", "boolean", "date", "bigint", "numeric")
 
@@ -165,6 +167,62 @@ def propose(cells: DataFrame, headers: list[str], source_hash: str, policy: Prop
     return identified(columns, hashes, source_hash.lower(), policy.version)
 
 
+#: Evidence of a column without a cell, as where a table has no rows.
+EMPTY = {"total": 0, "non_null_count": 0, "distinct_count": 0, "maximum_text_length": 0} | dict.fromkeys(("all_boolean", "all_date", "all_integer", "all_decimal", "leading_zero", "all_int64"), False)
+FIELDS = tuple(sorted(f.name for f in fields(ColumnProposal)))
+
+
+def named_headers(policy: ProposalPolicy):
+    """struct<code, names> of a table's headers: the error that they are, or position, words, name and hash of each."""
+
+    @F.arrow_udf("code string, names array<struct<ordinal: int, words: string, target_column_name: string, source_header_hash_sha256: string>>")
+    def of(headers: pa.Array) -> pa.Array:
+        codes, names = [], []
+        for listed in headers.to_pylist():
+            try:
+                found = checked_headers(listed, policy)
+                codes.append(None)
+                names.append([{"ordinal": i, "words": w, "target_column_name": n, "source_header_hash_sha256": naming.hashlib.sha256(listed[i].encode()).hexdigest()} for i, (w, n) in enumerate(found)])
+            except ProposalError as error:
+                codes.append(error.code)
+                names.append(None)
+        kind = pa.list_(pa.struct([("ordinal", pa.int32()), *[(n, pa.string()) for n in ("words", "target_column_name", "source_header_hash_sha256")]]))
+        return pa.StructArray.from_arrays([pa.array(codes, pa.string()), pa.array(names, kind)], ["code", "names"])
+
+    return of
+
+
+def _json(value: Column) -> Column:
+    """Canonical JSON of a column whose fields are in order of their names."""
+    return F.to_json(value, {"ignoreNullFields": "false"})
+
+
+def proposals(rows: DataFrame, *carried: str, policy: ProposalPolicy = ProposalPolicy(), complete: bool = True) -> DataFrame:  # noqa: B008
+    """The proposals of all artifacts at once: ids, fingerprint, canonical JSON, review flag, or an error code.
+
+    ``rows`` are strictly parsed. One row a column is shuffled, and one grouped aggregate over the cells;
+    the JSON is that of :meth:`SchemaProposal.to_dict`. Artifacts without exactly one table that has a
+    header are ``schema_proposal_failed``.
+    """
+    heads = rows.where("coalesce(row_index, 0) = 0").withColumn("headers", F.when((F.col("table_count") == 1), F.col("headers")))
+    heads = heads.groupBy("artifact_sha256").agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("headers", "error_code", *carried)])
+    named = heads.withColumn("found", named_headers(policy)("headers"))
+    each = named.select("artifact_sha256", F.explode("found.names").alias("n")).select("artifact_sha256", "n.*")
+    cells = long_cells(data_rows(only_table(rows)))
+    judged = decided(each.join(evidence(cells, ["artifact_sha256", "ordinal"]), ["artifact_sha256", "ordinal"], "left").fillna(EMPTY), F.col("words"), complete)
+    column = F.struct("ordinal", F.struct(*FIELDS).alias("column"))
+    grouped = judged.groupBy("artifact_sha256").agg(F.sort_array(F.collect_list(column)).alias("columns"), F.max("total").alias("samples"), F.max("maximum_text_length").alias("longest"), F.bool_or(F.size("review_reasons") > 0).alias("review_required"))
+    joined = named.join(grouped.withColumn("columns", F.transform("columns", lambda c: c["column"])), "artifact_sha256", "left")
+    code = F.coalesce("error_code", F.when(F.col("headers").isNull(), "schema_proposal_failed"), "found.code", F.when(F.col("samples") > policy.samples, "too_many_samples"), F.when(F.col("longest") > policy.value_chars, "sample_value_too_large"))
+    fingerprint = F.sha2(F.to_json(F.transform("found.names", lambda n: n["source_header_hash_sha256"])), 256)
+    made = joined.withColumns({"code": code, "proposal_version": F.lit(policy.version), "source_hash_sha256": F.col("artifact_sha256"), "table_fingerprint_sha256": fingerprint})
+    identity = _json(F.struct("columns", "proposal_version", "source_hash_sha256", "table_fingerprint_sha256"))
+    made = made.withColumn("schema_proposal_id", F.concat(F.lit("schema_proposal_"), F.substring(F.sha2(identity, 256), 1, 32)))
+    document = _json(F.struct("columns", "proposal_version", "schema_proposal_id", "source_hash_sha256", "table_fingerprint_sha256"))
+    good = lambda c: F.when(F.col("code").isNull(), c)
+    return made.select("artifact_sha256", *carried, *[good(F.col(c)).alias(c) for c in ("schema_proposal_id", "table_fingerprint_sha256")], good(document).alias("proposal"), good(F.col("review_required")).alias("review_required"), F.col("code").alias("error_code"))
+
+
 def identified(columns: tuple[ColumnProposal, ...], header_hashes: list[str], source_hash: str, version: str) -> SchemaProposal:
     fingerprint = digest(header_hashes)
     identity = {"proposal_version": version, "source_hash_sha256": source_hash, "table_fingerprint_sha256": fingerprint, "columns": [c.to_dict() for c in columns]}

@@ -436,15 +436,40 @@ def proposal_types(spark, sf_dir):
 
 
 def nation_proposal(spark: SparkSession, sf_dir: str) -> propose.SchemaProposal:
+    """The proposal of an archive of all nations."""
     columns = {"NATION_KEY": F.col("n_nationkey"), "NationName": F.col("n_name"), "region_no": F.col("n_regionkey")}
-    cells = long_table(table(spark, sf_dir, "nation"), "n_nationkey", columns)
-    return propose.propose(cells, list(columns), "ab" * 32)
+    pages = render.tables(table(spark, sf_dir, "nation"), [F.lit(0).alias("artifact_key")], [F.col("n_nationkey")], render.row(list(columns.values())), render.header_row(list(columns)))
+    data = tables.data_rows(tables.only_table(parsed(pages, "strict")))
+    head = data.first()
+    return propose.propose(tables.long_cells(data), head["headers"], head["artifact_sha256"])
 
 
-@query()
+_PART_JSON = "'{\"distinct_count\":' || d || ',\"maximum_numeric_precision\":' || CASE WHEN kind = 'bigint' THEN digits::VARCHAR ELSE 'null' END || ',\"maximum_numeric_scale\":' || CASE WHEN kind = 'bigint' THEN '0' ELSE 'null' END || ',\"maximum_text_length\":' || l || ',\"non_null_count\":' || n || ',\"nullable\":false,\"proposed_type\":\"' || kind || '\",\"review_reasons\":[' || CASE WHEN reason = '' THEN '' ELSE '\"' || reason || '\"' END || '],\"source_header_hash_sha256\":\"' || sha256(h) || '\",\"target_column_name\":\"' || name || '\"}'"
+
+
+@query(f"""WITH pages AS (SELECT p_partkey // 64 a, '{render.ARCHIVE_HEAD}' || '<html><body><table>{render.header_row(["PARTKEY", "part_name", "BRAND_CODE", "SizeValue"])}' ||
+    string_agg('<tr><td>' || p_partkey || '</td><td>' || p_name || '</td><td>' || p_brand || '</td><td>' || p_size || '</td></tr>', '' ORDER BY p_partkey) || '</table></body></html>' || '{render.ARCHIVE_TAIL}' AS page FROM part GROUP BY 1),
+cells AS (SELECT p_partkey // 64 a, unnest([{{'i': 0, 'h': 'PARTKEY', 'name': 'partkey_field', 'kind': 'bigint', 'reason': '', 'v': p_partkey::VARCHAR}}, {{'i': 1, 'h': 'part_name', 'name': 'part_name', 'kind': 'text', 'reason': 'mixed_or_unrecognized_values', 'v': p_name}},
+  {{'i': 2, 'h': 'BRAND_CODE', 'name': 'brand_code', 'kind': 'text', 'reason': 'identifier_semantics', 'v': p_brand}}, {{'i': 3, 'h': 'SizeValue', 'name': 'size_value', 'kind': 'bigint', 'reason': '', 'v': p_size::VARCHAR}}]) c FROM part),
+evidence AS (SELECT a, c.i i, c.h h, c.name name, c.kind kind, CASE WHEN c.reason = 'identifier_semantics' THEN 'identifier_semantics","mixed_or_unrecognized_values' ELSE c.reason END reason, count(DISTINCT c.v) d, count(*) n, max(length(c.v)) l, max(length(c.v)) digits FROM cells GROUP BY ALL),
+columns_ AS (SELECT a, '[' || string_agg({_PART_JSON}, ',' ORDER BY i) || ']' c, sha256('["' || string_agg(sha256(h), '","' ORDER BY i) || '"]') f FROM evidence GROUP BY a),
+documents_ AS (SELECT a, c, f, sha256(page) s FROM columns_ JOIN pages USING (a)),
+named AS (SELECT *, 'schema_proposal_' || left(sha256('{{"columns":' || c || ',"proposal_version":"1.0.0","source_hash_sha256":"' || s || '","table_fingerprint_sha256":"' || f || '"}}'), 32) id FROM documents_)
+SELECT a AS artifact_key, id AS schema_proposal_id, f AS table_fingerprint_sha256, '{{"columns":' || c || ',"proposal_version":"1.0.0","schema_proposal_id":"' || id || '","source_hash_sha256":"' || s || '","table_fingerprint_sha256":"' || f || '"}}' AS proposal FROM named""")
 def proposal_identity(spark, sf_dir):
-    found = nation_proposal(spark, sf_dir)
-    return spark.createDataFrame([(found.schema_proposal_id, found.table_fingerprint_sha256, text.canonical_json(found.to_dict()))], "schema_proposal_id string, table_fingerprint_sha256 string, proposal string")
+    """Proposals of all archives at once, with their hashes over canonical JSON."""
+    cells = [F.col(c) for c in ("p_partkey", "p_name", "p_brand", "p_size")]
+    pages = render.tables(table(spark, sf_dir, "part"), [block("p_partkey")], [F.col("p_partkey")], render.row(cells), render.header_row(["PARTKEY", "part_name", "BRAND_CODE", "SizeValue"]))
+    return propose.proposals(parsed(pages, "strict"), "artifact_key").select("artifact_key", "schema_proposal_id", "table_fingerprint_sha256", "proposal")
+
+
+@query("""SELECT s_suppkey // 64 artifact_key, true AS has_both, false AS has_other, min(s_suppkey)::VARCHAR AS least FROM supplier GROUP BY 1""")
+def header_assertion(spark, sf_dir):
+    """Exact header names, case included, on every parsed archive."""
+    cells = [F.col("s_suppkey"), F.col("s_name")]
+    found = tables.primary(parsed(render.tables(table(spark, sf_dir, "supplier"), [block("s_suppkey")], [F.col("s_suppkey")], render.row(cells), render.header_row(["KEY", "Name"], "td")), "lenient"))
+    first = found.where("row_no = 1")
+    return first.select("artifact_key", tables.has_headers(F.col("headers"), ["Name", "KEY"]).alias("has_both"), tables.has_headers(F.col("headers"), ["NAME"]).alias("has_other"), cell(0)["text"].alias("least"))
 
 
 # --- mapping ----------------------------------------------------------------------------------

@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BOUNDARY = "----gridloom"
+ARCHIVE_HEAD = (
+    f'MIME-Version: 1.0\nContent-Type: multipart/related; type="text/html"; boundary="{BOUNDARY}"\n\n'
+    f"--{BOUNDARY}\nContent-Type: text/html; charset=utf-8\nContent-Transfer-Encoding: 8bit\nContent-Location: file:///export.htm\n\n"
+)
+ARCHIVE_TAIL = f"\n--{BOUNDARY}--\n"
 
 
 def escaped(value: Column) -> Column:
@@ -32,6 +37,5 @@ def header_row(names: list[str], tag: str = "th") -> str:
 
 def archive(html: Column, related_type: bool = True) -> Column:
     """A multipart/related archive around an HTML text, as bytes."""
-    kind = '; type="text/html"' if related_type else ""
-    head = f'MIME-Version: 1.0\nContent-Type: multipart/related{kind}; boundary="{BOUNDARY}"\n\n--{BOUNDARY}\nContent-Type: text/html; charset=utf-8\nContent-Transfer-Encoding: 8bit\nContent-Location: file:///export.htm\n\n'
-    return F.encode(F.concat(F.lit(head), html, F.lit(f"\n--{BOUNDARY}--\n")), "utf-8")
+    head = ARCHIVE_HEAD if related_type else ARCHIVE_HEAD.replace('; type="text/html"', "", 1)
+    return F.encode(F.concat(F.lit(head), html, F.lit(ARCHIVE_TAIL)), "utf-8")

@@ -116,6 +116,29 @@ def test_proposal_identity_is_independent_of_partitions(spark):
     assert len(ids) == 1
 
 
+def test_proposals_of_all_archives_equal_single_ones(spark):
+    from gridloom.functions.text import canonical_json
+    from gridloom.operators import tables
+    from gridloom.sources.parse import parse
+
+    head = "MIME-Version: 1.0\nContent-Type: text/html; charset=utf-8\n\n"
+    row = lambda *cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
+    pages = {
+        "a": "<table>" + row("MANDT", "한글", "due_date", "x", "x") + row("1", "é", "20260220", "", "1.5") + row("2", "", "20260221", "", "2.25") + "</table>",
+        "b": "<table>" + row("only") + "</table>", "c": "<table></table>", "d": "no table", "e": "<table>" + row("a") + "</table><table>" + row("b") + "</table>", "f": "<table><tr><td colspan=0></table>",
+        "g": "<table>" + row("h" * 5000) + row("1") + "</table>",
+    }
+    known = spark.createDataFrame([(k, bytearray((head + v).encode())) for k, v in pages.items()], "name string, content binary").withColumn("artifact_sha256", F.sha2("content", 256))
+    rows = parse(known, "strict", carry=("name",)).cache()
+    found = {r["name"]: r for r in propose.proposals(rows, "name").collect()}
+    assert {k: r["error_code"] for k, r in found.items()} == {"a": None, "b": None, "c": "schema_proposal_failed", "d": "schema_proposal_failed", "e": "schema_proposal_failed", "f": "invalid_table_span", "g": "header_too_large"}
+    data = tables.data_rows(tables.only_table(rows.where("name = 'a'")))
+    one = data.first()
+    single = propose.propose(tables.long_cells(data), one["headers"], one["artifact_sha256"])
+    assert found["a"]["proposal"] == canonical_json(single.to_dict()) and found["a"]["schema_proposal_id"] == single.schema_proposal_id and found["a"]["review_required"] == single.review_required
+    assert json.loads(found["b"]["proposal"])["columns"][0]["review_reasons"] == ["empty_column"] and found["d"]["proposal"] is None
+
+
 @pytest.fixture(scope="module")
 def proposal(spark):
     cells = spark.createDataFrame([(0, "1"), (1, "x")], "ordinal int, value string")
