@@ -15,9 +15,10 @@ def column_types(cells: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:
 
     ``cells``: artifact_sha256, row_no, ordinal, header, value (stripped, null where blank).
     """
-    sampled = F.when(F.col("row_no") <= sample, F.col("value"))
-    flags = [F.bool_and(types.conforms(of, t)).alias(f"{where}_{t}") for where, of in (("sample", sampled), ("all", F.col("value"))) for t in types.LOAD_TYPES]
-    found = cells.groupBy("artifact_sha256", "ordinal", "header").agg(F.count(sampled).alias("seen"), *flags)
+    in_sample = F.col("row_no") <= sample
+    each = cells.select("artifact_sha256", "ordinal", "header", in_sample.alias("sampled"), F.col("value").isNotNull().alias("present"), *[types.conforms(F.col("value"), t).alias(t) for t in types.LOAD_TYPES])
+    flags = [a for t in types.LOAD_TYPES for a in (F.bool_and(F.when(F.col("sampled"), F.col(t))).alias(f"sample_{t}"), F.bool_and(t).alias(f"all_{t}"))]
+    found = each.groupBy("artifact_sha256", "ordinal", "header").agg(F.count_if(F.col("sampled") & F.col("present")).alias("seen"), *flags)
     kind, fits = F.lit("TEXT"), F.lit(True)
     for t in reversed(types.LOAD_TYPES):
         kind = F.when(F.col(f"sample_{t}"), t).otherwise(kind)
