@@ -60,15 +60,19 @@ class JdbcTable(Sink):
 
     # --- one connection of the driver
 
-    def _run(self, statements: Sequence[str]) -> None:
-        """Statements in one transaction."""
+    def _connection(self):
+        """A connection; a driver that came as a jar of the application is registered as Spark's own source does it."""
         properties = self.spark._jvm.java.util.Properties()
         for key, value in self._options.items():
             properties.setProperty(key, value)
+        if "driver" in self._options:
+            self.spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(self._options["driver"])
+        return self.spark._jvm.java.sql.DriverManager.getConnection(self.url, properties)
+
+    def _run(self, statements: Sequence[str]) -> None:
+        """Statements in one transaction."""
         try:
-            if "driver" in self._options:
-                self.spark._jvm.java.lang.Class.forName(self._options["driver"])
-            connection = self.spark._jvm.java.sql.DriverManager.getConnection(self.url, properties)
+            connection = self._connection()
             try:
                 connection.setAutoCommit(False)
                 statement = connection.createStatement()
@@ -95,29 +99,19 @@ class JdbcTable(Sink):
 
     def columns_of(self, table: str) -> list[str]:
         """Columns that the database has; none where there is no such table."""
-        metadata = self.spark._jvm.java.sql.DriverManager.getConnection(self.url, self._properties()).getMetaData()
-        try:
-            found, names = metadata.getColumns(None, None, None, None), []
-            while found.next():
-                if found.getString("TABLE_NAME").lower() == table:
-                    names.append(found.getString("COLUMN_NAME").lower())
-            return names
-        finally:
-            metadata.getConnection().close()
-
-    def _properties(self):
-        properties = self.spark._jvm.java.util.Properties()
-        for key, value in self._options.items():
-            properties.setProperty(key, value)
-        return properties
+        return [column for of, column in self._listed("getColumns", "TABLE_NAME", "COLUMN_NAME") if of == table]
 
     def tables(self) -> set[str]:
-        connection = self.spark._jvm.java.sql.DriverManager.getConnection(self.url, self._properties())
+        return {name for (name,) in self._listed("getTables", "TABLE_NAME")}
+
+    def _listed(self, what: str, *names: str) -> list[tuple[str, ...]]:
+        """What the database's metadata lists, in lower case."""
+        connection = self._connection()
         try:
-            found, names = connection.getMetaData().getTables(None, None, None, None), set()
+            found, rows = getattr(connection.getMetaData(), what)(None, None, None, None), []
             while found.next():
-                names.add(found.getString("TABLE_NAME").lower())
-            return names
+                rows.append(tuple(found.getString(n).lower() for n in names))
+            return rows
         finally:
             connection.close()
 
