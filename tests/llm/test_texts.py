@@ -197,12 +197,12 @@ def plain_count(word, scores):
     return best[-1][1]
 
 
-def test_token_counts(docs, empty, rows):
+def test_token_counts(clashing, empty, rows):
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     scores = tokens.zipf_scores(tokens.public_pieces(path))
-    found = tokens.token_counts(docs, path).toPandas()
+    found = tokens.token_counts(clashing, path).toPandas()
     totals = Counter()
     memo = {}
     for doc_id, text, *_ in rows:
