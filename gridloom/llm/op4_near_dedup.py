@@ -43,7 +43,7 @@ K, BANDS, ODD_BITS, ODD_WORDS = 128, 32, 512, 8
 #: How far below the threshold an odd-sketch estimate still counts as a candidate.
 SLACK = 0.3
 #: Shingles of one leader's classes that are gathered in one task at most.
-CELL = 1_000_000
+CELL = 200_000
 _random = np.random.default_rng(20)
 _MULTIPLY = (_random.integers(0, 1 << 31, K, dtype=np.uint32) << 1) | np.uint32(1)
 _ADD = _random.integers(0, 1 << 32, K, dtype=np.uint32)
