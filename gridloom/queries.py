@@ -312,7 +312,7 @@ def unique_names(spark, sf_dir):
     """Every nation's name three times as a header."""
     nations = [r["n_name"] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()]  # headers are few
     headers = [h for n in nations for h in (n, n.lower(), n)]
-    return prepared(spark).createDataFrame(list(zip(range(len(headers)), headers, naming.unique_snake_names(headers), strict=True)), "position int, header string, name string")
+    return prepared(spark).createDataFrame(list(zip(range(len(headers)), headers, naming.unique_snake_names(headers), strict=True)), "position long, header string, name string")
 
 
 # --- types ------------------------------------------------------------------------------------
@@ -674,7 +674,29 @@ def graph_edges(spark, sf_dir):
     return edges.select("edge_type", F.regexp_extract("target_id", "_column_(.*)$", 1).alias("target"))
 
 
-@query()
+# Canonical JSON is that of structs whose fields are in order of their names; the ids are hashes of it.
+_SUBMISSION = f"""WITH page AS (SELECT sha256('{render.ARCHIVE_HEAD}' || '<html><body><table>{render.header_row(["NATION_KEY", "NationName", "region_no"])}' ||
+    string_agg('<tr><td>' || n_nationkey || '</td><td>' || n_name || '</td><td>' || n_regionkey || '</td></tr>', '' ORDER BY n_nationkey) || '</table></body></html>' || '{render.ARCHIVE_TAIL}') s FROM nation),
+cells AS (SELECT unnest([{{'i': 0, 'h': 'NATION_KEY', 'name': 'nation_key', 'kind': 'bigint', 'why': []::VARCHAR[], 'v': n_nationkey::VARCHAR}}, {{'i': 1, 'h': 'NationName', 'name': 'nation_name', 'kind': 'text', 'why': ['mixed_or_unrecognized_values'], 'v': n_name}},
+  {{'i': 2, 'h': 'region_no', 'name': 'region_no', 'kind': 'text', 'why': ['identifier_semantics'], 'v': n_regionkey::VARCHAR}}]) c FROM nation),
+counted AS (SELECT c.i i, c.h h, c.name name, c.kind kind, c.why why, count(DISTINCT c.v) d, count(*) n, max(length(c.v)) l FROM cells GROUP BY ALL),
+evidence AS (SELECT *, CASE WHEN kind = 'bigint' THEN l END p, CASE WHEN kind = 'bigint' THEN 0 END q FROM counted),
+listed AS (SELECT s, list({{'distinct_count': d, 'maximum_numeric_precision': p, 'maximum_numeric_scale': q, 'maximum_text_length': l, 'non_null_count': n, 'nullable': false, 'proposed_type': kind, 'review_reasons': why, 'source_header_hash_sha256': sha256(h), 'target_column_name': name}} ORDER BY i) c,
+  sha256(to_json(list(sha256(h) ORDER BY i))::VARCHAR) f FROM evidence, page GROUP BY s),
+proposal AS (SELECT s, f, 'schema_proposal_' || left(sha256(to_json({{'columns': c, 'proposal_version': '1.0.0', 'source_hash_sha256': s, 'table_fingerprint_sha256': f}})::VARCHAR), 32) id FROM listed),
+named AS (SELECT *, '{documents.SOURCE}_dataset_' || substr(id, 17) AS dataset FROM proposal),
+items AS (
+  SELECT 0 i, '{documents.NODES}' path, 'dataset' AS kind, 'Nations' AS label, dataset AS id, to_json({{'column_count': 3, 'connector_contract_version': '1.0.0', 'privacy_mode': 'value_free', 'proposal_version': '1.0.0', 'review_required': true, 'schema_proposal_id': id, 'source_hash_sha256': s, 'source_system': '{documents.SOURCE}', 'table_fingerprint_sha256': f}}) properties, 'Nations schema proposal' AS text FROM named
+  UNION ALL SELECT 1 + i, '{documents.NODES}', 'column', name, dataset || '_column_' || name, to_json({{'connector_contract_version': '1.0.0', 'distinct_count': d, 'maximum_numeric_precision': p, 'maximum_numeric_scale': q, 'maximum_text_length': l, 'non_null_count': n, 'nullable': false, 'privacy_mode': 'value_free', 'proposed_type': kind, 'review_reasons': why, 'source_header_hash_sha256': sha256(h), 'target_column_name': name}}), 'Nations ' || name || ' ' || kind FROM evidence, named
+  UNION ALL SELECT 4 + i, '{documents.EDGES}', 'edge', dataset, dataset || '_column_' || name, to_json({{'privacy_mode': 'value_free', 'schema_proposal_id': id}}), NULL FROM evidence, named),
+bodies AS (SELECT *,
+  CASE WHEN kind = 'edge' THEN to_json({{'edge_type': 'contains_column', 'properties': properties, 'source_id': label, 'target_id': id}}) ELSE to_json({{'kind': kind, 'label': label, 'node_id': id, 'properties': properties, 'text': text}}) END item,
+  CASE WHEN kind = 'edge' THEN to_json({{'actor': 'steward', 'edge_type': 'contains_column', 'properties': properties, 'source_id': label, 'target_id': id}}) ELSE to_json({{'actor': 'steward', 'kind': kind, 'label': label, 'node_id': id, 'properties': properties, 'text': text}}) END body FROM items),
+manifest AS (SELECT 'catalog_manifest_' || left(sha256(to_json({{'contract_version': '1.0.0', 'edges': (SELECT list(item ORDER BY i) FROM bodies WHERE kind = 'edge'), 'nodes': (SELECT list(item ORDER BY i) FROM bodies WHERE kind <> 'edge'), 'schema_proposal_id': id, 'source_hash_sha256': s, 'target_system': '{documents.TARGET}'}})::VARCHAR), 32) m FROM named)
+SELECT i::INT AS request_index, 'POST' AS "method", path, '{documents.KEY_PREFIX}' || left(sha256(to_json({{'approval_reference': 'approval:1', 'body': body, 'manifest_id': m, 'path': path, 'tenant_id': 'tenant-1'}})::VARCHAR), 32) AS idempotency_key, body::VARCHAR AS body FROM bodies, manifest"""
+
+
+@query(_SUBMISSION)
 def submission_requests(spark, sf_dir):
     graph = documents.manifest(nation_proposal(spark, sf_dir), "Nations")
     return documents.envelope(graph, "tenant-1", "steward", "approval:1").frame(spark)
