@@ -23,8 +23,6 @@ texts are scored whole; other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import math
-from collections import deque
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +35,7 @@ MARK = "▁"
 #: Integer score units of one nat, and the score of a byte of an unknown character.
 UNIT, BYTE_NATS = 1_000_000, 12
 #: Bounds of a worker's caches: trie nodes, characters of a word in the trie, kept counts.
-MAX_NODES, MAX_KEPT_CHARS, MAX_COUNTS = 150_000, 64, 200_000
+MAX_NODES, MAX_KEPT_CHARS, MAX_COUNTS = 400_000, 64, 600_000
 
 
 def zipf_scores(pieces: list[str]) -> dict[str, int]:
@@ -56,40 +54,53 @@ class TrieCounter:
     def __init__(self, scores: dict[str, int], max_nodes: int = MAX_NODES):
         self._scores, self._max = scores, max_nodes
         self._longest = max(map(len, scores), default=1)
+        #: The longest piece that ends with one or two characters: fewer starts to try.
+        self._ending: dict[str, int] = {}
+        for piece in scores:
+            self._ending[piece[-2:]] = max(len(piece), self._ending.get(piece[-2:], 1))
         self._known: dict[int, int] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self._child: dict[tuple[int, str], int] = {}
+        self._child: dict[int, int] = {}
         self._best: list[tuple[int, int]] = [(0, 0)]
 
-    def _scored(self, text: str, end: int, before: Iterable[tuple[int, int]]) -> tuple[int, int]:
-        """Best (score, -tokens) of the prefix of length ``end``; ``before`` has those of the starts of pieces, the nearest last."""
-        before = list(before)
-        width = len(text[end - 1].encode("utf-8", "surrogatepass"))
-        best = (before[-1][0] - width * BYTE_NATS * UNIT, before[-1][1] - width)
-        for start, (score, tokens) in enumerate(before, end - len(before)):
-            piece = self._scores.get(text[start:end])
-            if piece is not None:
-                best = max(best, (score + piece, tokens - 1))
-        return best
+    def _scored(self, text: str, end: int, before: list[tuple[int, int]]) -> tuple[int, int]:
+        """Best (score, -tokens) of the prefix of length ``end``; ``before`` has those of the shorter ones, the nearest last."""
+        char = text[end - 1]
+        width = 1 if char < "\x80" else len(char.encode("utf-8", "surrogatepass"))
+        score, tokens = before[-1]
+        score, tokens = score - width * BYTE_NATS * UNIT, tokens - width
+        piece = self._scores.get(char)
+        if piece is not None and (one := (before[-1][0] + piece, before[-1][1] - 1)) > (score, tokens):
+            score, tokens = one
+        for back in range(2, min(self._ending.get(text[end - 2 : end], 1), end, len(before)) + 1):
+            piece = self._scores.get(text[end - back : end])
+            if piece is not None and (one := (before[-back][0] + piece, before[-back][1] - 1)) > (score, tokens):
+                score, tokens = one
+        return score, tokens
 
     def count(self, word: str) -> int:
         """Tokens of the pre-token of ``word``: along the trie, which grows where needed, then in a window."""
         if len(self._best) > self._max:
             self._clear()
-        text, node = MARK + word, 0
-        window = deque([self._best[0]], self._longest)
-        for end, char in enumerate(text[:MAX_KEPT_CHARS], 1):
-            following = self._child.get((node, char))
+        text, node, child, best = MARK + word, 0, self._child, self._best
+        before = [best[0]]
+        for char in text[:MAX_KEPT_CHARS]:
+            following = child.get((node << 21) | ord(char))
             if following is None:
-                following = self._child[node, char] = len(self._best)
-                self._best.append(self._scored(text, end, window))
+                break
             node = following
-            window.append(self._best[node])
+            before.append(best[node])
+        for end in range(len(before), min(len(text), MAX_KEPT_CHARS) + 1):
+            before.append(self._scored(text, end, before))
+            child[(node << 21) | ord(text[end - 1])] = node = len(best)
+            best.append(before[-1])
         for end in range(MAX_KEPT_CHARS + 1, len(text) + 1):
-            window.append(self._scored(text, end, window))
-        return -window[-1][1]
+            before.append(self._scored(text, end, before))
+            if len(before) > 4 * self._longest:
+                del before[: -self._longest]
+        return -before[-1][1]
 
     def counts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Pre-tokens and tokens of each text of a column."""
