@@ -108,7 +108,7 @@ def load(
         stop = heads.where(~good).agg(F.min("path")).first()[0]
         good &= F.lit(True) if stop is None else F.col("path") < stop
     data = data_rows(parsed.where(good))
-    profile = run.table(column_types(long_cells(data)), "profile")
+    profile = column_types(long_cells(data))
     arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in merged_types(profile).collect()}  # headers are at most a few thousand
 
     table = merged_table(live, {h: (at, kind) for h, (at, kind, _) in arriving.items()}).commented(comments or {})
@@ -146,7 +146,7 @@ def load(
         F.when(skipped | F.col("failure").isNotNull(), 0).otherwise(F.col("arrived")).cast("long").alias("inserted_rows"), F.when(~skipped, F.col("failure")).alias("error"), F.lit(sink.name).alias("table_name"),
     )
     outcomes = run.table(outcomes, "outcomes")
-    run.drop(identity, known, parsed, profile)
+    run.drop(identity, known, parsed)
     if stop is not None:
         raise LoadFailed("batch_failed")
     return LoadResult(outcomes, sink, table, ddl(table), inserted, now, report)
