@@ -8,11 +8,13 @@ texts as runs of code points. Control strings in texts and roles are escaped, so
 open or close a turn of this or a like template, and ``read_back`` restores every turn.
 
 DataFrame functions only. A conversation is one row and one task: its turns have to be put in order.
-Defined cases: null texts and roles count as empty; a record of no known layout, or one that is no JSON,
-has null turns and a null rendering; a conversation's turns that tie are ordered by role, then text;
+Defined cases: null texts and roles count as empty, and an empty field adds no blank line to those it is joined with; a text
+that is itself JSON (an object, a list of objects, a number, ``null``) is a text like any other: what is a list is told by its
+JSON type; a record of no known layout (a list with anything but objects in it among them), or one that is no JSON,
+has null turns and a null rendering, and ``layout_counts`` counts it; a conversation's turns that tie are ordered by role, then text;
 repeated turns are turns of their own, repeated records give a row each; an empty table gives no rows;
 fields of no layout are ignored; very long texts are rendered whole; columns beside the record go along,
-and columns of the result's names are not allowed among them.
+and one of a result's name among them raises ``reserved_column``.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.errors import GridloomError
 from gridloom.llm import common
 
 OPEN, CLOSE, ASSISTANT = "<|turn|>", "<|end|>\n", "assistant"
@@ -41,6 +44,8 @@ LAYOUTS: dict[str, tuple[tuple[str, ...], object]] = {
     "instruction and input": (("input", "instruction", "output"), (("user", ("instruction", "input")), (ASSISTANT, ("output",)))),
     "question and answer": (("answer", "question"), (("user", ("question",)), (ASSISTANT, ("answer",)))),
 }
+#: Columns that formatting adds.
+ADDED = ("paths", "layout", "turns", "formatted", "loss_mask")
 #: Every path that a layout uses, and the schema that its values are read with.
 KNOWN = sorted({path for paths, _ in LAYOUTS.values() for path in paths})
 
@@ -57,11 +62,15 @@ RECORD = _schema()
 
 
 def paths_of(record: Column) -> Column:
-    """The nested paths that a JSON record fills, sorted: ``name``, or ``name[].part`` for fields of listed objects."""
+    """The nested paths that a JSON record fills, sorted: ``name``, or ``name[].part`` for fields of listed objects.
+
+    The map of texts no longer tells a list from a text that looks like one; a path that steps into the record's own list does.
+    """
     fields = F.map_entries(F.map_filter(F.from_json(record, "map<string, string>"), lambda _, v: v.isNotNull()))
 
     def of(field: Column) -> Column:
-        listed = F.when(field["value"].startswith("["), F.from_json(field["value"], "array<map<string, string>>"))
+        inside = F.call_function("get_json_object", record, F.concat(F.lit("$['"), field["key"], F.lit("'][*]")))
+        listed = F.when(field["value"].startswith("[") & inside.isNotNull(), F.from_json(field["value"], "array<map<string, string>>"))
         filled = F.flatten(F.transform(F.filter(listed, lambda m: m.isNotNull()), lambda m: F.map_keys(F.map_filter(m, lambda _, v: v.isNotNull()))))
         nested = F.transform(F.array_distinct(filled), lambda part: F.concat(field["key"], F.lit("[]."), part))
         return F.when(F.size(nested) > 0, nested).otherwise(F.array(field["key"]))
@@ -100,7 +109,7 @@ def canonical_turns(record: Column, found: Column) -> Column:
         if isinstance(how[0], str):
             made = F.transform(record[how[0]], _list_turn(*how[1:]))
         else:
-            made = F.array(*[_turn(F.lit(role), F.concat_ws("\n\n", *[record[f] for f in fields])) for role, fields in how])
+            made = F.array(*[_turn(F.lit(role), F.concat_ws("\n\n", *[F.nullif(record[f], F.lit("")) for f in fields])) for role, fields in how])
         turns = F.when(found == _named(paths), made).otherwise(turns)
     return turns
 
@@ -160,6 +169,8 @@ def under_mask(text: Column, mask: Column) -> Column:
 
 def format_records(records: DataFrame, record: str = "record") -> DataFrame:
     """The rows of ``records`` (key and JSON ``record``) with paths, layout, turns, formatted and loss_mask."""
+    if {c.lower() for c in records.columns if c != record} & set(ADDED):
+        raise GridloomError("reserved_column")
     keys = [records[c] for c in records.columns if c != record]
     parsed, print_ = common.fresh_names(records, "parsed", "fingerprint")
     named = records.select(*keys, F.from_json(records[record], RECORD).alias(parsed), paths_of(records[record]).alias("paths"))
@@ -171,6 +182,11 @@ def format_records(records: DataFrame, record: str = "record") -> DataFrame:
     return turned.withColumns({"formatted": formatted(F.col("turns")), "loss_mask": loss_mask(F.col("turns"))})
 
 
+def layout_counts(made: DataFrame) -> DataFrame:
+    """layout (null: none fits), paths (of those without a layout) and records: what formatting made of a table."""
+    return made.groupBy("layout", F.when(F.col("layout").isNull(), F.col("paths")).alias("paths")).agg(F.count("*").alias("records"))
+
+
 def conversation_turns(rows: DataFrame) -> DataFrame:
     """conv_id and messages (role, content), in order, of a table with a row a turn."""
     turn = F.struct(rows["turn"].cast("long").alias("turn"), F.coalesce(rows["role"].cast("string"), F.lit("")).alias("role"), F.coalesce(rows["text"].cast("string"), F.lit("")).alias("content"))

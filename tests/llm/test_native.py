@@ -49,6 +49,48 @@ def test_layouts(spark):
     assert len({found[i]["layout"] for i in range(7)}) == 7
 
 
+JSON_TEXTS = ['[{"a": 1}]', '[{"role":"x"}] fine', '{"a": [1]}', "[1, 2]", "[]", "{}", "17", "null", "true", '"quoted"', "[{", '[{"role": "user", "content": "c"}]', "", "[null]"]
+
+
+def test_texts_that_are_json(spark):
+    flat = [("prompt", "completion"), ("prompt", "response"), ("question", "answer"), ("instruction", "output"), ("prompt", "chosen")]
+    records, want = [], []
+    for i, asked in enumerate(JSON_TEXTS):
+        answer = JSON_TEXTS[-1 - i]
+        pair = [("user", asked), ("assistant", answer)]
+        records += [{a: asked, b: answer} for a, b in flat]
+        records += [{"messages": [{"role": r, "content": t} for r, t in pair]}, {"conversations": [{"from": "human", "value": asked}, {"from": "gpt", "value": answer}]}, {"system": answer, "prompt": asked, "response": answer}]
+        want += [pair] * 7 + [[("system", answer), *pair]]
+    found = rendered(spark, [json.dumps(r) for r in records])
+    for i, turns in enumerate(want):
+        assert [tuple(t) for t in found[i]["turns"]] == turns == [tuple(t) for t in found[i]["back"]], records[i]
+        assert found[i]["loss"] == turns[-1][1]
+
+
+def test_conversations_that_are_json_keep_every_turn(spark):
+    rows = [(c, t, role, JSON_TEXTS[(c + t) % len(JSON_TEXTS)]) for c in range(40) for t, role in enumerate(["user", "assistant"] if c % 3 else ["system", "user", "assistant"])]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.format_records(chat.mixed_records(table)).collect()}
+    assert made == {c: [(r[2], r[3]) for r in rows if r[0] == c] for c in range(40)}
+
+
+def test_lists_of_no_layout_are_counted(spark):
+    records = ['{"prompt": [{"a": 1}], "completion": "c"}', '{"messages": "[{\\"role\\": \\"u\\", \\"content\\": \\"c\\"}]"}', '{"messages": ["a", {"role": "u", "content": "c"}]}', '{"prompt": "p", "completion": "c"}', "x", None]
+    frame = spark.createDataFrame(list(enumerate(records)), "id long, record string")
+    made = chat.format_records(frame)
+    found = {(r["layout"], tuple(r["paths"] or ())): r["records"] for r in chat.layout_counts(made).collect()}
+    assert found.pop(("prompt and completion", ())) == 1 and sum(found.values()) == 5 and all(layout is None for layout, _ in found)
+    assert found[(None, ("completion", "prompt[].a"))] == 1 and found[(None, ("messages",))] == 2
+
+
+def test_empty_input_adds_nothing_and_names_of_results_are_refused(spark):
+    found = rendered(spark, [json.dumps({"instruction": "i", "input": "", "output": "o"})])
+    assert [tuple(t) for t in found[0]["turns"]] == [("user", "i"), ("assistant", "o")]
+    for name in chat.ADDED:
+        with pytest.raises(ValueError, match="reserved column"):
+            chat.format_records(spark.createDataFrame([(1, "{}")], f"{name} long, record string"))
+
+
 def test_conversation_table_with_nulls_and_ties(spark):
     rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, None, None), (None, 1, "assistant", None), (None, 0, "user", "q"), (2, 5, "assistant", "z" * 100_000)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("record", F.lit(1))
