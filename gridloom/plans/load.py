@@ -8,14 +8,16 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import Column as SparkColumn
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.errors import LoadFailed
 from gridloom.functions import types
 from gridloom.functions.naming import unique_snake_names
 from gridloom.functions.text import present
+from gridloom.limits import Budgets
 from gridloom.operators.mapping import Attached, attached
+from gridloom.operators.runtime_filter import BITS, bitmap, passing
 from gridloom.operators.tables import as_maps, data_rows, long_cells
 from gridloom.operators.validate import failure
 from gridloom.plans.ddl import DEFAULT_TABLE, Column, Table, ddl
@@ -29,6 +31,8 @@ from gridloom.sources.scan import artifacts as scanned
 from gridloom.sources.scan import identified
 
 MODES = ("skip", "replace")
+#: Bits of the filter before the parser; fewer only let more through that is left out later.
+FILTER_BITS = BITS
 
 
 @dataclass
@@ -36,41 +40,49 @@ class LoadResult:
     """Outcomes (one row an artifact), the table after the load, and what became of the mapping."""
 
     outcomes: DataFrame
+    #: The outcomes with the header texts of the artifacts that were parsed.
+    parsed: DataFrame
     sink: Sink
     table: Table
     ddl: str
     inserted: int
     loaded_at: datetime
+    on_duplicate: str
     mapping: dict | None = None
     totals: dict = field(default_factory=dict)
 
     def summary(self) -> dict:
         """Batch totals; no header, value or path."""
-        if not self.totals:
-            one = lambda c: F.sum(F.col(c).cast("int")).alias(c)
-            r = self.outcomes.agg(F.count("*").alias("n"), one("ok"), one("skipped"), F.sum("rows").alias("rows"), F.sum("inserted_rows").alias("inserted")).first()
-            n, ok, skipped, rows, inserted = (int(x or 0) for x in r)
-            self.totals = {"artifact_count": n, "success_count": ok, "failure_count": n - ok, "skipped_count": skipped, "total_rows": rows, "inserted_rows": inserted, "table_name": self.table.name}
         return self.totals
 
-    def details(self) -> dict | None:
-        """All about the load of a single artifact: headers by type, comments, mapping report, catalog entry, lineage."""
-        one = self.outcomes.first()
+    def details(self, headers: list[str] | None = None, lineage_json: str | None = None) -> dict | None:
+        """All about the load of a single artifact: headers, types, comments, mapping report, catalog entry, lineage.
+
+        A skipped artifact was not parsed: its ``headers`` are what the caller knows of them.
+        """
+        one = self.parsed.first()
         if one is None:
             return None
         entry = self.sink.catalog().where(F.col("source_artifact_sha256") == one["sha256"]).drop("load_id").first()
         entry = entry.asDict() | {"loaded_at": entry["loaded_at"].isoformat()} if entry else None
+        rows, lineage = self.sink.count(), lineage_record(one["sha256"], one["size"], None, one["rows"], self.table.name, self.loaded_at)
         return {
-            "ok": one["ok"], "skipped": one["skipped"], "replaced": one["replaced"], "error": one["error"], "inserted_rows": one["inserted_rows"], "data_row_count": one["rows"], "table_name": self.table.name,
-            "schema": self.table.types(), "column_comments": self.table.comments(), "column_mapping": self.mapping, "ddl": self.ddl, "catalog": entry, "source_sha256": one["sha256"],
-            "lineage": lineage_record(one["sha256"], one["size"], None, one["rows"], self.table.name, self.loaded_at), "queryable": {"table_name": self.table.name, "row_count": self.sink.count()},
+            "ok": one["ok"], "skipped": one["skipped"], "replaced": one["replaced"], "error": one["error"], "headers": list(one["headers"] or headers or []), "inserted_rows": one["inserted_rows"],
+            "data_row_count": one["rows"], "table_name": self.table.name, "schema": self.table.types(), "column_comments": self.table.comments(), "column_mapping": self.mapping, "ddl": self.ddl,
+            "catalog": entry, "source_sha256": one["sha256"], "on_duplicate": self.on_duplicate, "lineage": lineage | ({"skipped": True} if one["skipped"] else {}), "lineage_json": lineage_json,
+            "queryable": {"table_name": self.table.name, "row_count": rows, "db_row_count": rows},
         }
 
 
 def first_of_equals(found: DataFrame) -> DataFrame:
-    """Of artifacts with the same bytes the first by path loads; the others are skipped."""
+    """path, artifact_sha256, reference, size, copies and repeat of (path, artifact_sha256, reference, size).
+
+    Of artifacts with the same bytes the first by path loads, the others are skipped; rows that agree in
+    path and bytes are one row, with their number as ``copies``.
+    """
+    named = found.groupBy("artifact_sha256", "path").agg(F.first("reference").alias("reference"), F.first("size").alias("size"), F.count("*").alias("copies"))
     first = found.groupBy("artifact_sha256").agg(F.min("path").alias("_first"))
-    return found.join(first, "artifact_sha256").withColumn("repeat", F.col("path") != F.col("_first")).drop("_first")
+    return named.join(first, "artifact_sha256").withColumn("repeat", F.col("path") != F.col("_first")).drop("_first")
 
 
 def stored_value(text: SparkColumn, kind: str) -> SparkColumn:
@@ -82,34 +94,47 @@ def stored_value(text: SparkColumn, kind: str) -> SparkColumn:
 
 def load(
     spark: SparkSession, sink: Sink, found: DataFrame, on_duplicate: str = "skip", required: list[str] | None = None, mapping: MappingDocument | None = None, comments: dict[str, str] | None = None,
-    continue_on_error: bool = True,
+    continue_on_error: bool = True, stamp: tuple[str, int] | None = None,
 ) -> LoadResult:
     """Load ``found`` (path, content) as one job. Failing artifacts are outcomes, not job failures.
 
-    Contents are hashed first, so that what is loaded already is not parsed. What is new is parsed once, to a
-    table of the run; everything after that reads it. Comments come by column name, or from a mapping
+    Contents are hashed first, so that what is loaded already is not parsed; a filter of fixed size then lets only new ones
+    through to the parser, by path and hash, and no content is shuffled. What is new is parsed once, to a
+    table of the run; everything after that reads it, and counts ride on what is written. Comments come by column name, or from a mapping
     that is resolved against the columns that arrive. Without ``continue_on_error`` the first failure in
     path order ends the load: what comes before it is loaded, nothing from it on, and LoadFailed is raised.
+    A ``stamp`` (stream and number of its batch) is committed with the load, even where nothing is new.
     """
     if on_duplicate not in MODES:
         raise LoadFailed("invalid_on_duplicate")
     run, now, replaces = Run(prepared(spark), "load"), datetime.now(timezone.utc), on_duplicate == "replace"
     base, live = sink.version(), sink.table()
-    identity = run.table(identified(found.select("path", "content")).select("path", "artifact_sha256", "reference", F.octet_length("content").cast("long").alias("size")), "identity")
-    known = run.table(first_of_equals(identity).join(sink.loaded(), "artifact_sha256", "left"), "known")
-    fresh = known.where(~F.col("repeat") & (F.col("loaded_rows").isNull() | F.lit(replaces))).select("path", "artifact_sha256", "reference", "size")
-    rows = parse(found.select("path", "content").join(fresh, "path"), "lenient", carry=("path", "reference", "size"))
+    hashed = identified(found.select(F.coalesce("path", F.lit("")).alias("path"), "content")).withColumn("size", F.octet_length("content").cast("long"))
+    identity = run.table(hashed.select("path", "artifact_sha256", "reference", "size"), "identity")
+    is_fresh = ~F.col("repeat") & (F.col("loaded_rows").isNull() | F.lit(replaces))
+    known, seen = run.observed(first_of_equals(identity).join(sink.loaded(), "artifact_sha256", "left"), "known", fresh=F.count_if(is_fresh))
+    fresh = known.where(is_fresh).select("path", "artifact_sha256")
+    rows = parse(passing(hashed, bitmap(fresh, "artifact_sha256", "path", bits=FILTER_BITS), "artifact_sha256", "path", bits=FILTER_BITS), "lenient", carry=("path", "reference", "size"))
     judged = F.coalesce("error_code", failure(required, sink.name)).alias("failure")
-    parsed = run.table(rows.where("is_primary or error_code is not null").select("*", judged), "parsed")
-    heads = parsed.where("is_header_row or error_code is not null").select("artifact_sha256", "path", "reference", "size", "failure", F.col("data_row_count").alias("arrived"))
+    is_head = F.col("is_header_row") | F.col("error_code").isNotNull()
+    counts = {"heads": F.count_if(is_head), "stop": F.min(F.when(is_head & F.col("failure").isNotNull(), F.col("path")))}
+    parsed, met = run.observed(rows.where("is_primary or error_code is not null").select("*", judged), "parsed", **counts)
+    if met["heads"] != seen["fresh"]:
+        # artifacts that passed by chance, or rows that agree in path and bytes
+        exact = parsed.join(fresh, ["artifact_sha256", "path"], "left_semi").dropDuplicates(["artifact_sha256", "row_index"])
+        parsed, met = run.observed(exact.select(parsed.columns), "exact", **counts)
+    heads = parsed.where(is_head).select("artifact_sha256", "path", "reference", "size", "failure", "headers", F.col("data_row_count").alias("arrived"))
 
     good, stop = F.col("failure").isNull(), None
     if not continue_on_error:
-        stop = heads.where(~good).agg(F.min("path")).first()[0]
+        stop = met["stop"]
         good &= F.lit(True) if stop is None else F.col("path") < stop
     data = data_rows(parsed.where(good))
     profile = column_types(long_cells(data))
-    arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in merged_types(profile).collect()}  # headers are at most a few thousand
+    columns = merged_types(profile).limit(Budgets().columns + 1).collect()
+    if len(columns) > Budgets().columns:
+        raise LoadFailed("too_many_columns")
+    arriving = {r["header"]: (r["ordinal"], r["type"], set(r["kinds"])) for r in columns}
 
     table = merged_table(live, {h: (at, kind) for h, (at, kind, _) in arriving.items()}).commented(comments or {})
     report = None
@@ -128,28 +153,35 @@ def load(
             mapped = mapped.join(kinds, "artifact_sha256")
         cells = [_stored(value(c), c, met[c.source_name]).alias(c.name) for c in table.columns if c.source_name in met]
         lineage = [F.col("reference").alias("source_artifact_path"), F.col("artifact_sha256").alias("source_artifact_sha256"), F.col("row_no").alias("source_row_number"), F.lit(now).alias("loaded_at")]
-        load_id = sink.write_rows(mapped.select(*cells, *lineage), types_of)
+        written = Observation()
+        load_id = sink.write_rows(mapped.select(*cells, *lineage).observe(written, F.count(F.lit(1)).alias("n")), types_of)
+        inserted = written.get["n"]
         entries = heads.where(good).select(
             F.col("artifact_sha256").alias("source_artifact_sha256"), F.lit(sink.name).alias("table_name"), F.col("reference").alias("source_artifact_path"), F.col("size").alias("source_artifact_size"),
             F.col("arrived").alias("row_count"), F.lit("loaded").alias("load_status_code"), F.lit(now).alias("loaded_at"),
         )
-        inserted = heads.where(good).agg(F.sum("arrived")).first()[0] or 0
-        sink.commit(table, load_id, types_of, entries, base, replaces)
-    elif table != live:
-        sink.commit(table, None, {}, None, base)
+        sink.commit(table, load_id, types_of, entries, base, replaces, stamp)
+    elif table != live or stamp:
+        sink.commit(table, None, {}, None, base, stamp=stamp)
 
-    skipped = F.col("repeat") | (F.col("loaded_rows").isNotNull() & F.lit(not replaces))
-    outcomes = known.join(heads.select("artifact_sha256", "failure", "arrived"), "artifact_sha256", "left").select(
+    each = known.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    skipped = F.col("repeat") | (F.col("copy") > 1) | (F.col("loaded_rows").isNotNull() & F.lit(not replaces))
+    outcomes = each.join(heads.select("artifact_sha256", "failure", "arrived", "headers"), "artifact_sha256", "left").select(
         "reference", F.col("artifact_sha256").alias("sha256"), "size", (skipped | F.col("failure").isNull()).alias("ok"), skipped.alias("skipped"),
         (F.col("loaded_rows").isNotNull() & ~skipped & F.col("failure").isNull()).alias("replaced"),
         F.when(skipped, F.coalesce("loaded_rows", "arrived", F.lit(0))).otherwise(F.when(F.col("failure").isNull(), F.col("arrived")).otherwise(0)).cast("long").alias("rows"),
-        F.when(skipped | F.col("failure").isNotNull(), 0).otherwise(F.col("arrived")).cast("long").alias("inserted_rows"), F.when(~skipped, F.col("failure")).alias("error"), F.lit(sink.name).alias("table_name"),
+        F.when(skipped | F.col("failure").isNotNull(), 0).otherwise(F.col("arrived")).cast("long").alias("inserted_rows"), F.when(~skipped, F.col("failure")).alias("error"), F.lit(sink.name).alias("table_name"), "headers",
     )
-    outcomes = run.table(outcomes, "outcomes")
+    of = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
+    outcomes, sums = run.observed(outcomes, "outcomes", artifacts=F.count(F.lit(1)), ok=of("ok"), skipped=of("skipped"), rows=of("rows"), inserted=of("inserted_rows"))
     run.drop(identity, known, parsed)
     if stop is not None:
         raise LoadFailed("batch_failed")
-    return LoadResult(outcomes, sink, table, ddl(table), inserted, now, report)
+    totals = {
+        "artifact_count": sums["artifacts"], "success_count": sums["ok"], "failure_count": sums["artifacts"] - sums["ok"], "skipped_count": sums["skipped"], "total_rows": sums["rows"],
+        "inserted_rows": sums["inserted"], "table_name": table.name,
+    }
+    return LoadResult(outcomes.drop("headers"), outcomes, sink, table, ddl(table), inserted, now, on_duplicate, report, totals)
 
 
 def merged_table(live: Table, arriving: dict[str, tuple[int, str]]) -> Table:

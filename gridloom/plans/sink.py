@@ -59,12 +59,17 @@ class Sink(ABC):
         """Stage the rows of a load, whose columns have the given types; the load's id."""
 
     @abstractmethod
-    def commit(self, table: Table, load: str | None, types: dict[str, str], entries: DataFrame | None, base: int, replaces: bool = False) -> None:
+    def commit(self, table: Table, load: str | None, types: dict[str, str], entries: DataFrame | None, base: int, replaces: bool = False, stamp: tuple[str, int] | None = None) -> None:
         """Publish columns, a staged load and its catalog entries together, or nothing at all.
 
-        With ``replaces`` the entries' artifacts may have older rows, which go.
+        With ``replaces`` the entries' artifacts may have older rows, which go. A ``stamp`` is a stream and the number of
+        its batch: it is published with the rest, so that a batch that runs again is recognised.
         """
 
+    @abstractmethod
+    def stamped(self, source: str) -> int | None:
+        """The newest batch of a stream that is committed here."""
+
     @abstractmethod
     def rows(self) -> DataFrame:
         """The live rows."""

@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from gridloom.errors import GridloomError
 
@@ -61,6 +61,12 @@ class Run:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self._paths = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", {}
 
+    def observed(self, df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict]:
+        """A table, and aggregates over its rows that ride on the write: no job of their own."""
+        seen = Observation()
+        table = self.table(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), name)
+        return table, seen.get
+
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}-{len(self._paths)}"
         before = self.spark.conf.get(CLEANUP, None)
