@@ -3,9 +3,8 @@
 Words (ASCII lower-cased) and word pairs of a text are hashed into ``buckets``. Two bag models are
 counted: the raw one over every row, the target one over rows labelled as good (a bounded sample of
 at most ``target_rows`` labels, the least by a hash of the id). A row's importance is the log-ratio of
-the models over its n-grams. The sum over all of them is the importance weight proper; as it grows with
-the length of the text, and far beyond the noise for long ones, it is by default scaled to a text of
-``effective`` n-grams (None: the plain sum). Rows are resampled without replacement by Gumbel top-k: the k
+the models over its n-grams: the ratio of the two models' probabilities of the whole text. With ``effective`` it
+is scaled to a text of so many n-grams, which gives the noise more weight among long texts. Rows are resampled without replacement by Gumbel top-k: the k
 greatest of importance plus Gumbel noise (a hash of id, text and a seed). k is ``fraction`` of the rows that have an n-gram, by default
 the share of good rows among the labelled. The k-th greatest key is found by repeated histograms,
 so no task sorts or gathers all rows.
@@ -108,8 +107,8 @@ def kth_greatest(rows: DataFrame, key: str, k: int) -> int | None:
     return low
 
 
-def resample(docs: DataFrame, labels: DataFrame, fraction: float | None = None, buckets: int = BUCKETS, target_rows: int = 20_000, effective: float | None = 30.0, seed: int = 11) -> DataFrame:
-    """doc_id, n_ngrams, log_weight, gumbel_key and selected of every row; ``effective`` None: the plain importance weight."""
+def resample(docs: DataFrame, labels: DataFrame, fraction: float | None = None, buckets: int = BUCKETS, target_rows: int = 20_000, effective: float | None = None, seed: int = 11) -> DataFrame:
+    """doc_id, n_ngrams, log_weight, gumbel_key and selected of every row; without ``effective`` the key is the plain importance weight."""
     texts = common.texts_of(docs)
     marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality")).where("doc_id is not null and quality is not null")
     good = marks.where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_rows)

@@ -263,15 +263,15 @@ def test_importance_resampling(spark, docs, clashing, empty, rows):
     for r in known.drop_duplicates("doc_id").itertuples():
         if not np.isnan(r.doc_id):
             text = next(t for i, t, *_ in rows if i == r.doc_id)
-            assert r.log_weight == pytest.approx(30 * ratios[quality.features(shingles.text_words(text))].mean())
+            assert r.log_weight == pytest.approx(ratios[quality.features(shingles.text_words(text))].sum())
     assert quality.resample(empty, labels.limit(0)).count() == 0
     k = round(0.5 * len(known))
     least = sorted(known.gumbel_key, reverse=True)[k - 1]
     assert found.selected.tolist() == [bool(x >= least) for x in found.gumbel_key.fillna(-np.inf)]
     noise = (known.gumbel_key - known.log_weight).drop_duplicates()
     assert len(noise) > 60 and 0.1 < noise.mean() < 1.1 and noise.min() > -2.5  # a standard Gumbel variable has mean 0.58
-    plain = quality.resample(docs, labels, fraction=0.5, effective=None).toPandas()
-    both = plain[plain.n_ngrams > 0].merge(known, on=["doc_id", "n_ngrams"]).drop_duplicates("doc_id")
+    scaled = quality.resample(docs, labels, fraction=0.5, effective=30).toPandas()
+    both = known.merge(scaled[scaled.n_ngrams > 0], on=["doc_id", "n_ngrams"]).drop_duplicates("doc_id")
     assert np.allclose(both.log_weight_x, both.log_weight_y * both.n_ngrams / 30)
     odd = quality.resample(clashing, labels, fraction=0.5).toPandas()
     assert Counter(odd.selected) == Counter(found.selected)
