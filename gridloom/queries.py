@@ -8,6 +8,7 @@ Artifacts are groups of neighbouring keys, so that their size is bounded at ever
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -527,6 +528,26 @@ def load_skip(spark, sf_dir):
     return _loaded(sink).select("custkey_field", "name_field", "segment_field", "balance_field")
 
 
+@query(f"{_ROWS} FROM customer")
+def load_concurrent(spark, sf_dir):
+    """Two writers of one table at once, each with half of the archives: both loads count, whichever is published first."""
+    sink, found = fresh_sink(spark), customer_artifacts(spark, sf_dir)
+    writers = [SnapshotTable(spark, sink.store, sink.name) for _ in range(2)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda i: load.load(spark, writers[i], found.where(F.col("artifact_key") % 2 == i)), range(2)))
+    return _loaded(sink).select("custkey_field", "name_field", "segment_field", "balance_field")
+
+
+@query("""SELECT c_custkey // 64 artifact_key, c_custkey // 64 % 5 AS path_number, true AS ok, c_custkey // 64 % 3 = 0 AND n.copy > 1 AS skipped, CASE WHEN c_custkey // 64 % 3 = 0 AND n.copy > 1 THEN 0 ELSE count(*) END AS inserted_rows
+  FROM customer, (SELECT unnest([1, 2]) AS copy) n WHERE n.copy = 1 OR c_custkey // 64 % 3 = 0 GROUP BY c_custkey // 64, n.copy""")
+def load_paths_that_repeat(spark, sf_dir):
+    """Folders put together by name: a path stands for many contents, some rows come twice. Outcomes are by content."""
+    found = customer_artifacts(spark, sf_dir).withColumn("path", F.format_string("%d.mhtml", F.col("artifact_key") % 5))
+    done = load.load(spark, fresh_sink(spark), found.unionByName(found.where("artifact_key % 3 = 0")).select("path", "content")).outcomes
+    keys = found.select("artifact_key", F.sha2("content", 256).alias("sha256"))
+    return done.join(keys, "sha256").select("artifact_key", (F.col("artifact_key") % 5).alias("path_number"), "ok", "skipped", "inserted_rows")
+
+
 @query("""SELECT c_custkey AS custkey_field, row_number() OVER (PARTITION BY c_custkey // 64 ORDER BY c_custkey) AS source_row_number, true AS reference_matches FROM customer""")
 def load_replace(spark, sf_dir):
     """The second delivery replaces: rows stay single and keep their lineage."""

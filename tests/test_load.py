@@ -3,11 +3,14 @@ import json
 import pytest
 from gridloom import cli
 from gridloom.errors import LoadFailed
+from gridloom.limits import Budgets
+from gridloom.operators.runtime_filter import bitmap, passing
 from gridloom.plans import load, snapshot
 from gridloom.plans.ddl import Column, Table
 from gridloom.plans.jdbc import JdbcTable
 from gridloom.plans.sink import downgraded, upgraded
 from gridloom.queries import fresh_sink
+from pyspark.sql import functions as F
 
 TABLE = "MIME-Version: 1.0\nContent-Type: text/html\n\n<html><table>{}</table></html>"
 
@@ -40,6 +43,46 @@ def test_skip_replace_and_widening(spark):
         load.load(spark, sink, frame(spark, {"a": one}), on_duplicate="append")
 
 
+def test_loads_are_by_content_whatever_the_filter_lets_through(spark, monkeypatch):
+    pages = [page([["A_B"], [str(i)], [str(i + 1)]]) for i in range(6)]
+    rows = [("same", pages[0]), ("same", pages[1]), ("same", pages[2]), ("same", pages[1]), ("other", pages[1]), ("x", pages[3]), (None, pages[4])]
+    found = spark.createDataFrame([(p, bytearray(c)) for p, c in rows], "path string, content binary")
+    results = []
+    for bits in (load.BITS, 64):
+        monkeypatch.setattr(load, "FILTER_BITS", bits)
+        sink = fresh_sink(spark)
+        load.load(spark, sink, frame(spark, {"y": pages[5], "x": pages[3]}))
+        done = load.load(spark, sink, found)
+        results.append(sorted((r["sha256"], r["ok"], r["skipped"], r["rows"], r["inserted_rows"]) for r in done.outcomes.collect()))
+        assert sink.count() == 12 and done.inserted == 8 and sink.catalog().count() == 6
+        assert done.summary()["artifact_count"] == 7 and done.summary()["skipped_count"] == 3 and done.summary()["inserted_rows"] == 8
+        stored = sink.rows().groupBy("source_artifact_sha256").agg(F.collect_set("a_b").alias("v")).collect()
+        assert all(len(r["v"]) == 2 for r in stored)
+    assert results[0] == results[1]
+
+
+def test_contents_are_not_shuffled(spark):
+    wanted = spark.range(5).select(F.col("id").cast("string").alias("k"))
+    rows = spark.range(100_000).select(F.col("id").cast("string").alias("k"), F.lit(b"content").alias("content"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = passing(rows, bitmap(wanted, "k"), "k")
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and not [line for line in plan.splitlines() if "Exchange" in line and "content" in line] and "SortMergeJoin" not in plan
+        assert {r["k"] for r in kept.collect()} >= {str(i) for i in range(5)} and kept.count() < 50
+        assert passing(rows, bitmap(wanted, "k", bits=64), "k", bits=64).count() > 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_more_columns_than_the_budget(spark, monkeypatch):
+    monkeypatch.setattr(load, "Budgets", lambda: Budgets(columns=2))
+    sink = fresh_sink(spark)
+    with pytest.raises(LoadFailed) as found:
+        load.load(spark, sink, frame(spark, {"a": page([["A_B", "C_D", "E_F"], ["1", "2", "3"]])}))
+    assert found.value.code == "too_many_columns" and sink.version() == 0
+
+
 def test_numbers_keep_their_digits(spark):
     sink = fresh_sink(spark)
     rows = [["P_Q", "R_S", "T_U"], ["1.50", "NaN", "09:48:09.5"], ["0.123456789012345", "1e30", "10:00"]]
