@@ -110,9 +110,11 @@ def load(
     run, now, replaces = Run(prepared(spark), "load"), datetime.now(timezone.utc), on_duplicate == "replace"
     base, live = sink.version(), sink.table()
     hashed = identified(found.select(F.coalesce("path", F.lit("")).alias("path"), "content")).withColumn("size", F.octet_length("content").cast("long"))
-    identity = run.table(hashed.select("path", "artifact_sha256", "reference", "size"), "identity")
+    lost = F.col("artifact_sha256").isNull()
+    identity, listed = run.observed(hashed.select("path", "artifact_sha256", "reference", "size"), "identity", unread=F.count_if(lost), stop=F.min(F.when(lost, F.col("path"))))
     is_fresh = ~F.col("repeat") & (F.col("loaded_rows").isNull() | F.lit(replaces))
     known, seen = run.observed(first_of_equals(identity).join(sink.loaded(), "artifact_sha256", "left"), "known", fresh=F.count_if(is_fresh))
+    unread = identity.where("artifact_sha256 is null")
     fresh = known.where(is_fresh).select("path", "artifact_sha256")
     rows = parse(passing(hashed, bitmap(fresh, "artifact_sha256", "path", bits=FILTER_BITS), "artifact_sha256", "path", bits=FILTER_BITS), "lenient", carry=("path", "reference", "size"))
     judged = F.coalesce("error_code", failure(required, sink.name)).alias("failure")
@@ -127,7 +129,7 @@ def load(
 
     good, stop = F.col("failure").isNull(), None
     if not continue_on_error:
-        stop = met["stop"]
+        stop = min((s for s in (met["stop"], listed["stop"]) if s is not None), default=None)
         good &= F.lit(True) if stop is None else F.col("path") < stop
     data = data_rows(parsed.where(good))
     profile = column_types(long_cells(data))
@@ -172,6 +174,9 @@ def load(
         F.when(skipped, F.coalesce("loaded_rows", "arrived", F.lit(0))).otherwise(F.when(F.col("failure").isNull(), F.col("arrived")).otherwise(0)).cast("long").alias("rows"),
         F.when(skipped | F.col("failure").isNotNull(), 0).otherwise(F.col("arrived")).cast("long").alias("inserted_rows"), F.when(~skipped, F.col("failure")).alias("error"), F.lit(sink.name).alias("table_name"), "headers",
     )
+    if listed["unread"]:
+        lines = {"ok": F.lit(False), "skipped": F.lit(False), "replaced": F.lit(False), "rows": F.lit(0).cast("long"), "inserted_rows": F.lit(0).cast("long"), "error": F.lit("source_read_failed"), "table_name": F.lit(sink.name)}
+        outcomes = outcomes.unionByName(unread.select("reference", F.col("artifact_sha256").alias("sha256"), "size", *[c.alias(n) for n, c in lines.items()], F.lit(None).cast("array<string>").alias("headers")))
     of = lambda c: F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0))
     outcomes, sums = run.observed(outcomes, "outcomes", artifacts=F.count(F.lit(1)), ok=of("ok"), skipped=of("skipped"), rows=of("rows"), inserted=of("inserted_rows"))
     run.drop(identity, known, parsed)
@@ -227,6 +232,12 @@ def batch(spark: SparkSession, source: str, sink: Sink | None = None, recursive:
     return load(spark, sink, found.select("path", "content"), **options)
 
 
+def first_headers(spark: SparkSession, source: str) -> list[str]:
+    """Header texts of one archive, for a report of a load that skipped it."""
+    found = parse(identified(scanned(spark, source)), "lenient").where("is_primary and is_header_row").select("headers").first()
+    return list(found[0]) if found else []
+
+
 def lineage_record(sha: str, size: int, modified_ns: int | None, rows: int, table: str, loaded_at: datetime) -> dict:
     return {
         "source_artifact_path": f"artifact:{sha[:16].lower()}", "source_artifact_sha256": sha, "source_artifact_size": size, "source_artifact_mtime_ns": modified_ns, "row_count": rows, "table_name": table,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from gridloom.errors import GridloomError
 
 ROOT = Path(__file__).resolve().parents[1]
-SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.timeType.enabled": "true", "spark.sql.mapKeyDedupPolicy": "LAST_WIN"}
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.python.filterPushdown.enabled": "true", "spark.sql.timeType.enabled": "true", "spark.sql.mapKeyDedupPolicy": "LAST_WIN"}
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
