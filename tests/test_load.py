@@ -218,6 +218,48 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.header_list(None) is None and cli.header_list("none") == [] and cli.header_list("a, b") == ["a", "b"]
 
 
+def test_summaries_and_exit_codes(spark, tmp_path, capsys):
+    file, store = tmp_path / "_x [1].mhtml", f"file://{tmp_path}/store"
+    file.write_bytes(page([["ROW_COUNT", "TITLE"], ["1", "a"], ["2", "b"]]))
+
+    def run(*args):
+        code = cli.main([*args], spark)
+        return code, *capsys.readouterr()
+
+    code, out, _ = run("load", str(file), "--store", store, "--json", "--lineage-json", str(tmp_path / "l.json"))
+    summary = json.loads(out)
+    assert code == 0 and list(summary) == ["artifact_ref", "data_row_count", "headers", "inserted_rows", "queryable_row_count", "sha256", "skipped", "table_name"]
+    assert summary["headers"] == ["ROW_COUNT", "TITLE"] and summary["data_row_count"] == summary["inserted_rows"] == summary["queryable_row_count"] == 2
+    assert summary["artifact_ref"] == f"artifact:{summary['sha256'][:16]}" and not summary["skipped"] and out.startswith("{\n  ")
+    code, out, _ = run("load", str(file), "--store", store, "--lineage-json", str(tmp_path / "l.json"))
+    lines = dict(line.split(": ", 1) for line in out.strip().splitlines())
+    assert code == 0 and lines["skipped"] == "True" and lines["headers (2)"] == "ROW_COUNT, TITLE" and lines["inserted_rows"] == "0" and lines["data_row_count"] == "2"
+    assert json.loads((tmp_path / "l.json").read_text())["skipped"] is True
+    code, out, _ = run("batch", str(tmp_path), "--store", store, "--json")
+    assert code == 0 and json.loads(out) == {"discovered": 1, "failure_count": 0, "skipped_count": 1, "success_count": 1, "total_data_rows": 2, "total_inserted_rows": 0}
+    assert run("load", str(tmp_path / "none.mhtml"), "--store", store)[0] == 2 and run("load", str(tmp_path), "--store", store)[0] == 2
+    (tmp_path / "bad.mhtml").write_bytes(b"nothing here")
+    code, out, err = run("load", str(tmp_path / "bad.mhtml"), "--store", store)
+    assert code == 1 and not out and json.loads(err)["error_code"] == "load_failed" and "bad" not in err
+    code, out, _ = run("inspect", str(file))
+    assert code == 0 and out == json.dumps(json.loads(out), sort_keys=True, separators=(",", ":"), ensure_ascii=False) + "\n"
+    code, out, _ = run("propose", str(file), "--pretty")
+    assert code == 0 and out == json.dumps(json.loads(out), sort_keys=True, indent=2, ensure_ascii=False) + "\n"
+    code, _, err = run("inspect", str(file), "--max-source-bytes", "10")
+    assert code == 2 and json.loads(err)["error_code"] == "source_too_large"
+
+
+def test_full_result_of_one_artifact(spark):
+    sink, one = fresh_sink(spark), frame(spark, {"a": page([["AMOUNT", "DAY"], ["1", "2026-02-20"]])})
+    first = load.load(spark, sink, one).details(lineage_json="l.json")
+    assert first["headers"] == ["AMOUNT", "DAY"] and first["on_duplicate"] == "skip" and first["lineage_json"] == "l.json" and "skipped" not in first["lineage"]
+    assert first["queryable"] == {"table_name": sink.name, "row_count": 1, "db_row_count": 1} and first["catalog"]["row_count"] == 1
+    again = load.load(spark, sink, one).details(headers=["AMOUNT", "DAY"])
+    assert again["skipped"] and again["headers"] == ["AMOUNT", "DAY"] and again["lineage"]["skipped"] is True and again["data_row_count"] == 1
+    replaced = load.load(spark, sink, one, on_duplicate="replace").details()
+    assert replaced["replaced"] and replaced["on_duplicate"] == "replace" and set(first) == set(again) == set(replaced)
+
+
 def test_a_batch_stops_at_its_first_failure(spark, tmp_path, capsys):
     one, two, bad = page([["A", "B"], ["1", "2"]]), page([["A", "B"], ["3", "4"], ["5", "6"]]), b"nothing here"
     sink = load.SnapshotTable(spark, f"file://{tmp_path}/store", load.DEFAULT_TABLE)
@@ -233,4 +275,4 @@ def test_a_batch_stops_at_its_first_failure(spark, tmp_path, capsys):
     assert json.loads(out.err)["error_code"] == "batch_failed" and not out.out
     assert sink.count() == 1 and sink.catalog().count() == 1
     assert run("second", a=one, d=two) == 0
-    assert json.loads(capsys.readouterr().out)["inserted_rows"] == 2 and sink.count() == 3
+    assert json.loads(capsys.readouterr().out)["total_inserted_rows"] == 2 and sink.count() == 3

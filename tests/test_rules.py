@@ -225,3 +225,34 @@ def test_mapping_files(tmp_path):
             mapping.load(tmp_path / name)
     with pytest.raises(MappingFailed):
         mapping.slide_texts(b"<!DOCTYPE a><a/>")
+
+
+def test_mapping_files_of_other_shapes(tmp_path):
+    def read(name, text):
+        (tmp_path / name).write_text(text, newline="")
+        return [(e.source, e.comment, e.target) for e in mapping.load(tmp_path / name).entries]
+
+    assert read("a.csv", 'source,comment\r\nA,"one\ntwo"\r\n,,\r\nB,"three\r\n\r\nfour, five"\r\n') == [("A", "one\ntwo", None), ("B", "three\r\n\r\nfour, five", None)]
+    assert read("a.json", '{"A": {"comment": "one", "target": "t"}, "B": "two"}') == [("A", "one", "t"), ("B", "two", None)]
+    assert read("b.json", '{"K": {"source": "A", "comment": "one"}}') == [("A", "one", None)]
+    for text in ('{"columns": {"A": "one"}}', '{"mappings": ["A"]}', '{"columns": []}', '{"description": "one"}', "[]", "3", '{"columns": null}'):
+        with pytest.raises(MappingFailed):
+            read("c.json", text)
+    for text in ("", "source,comment\n", "source,comment\n,,x\n"):
+        with pytest.raises(MappingFailed):
+            read("c.csv", text)
+
+
+def test_slide_texts_by_paragraph():
+    wrap = lambda body: f'<a:r xmlns:a="u">{body}</a:r>'.encode()
+    assert mapping.slide_texts(wrap("<a:p><a:t>T.</a:t><a:x><a:t>A</a:t></a:x></a:p><a:t>loose</a:t><a:p><a:t> </a:t></a:p><a:p><a:t>B </a:t></a:p>")) == ["T.A", "B"]
+    assert mapping.slide_texts(wrap("<a:p/><a:t> one </a:t><a:t/><a:t>two</a:t>")) == ["one", "two"] and mapping.slide_texts(wrap("")) == []
+    with pytest.raises(MappingFailed):
+        mapping.slide_texts(b"<a><b></a>")
+
+
+def test_names_that_are_cut_keep_their_end():
+    assert naming.ending("abc", "end") == "abc_end" and naming.ending("x" * 80, "end") == "x" * 59 + "_end"
+    assert naming.ending("x" * 58 + "_" + "y" * 9, "end") == "x" * 58 + "_end" and naming.ending("é" * 80, "end") == "é" * 29 + "_end"
+    assert naming.ending("front", "e" * 61, "source") == "f_" + "e" * 61
+    assert naming.ending("front", "e" * 80, "source") == "source_" + "e" * 56
