@@ -14,8 +14,9 @@ then line number) has a set of Jaccard similarity ``threshold`` or more, be that
    splits its group; lines of over ``LONG`` tokens take it together with their length class and the
    next one instead, lines about that long both.
 4. Classes are sorted by posting and place. Within a posting, each is compared with the earlier
-   ones by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
-   sets have unlike tokens). Those that pass are taken if they are few, else only the earliest.
+   ones, the nearest first, by length, by position in both prefixes and by bitmap (the XOR has no more bits than the
+   sets have unlike tokens). Those that pass are taken if they are few; else only the last of the first few, and
+   the search for that class ends there, so that a posting of very many alike lines takes linear time.
 5. The pairs are confirmed on full sets. Classes whose candidates failed but that had more are
    searched again for all of theirs; a group of alike lines so costs its size, not its square.
 
@@ -188,8 +189,8 @@ def candidates(postings: DataFrame, threshold: int, every: bool, parts: int) ->
     """x, y, more: class x with an earlier class y of the same prefix token that passes the filters.
 
     ``postings`` (token, place, line, cls, n, pos, bitmap, wanted) are dealt by token to ``parts`` tasks
-    and sorted by place. Of the y of a wanted x within a token all are given if they are ``FEW`` at most; else the
-    earliest, with ``more``. With ``every`` all are given.
+    and sorted by place. Of the y of a wanted x within a token all are given if they are ``FEW`` at most; else
+    one, with ``more``. With ``every`` all are given.
     """
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("more", pa.bool_())])
 
@@ -213,6 +214,7 @@ def candidates(postings: DataFrame, threshold: int, every: bool, parts: int) ->
                 nearest[1:, hit] = nearest[:-1, hit]
                 nearest[0, hit] = hit - lag
                 passes[hit] += 1
+                rows = rows[passes[rows] <= FEW]
             lag += 1
             rows = rows[rows >= lag]
             rows = rows[token[rows] == token[rows - lag]]
