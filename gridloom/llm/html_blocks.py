@@ -38,7 +38,7 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl
 APART = frozenset("nav aside footer dialog menu noscript template svg canvas select datalist button audio video object map search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 
-#: Words in class names and ids of parts that are no article text. An article within the first kind is one all the same.
+#: Words in class names and ids of parts that are no article text. An article within the first kind is one where the page has no other.
 SOFT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice popup modal overlay newsletter subscribe "
     "signup login menu navbar nav navigation breadcrumb breadcrumbs sidebar widget footer masthead copyright share sharing social pagination pager toolbar search".split()
@@ -62,16 +62,18 @@ class Block:
     heading: bool
     apart: bool
     region: int
+    doubtful: bool
 
 
 @dataclass
 class Open:
-    """An open element: whether its content stands apart, and in which region."""
+    """An open element: whether its content stands apart, in which region, and whether that region is itself in a part that is none."""
 
     name: str
     apart: int = CLEAN
     region: int = OUTSIDE
     inline: bool = False
+    doubtful: bool = False
 
 
 @dataclass
@@ -99,7 +101,7 @@ class Page:
         text = " ".join("".join(self.pieces).split())
         if text:
             at = self.stack[-1]
-            self.found.append(Block(text, len(" ".join("".join(self.linked).split())), self.heading, at.apart != CLEAN, at.region))
+            self.found.append(Block(text, len(" ".join("".join(self.linked).split())), self.heading, at.apart != CLEAN, at.region, at.doubtful))
         self.pieces, self.linked, self.breaks = [], [], 0
 
     def close(self, names: set[str], beyond: set[str]) -> None:
@@ -137,7 +139,7 @@ class Page:
         if name in BLOCKS:
             self.push(self.opened(name, given))
         elif outer.inline or hidden(given) or names_in(given) & AD_WORDS:
-            self.push(Open(name, outer.apart, outer.region, True))
+            self.push(Open(name, outer.apart, outer.region, True, outer.doubtful))
 
     def push(self, element: Open) -> None:
         self.stack.append(element)
@@ -145,7 +147,7 @@ class Page:
 
     def opened(self, name: str, given: dict[str, str]) -> Open:
         outer = self.stack[-1]
-        apart, region = outer.apart, outer.region
+        apart, region, doubtful = outer.apart, outer.region, outer.doubtful
         words, role = names_in(given), given.get("role", "").strip().lower()
         if hidden(given) or name in APART or role in ROLES:
             apart = HARD
@@ -164,7 +166,9 @@ class Page:
             region = ARTICLE
         elif name == "main" or role == "main":
             region = max(region, MAIN)
-        return Open(name, apart, region, outer.inline)
+        if region > outer.region:
+            doubtful |= outer.apart == SOFT
+        return Open(name, apart, region, outer.inline, doubtful)
 
     def end(self, name: str) -> None:
         if name == "a":

@@ -88,10 +88,12 @@ def second_pass(labels: list[int | None], headings: list[bool], edge: int) -> li
 
 def chosen(found: list[Block]) -> list[Block]:
     """The blocks that are the page's main text."""
-    least = max((b.region for b in found if not b.apart), default=OUTSIDE)
+    own = [b for b in found if b.region > OUTSIDE and not b.apart]
+    own = [b for b in own if not b.doubtful] or own
+    least = max((b.region for b in own), default=OUTSIDE)
     if least:
         # what stands apart within a marked article is no neighbour of its blocks
-        found = [b for b in found if b.region >= least and not b.apart]
+        found = [b for b in own if b.region == least]
     labels = [first_pass(b, least) for b in found]
     readers = next((i for i, b in enumerate(found) if b.heading and TEXT in labels[:i] and COMMENTS.fullmatch(b.text)), len(found))
     labels[readers:] = [BOILERPLATE] * (len(found) - readers)

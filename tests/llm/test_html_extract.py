@@ -42,6 +42,8 @@ PAGES = {
     "upper case": (f"<BODY><NAV>{LONG}</NAV><ARTICLE><P>kept</P></ARTICLE>", ["kept"]),
     "advert left open before the article": ("<div class=advert>Buy<article><p>kept</p></article>", ["kept"]),
     "page in a form": ("<form><label>Find</label><main><p>kept</p></main></form>", ["kept"]),
+    "an article in a sidebar": (f"<div class=sidebar><article><p>{MORE}</p></article></div><article><p>{LONG}</p></article><div class=promo><article>{MORE}</article></div>", [LONG]),
+    "a wrapper named after the sidebar": (f"<div class='content-sidebar-wrap'><main><p>{LONG}</p></main><div class=sidebar>{MORE}</div></div>", [LONG]),
     "hidden": ("<article><p>kept <span style='display: none'>gone</span>on</p><div hidden>gone</div></article>", ["kept on"]),
     "long text of no known language": (f"<div><a href=1>one</a></div><div>{LABELS}</div><div>{LABELS}</div>", [LABELS.strip()] * 2),
     "open text between texts and boilerplate": (f"<p>{LONG}</p><p>{LABELS}</p><p>{LONG}</p><p><a href=1>{MORE}</a></p><p>{LABELS}</p><p><a href=1>{MORE}</a></p>", [LONG, LABELS.strip(), LONG]),
