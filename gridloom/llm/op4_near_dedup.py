@@ -7,9 +7,10 @@
 2. Rows with equal sets form a class; only classes go on.
 3. In each band bucket every class is paired with the least class, its leader. Pairs whose sizes or
    odd sketches rule the similarity out are dropped; the others are confirmed on the full sets.
-4. Components of the links so far. The classes of a leader that still are in several components are
-   searched again: each outside the largest component against all of other components, in memory
-   and on full sets. A pair inside one component could not change the result and is left out.
+4. Components of the links so far. The classes that share a leader's buckets and still are in several components are
+   searched again, in memory: each outside the largest component is held against all of other components by
+   size and odd sketch, and what passes is counted on full sets. A pair inside one component could not change the
+   result and is left out.
 5. Components of all links.
 
 With 32 bands of 4 rows a pair at similarity 0.8 shares no band with probability 5e-8, and at the
@@ -136,8 +137,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: int, run: Run) -> DataFrame:
     """u, v: links between different roots among the classes that share a leader.
 
-    ``groups``: leader, cls, root. Of a leader's classes, each outside the largest root is held
-    against all of other roots, on full sets, in memory; only links leave the task. A leader whose
+    ``groups``: leader, cls, root; ``sets``: cls, shingles, odd. Of a leader's classes, each outside the largest root is held
+    against all of other roots: odd sketches give the candidates, full sets decide, in memory; only links leave the task. A leader whose
     classes hold over ``CELL`` shingles is cut into blocks, and each pair of blocks is a cell of its
     own, so what a task holds is bounded however large the group is.
     """
@@ -148,11 +149,16 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "root", (F.col("root") != F.col("largest")).alias("outside"))
 
+    most = most_odd_bits(threshold / 100 - SLACK)
+
+    def whole(column: pa.ChunkedArray) -> pa.ListArray:
+        joined = column.combine_chunks()
+        return joined.chunk(0) if isinstance(joined, pa.ChunkedArray) else joined
+
     def search(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         cls, root, outside = (group.column(c).to_numpy() for c in ("cls", "root", "outside"))
-        held = group.column("shingles").combine_chunks()
-        held = held.chunk(0) if isinstance(held, pa.ChunkedArray) else held
+        held, odd = whole(group.column("shingles")), whole(group.column("odd")).flatten().to_numpy().view(np.uint64).reshape(-1, ODD_WORDS)
         size = np.diff(held.offsets.to_numpy()).astype(np.int64)
         token = np.unique(held.flatten().to_numpy(), return_inverse=True)[1]
         owner = np.repeat(np.arange(len(size)), size)
@@ -161,11 +167,15 @@ def links_between(groups: DataFrame, sizes: DataFrame, sets: DataFrame, threshol
         first = np.concatenate([[0], np.cumsum(size)])
         found = set()
         for i in np.flatnonzero(outside).tolist():
+            maybe = np.flatnonzero((root != root[i]) & (100 * np.minimum(size, size[i]) >= threshold * np.maximum(size, size[i])))
+            maybe = maybe[np.bitwise_count(odd[maybe] ^ odd[i]).sum(axis=1) <= most]
+            if not len(maybe):
+                continue
             mine = token[first[i] : first[i + 1]]
             runs = lists[mine + 1] - lists[mine]
             at = np.repeat(lists[mine] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(int(runs.sum()))
-            both = np.bincount(owners[at], minlength=len(size))
-            linked = (100 * both >= threshold * (size + size[i] - both)) & (root != root[i])
+            both = np.bincount(owners[at], minlength=len(size))[maybe]
+            linked = maybe[100 * both >= threshold * (size[maybe] + size[i] - both)]
             found.update((int(cls[i]), int(r)) for r in np.unique(root[linked]))
         rows = sorted(found)
         return pa.table({"u": pa.array([u for u, _ in rows], pa.int64()), "v": pa.array([v for _, v in rows], pa.int64())})
@@ -183,10 +193,10 @@ def components_of(docs: DataFrame, width: int, threshold: int, run: Run) -> Data
     postings = classes.select("cls", F.explode("bands").alias("bucket"))
     leaders = run.table(postings.groupBy("bucket").agg(F.min("cls").alias("leader"), F.count("*").alias("size")).where("size > 1").select("bucket", "leader"), "leaders")
     members = run.table(postings.join(leaders, "bucket").select("leader", "cls").distinct(), "members")
-    met = members.select("cls").distinct()
+    met = classes.join(members.select("cls").distinct(), "cls", "left_semi")
     traits = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"{c}_n"), F.col("odd").alias(f"{c}_odd"))
-    reps = classes.join(met, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
-    sets = run.table(sets_of(texts, reps, width, shared).join(met, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+    found = sets_of(texts, met.select(F.col("rep").alias("doc_id")), width, shared)
+    sets = run.table(found.join(met.select("cls", "odd"), "cls").dropDuplicates(["cls"]), "sets")
     shared.release()
 
     led = members.where("cls != leader").select(F.col("leader").alias("u"), F.col("cls").alias("v"))
