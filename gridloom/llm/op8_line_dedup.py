@@ -327,15 +327,18 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
 
     open_ = found.where("more").select(F.col("x").alias("cls")).distinct().join(gone.select(F.col("x").alias("cls")), "cls", "left_anti")
     open_ = run.table(open_.withColumn("open", F.lit(True)), "open")
-    marked = run.table(classes.join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))).drop("open"), "marked")
-    tokens = marked.where("wanted").select(F.explode("prefix").alias("posting")).select(F.expr("posting & 4294967295L").alias("token"))
+    # only classes that a bitmap of the open ones lets through are shuffled
+    placed = common.flagged(classes, F.col("cls"), run.table(common.bitmap_words(open_, "cls"), "bitmap"), "maybe")
+    near = run.table(placed.where("maybe").drop("maybe").join(open_, "cls", "left").withColumn("wanted", F.coalesce("open", F.lit(False))).drop("open"), "marked")
+    marked = placed.where("not maybe").drop("maybe").withColumn("wanted", F.lit(False)).select(near.columns).unionByName(near)
+    tokens = near.where("wanted").select(F.explode("prefix").alias("posting")).select(F.expr("posting & 4294967295L").alias("token"))
     again = postings_with(marked, common.bitmap(tokens, "token", hashed=True), shared)
     more = run.table(candidates(again, threshold, True, parts).join(found.select("x", "y"), ["x", "y"], "left_anti").distinct(), "more-candidates")
     late = run.table(confirmed(more, sets_of(texts, wanted_of(more), shared), threshold), "late")
     shared.release()
     goes = gone.unionByName(late).distinct().select(F.col("x").alias("cls"), F.lit(True).alias("goes"))
     verdicts = run.table(firsts.join(goes, "cls", "left"), "verdicts")  # written, so that a class of very many lines is split in the join
-    run.drop(firsts, classes, marked, found, gone, open_, more, late)
+    run.drop(firsts, classes, near, found, gone, open_, more, late)
 
     judged = lines.join(verdicts, "cls")
     goes = F.col("goes").isNotNull() | (F.col("first") != F.col("at"))
