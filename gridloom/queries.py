@@ -665,6 +665,21 @@ def stream_ingest(spark, sf_dir):
     return _loaded(sink).select("custkey_field", "name_field", "segment_field", "balance_field")
 
 
+@query("""SELECT c_custkey // 64 artifact_key, n.batch::INT AS batch, n.batch = 1 AS skipped, CASE WHEN n.batch = 1 THEN 0 ELSE count(*) END AS inserted_rows
+  FROM customer, (SELECT unnest([0, 1]) AS batch) n WHERE n.batch = 0 AND c_custkey // 64 % 2 = 0 OR n.batch = 1 AND c_custkey // 64 % 4 = 0 GROUP BY c_custkey // 64, n.batch""")
+def stream_late_copies(spark, sf_dir):
+    """Copies that arrive in a later batch under other names are outcomes of it, and skipped."""
+    from gridloom.streaming.ingest import ingest
+
+    sink, found = fresh_sink(spark), customer_artifacts(spark, sf_dir)
+    folder, outcomes = f"{sink.root}-files", f"{sink.root}-outcomes"
+    for part in (found.where("artifact_key % 2 = 0"), found.where("artifact_key % 4 = 0").withColumn("path", F.concat(F.lit("_late-"), "path"))):
+        write_files(part.select("path", "content"), folder)
+        ingest(spark, folder, sink, f"{sink.root}-progress", outcomes=outcomes).awaitTermination()
+    keys = found.select("artifact_key", F.sha2("content", 256).alias("sha256"))
+    return spark.read.parquet(outcomes).join(keys, "sha256").select("artifact_key", F.col("batch").cast("int").alias("batch"), "skipped", "inserted_rows")
+
+
 def write_files(found: DataFrame, folder: str) -> None:
     """Write (path, content) as files below a folder, each by the task that has it; a task that runs again writes the same."""
 

@@ -31,14 +31,19 @@ def arriving(spark: SparkSession, folder: str, checkpoint: str, files_at_a_time:
     return reader.load(folder).select("path", "length", "content")
 
 
-def ingest(spark: SparkSession, folder: str, sink: Sink, checkpoint: str, continuous: bool = False, files_at_a_time: int = 1000, **options) -> StreamingQuery:
-    """A running query. ``continuous``: until it is stopped, with at most ``files_at_a_time`` files a batch; else until what is there now is loaded, as one batch."""
+def ingest(spark: SparkSession, folder: str, sink: Sink, checkpoint: str, continuous: bool = False, files_at_a_time: int = 1000, outcomes: str | None = None, **options) -> StreamingQuery:
+    """A running query. ``continuous``: until it is stopped, with at most ``files_at_a_time`` files a batch; else until what is there now is loaded, as one batch.
+
+    ``outcomes`` is a folder that gets the outcomes of each batch, late copies among them as skipped; a batch that runs again writes its own anew.
+    """
 
     def one(batch: DataFrame, number: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         done = sink.stamped(query) if query else None
         if done is None or done < number:
-            load(spark, sink, batch, stamp=(query, number) if query else None, **options)
+            result = load(spark, sink, batch, stamp=(query, number) if query else None, **options)
+            if outcomes:
+                result.outcomes.write.mode("overwrite").parquet(f"{outcomes}/batch={number}")
 
     at_a_time = files_at_a_time if continuous else 1 << 62
     writer = arriving(spark, folder, checkpoint, at_a_time).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)

@@ -75,6 +75,14 @@ def test_contents_are_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_nothing_to_load(spark, tmp_path):
+    sink = fresh_sink(spark)
+    for found, n in ((spark.createDataFrame([], "path string, content binary"), 0), (spark.createDataFrame([("a", None)], "path string, content binary"), 1)):
+        done = load.load(spark, sink, found)
+        assert done.summary()["artifact_count"] == done.summary()["failure_count"] == n and done.outcomes.count() == n
+    assert load.batch(spark, str(tmp_path), sink).summary()["artifact_count"] == 0 and sink.version() == 0
+
+
 def test_more_columns_than_the_budget(spark, monkeypatch):
     monkeypatch.setattr(load, "Budgets", lambda: Budgets(columns=2))
     sink = fresh_sink(spark)
