@@ -313,8 +313,12 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     shared.release()
     # The least place of a class as one number: aggregates of numbers need no sort.
     at = (F.col("place").cast("decimal(20,0)") * F.lit(LINES).cast("decimal(11,0)") + F.col("line")).cast("decimal(38,0)")
-    firsts = run.table(whole.groupBy("cls").agg(F.min(at).alias("first")), "firsts")
-    classes = run.table(whole.withColumn("first", at).join(firsts, ["cls", "first"]).select("cls", "place", "line", "n", *BITS, "prefix"), "classes")
+    firsts = run.table(whole.groupBy("cls").agg(F.min(at).alias("first"), F.count("*").alias("lines")), "firsts")
+    # most lines are the only ones of their class: just those that a bitmap of the other classes lets through are shuffled
+    columns = ["cls", "place", "line", "n", *BITS, "prefix"]
+    placed = common.flagged(whole, F.col("cls"), run.table(common.bitmap_words(firsts.where("lines > 1"), "cls"), "repeated"), "maybe")
+    first = placed.where("maybe").withColumn("first", at).join(firsts, ["cls", "first"])
+    classes = run.table(placed.where("not maybe").select(columns).unionByName(first.select(columns)), "classes")
     lines = run.table(whole.select("doc_id", "row", "line", "cls", at.alias("at")), "places")
     run.drop(whole)
     places = classes.select("cls", "place", "line")
@@ -337,11 +341,14 @@ def removed_lines(docs: DataFrame, threshold: int = 80) -> DataFrame:
     late = run.table(confirmed(more, sets_of(texts, wanted_of(more), shared), threshold), "late")
     shared.release()
     goes = gone.unionByName(late).distinct().select(F.col("x").alias("cls"), F.lit(True).alias("goes"))
-    verdicts = run.table(firsts.join(goes, "cls", "left"), "verdicts")  # written, so that a class of very many lines is split in the join
+    verdicts = firsts.join(goes, "cls", "left").where("lines > 1 or goes").select("cls", "first", "goes")
+    verdicts = run.table(verdicts, "verdicts")  # written, so that a class of very many lines is split in the join
+    placed = common.flagged(lines, F.col("cls"), run.table(common.bitmap_words(verdicts, "cls"), "judged"), "maybe")
     run.drop(firsts, classes, near, found, gone, open_, more, late)
 
-    judged = lines.join(verdicts, "cls")
-    goes = F.col("goes").isNotNull() | (F.col("first") != F.col("at"))
+    judged = placed.where("maybe").join(verdicts, "cls", "left").select("doc_id", "row", "line", (F.col("goes").isNotNull() | (F.col("first") != F.col("at"))).alias("goes"))
+    judged = judged.unionByName(placed.where("not maybe").select("doc_id", "row", "line", F.lit(False).alias("goes")))
+    goes = F.coalesce("goes", F.lit(False))
     return judged.groupBy("doc_id", "row").agg(F.size(F.collect_set("line")).cast("long").alias("n_lines"), F.array_sort(F.collect_set(F.when(goes, F.col("line")))).alias("removed"))
 
 
