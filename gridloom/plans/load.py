@@ -75,12 +75,13 @@ class LoadResult:
 
 
 def first_of_equals(found: DataFrame) -> DataFrame:
-    """path, artifact_sha256, reference, size, copies and repeat of (path, artifact_sha256, reference, size).
+    """Artifacts (path, artifact_sha256, and what depends on these) with copies and repeat.
 
     Of artifacts with the same bytes the first by path loads, the others are skipped; rows that agree in
     path and bytes are one row, with their number as ``copies``.
     """
-    named = found.groupBy("artifact_sha256", "path").agg(F.first("reference").alias("reference"), F.first("size").alias("size"), F.count("*").alias("copies"))
+    others = [F.first(c).alias(c) for c in found.columns if c not in ("artifact_sha256", "path")]
+    named = found.groupBy("artifact_sha256", "path").agg(*others, F.count("*").alias("copies"))
     first = found.groupBy("artifact_sha256").agg(F.min("path").alias("_first"))
     return named.join(first, "artifact_sha256").withColumn("repeat", F.col("path") != F.col("_first")).drop("_first")
 
