@@ -1,9 +1,11 @@
 """The pipeline's stages, each on what its predecessor kept."""
 
+import unicodedata
 from collections import Counter
 
 import corpus_pipeline
-from gridloom.llm import common
+import numpy as np
+from gridloom.llm import common, op1_language_id
 from gridloom.session import Run
 from helpers import prose
 from test_pairs import expected_lines, groups, shingle_set
@@ -11,6 +13,39 @@ from test_pairs import expected_lines, groups, shingle_set
 SF = "/root/testdata/sf0.001"
 
 
+def plain_language(net, text):
+    """The most probable language of a whole text and its mean probability, window by window; None without a letter."""
+    if not any(unicodedata.category(c)[0] == "L" for c in text):
+        return None, 0.0
+    raw, total = text.encode().translate(op1_language_id.FOLD), 0
+    for at in range(0, len(raw), net.window):
+        part = raw[at : at + net.window]
+        window = np.frombuffer(part.ljust(net.window, b"\0"), np.uint8)
+        hidden = []
+        for width, f in net.filters.items():
+            sums = sum(f[j, window[j : net.window - width + 1 + j]] for j in range(width))
+            hidden.append(np.maximum(sums.max(axis=0) + net.bias[width], 0))
+        out = np.concatenate(hidden) @ net.out + net.out_bias
+        odds = np.exp(out - out.max())
+        total = total + odds / odds.sum() * len(part)
+    mean = total / len(raw)
+    return net.langs[int(mean.argmax())], float(mean.max())
+
+
+def test_language_verdicts_row_by_row(spark):
+    docs = common.documents(spark, SF)
+    rows = docs.collect() + [(-1, None), (-2, ""), (-3, "12 .. 34"), (-4, "\u0ba4\u0bae\u0bbf" * 30)]
+    extra = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows[-4:]], docs.schema)
+    docs = docs.unionByName(extra)
+    net = op1_language_id.fit(docs)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    for doc_id, text, *_ in rows:
+        name, score = plain_language(net, text or "")
+        if abs(score - corpus_pipeline.MIN_LANGUAGE_SCORE) > 1e-3:
+            assert (doc_id in kept) == (name is not None and score >= corpus_pipeline.MIN_LANGUAGE_SCORE), doc_id
+    assert not kept & {-1, -2, -3}
+
+
 def test_stages(spark):
     docs = common.documents(spark, SF)
     columns, seen, run = docs.columns, {}, Run(spark, "test")
