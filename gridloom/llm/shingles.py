@@ -20,8 +20,6 @@ _CASED = _VALUES.copy()
 _VALUES[65:91] = _VALUES[97:123]
 #: Texts longer than this have power tables of their own, which are not kept.
 KEPT_POWERS = 1 << 20
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -68,7 +66,7 @@ def cased_words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 def word_spans(raw: np.ndarray, bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(raw):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~_SPACE[raw]
+    inside = (raw != 32) & (raw - np.uint8(9) > 4)  # below 9 it wraps around
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

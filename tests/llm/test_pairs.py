@@ -149,6 +149,22 @@ def test_many_alike_lines_match_all_pairs(spark, hot, monkeypatch):
     assert got == {i: tuple(sorted(v)) for (i, _), v in gone.items()} and sum(map(len, got.values())) > 300
 
 
+def test_alike_lines_that_tie_at_a_place_both_stay(spark):
+    texts = [(1, "a b c d e f g h i j"), (1, "a b c d e f g h i k"), (2, "a b c d e f g h i l"), (None, "q r s t u v w x y z"), (None, "q r s t u v w x y 0")]
+    found = lines.removed_lines(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["n_lines"], tuple(r["removed"])) for r in found) == Counter({(1, 1, ()): 2, (2, 1, (0,)): 1, (None, 1, ()): 2})
+
+
+@pytest.mark.parametrize("far", [0, 1 << 40])
+def test_postings_in_order_of_token_place_and_line(far):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    token, place, line = rng.integers(0, 50, 3000) + (1 << 32) - 50, rng.integers(-9, 9, 3000) * (far or 1), rng.integers(0, 5, 3000)
+    found, expected = lines.by_place(token, place, line), np.lexsort((line, place, token))
+    assert all((c[found] == c[expected]).all() for c in (token, place, line))
+
+
 def test_line_dedup_query(spark, rows, monkeypatch):
     from gridloom.llm import common
 
