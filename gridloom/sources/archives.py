@@ -15,12 +15,14 @@ import fnmatch
 import json
 import os
 import re
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow.fs import FileInfo, FileSelector, FileSystem, FileType, LocalFileSystem
+from pyspark import cloudpickle
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, StringContains, StringEndsWith, StringStartsWith,
 )
@@ -234,3 +236,10 @@ class ArchiveSource(DataSource):
 
     def streamReader(self, schema) -> ArchiveStream:  # noqa: N802
         return ArchiveStream(self.options)
+
+
+def registered(spark) -> str:
+    """The source's name, known to the session. Its code goes by value: the process that plans a stream gets no files that were added to the session."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(ArchiveSource)
+    return NAME

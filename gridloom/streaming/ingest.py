@@ -23,9 +23,9 @@ def arriving(spark: SparkSession, folder: str, checkpoint: str, files_at_a_time:
     """path, length and content of new files. Where only Spark can open the folder, its own source reads it, which skips hidden names."""
     prepared(spark)
     if scan.reachable(folder) and scan.reachable(checkpoint):
-        spark.dataSource.register(archives.ArchiveSource)
+        name = archives.registered(spark)
         options = scan.options(spark, folder, ledger=f"{checkpoint.rstrip('/')}-ledger", filesAtATime=str(files_at_a_time))
-        return spark.readStream.format(archives.NAME).options(**options).load().select("path", "length", "content")
+        return spark.readStream.format(name).options(**options).load().select("path", "length", "content")
     reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     reader = reader.option("pathGlobFilter", scan.GLOB).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_at_a_time)
     return reader.load(folder).select("path", "length", "content")
